@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidepool.operators.slicing import SLICE, choose_slices, with_slices
+from tidepool.operators.slicing import SLICE, cut_points, small_plan, with_slices
 
 QUARTILE_SHARES = {1: 0.25, 2: 0.5, 3: 0.75}
 
@@ -34,8 +34,7 @@ def exact_percentiles(
     slice holding each wanted rank from the slice counts, and rank only inside it.
     """
     by = list(by)
-    n = choose_slices(df, slices)
-    if n == 1:
+    if slices == 1 or (slices is None and small_plan(df)):
         return df.groupBy(*by).agg(*(F.percentile(c, F.lit(q)).alias(o) for o, (c, q) in outputs.items()))
 
     sources: dict[str, tuple[str, Column]] = {}
@@ -50,7 +49,7 @@ def exact_percentiles(
     )
     values = df.select(*by, F.inline(entries)).where(F.col("__v").isNotNull())
     counts = values.groupBy(*by, "__source", "__v").agg(F.count(F.lit(1)).alias("__n"))
-    sliced = with_slices(counts, "__v", n)
+    sliced = with_slices(counts, "__v", cut_points(counts, "__v", slices))
 
     per_slice = sliced.groupBy(*by, "__source", SLICE).agg(F.sum("__n").alias("__in_slice"))
     group = Window.partitionBy(*by, "__source")

@@ -19,9 +19,9 @@ from pyspark.sql.window import Window
 
 SLICE = "__slice"
 SMALL_BYTES = 64 << 20  # below this estimate, one ordered group per key is fine
-SLICE_BYTES = 128 << 20
-MAX_SLICES = 16_384
-ROW_BYTES = 512  # assumed where only a row count is known
+SLICE_ROWS = 2_000_000
+GRID = 512  # quantiles taken before the row count is known
+MAX_SLICES = 65_536
 UNKNOWN_BYTES = 1 << 60  # sources without statistics report about 2**63
 
 
@@ -37,30 +37,46 @@ def plan_bytes(df: DataFrame) -> int | None:
     return size if size < UNKNOWN_BYTES else None
 
 
-def choose_slices(df: DataFrame, slices: int | None = None) -> int:
-    """Requested number of slices, else one derived from the estimated size.
-
-    Without an estimate the rows are counted.
-    """
-    if slices is not None:
-        return slices
+def small_plan(df: DataFrame) -> bool:
+    """Whether the plan is known to stay within one ordered group."""
     size = plan_bytes(df)
-    if size is None:
-        size = df.count() * ROW_BYTES
-    return 1 if size <= SMALL_BYTES else min(MAX_SLICES, max(2, math.ceil(size / SLICE_BYTES)))
+    return size is not None and size <= SMALL_BYTES
 
 
-def with_slices(df: DataFrame, order: str | Column, slices: int) -> DataFrame:
+def cut_points(df: DataFrame, order: str | Column, slices: int | None = None) -> list[float]:
+    """Borders between slices; none where one slice is enough.
+
+    With ``slices`` open, a plan of unknown or large size is measured by one pass
+    over the order column giving its row count and quantiles together.
+    """
+    position = F.col(order).cast("double") if isinstance(order, str) else order.cast("double")
+    if slices is None and small_plan(df):
+        return []
+    grid = slices or GRID
+    shares = [i / grid for i in range(1, grid)]
+    if not shares:
+        return []
+    measured = df.agg(
+        F.count(F.lit(1)).alias("rows"), F.percentile_approx(position, shares, 4 * grid).alias("cuts")
+    ).first()
+    cuts = measured.cuts or []
+    if slices is None:
+        wanted = math.ceil(measured.rows / SLICE_ROWS)
+        if wanted > GRID:
+            return cut_points(df, order, min(MAX_SLICES, wanted))
+        cuts = [cuts[GRID * i // wanted - 1] for i in range(1, wanted)] if cuts else []
+    return sorted(set(cuts))
+
+
+def with_slices(df: DataFrame, order: str | Column, cuts: Sequence[float]) -> DataFrame:
     """Add the slice number of each row; equal order values share a slice."""
+    if not cuts:
+        return df.withColumn(SLICE, F.lit(0))
     position = (F.col(order) if isinstance(order, str) else order).cast("double")
-    keyed = df.withColumn("__position", position)
-    shares = [i / slices for i in range(1, slices)]
-    cuts = keyed.select("__position").approxQuantile("__position", shares, 1 / (4 * slices))
-    splits = [-math.inf, *sorted(set(cuts)), math.inf]
-    if len(splits) < 3:
-        return keyed.withColumn(SLICE, F.lit(0)).drop("__position")
+    splits = [-math.inf, *cuts, math.inf]
     cutter = Bucketizer(splits=splits, inputCol="__position", outputCol="__bucket", handleInvalid="keep")
-    return cutter.transform(keyed).withColumn(SLICE, F.col("__bucket").cast("int")).drop("__position", "__bucket")
+    placed = cutter.transform(df.withColumn("__position", position))
+    return placed.withColumn(SLICE, F.col("__bucket").cast("int")).drop("__position", "__bucket")
 
 
 def carry_last(
@@ -79,13 +95,13 @@ def carry_last(
     extra leading row, so rows are shuffled once and no join is needed.
     """
     by, order = list(by), list(order)
-    n = choose_slices(df, slices)
     tagged = df.withColumn("__value", value)
-    if n == 1:
+    cuts = cut_points(df, order[0], slices)
+    if not cuts:
         window = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
         return tagged.withColumn(alias, F.last("__value", ignorenulls=True).over(window)).drop("__value")
 
-    sliced = with_slices(tagged, order[0], n)
+    sliced = with_slices(tagged, order[0], cuts)
     key = F.struct(*order) if len(order) > 1 else F.col(order[0])
     last_seen = sliced.groupBy(*by, SLICE).agg(
         F.max_by("__value", F.when(F.col("__value").isNotNull(), key)).alias("__value")
