@@ -111,13 +111,14 @@ def operand_sizes(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns(sizes)
 
 
-def parse_container_lines(lines: DataFrame, column: str = "value") -> DataFrame:
+def parse_container_lines(lines: DataFrame, column: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Container log lines in JSON or plain form as ``time, stream, log, date``."""
     line = F.col(column)
     as_json = F.from_json(line, "log STRING, stream STRING, time TIMESTAMP")
     plain_time = F.try_to_timestamp(F.nullif(F.regexp_extract(line, LINE_FORM, 1), F.lit("")))
     is_json = line.startswith("{")
     return lines.select(
+        *keep,
         F.when(is_json, as_json["time"]).otherwise(plain_time).alias("time"),
         F.when(is_json, as_json["stream"]).otherwise(F.nullif(F.regexp_extract(line, LINE_FORM, 2), F.lit(""))).alias("stream"),
         F.when(is_json, as_json["log"]).otherwise(F.regexp_extract(line, LINE_FORM, 4)).alias("log"),
