@@ -13,6 +13,7 @@ one partial per task, never one huge group.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from decimal import Decimal
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,7 +26,8 @@ from tidepool.functions.scalars import DEFAULT, SCALAR_NAMES, as_column, bound,
 
 LIMB_DIGITS = 18
 LIMBS = 12  # 216 digits, past the 200 digits a part can hold
-MAX_ENCODINGS = 64  # encodings kept apart per key before they are folded together
+MAX_ENCODINGS = 64  # denominators kept apart per key
+WHOLE = (1, 0, 0)  # denominator of a whole number
 MAX_KEYS = 50_000  # keys held by a map-side fold before its partials are emitted
 
 PARTIAL_TYPE = T.StructType(
@@ -43,14 +45,17 @@ class FractionFold:
     """Running count, exact sum and extremes of one column for one key.
 
     Values of equal encoding (scale, bits and denominator) are added as plain
-    integers, so the sum neither rounds nor depends on the order of the rows.
+    integers, so their sum neither rounds nor depends on the order of the rows. Where
+    a key has more denominators than are worth keeping apart, further ones are added
+    as decimals carrying more digits than any result shows.
     """
 
-    __slots__ = ("math", "extremes", "count", "sums", "low", "high")
+    __slots__ = ("math", "extremes", "count", "sums", "divided", "rest", "rest_size", "low", "high")
 
     def __init__(self, math: Arithmetic, extremes: bool):
         self.math, self.extremes = math, extremes
-        self.count, self.sums = 0, {}
+        self.count, self.sums, self.divided = 0, {}, 0
+        self.rest, self.rest_size = None, 0
         self.low = self.high = None
 
     def add(self, f) -> None:
@@ -71,16 +76,20 @@ class FractionFold:
                 self._extend(self.math.parse(text))
 
     def _put(self, f, size: int) -> None:
-        entry = self.sums.get(f[1:])
-        if entry is None:
-            if len(self.sums) >= MAX_ENCODINGS:
-                total = self.total()
-                self.sums = {total[1:]: [total[0], self.count]}
-                return self._put(f, size)
-            self.sums[f[1:]] = [f[0], size]
-        else:
+        encoding = f[1:]
+        entry = self.sums.get(encoding)
+        if entry is not None:
             entry[0] += f[0]
             entry[1] += size
+            return
+        if encoding[2:] != WHOLE:
+            if self.divided >= MAX_ENCODINGS:
+                value = self.math.wide_value(f)
+                self.rest = value if self.rest is None else self.math.wide.add(self.rest, value)
+                self.rest_size += size
+                return
+            self.divided += 1
+        self.sums[encoding] = [f[0], size]
 
     def _extend(self, f) -> None:
         if self.low is None or self._before(f, self.low):
@@ -97,7 +106,19 @@ class FractionFold:
         return left < right or (left == right and self.math.text(x) < self.math.text(y))
 
     def total(self):
-        """One fraction for all encodings, folded in a fixed order."""
+        """One fraction for all encodings.
+
+        The fraction sum is kept where it holds the exact value to 50 digits; sums over
+        many denominators, which lose bits when simplified step by step, are given as
+        decimals instead.
+        """
+        if self.rest is None:
+            folded = self._folded()
+            if self.divided < 2 or self._holds(folded):
+                return folded
+        return self.math.from_decimal(self._wide_total()[0])
+
+    def _folded(self):
         total = None
         for encoding in sorted(self.sums):
             n, size = self.sums[encoding]
@@ -109,11 +130,33 @@ class FractionFold:
             total = f if total is None else self.math.add(total, f)
         return total
 
+    def _wide_total(self):
+        """Sum of all values as one wide decimal, and the sum of their magnitudes."""
+        wide = self.math.wide
+        total = magnitude = Decimal(0)
+        for encoding in sorted(self.sums):
+            value = self.math.wide_value((self.sums[encoding][0],) + encoding)
+            total, magnitude = wide.add(total, value), wide.add(magnitude, abs(value))
+        if self.rest is not None:
+            total, magnitude = wide.add(total, self.rest), wide.add(magnitude, abs(self.rest))
+        return total, magnitude
+
+    def _holds(self, folded) -> bool:
+        if folded[3] == 0 or any(encoding[2] == 0 for encoding in self.sums):
+            return True  # a zero denominator stays visible
+        total, magnitude = self._wide_total()
+        wide = self.math.wide
+        error = abs(wide.subtract(self.math.wide_value(folded), total))
+        return error <= wide.multiply(magnitude, Decimal("1e-50"))
+
     def partial(self) -> dict:
+        sums = [((v[0],) + k, v[1]) for k, v in self.sums.items()]
+        if self.rest is not None:
+            sums.append((_exact_decimal(self.rest), self.rest_size))
         return {
             "count": self.count,
-            "sums": ["%de%db%d/%de%db%d" % ((v[0],) + k) for k, v in self.sums.items()],
-            "sizes": [v[1] for v in self.sums.values()],
+            "sums": [self.math.text(f) for f, _ in sums],
+            "sizes": [size for _, size in sums],
             "low": self.math.text(self.low) or None,
             "high": self.math.text(self.high) or None,
         }
@@ -123,6 +166,12 @@ class FractionFold:
         return None if total is None else self.math.divide(total, (self.count, 0, 0, 1, 0, 0))
 
 
+def _exact_decimal(value: Decimal):
+    sign, digits, exponent = value.as_tuple()
+    n = int("".join(map(str, digits)))
+    return (-n if sign else n, -exponent, 0) + WHOLE
+
+
 def _ratio(f):
     n, s, b, dn, ds, db = f
     p, q = n << max(db - b, 0), dn << max(b - db, 0)

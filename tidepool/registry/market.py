@@ -8,7 +8,7 @@ from tidepool.functions import ubi_to_double
 from tidepool.operators import pricing, valuation
 from tidepool.operators.projections import log_id
 from tidepool.plans import pool_day, rated_swaps
-from tidepool.registry.tables import BASE, MARKET, SWAPS_SQL, USD, raw_swaps, rounded
+from tidepool.registry.tables import BASE, MARKET, SWAPS_SQL, USD, raw_swaps, rounded, use_checkpoints
 
 EXPIRY = MARKET.block_expiry
 
@@ -56,6 +56,12 @@ def _rated(spark, sf_dir, slices=None):
     return rated_swaps.rate_swaps(rated_swaps.price_swaps(raw_swaps(spark, sf_dir), MARKET), MARKET, slices=slices)
 
 
+def _stored(df):
+    """Statistics read rated swaps as a table, several times; here the table is a checkpoint."""
+    use_checkpoints(df.sparkSession)
+    return rated_swaps.staged(df)
+
+
 def _quotes(df):
     return df.select("blockNumber", *(F.col(f"{b}.poolAddress").alias(f"{b}_pool") for b in ("base0", "base1", "usdBase")), *(
         F.col(f"{b}.logId").cast("bigint").alias(f"{b}_at") for b in ("base0", "base1", "usdBase")
@@ -103,17 +109,21 @@ def amount_entries(spark, sf_dir):
     return both.groupBy("address", "key").agg(F.count(F.lit(1)).alias("n"), F.count("value").alias("known"))
 
 
-def significant(x, digits=8):
-    """Scientific text with a fixed number of digits, the same in both engines."""
+# Digits compared: more than exact amounts have, fewer than moments of doubles agree on.
+DIGITS = 10
+MOMENTS = ("skewness1", "kurtosis1", "trend1")
+
+
+def significant(x, digits=DIGITS):
+    """Leading digits as an integer, since values span many orders of magnitude."""
     magnitude = F.floor(F.log10(F.abs(x)))
-    scaled = F.round(x / F.pow(F.lit(10.0), magnitude) * 10**digits / 1e3).cast("bigint")
+    scaled = F.round(x / F.pow(F.lit(10.0), magnitude) * float(10 ** (digits - 1))).cast("bigint")
     return F.when(x == 0, F.lit(0)).otherwise(scaled)
 
 
-def _significant_sql(x, digits=8):
-    return (
-        f"CASE WHEN {x} = 0 THEN 0 ELSE CAST(round({x} / pow(10.0::DOUBLE, floor(log10(abs({x})))) * 1e{digits} / 1e3) AS BIGINT) END"
-    )
+def _significant_sql(x, digits=DIGITS):
+    shifted = f"{x} / pow(10.0::DOUBLE, floor(log10(abs({x}))))"
+    return f"CASE WHEN {x} = 0 THEN 0 ELSE CAST(round({shifted} * 1e{digits - 1}) AS BIGINT) END"
 
 
 STAT_COLUMNS = (
@@ -156,14 +166,19 @@ STAT_COLUMNS = (
 
 def statistics(slices):
     def query(spark, sf_dir):
-        stats = pool_day.pool_statistics(_rated(spark, sf_dir), slices=slices)
-        return stats.select("address", "swapCount", *(significant(F.col(c)).alias(c) for c in STAT_COLUMNS))
+        stats = pool_day.pool_statistics(_stored(_rated(spark, sf_dir)), slices=slices)
+        return stats.select(
+            "address",
+            "swapCount",
+            *(significant(F.col(c)).alias(c) for c in STAT_COLUMNS if c not in MOMENTS),
+            *(rounded(F.col(c), 7).alias(c) for c in MOMENTS),
+        )
 
     return query
 
 
 def price_series(spark, sf_dir):
-    series = pool_day.pool_series(_rated(spark, sf_dir), slices=5)
+    series = pool_day.pool_series(_stored(_rated(spark, sf_dir)), slices=5)
     return series.select("address", F.inline("priceSeries")).select(
         "address",
         F.col("logId").cast("bigint").alias("block"),
@@ -174,7 +189,7 @@ def price_series(spark, sf_dir):
 
 
 def cost_series(spark, sf_dir):
-    series = pool_day.pool_series(_rated(spark, sf_dir), slices=5)
+    series = pool_day.pool_series(_stored(_rated(spark, sf_dir)), slices=5)
     return series.select("address", F.inline("costSeries")).select(
         "address",
         F.col("logId").cast("bigint").alias("block"),
@@ -301,7 +316,8 @@ h AS (
         CASE WHEN round(volumeUsd) <> 0 THEN (tt0 + ttAbsPriceDeltaPct1) / 2 / round(volumeUsd) * 1000 END AS priceImpactPctFor1kUsd
     FROM g JOIN c USING (address)
 )
-SELECT address, swapCount, {", ".join(f"{_S(c)} AS {c}" for c in STAT_COLUMNS)} FROM h"""
+SELECT address, swapCount, {", ".join(f"{_S(c)} AS {c}" for c in STAT_COLUMNS if c not in MOMENTS)},
+    {", ".join(f"round({c}, 7) + 0.0 AS {c}" for c in MOMENTS)} FROM h"""
 _PRICE_SERIES = f"""WITH {_VALUED_CTE} SELECT address, block, {_S('price1')} AS price1, {_S('abs(net0)')} AS volume0,
     {_S('volume')} AS base_volume FROM based"""
 _COST_SERIES = f"""WITH {_VALUED_CTE} SELECT address, block, gas, {_S('(tip * 1e9)')} AS tip_gwei,

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +30,23 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """New folder under the session's shared checkpoint folder; local sessions without one use a temporary folder."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return f"{shared.rstrip('/')}/tidepool-{name}-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    return tempfile.mkdtemp(prefix=f"tidepool-{name}-")
+
+
+def use_checkpoints(spark: SparkSession) -> None:
+    """Name a checkpoint folder where the session has none."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        spark.sparkContext.setCheckpointDir(shared or scratch_folder(spark, "checkpoints"))
+
+
 def rounded(column: Column, digits: int) -> Column:
     """Rounded double without negative zero."""
     return F.round(column, digits) + F.lit(0.0)
