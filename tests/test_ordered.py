@@ -91,3 +91,21 @@ def test_two_roles(spark):
     rows = two_role_join(fact, dim, {"token0": "t0", "token1": "t1"}, "address", ["id"]).orderBy("id").collect()
     assert rows[0].token0.decimals == 1 and rows[0].token1.decimals == 2
     assert rows[1].token0.decimals == 2 and rows[1].token1 is None
+
+
+def test_plan_size_decides(spark, sf_dir, monkeypatch):
+    from tidepool.operators import slicing
+
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    size = slicing.plan_bytes(events)
+    assert size and size < slicing.SMALL_BYTES
+    assert slicing.cut_points(events, "event_id") == []
+    assert slicing.plan_bytes(spark.createDataFrame([(1,)], "a int")) is None
+    monkeypatch.setattr(slicing, "SMALL_BYTES", 1)
+    monkeypatch.setattr(slicing, "SLICE_ROWS", 300)
+    cuts = slicing.cut_points(events, "event_id")
+    rows = events.count()
+    assert len(cuts) == -(-rows // 300) - 1
+    counts = slicing.with_slices(events, "event_id", cuts).groupBy(slicing.SLICE).count().collect()
+    assert max(r["count"] for r in counts) <= 2 * 300
+    assert sum(r["count"] for r in counts) == rows

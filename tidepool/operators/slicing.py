@@ -31,7 +31,7 @@ def plan_bytes(df: DataFrame) -> int | None:
     ``None`` where the session gives no plan access or a source reports no size.
     """
     try:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except AttributeError:
         return None
     return size if size < UNKNOWN_BYTES else None
