@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 SLICE = "__slice"
@@ -37,6 +38,24 @@ def plan_bytes(df: DataFrame) -> int | None:
     return size if size < UNKNOWN_BYTES else None
 
 
+def epoch_seconds(column: str | Column) -> Column:
+    """Seconds with micros since 1970 as written, whatever the session's time zone."""
+    c = F.col(column) if isinstance(column, str) else column
+    day = F.unix_date(c.cast("date")).cast("decimal(20,0)")
+    return day * 86_400 + F.hour(c) * 3_600 + F.minute(c) * 60 + F.extract(F.lit("SECOND"), c)
+
+
+def position(df: DataFrame, order: str | Column) -> Column:
+    """An order column as a double that never runs against the order."""
+    c = F.col(order) if isinstance(order, str) else order
+    kind = df.select(c.alias("c")).schema["c"].dataType
+    if isinstance(kind, T.TimestampNTZType):
+        c = epoch_seconds(c)
+    elif isinstance(kind, T.DateType):
+        c = F.unix_date(c)
+    return c.cast("double")
+
+
 def small_plan(df: DataFrame) -> bool:
     """Whether the plan is known to stay within one ordered group."""
     size = plan_bytes(df)
@@ -49,7 +68,6 @@ def cut_points(df: DataFrame, order: str | Column, slices: int | None = None) ->
     With ``slices`` open, a plan of unknown or large size is measured by one pass
     over the order column giving its row count and quantiles together.
     """
-    position = F.col(order).cast("double") if isinstance(order, str) else order.cast("double")
     if slices is None and small_plan(df):
         return []
     grid = slices or GRID
@@ -57,7 +75,7 @@ def cut_points(df: DataFrame, order: str | Column, slices: int | None = None) ->
     if not shares:
         return []
     measured = df.agg(
-        F.count(F.lit(1)).alias("rows"), F.percentile_approx(position, shares, 4 * grid).alias("cuts")
+        F.count(F.lit(1)).alias("rows"), F.percentile_approx(position(df, order), shares, 4 * grid).alias("cuts")
     ).first()
     cuts = measured.cuts or []
     if slices is None:
@@ -72,10 +90,9 @@ def with_slices(df: DataFrame, order: str | Column, cuts: Sequence[float]) -> Da
     """Add the slice number of each row; equal order values share a slice."""
     if not cuts:
         return df.withColumn(SLICE, F.lit(0))
-    position = (F.col(order) if isinstance(order, str) else order).cast("double")
     splits = [-math.inf, *cuts, math.inf]
     cutter = Bucketizer(splits=splits, inputCol="__position", outputCol="__bucket", handleInvalid="keep")
-    placed = cutter.transform(df.withColumn("__position", position))
+    placed = cutter.transform(df.withColumn("__position", position(df, order)))
     return placed.withColumn(SLICE, F.col("__bucket").cast("int")).drop("__position", "__bucket")
 
 

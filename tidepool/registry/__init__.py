@@ -1,8 +1,8 @@
 """Registered queries: every operator over the given tables, with equivalent SQL."""
 
-from tidepool.registry import aggregates, market, numbers, ordered
+from tidepool.registry import aggregates, landing, market, numbers, ordered, streams
 
-MODULES = (numbers, aggregates, ordered, market)
+MODULES = (numbers, aggregates, ordered, market, landing, streams)
 
 
 def registered() -> dict:

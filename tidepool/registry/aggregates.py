@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidepool import functions as U
 from tidepool.operators.quantiles import exact_percentiles, quartile
 from tidepool.plans.pool_day import distribution, trend
-from tidepool.registry.tables import LINES_SQL, TICKS_SQL, lines, rounded, text, ticks
+from tidepool.registry.tables import LINES_SQL, TICKS_SQL, epoch_seconds, lines, rounded, text, ticks
 
 FLAGS = ["l_returnflag", "l_linestatus"]
 
@@ -66,7 +66,7 @@ def mixed_denominators(spark, sf_dir):
 
 
 def moments(spark, sf_dir):
-    df = ticks(spark, sf_dir).withColumn("unix", F.unix_timestamp("ts"))
+    df = ticks(spark, sf_dir).withColumn("unix", epoch_seconds("ts"))
     stats = [c for c in distribution(F.col("value"), "0")]
     out = df.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), *stats, trend(F.col("value"), "unix").alias("trend0"))
     names = ["ttAbsPriceDeltaPct0", "skewness0", "kurtosis0", "trend0"]

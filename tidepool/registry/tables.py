@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.operators.market import Market
+from tidepool.operators.slicing import epoch_seconds
 
 # A small market over events: event types are pools, event ids are blocks.
 BASE, USD = "eth", "usdc"
@@ -116,7 +117,7 @@ def raw_swaps(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("Pool").alias("contract"),
         F.lit("Swap").alias("event"),
         F.lit(1).alias("epoch"),
-        F.unix_timestamp("ts").alias("timestamp"),
+        epoch_seconds("ts").cast("bigint").alias("timestamp"),
         F.concat(text(F.col("cents")), F.lit("0" * 25)).alias("sqrtPriceX96"),
         text(F.when(up, amount).otherwise(-amount)).alias("amount0"),
         text(F.when(up, -amount * 3).otherwise(amount * 3)).alias("amount1"),
