@@ -141,3 +141,40 @@ def test_limb_sum_rejects_decimal_text(spark):
         U.ubi_sum_limbs(values(spark, ["1.5"]), [], "value", "v").collect()
     fixed = values(spark, ["1.5", "2"]).select(U.ubi_canonical("value").alias("value"))
     assert U.ubi_sum_limbs(fixed, [], "value", "v").first().v == "35e1b0/1e0b0"
+
+
+def test_column_sum_is_exact_and_partial(spark):
+    rows = []
+    for i in range(2000):
+        n = (-1) ** i * (I * i + 7)
+        rows.append((i % 3, f"{n}e{i % 30}b0/1e0b0", f"{n}e-3b192/7e0b2", f"{n}e18b96/{i + 1}"))
+    df = spark.createDataFrame(rows, "k int, whole string, common string, mixed string").repartition(6)
+    columns = ("whole", "common", "mixed")
+    got = df.groupBy("k").agg(*(U.ubi_sum(c).alias(c) for c in columns), F.count("*").alias("n"))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" in plan and plan.count("ArrowEvalPython") <= 4
+    folded = U.ubi_aggregate(df, ["k"], {c: ("sum", c) for c in columns})
+    by_key = {r.k: r for r in folded.collect()}
+    for r in got.collect():
+        assert (r.whole, r.common) == (by_key[r.k].whole, by_key[r.k].common)
+        exact = sum((value(x[3]) for x in rows if x[0] == r.k), Fraction(0))
+        assert abs(value(r.mixed) - exact) < Fraction(1, 10**120)
+        assert abs(value(by_key[r.k].mixed) - exact) < Fraction(1, 10**120)
+
+
+def value(text):
+    num, _, den = text.partition("/")
+
+    def part(p):
+        n, _, rest = p.partition("e")
+        s, _, b = rest.partition("b")
+        return Fraction(int(n)) / Fraction(10) ** int(s or 0) / 2 ** int(b or 0)
+
+    return part(num) / part(den or "1")
+
+
+def test_column_sum_refuses_what_it_cannot_hold(spark):
+    df = values(spark, ["1e-230", "1"])
+    with pytest.raises(Exception, match="ubi_aggregate"):
+        df.agg(U.ubi_sum("value")).collect()
+    assert U.ubi_aggregate(df, [], {"v": ("sum", "value")}).first().v.startswith("1" + "0" * 199)

@@ -6,8 +6,10 @@ second streaming fold merges them. A key holding most of the rows therefore cost
 one partial per task, never one huge group.
 
 ``ubi_sum_limbs`` keeps the whole sum in the JVM for integer-like columns.
-``ubi_min``/``ubi_max`` are native ``min_by``/``max_by`` on an order key.
-``ubi_sum``/``ubi_avg`` are the plain column and SQL forms for groups of modest size.
+The column forms ``ubi_sum``, ``ubi_avg``, ``ubi_min`` and ``ubi_max`` are built from
+native aggregates, so they combine with any other in one ``groupBy().agg()`` and
+keep its map-side partial aggregation. Only the forms registered for SQL text see a
+whole group in one task.
 """
 
 from __future__ import annotations
@@ -386,14 +388,128 @@ def _grouped(kind: str, conf: NumericConf):
     return fold
 
 
+SPREAD_LIMBS = 24  # fixed-point places of the column sums, 18 digits each
+POINT = 12  # of which as many after the decimal point
+POINT_DIGITS = POINT * LIMB_DIGITS
+_SPREAD_FIELDS = [f"l{i}" for i in range(SPREAD_LIMBS)]
+SPREAD_TYPE = T.StructType(
+    [T.StructField(n, T.LongType()) for n in (*_SPREAD_FIELDS, "s", "b")] + [T.StructField("den", T.StringType())]
+)
+
+
+def _spread(conf: NumericConf):
+    """Cut a value into 18-digit places of one fixed-point grid, so that native sums add it up."""
+    math = Arithmetic(conf)
+    base = 10**LIMB_DIGITS
+
+    def places(f):
+        n, s, b, dn, ds, db = f
+        if dn == 0:
+            raise ZeroDivisionError(f"zero denominator in {math.text(f)}")
+        shift, bits = s - ds, b - db
+        if bits > 0:
+            n, shift = n * 5**bits, shift + bits
+        else:
+            n <<= -bits
+        up = POINT_DIGITS - shift
+        first = 0
+        if dn != 1 or up < 0:
+            num, den = n * 10 ** max(up, 0), dn * 10 ** max(-up, 0)
+            m = (2 * num + den) // (2 * den)
+        else:
+            first, rest = divmod(up, LIMB_DIGITS)
+            m = n * 10**rest
+        sign, m = (-1, -m) if m < 0 else (1, m)
+        i = first
+        while m:
+            m, limb = divmod(m, base)
+            if i >= SPREAD_LIMBS:
+                raise OverflowError(f"{math.text(f)} is past the range of ubi_sum; use ubi_aggregate")
+            if limb:
+                yield i, sign * limb
+            i += 1
+
+    @F.arrow_udf(SPREAD_TYPE)
+    def spread(values: pa.Array) -> pa.Array:
+        texts = values.to_pylist()
+        columns = [[None] * len(texts) for _ in SPREAD_TYPE.fields]
+        for row, text in enumerate(texts):
+            f = math.parse(text)
+            if f is None:
+                continue
+            for i, limb in places(f):
+                columns[i][row] = limb
+            columns[-3][row], columns[-2][row], columns[-1][row] = f[1], f[2], "%de%db%d" % f[3:]
+        types = [pa.string() if f.name == "den" else pa.int64() for f in SPREAD_TYPE.fields]
+        arrays = [pa.array(c, type=t) for c, t in zip(columns, types)]
+        return pa.StructArray.from_arrays(arrays, names=[f.name for f in SPREAD_TYPE.fields])
+
+    return spread
+
+
+def _gather(kind: str, conf: NumericConf):
+    """Put the sums of all places together again."""
+    math = Arithmetic(conf)
+
+    def total(limbs: str, size: int, s: int, b: int, low: str, high: str):
+        units = sum(int(limb) * 10 ** (LIMB_DIGITS * i) for i, limb in enumerate(limbs.split(",")))
+        if low == high:
+            # one denominator: its numerators add up to a whole number at the largest encoding
+            dn, ds, db = math.part(low)
+            s = s if size == 1 else max(s, 0)
+            num = units * dn * 10 ** max(s - ds, 0) << max(b - db, 0)
+            den = 10 ** (POINT_DIGITS + max(ds - s, 0)) << max(db - b, 0)
+            if size * abs(num) < den * abs(units or 1):  # rounding of all rows is below one half
+                n = (2 * num + den) // (2 * den)
+                f = math.fit(n, s, b) + (dn, ds, db)
+                return f if size == 1 else math.simplify(f)
+        return math.from_decimal(Decimal(units).scaleb(-POINT_DIGITS, math.wide))
+
+    @F.arrow_udf("string")
+    def gather(limbs: pa.Array, size: pa.Array, s: pa.Array, b: pa.Array, low: pa.Array, high: pa.Array) -> pa.Array:
+        out = []
+        for row in zip(*(a.to_pylist() for a in (limbs, size, s, b, low, high))):
+            if not row[1]:
+                out.append("")
+                continue
+            f = total(*row)
+            out.append(math.text(f if kind == "sum" else math.divide(f, (row[1], 0, 0, 1, 0, 0))))
+        return pa.array(out, type=pa.string())
+
+    return gather
+
+
+def _summed(kind: str, x, conf: NumericConf) -> Column:
+    parts = _bound_spread(conf)(as_column(x))
+    sums = [F.coalesce(F.sum(parts[n].cast("decimal(18,0)")), F.lit(0)).cast("string") for n in _SPREAD_FIELDS]
+    size = F.count(parts["den"])
+    return _gather(kind, conf)(
+        F.concat_ws(",", *sums), size, F.max(parts["s"]), F.max(parts["b"]), F.min(parts["den"]), F.max(parts["den"])
+    )
+
+
+_SPREADS: dict = {}
+
+
+def _bound_spread(conf: NumericConf):
+    if conf not in _SPREADS:
+        _SPREADS[conf] = _spread(conf)
+    return _SPREADS[conf]
+
+
 def ubi_sum(x, conf: NumericConf = DEFAULT) -> Column:
-    """Exact sum of a group in one task; see ``ubi_aggregate`` for large groups."""
-    return _grouped("sum", conf)(as_column(x))
+    """Exact sum with native partial aggregation.
+
+    Exact for whole numbers and for one common denominator; sums over several
+    denominators carry 216 decimal places. Values of 10**216 and more fail and need
+    ``ubi_aggregate``, which has no such range.
+    """
+    return _summed("sum", x, conf)
 
 
 def ubi_avg(x, conf: NumericConf = DEFAULT) -> Column:
-    """Exact average of a group in one task; see ``ubi_aggregate`` for large groups."""
-    return _grouped("avg", conf)(as_column(x))
+    """Exact average, see ``ubi_sum``."""
+    return _summed("avg", x, conf)
 
 
 def ubi_min(x, conf: NumericConf = DEFAULT) -> Column:
