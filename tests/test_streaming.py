@@ -174,3 +174,35 @@ def test_log_tail(spark, tmp_path):
     ]
     table = log_table(spark, str(tmp_path / "out"))
     assert table.count() == 2 and spark.sql("SELECT log FROM log WHERE log LIKE '%hello%' LIMIT 3").count() == 1
+
+
+def priced_market(spark, sf_dir):
+    from tidepool.plans.rated_swaps import price_swaps
+    from tidepool.registry.tables import MARKET, raw_swaps
+
+    return price_swaps(raw_swaps(spark, sf_dir), MARKET), MARKET
+
+
+def test_micro_batches_equal_batch(spark, sf_dir, tmp_path):
+    """Three runs of one stream, each with a part of the swaps, equal the batch plan."""
+    from tidepool.plans.rated_swaps import rate_swaps
+    from tidepool.streaming import microbatch
+
+    priced, market = priced_market(spark, sf_dir)
+    priced = priced.checkpoint()
+    rows = priced.count()
+    target, state, cp, source = (str(tmp_path / n) for n in ("out", "state", "cp", "in"))
+    for low, high in ((0, 300), (300, 340), (340, rows)):
+        part = priced.where((F.col("blockNumber") >= low) & (F.col("blockNumber") < high))
+        part.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(priced.schema).parquet(source)
+        sink.drain(microbatch.rated_batches(stream, target, state, cp, market, slices=3), 300)
+    expected = rate_swaps(priced, market)
+    columns = ["blockNumber", "lastPrice0", "priceDelta1", "tickDelta", "totalFees", "totalFeesUsd", "base0.price AS b0", "usdBase.price AS u"]
+    got = spark.read.parquet(target)
+    assert got.count() == rows
+    assert frame_difference(got.selectExpr(*columns), expected.selectExpr(*columns)).count() == 0
+
+    priced.where("blockNumber = 5").write.mode("append").parquet(source)
+    with pytest.raises(Exception, match="at or before"):
+        sink.drain(microbatch.rated_batches(spark.readStream.schema(priced.schema).parquet(source), target, state, cp, market), 300)

@@ -175,7 +175,8 @@ def _move(conf: NumericConf):
             return None
         x, y = math.parse(now), math.parse(before)
         delta = math.subtract(x, y)
-        return {"delta": math.text(delta), "pct": math.to_float(math.divide(delta, y)) * 100}
+        pct = math.to_float(math.divide(delta, y)) * 100 if y[0] else None  # no share of nothing
+        return {"delta": math.text(delta), "pct": pct}
 
     @F.arrow_udf(MOVE_TYPE)
     def move(now: pa.Array, before: pa.Array) -> pa.Array:

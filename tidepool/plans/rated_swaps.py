@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidepool.functions.numeric import NumericConf
 from tidepool.functions.scalars import DEFAULT
 from tidepool.operators import pricing, valuation
+from tidepool.operators.balance import balanced
 from tidepool.operators.joins import dimension_join
 from tidepool.operators.market import Market
 from tidepool.operators.projections import event_date, log_id
@@ -63,7 +64,7 @@ def value_swaps(rated: DataFrame, market: Market = MARKET, epoch: int | None = N
     """The steps after the rates, none of which depend on other rows."""
     if epoch is not None:
         rated = rated.where(F.col("epoch") == epoch)
-    valued = valuation.total_fees(valuation.base_amounts(rated, market, conf), conf)
+    valued = valuation.total_fees(valuation.base_amounts(balanced(rated), market, conf), conf)
     return valuation.usd_amounts(valued, market, conf).withColumn("date", event_date("timestamp"))
 
 

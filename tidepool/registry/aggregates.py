@@ -14,20 +14,20 @@ FLAGS = ["l_returnflag", "l_linestatus"]
 
 def revenue(spark, sf_dir):
     """Exact revenue per return flag and line status."""
-    return U.ubi_aggregate(lines(spark, sf_dir), FLAGS, {"revenue": ("sum", U.ubim("price", "quantity"))})
+    return U.ubi_aggregate(lines(spark, sf_dir, spread=True), FLAGS, {"revenue": ("sum", U.ubim("price", "quantity"))})
 
 
 def limb_sum(spark, sf_dir):
-    return U.ubi_sum_limbs(lines(spark, sf_dir), FLAGS, "price", "total")
+    return U.ubi_sum_limbs(lines(spark, sf_dir, spread=True), FLAGS, "price", "total")
 
 
 def grouped_sum(spark, sf_dir):
-    return lines(spark, sf_dir).groupBy("l_suppkey").agg(U.ubi_sum("price").alias("total"), U.ubi_avg("price").alias("mean"))
+    return lines(spark, sf_dir, spread=True).groupBy("l_suppkey").agg(U.ubi_sum("price").alias("total"), U.ubi_avg("price").alias("mean"))
 
 
 def sql_aggregates(spark, sf_dir):
     U.register_functions(spark)
-    lines(spark, sf_dir).createOrReplaceTempView("tidepool_lines")
+    lines(spark, sf_dir, spread=True).createOrReplaceTempView("tidepool_lines")
     return spark.sql(
         """SELECT l_suppkey, ubi_sum(price) AS total, ubi_avg(price) AS mean,
             ubi_min(price) AS low, ubi_max(price) AS high FROM tidepool_lines GROUP BY l_suppkey"""
@@ -37,23 +37,23 @@ def sql_aggregates(spark, sf_dir):
 def wide_sum(spark, sf_dir):
     """Sums far past 38 digits."""
     wide = F.concat(text(F.col("cents") * F.when(F.col("l_returnflag") == "R", -1).otherwise(1)), F.lit("0" * 70))
-    df = lines(spark, sf_dir).withColumn("wide", wide)
+    df = lines(spark, sf_dir, spread=True).withColumn("wide", wide)
     folded = U.ubi_aggregate(df, ["l_linestatus"], {"total": ("sum", "wide")})
     limbs = U.ubi_sum_limbs(df, ["l_linestatus"], "wide", "total_limbs")
     return folded.join(limbs, "l_linestatus")
 
 
 def averages(spark, sf_dir):
-    return U.ubi_aggregate(lines(spark, sf_dir), ["l_suppkey"], {"mean": ("avg", "price")})
+    return U.ubi_aggregate(lines(spark, sf_dir, spread=True), ["l_suppkey"], {"mean": ("avg", "price")})
 
 
 def extremes(spark, sf_dir):
-    return U.ubi_aggregate(lines(spark, sf_dir), ["l_suppkey"], {"low": ("min", "price"), "high": ("max", "price")})
+    return U.ubi_aggregate(lines(spark, sf_dir, spread=True), ["l_suppkey"], {"low": ("min", "price"), "high": ("max", "price")})
 
 
 def native_extremes(spark, sf_dir):
     unit = U.ubid("price", "quantity")
-    return lines(spark, sf_dir).groupBy("l_suppkey").agg(
+    return lines(spark, sf_dir, spread=True).groupBy("l_suppkey").agg(
         rounded(U.ubi_to_double(U.ubi_min(unit)), 6).alias("low"), rounded(U.ubi_to_double(U.ubi_max(unit)), 6).alias("high")
     )
 
@@ -61,7 +61,7 @@ def native_extremes(spark, sf_dir):
 def mixed_denominators(spark, sf_dir):
     """Sum of unit prices: one encoding per quantity, folded exactly."""
     unit = U.ubid("price", "quantity")
-    df = U.ubi_aggregate(lines(spark, sf_dir), FLAGS, {"total": ("sum", unit)})
+    df = U.ubi_aggregate(lines(spark, sf_dir, spread=True), FLAGS, {"total": ("sum", unit)})
     return df.select(*FLAGS, rounded(U.ubi_to_double("total"), 4).alias("total"))
 
 

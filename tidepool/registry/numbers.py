@@ -14,7 +14,7 @@ KEYS_SQL = ", ".join(KEYS)
 
 def _per_line(column):
     def query(spark, sf_dir):
-        return lines(spark, sf_dir).select(*KEYS, column().alias("v"))
+        return lines(spark, sf_dir, spread=True).select(*KEYS, column().alias("v"))
 
     return query
 
@@ -45,7 +45,7 @@ def valid(spark, sf_dir):
 
 def sql_functions(spark, sf_dir):
     U.register_functions(spark)
-    lines(spark, sf_dir).createOrReplaceTempView("tidepool_lines")
+    lines(spark, sf_dir, spread=True).createOrReplaceTempView("tidepool_lines")
     return spark.sql(
         f"""SELECT {KEYS_SQL},
             ubim(price, quantity) AS m, ubid(price, quantity) AS d, ubia(price, quantity) AS a,
@@ -59,11 +59,11 @@ def try_resolve(spark, sf_dir):
     risky = F.concat("price", F.lit("/"), F.when(F.col("l_returnflag") == "R", "0").otherwise("4"))
     odd = F.when(F.col("l_returnflag") == "N", F.lit("n/a")).otherwise(risky)
     value = (U.try_ubi_resolve(odd).cast("decimal(30,8)") * 10_000).cast("bigint")
-    return lines(spark, sf_dir).select(*KEYS, value.alias("v"))
+    return lines(spark, sf_dir, spread=True).select(*KEYS, value.alias("v"))
 
 
 def profile(spark, sf_dir):
-    sized = operand_sizes(lines(spark, sf_dir).withColumn("x", U.ubid("price", "quantity")), "x")
+    sized = operand_sizes(lines(spark, sf_dir, spread=True).withColumn("x", U.ubid("price", "quantity")), "x")
     names = [c for c in sized.columns if c.startswith("x_")]
     return sized.groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
 
@@ -71,7 +71,7 @@ def profile(spark, sf_dir):
 def common_divisor(spark, sf_dir):
     """Digits past the threshold are divided by the common divisor and lose bits past 192."""
     wide = F.concat(text(F.col("cents") * 6), F.lit("0" * 100 + "/4" + "0" * 100))
-    return lines(spark, sf_dir).select(*KEYS, U.ubi_canonical(wide).alias("v"))
+    return lines(spark, sf_dir, spread=True).select(*KEYS, U.ubi_canonical(wide).alias("v"))
 
 
 QUERIES = {

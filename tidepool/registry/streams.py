@@ -40,7 +40,7 @@ def _ticks(spark, sf_dir):
         "event_id",
         "event_type",
         "user_id",
-        cents("value").alias("cents"),
+        (cents("value") + 1).alias("cents"),
         k.alias("k"),
         F.col("event_id").cast(stateful.AT_TYPE).alias("logId"),
         stateful.event_time("event_id").alias(stateful.EVENT_TIME),

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidepool.operators.balance import balanced
 from tidepool.operators.market import Market
 from tidepool.operators.slicing import epoch_seconds
 
@@ -62,10 +63,14 @@ def text(column: Column) -> Column:
     return column.cast("string")
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem with price and quantity as integers and as exact text."""
+def lines(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """lineitem with price and quantity as integers and as exact text.
+
+    ``spread`` is for queries with much work per row.
+    """
+    lineitem = read(spark, sf_dir, "lineitem")
     return (
-        read(spark, sf_dir, "lineitem")
+        (balanced(lineitem) if spread else lineitem)
         .withColumns({"cents": cents("l_extendedprice"), "qty": F.col("l_quantity").cast("bigint")})
         .withColumns({"price": F.concat(text(F.col("cents")), F.lit("e2")), "quantity": text(F.col("qty"))})
     )
@@ -77,14 +82,14 @@ LINES_SQL = """lines AS (
 
 
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events with integers taken from value and props."""
+    """events with integers taken from value and props; a cent is added so that no price is zero."""
     return read(spark, sf_dir, "events").withColumns(
-        {"cents": cents("value"), "k": F.get_json_object("props", "$.k").cast("bigint")}
+        {"cents": cents("value") + 1, "k": F.get_json_object("props", "$.k").cast("bigint")}
     )
 
 
 TICKS_SQL = r"""ticks AS (
-    SELECT *, CAST(round(value * 100) AS BIGINT) AS cents,
+    SELECT *, CAST(round(value * 100) AS BIGINT) + 1 AS cents,
         CAST(regexp_extract(props, '(\d+)', 1) AS BIGINT) AS k
     FROM events
 )"""
@@ -106,7 +111,7 @@ def token_struct(address: Column) -> Column:
 
 def raw_swaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as swaps before any maths: one block per event, one pool per event type."""
-    e = ticks(spark, sf_dir)
+    e = balanced(ticks(spark, sf_dir))
     up = F.col("k") < 50
     amount = F.col("cents") * 1000
     return e.select(

@@ -44,38 +44,37 @@ class CarryLast(StatefulProcessor):
         self.held = handle.getValueState("held", schema)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(self.order, kind="stable", ignore_index=True)
-        text, at = self.held.get() if self.held.exists() else (None, None)
-        if at is not None:
-            behind = batch[self.order] <= at
-            if behind.any():
-                if self.late == "fail":
-                    raise LateRow(f"{batch[self.order].min()} found after {at} under {key}")
-                batch = batch[~behind].reset_index(drop=True)
-        if batch.empty:
+        batch = pd.concat(list(rows), ignore_index=True)
+        times = batch[self.order].tolist()
+        offers = batch[self.offer].tolist()
+        known = self.held.exists()
+        text, at = self.held.get() if known else (None, None)
+        if known and min(times) <= at and self.late == "fail":
+            raise LateRow(f"{min(times)} found after {at} under {key}")
+
+        chosen, found, newest = [], [], None
+        before = at
+        for i in sorted(range(len(times)), key=times.__getitem__):
+            now = times[i]
+            if before is not None and now <= before:
+                continue  # late, to be dropped
+            chosen.append(i)
+            found.append(text if at is not None and now - at <= self.expiry else None)
+            if isinstance(offers[i], str):
+                text, at = offers[i], now
+            newest = now
+        if not chosen:
             return
 
-        offered = batch[self.offer].notna()
-        texts = batch[self.offer].where(offered)
-        times = batch[self.order].where(offered)
-        before_text = pd.concat([pd.Series([text], dtype=object), texts.iloc[:-1]], ignore_index=True).ffill()
-        before_at = pd.concat([pd.Series([at], dtype=object), times.iloc[:-1]], ignore_index=True).ffill()
-        usable = [
-            t if t is not None and not pd.isna(t) and now - a <= self.expiry else None
-            for t, a, now in zip(before_text, before_at, batch[self.order])
-        ]
-        batch[self.found] = pd.Series(usable, dtype=object)
-
-        if offered.any():
-            last = offered[offered].index[-1]
-            text, at = texts[last], times[last]
         if at is not None:
             self.held.update((text, at))
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-            newest = int(batch[self.order].iloc[-1])
-            self.handle.registerTimer((newest + 1 + self.expiry) * 1000)
-        yield batch[self.columns]
+            if known:
+                for timer in list(self.handle.listTimers()):
+                    self.handle.deleteTimer(timer)
+            self.handle.registerTimer((int(newest) + 1 + self.expiry) * 1000)
+        out = batch.iloc[chosen].copy()
+        out[self.found] = pd.Series(found, dtype=object, index=out.index)
+        yield out[self.columns]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.held.clear()
