@@ -5,6 +5,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidepool.functions.numeric import Arithmetic, NumericConf
 from tidepool.functions.scalars import DEFAULT, ubi_sign, ubi_to_double, ubia, ubid
@@ -92,10 +93,28 @@ def ubi_scale(amount: Column, rate: Column, multiply: Column, conf: NumericConf
 
 def convert(amount: Column, base: str, conf: NumericConf = DEFAULT) -> Column:
     """Amount in the base token: by the quote, or by the own price in an unquoted base pool."""
+    rate, multiply = _base_rate(base)
+    return ubi_scale(amount, rate, multiply, conf)
+
+
+def _base_rate(base: str) -> tuple[Column, Column]:
+    """Price that turns an amount into the base token, and whether it multiplies."""
     own = F.col(f"{base}.price").isNull() & F.coalesce(F.col("isBasePool"), F.lit(False))
     rate = F.when(own, F.col("price1")).otherwise(F.col(f"{base}.price"))
-    multiply = F.coalesce(F.when(own, F.col("is1")).otherwise(F.col(f"{base}.is1")), F.lit(False))
-    return ubi_scale(amount, rate, multiply, conf)
+    return rate, F.coalesce(F.when(own, F.col("is1")).otherwise(F.col(f"{base}.is1")), F.lit(False))
+
+
+def _usd_rate(market: Market) -> tuple[Column, Column]:
+    """Price between base token and USD, and whether it divides a base amount."""
+    own = F.coalesce(F.col("isBasePool") & _trades(market.usd_token), F.lit(False))
+    rate = F.when(own, F.col("price1")).otherwise(F.col("usdBase.price"))
+    return rate, F.coalesce(F.when(own, F.col("is1")).otherwise(F.col("usdBase.is1")), F.lit(False))
+
+
+def _first_leads(own0: Column, own1: Column) -> Column:
+    """Whether the volume is taken from token0: it is the base token or has the newer quote."""
+    at0, at1 = F.col("base0.logId"), F.col("base1.logId")
+    return F.coalesce(F.when(own0, True).when(own1, False).otherwise(at1.isNull() | (at0 >= at1)), F.lit(False))
 
 
 def base_amounts(df: DataFrame, market: Market = MARKET, conf: NumericConf = DEFAULT) -> DataFrame:
@@ -112,9 +131,7 @@ def base_amounts(df: DataFrame, market: Market = MARKET, conf: NumericConf = DEF
             converted = convert(F.when(~is_base[i], amount), f"base{i}", conf)
             parts[f"__{kind}{i}"] = F.when(is_base[i], amount).otherwise(converted)
     sides = df.withColumns(parts)
-    at0, at1 = F.col("base0.logId"), F.col("base1.logId")
-    first_leads = F.when(is_base["0"], True).when(is_base["1"], False).otherwise(at1.isNull() | (at0 >= at1))
-    first_leads = F.coalesce(first_leads, F.lit(False))
+    first_leads = _first_leads(is_base["0"], is_base["1"])
     v0, v1 = F.col("__volume0"), F.col("__volume1")
     return (
         sides.withColumn("__fee", ubia("__fee0", "__fee1", conf))
@@ -148,9 +165,7 @@ def usd_amounts(df: DataFrame, market: Market = MARKET, conf: NumericConf = DEFA
     USD is the paired token of the base, so quotes apply the other way round; a
     base/USD pool uses its own price.
     """
-    own = F.coalesce(F.col("isBasePool") & _trades(market.usd_token), F.lit(False))
-    rate = F.when(own, F.col("price1")).otherwise(F.col("usdBase.price"))
-    divide = F.coalesce(F.when(own, F.col("is1")).otherwise(F.col("usdBase.is1")), F.lit(False))
+    rate, divide = _usd_rate(market)
     amounts = {k: F.col("baseAmounts")[k] for k in ("volume", "volumeBis", "fee")}
     amounts |= {k: F.col(k) for k in ("gasFees", "tip", "baseFeePerGas")}
     priced = df.withColumns({f"__usd_{k}": ubi_scale(a, rate, ~divide, conf) for k, a in amounts.items()})
@@ -160,3 +175,116 @@ def usd_amounts(df: DataFrame, market: Market = MARKET, conf: NumericConf = DEFA
         .withColumn("totalFeesUsd", ubia("__usd_gasFees", "__usd_fee", conf))
         .drop(*(f"__usd_{k}" for k in amounts))
     )
+
+
+_VALUES = ("volume", "volumeBis", "fee", "totalFees", "usdVolume", "usdVolumeBis", "usdFee", "usdGas", "usdTip", "usdBaseFee", "totalFeesUsd")
+VALUED_TYPE = T.StructType([T.StructField(n, T.StringType()) for n in _VALUES] + [T.StructField("pct", T.DoubleType())])
+
+
+def _value(conf: NumericConf):
+    math = Arithmetic(conf)
+
+    def apply_rate(amount, rate, multiply):
+        if amount is None or rate is None:
+            return None
+        return math.multiply(amount, rate) if multiply else math.divide(amount, rate)
+
+    def plus(x, y):
+        return None if x is None or y is None else math.add(x, y)
+
+    def row(volume0, volume1, fee0, fee1, rate0, rate1, usd, gas, tip, base_fee, up0, up1, usd_up, own0, own1, leads):
+        parse = math.parse
+        r0, r1, r = parse(rate0), parse(rate1), parse(usd)
+        v0, f0 = parse(volume0), parse(fee0)
+        v1, f1 = parse(volume1), parse(fee1)
+        if not own0:
+            v0, f0 = apply_rate(v0, r0, up0), apply_rate(f0, r0, up0)
+        if not own1:
+            v1, f1 = apply_rate(v1, r1, up1), apply_rate(f1, r1, up1)
+        volume, bis = (v0, v1) if leads else (v1, v0)
+        fee, gas = plus(f0, f1), parse(gas)
+        total = plus(gas, fee)
+        pct = None
+        if total is not None and volume is not None and math.sign(volume):
+            pct = math.to_float(math.divide(total, volume)) * 100
+        dollars = [apply_rate(x, r, usd_up) for x in (volume, bis, fee, gas, parse(tip), parse(base_fee))]
+        values = [volume, bis, fee, total, *dollars, plus(dollars[3], dollars[2])]
+        return [None if x is None else math.text(x) for x in values] + [pct]
+
+    @F.arrow_udf(VALUED_TYPE)
+    def value(
+        volume0: pa.Array,
+        volume1: pa.Array,
+        fee0: pa.Array,
+        fee1: pa.Array,
+        rate0: pa.Array,
+        rate1: pa.Array,
+        usd: pa.Array,
+        gas: pa.Array,
+        tip: pa.Array,
+        base_fee: pa.Array,
+        up0: pa.Array,
+        up1: pa.Array,
+        usd_up: pa.Array,
+        own0: pa.Array,
+        own1: pa.Array,
+        leads: pa.Array,
+    ) -> pa.Array:
+        inputs = (volume0, volume1, fee0, fee1, rate0, rate1, usd, gas, tip, base_fee, up0, up1, usd_up, own0, own1, leads)
+        rows = [row(*r) for r in zip(*(a.to_pylist() for a in inputs))]
+        types = [pa.float64() if f.name == "pct" else pa.string() for f in VALUED_TYPE.fields]
+        arrays = [pa.array([r[i] for r in rows], type=t) for i, t in enumerate(types)]
+        return pa.StructArray.from_arrays(arrays, names=[f.name for f in VALUED_TYPE.fields])
+
+    return value
+
+
+def value_amounts(df: DataFrame, market: Market = MARKET, conf: NumericConf = DEFAULT) -> DataFrame:
+    """``base_amounts``, ``total_fees`` and ``usd_amounts`` in one Arrow pass.
+
+    Which rate applies to which side is decided by native expressions; the pass reads
+    every text once.
+    """
+    own = [F.coalesce(F.col(f"token{i}.address") == market.base_token, F.lit(False)) for i in "01"]
+    rate0, up0 = _base_rate("base0")
+    rate1, up1 = _base_rate("base1")
+    usd, divide = _usd_rate(market)
+    valued = _value(conf)(
+        *(F.col(c) for c in ("volume0", "volume1", "fee0", "fee1")),
+        rate0,
+        rate1,
+        usd,
+        *(F.col(c) for c in ("gasFees", "tip", "baseFeePerGas")),
+        up0,
+        up1,
+        ~divide,
+        *own,
+        _first_leads(own[0], own[1]),
+    )
+    v = F.col("__valued")
+
+    def amounts(fields: dict[str, str]) -> Column:
+        return F.create_map(*(c for k, f in fields.items() for c in (F.lit(k), v[f])))
+
+    return (
+        df.withColumn("__valued", valued)
+        .withColumns(
+            {
+                "baseAmounts": amounts({"volume": "volume", "volumeBis": "volumeBis", "fee": "fee"}),
+                "totalFees": v["totalFees"],
+                "totalFeePct": v["pct"],
+                "usdAmounts": amounts(
+                    {
+                        "volume": "usdVolume",
+                        "volumeBis": "usdVolumeBis",
+                        "fee": "usdFee",
+                        "gasFees": "usdGas",
+                        "tip": "usdTip",
+                        "baseFeePerGas": "usdBaseFee",
+                    }
+                ),
+                "totalFeesUsd": v["totalFeesUsd"],
+            }
+        )
+        .drop("__valued")
+    )

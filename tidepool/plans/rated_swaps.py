@@ -64,8 +64,7 @@ def value_swaps(rated: DataFrame, market: Market = MARKET, epoch: int | None = N
     """The steps after the rates, none of which depend on other rows."""
     if epoch is not None:
         rated = rated.where(F.col("epoch") == epoch)
-    valued = valuation.total_fees(valuation.base_amounts(balanced(rated), market, conf), conf)
-    return valuation.usd_amounts(valued, market, conf).withColumn("date", event_date("timestamp"))
+    return valuation.value_amounts(balanced(rated), market, conf).withColumn("date", event_date("timestamp"))
 
 
 def rated_swaps(

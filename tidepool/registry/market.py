@@ -84,7 +84,17 @@ def rate_preparation(spark, sf_dir):
 
 
 def amounts(spark, sf_dir):
-    rated = _rated(spark, sf_dir)
+    return _amounts(_rated(spark, sf_dir))
+
+
+def amounts_composed(spark, sf_dir):
+    """The same amounts by the separate steps."""
+    priced = rated_swaps.price_swaps(raw_swaps(spark, sf_dir), MARKET)
+    rated = valuation.usd_exchange_rate(valuation.base_exchange_rate(priced, MARKET), MARKET)
+    return _amounts(valuation.usd_amounts(valuation.total_fees(valuation.base_amounts(rated, MARKET)), MARKET))
+
+
+def _amounts(rated):
     base, usd = F.col("baseAmounts"), F.col("usdAmounts")
     d = ubi_to_double
     # tokens and pools differ by many orders of magnitude: ten significant digits each
@@ -346,6 +356,7 @@ QUERIES = {
     "exchange_rates": (exchange_rates(None), _QUOTES),
     "exchange_rates_sliced": (exchange_rates(7), _QUOTES),
     "rated_amounts": (amounts, _AMOUNTS),
+    "rated_amounts_composed": (amounts_composed, _AMOUNTS),
     "rated_amount_entries": (amount_entries, _ENTRIES),
     "pool_statistics": (statistics(None), _STATS),
     "pool_statistics_sliced": (statistics(6), _STATS),
