@@ -1,8 +1,9 @@
-"""Ordered series per pool, as arrays of bounded length."""
+"""Ordered series per key, as arrays of bounded length."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,8 @@ from pyspark.sql.window import Window
 
 from tidepool.operators.slicing import SLICE, cut_points, with_slices
 
+PART_ROWS = 200_000
+
 
 def series_parts(
     df: DataFrame,
@@ -17,16 +20,28 @@ def series_parts(
     order: str,
     series: dict[str, Column],
     slices: int | None = None,
+    part_rows: int = PART_ROWS,
 ) -> DataFrame:
-    """Sorted arrays of structs per key, split into consecutive parts.
+    """Sorted arrays of structs per key, numbered by ``part``.
 
-    ``series`` maps an output to a struct whose first field is ``order``. A key with
-    more rows than fit one array spans several rows numbered by ``part`` in order;
-    concatenated they are the whole series.
+    ``series`` maps an output to a struct whose first field is ``order``. Keys of up
+    to ``part_rows`` rows have one part. A larger key spans several rows whose arrays,
+    put one after the other, are the whole series; no task holds more than one part.
     """
     by = list(by)
-    sliced = with_slices(df, order, cut_points(df, order, slices))
     arrays = [F.sort_array(F.collect_list(point)).alias(name) for name, point in series.items()]
-    parts = sliced.groupBy(*by, SLICE).agg(*arrays)
-    numbered = F.row_number().over(Window.partitionBy(*by).orderBy(SLICE)) - 1
-    return parts.withColumn("part", numbered).select(*by, "part", *series)
+    cuts = cut_points(df, order, slices, part_rows)
+    if not cuts:
+        return df.groupBy(*by).agg(*arrays).select(*by, F.lit(0).alias("part"), *series)
+
+    sliced = with_slices(df, order, cuts)
+    running = Window.partitionBy(*by).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sliced.groupBy(*by, SLICE).agg(F.count(F.lit(1)).alias("__n"))
+    block = F.floor(F.coalesce(F.sum("__n").over(running), F.lit(0)) / part_rows)
+    numbered = sizes.withColumn("__block", block).withColumn(
+        "part", F.dense_rank().over(Window.partitionBy(*by).orderBy("__block")) - 1
+    )
+    places = numbered.select(*(F.col(k).alias(f"__{k}") for k in by), F.col(SLICE).alias("__in"), "part")
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in by] + [F.col(SLICE) == F.col("__in")]
+    placed = sliced.join(places, reduce(lambda a, b: a & b, same))
+    return placed.groupBy(*by, "part").agg(*arrays).select(*by, "part", *series)

@@ -62,7 +62,9 @@ def small_plan(df: DataFrame) -> bool:
     return size is not None and size <= SMALL_BYTES
 
 
-def cut_points(df: DataFrame, order: str | Column, slices: int | None = None) -> list[float]:
+def cut_points(
+    df: DataFrame, order: str | Column, slices: int | None = None, slice_rows: int | None = None
+) -> list[float]:
     """Borders between slices; none where one slice is enough.
 
     With ``slices`` open, a plan of unknown or large size is measured by one pass
@@ -79,7 +81,7 @@ def cut_points(df: DataFrame, order: str | Column, slices: int | None = None) ->
     ).first()
     cuts = measured.cuts or []
     if slices is None:
-        wanted = math.ceil(measured.rows / SLICE_ROWS)
+        wanted = math.ceil(measured.rows / (slice_rows or SLICE_ROWS))
         if wanted > GRID:
             return cut_points(df, order, min(MAX_SLICES, wanted))
         cuts = [cuts[GRID * i // wanted - 1] for i in range(1, wanted)] if cuts else []

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidepool.operators.projections import null_extended
 
 # Columns of the published tables.
 _TOKEN = "STRUCT<symbol: STRING, decimals: DECIMAL(38,0), address: STRING>"
@@ -47,6 +50,14 @@ DAY_SWAPS = f"""
     priceImpactPctFor1kUsd DOUBLE, part INT"""
 
 
+def as_published(df: DataFrame, columns: str) -> DataFrame:
+    """Shape rows to a published table: its columns and types, plus the date."""
+    if "blockNumberTs" not in df.columns and "blockNumber" in df.columns:
+        df = df.withColumn("blockNumberTs", F.timestamp_seconds("blockNumber"))
+    schema = T.StructType(T.StructType.fromDDL(columns).fields + [T.StructField("date", T.StringType())])
+    return null_extended(df, schema)
+
+
 def create_table(spark: SparkSession, name: str, columns: str, location: str) -> None:
     """External Parquet table partitioned by date text."""
     database = name.rpartition(".")[0]

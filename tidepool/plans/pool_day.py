@@ -13,7 +13,8 @@ from tidepool.functions.numeric import NumericConf
 from tidepool.functions.scalars import DEFAULT, ubi_sign, ubi_to_double, ubid, ubim, ubis
 from tidepool.operators.projections import PAIR, resolve_columns
 from tidepool.operators.quantiles import exact_percentiles
-from tidepool.operators.series import series_parts
+from tidepool.operators.series import PART_ROWS, series_parts
+from tidepool.plans.catalog import DAY_SWAPS, as_published
 
 GWEI = 1e9
 POOL_KEYS = ("address", "pool")
@@ -196,6 +197,7 @@ def pool_series(
     by: Sequence[str] = POOL_KEYS,
     slices: int | None = None,
     conf: NumericConf = DEFAULT,
+    part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """``priceSeries`` and ``costSeries`` of every pool in ordered, bounded parts."""
     base, usd, gas = F.col("baseAmounts"), F.col("usdAmounts"), F.col("gas").cast("string")
@@ -238,26 +240,32 @@ def pool_series(
         (F.col("__baseFee") * GWEI).alias("baseFeeGwei"),
         "totalFeePct",
     )
-    return series_parts(swaps.withColumns(doubles), by, "logId", {"priceSeries": price, "costSeries": cost}, slices)
+    return series_parts(swaps.withColumns(doubles), by, "logId", {"priceSeries": price, "costSeries": cost}, slices, part_rows)
 
 
 def day_swaps(
-    rated: DataFrame, date: str | None = None, slices: int | None = None, conf: NumericConf = DEFAULT
+    rated: DataFrame,
+    date: str | None = None,
+    slices: int | None = None,
+    conf: NumericConf = DEFAULT,
+    part_rows: int = PART_ROWS,
 ) -> DataFrame:
-    """Published daily rows: statistics with their series.
+    """Published daily rows: statistics with their series, one row per pool.
 
-    A pool whose series spans several parts has its statistics on every part's row,
-    so the series stays whole; ``part`` is 0 everywhere else.
+    A pool with more swaps than one array should hold has further rows that only
+    continue its series (``part`` 1, 2, ...), so the series stays whole.
     """
     swaps = rated if date is None else rated.where(F.col("date") == F.lit(date).cast("date"))
     stats = pool_statistics(swaps, slices=slices, conf=conf)
-    return _join_keys(stats, pool_series(swaps, slices=slices, conf=conf), POOL_KEYS)
+    joined = _join_keys(stats, pool_series(swaps, slices=slices, conf=conf, part_rows=part_rows), POOL_KEYS)
+    first = {c: F.when(F.col("part") == 0, F.col(c)) for c in stats.columns if c not in POOL_KEYS}
+    return joined.withColumns(first)
 
 
 def write_day(rows: DataFrame, path: str, date: str) -> None:
     """Replace the partition of one day."""
     (
-        rows.withColumn("date", F.lit(date))
+        as_published(rows.withColumn("date", F.lit(date)), DAY_SWAPS)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("date")

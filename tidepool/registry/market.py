@@ -188,7 +188,7 @@ def statistics(slices):
 
 
 def price_series(spark, sf_dir):
-    series = pool_day.pool_series(_stored(_rated(spark, sf_dir)), slices=5)
+    series = pool_day.pool_series(_stored(_rated(spark, sf_dir)), slices=5, part_rows=500)
     return series.select("address", F.inline("priceSeries")).select(
         "address",
         F.col("logId").cast("bigint").alias("block"),
@@ -199,7 +199,7 @@ def price_series(spark, sf_dir):
 
 
 def cost_series(spark, sf_dir):
-    series = pool_day.pool_series(_stored(_rated(spark, sf_dir)), slices=5)
+    series = pool_day.pool_series(_stored(_rated(spark, sf_dir)), slices=5, part_rows=500)
     return series.select("address", F.inline("costSeries")).select(
         "address",
         F.col("logId").cast("bigint").alias("block"),

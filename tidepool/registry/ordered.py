@@ -142,7 +142,7 @@ def series(slices):
     def query(spark, sf_dir):
         df = ticks(spark, sf_dir).withColumn("price", F.concat(text(F.col("cents")), F.lit("e2/3")))
         point = F.struct("event_id", "price", "k")
-        parts = series_parts(df, ["user_id"], "event_id", {"points": point}, slices)
+        parts = series_parts(df, ["user_id"], "event_id", {"points": point}, slices, 20)
         return resolve_columns(parts, ["points"]).select("user_id", F.inline("points")).select(
             "user_id", "event_id", rounded(F.col("price"), 6).alias("price"), "k"
         )

@@ -19,6 +19,7 @@ from tidepool.functions.numeric import NumericConf
 from tidepool.functions.scalars import DEFAULT
 from tidepool.operators import pricing, valuation
 from tidepool.operators.market import Market
+from tidepool.plans.catalog import RATED_SWAPS, as_published
 from tidepool.plans.rated_swaps import value_swaps
 from tidepool.streaming.sink import upsert_path, with_trigger
 
@@ -92,7 +93,7 @@ def rated_batches(
         if kept is not None and not late_swaps(batch, kept).isEmpty():
             raise AssertionError("swaps found at or before the last known swap of their pool")
         rated = rate_batch(batch, kept, market, slices, conf)
-        upsert_path(value_swaps(rated, market, conf=conf), target)
+        upsert_path(as_published(value_swaps(rated, market, conf=conf), RATED_SWAPS), target)
         known = batch if kept is None else batch.unionByName(kept)
         carried_rows(known, market).write.mode("overwrite").parquet(f"{state}/{batch_id}")
 
