@@ -228,7 +228,7 @@ def test_series_parts_are_whole(spark, slices):
     df = spark.range(100).selectExpr("id % 2 AS k", "id AS logId", "id * 2 AS v").repartition(4)
     rows = series_parts(df, ["k"], "logId", {"s": F.struct("logId", "v")}, slices, 15).orderBy("k", "part").collect()
     assert max(len(r.s) for r in rows) <= (50 if slices == 1 else 30)
-    assert len(rows) == (2 if slices == 1 else 6) or slices is None
+    assert len(rows) == 2 if slices == 1 else len(rows) > 4
     for k in (0, 1):
         whole = [tuple(x) for r in rows if r.k == k for x in r.s]
         assert whole == [(i, i * 2) for i in range(k, 100, 2)]

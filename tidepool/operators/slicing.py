@@ -21,6 +21,7 @@ from pyspark.sql.window import Window
 SLICE = "__slice"
 SMALL_BYTES = 64 << 20  # below this estimate, one ordered group per key is fine
 SLICE_ROWS = 2_000_000
+ROW_BYTES = 16  # least size of a row in a plan estimate
 GRID = 512  # quantiles taken before the row count is known
 MAX_SLICES = 65_536
 UNKNOWN_BYTES = 1 << 60  # sources without statistics report about 2**63
@@ -56,10 +57,10 @@ def position(df: DataFrame, order: str | Column) -> Column:
     return c.cast("double")
 
 
-def small_plan(df: DataFrame) -> bool:
+def small_plan(df: DataFrame, limit: int | None = None) -> bool:
     """Whether the plan is known to stay within one ordered group."""
     size = plan_bytes(df)
-    return size is not None and size <= SMALL_BYTES
+    return size is not None and size <= (SMALL_BYTES if limit is None else limit)
 
 
 def cut_points(
@@ -70,7 +71,7 @@ def cut_points(
     With ``slices`` open, a plan of unknown or large size is measured by one pass
     over the order column giving its row count and quantiles together.
     """
-    if slices is None and small_plan(df):
+    if slices is None and small_plan(df, slice_rows and slice_rows * ROW_BYTES):
         return []
     grid = slices or GRID
     shares = [i / grid for i in range(1, grid)]
