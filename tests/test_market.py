@@ -132,7 +132,7 @@ def test_exchange_rates(spark, slices):
 
 
 def test_rolling_quotes_have_no_expiry(spark):
-    rated = valuation.rolling_base_quotes(steps(spark))
+    rated = valuation.rolling_base_quotes(steps(spark), slices=2)
     last = rated.where("logId = 10007").selectExpr("base0.price AS b0", "usdBase.price AS u").first()
     assert last.u == "0.5" and last.b0 == "2"  # the row itself is the latest of its token
 

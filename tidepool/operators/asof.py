@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tidepool.operators.slicing import carry_last
 
@@ -54,11 +53,16 @@ def previous_row(
     return found.withColumn(alias, value).drop("__held")
 
 
-def rolling_latest(df: DataFrame, by: Sequence[str], order: str, ranked: Column, value: Column, alias: str) -> DataFrame:
-    """``max_by(value, ranked)`` over all rows of the key up to and including each row.
-
-    The inclusive window form of the quote search; ``asof_quote`` is the form for
-    large data. Rows where ``ranked`` is NULL do not count.
-    """
-    window = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn(alias, F.max_by(value, ranked).over(window))
+def rolling_latest(
+    df: DataFrame,
+    by: Sequence[str],
+    order: str,
+    counts: Column,
+    value: Column,
+    alias: str,
+    slices: int | None = None,
+) -> DataFrame:
+    """``value`` of the latest row that counts, up to and including each row, without expiry."""
+    held = F.when(F.coalesce(counts, F.lit(False)), F.struct(value.alias("value")))
+    found = carry_last(df.withColumn("__own", held), by, [order], F.col("__own"), "__held", slices)
+    return found.withColumn(alias, F.coalesce("__own", "__held")["value"]).drop("__own", "__held")

@@ -58,13 +58,13 @@ def usd_exchange_rate(df: DataFrame, market: Market = MARKET, slices: int | None
     return asof_quote(df, [], "logId", is_quote, quote_struct(), "usdBase", market.block_expiry, slices)
 
 
-def rolling_base_quotes(df: DataFrame, market: Market = MARKET) -> DataFrame:
-    """Inclusive window form of the quote search, without expiry."""
+def rolling_base_quotes(df: DataFrame, market: Market = MARKET, slices: int | None = None) -> DataFrame:
+    """Inclusive form of the quote search: any row of a token counts, and none expires."""
     keyed = df.withColumns({f"__paired{i}": F.col(f"pairedToken{i}.address") for i in "01"})
     for i in "01":
-        keyed = rolling_latest(keyed, [f"__paired{i}"], "logId", F.col("logId"), quote_struct(), f"base{i}")
-    usd_at = F.when(_trades(market.usd_token), F.col("logId"))
-    return rolling_latest(keyed, [], "logId", usd_at, quote_struct(), "usdBase").drop("__paired0", "__paired1")
+        keyed = rolling_latest(keyed, [f"__paired{i}"], "logId", F.lit(True), quote_struct(), f"base{i}", slices)
+    usd = _trades(market.usd_token)
+    return rolling_latest(keyed, [], "logId", usd, quote_struct(), "usdBase", slices).drop("__paired0", "__paired1")
 
 
 def _scale(conf: NumericConf):

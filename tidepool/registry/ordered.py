@@ -65,10 +65,13 @@ def deltas(slices):
     return query
 
 
-def rolling(spark, sf_dir):
-    df = ticks(spark, sf_dir).select("event_id", "user_id", "event_type", "cents")
-    ranked = F.when(F.col("event_type") == "purchase", F.col("event_id"))
-    return rolling_latest(df, ["user_id"], "event_id", ranked, F.col("cents"), "rate")
+def rolling(slices):
+    def query(spark, sf_dir):
+        df = ticks(spark, sf_dir).select("event_id", "user_id", "event_type", "cents")
+        counts = F.col("event_type") == "purchase"
+        return rolling_latest(df, ["user_id"], "event_id", counts, F.col("cents"), "rate", slices)
+
+    return query
 
 
 def two_roles(spark, sf_dir):
@@ -198,6 +201,9 @@ _DELTAS = f"""WITH {TICKS_SQL}, prev AS (
     CASE WHEN c0 IS NOT NULL THEN concat(k - k0, 'e1b0/1e0b0') END AS priceDelta1,
     round(CAST(cents - c0 AS DOUBLE) / c0 * 100, 6) + 0.0 AS pct0,
     round(CAST(k - k0 AS DOUBLE) / (k0 + 1) * 100, 6) + 0.0 AS pct1, k - k0 AS tickDelta FROM near"""
+_ROLLING = f"""WITH {TICKS_SQL} SELECT event_id, user_id, event_type, cents,
+    last_value(CASE WHEN event_type = 'purchase' THEN cents END IGNORE NULLS) OVER (
+        PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS rate FROM ticks"""
 _DIMENSION = f"""WITH {LINES_SQL} SELECT p_brand, count(*) AS n, CAST(sum(cents) AS BIGINT) AS total
     FROM lines LEFT JOIN part ON p_partkey = l_partkey GROUP BY ALL"""
 _SERIES = f"""WITH {TICKS_SQL} SELECT user_id, event_id, round(cents / 300.0::DOUBLE, 6) + 0.0 AS price, k FROM ticks"""
@@ -209,13 +215,8 @@ QUERIES = {
     "asof_global_sliced": (asof_global(SLICES), _ASOF_GLOBAL),
     "swap_delta": (deltas(None), _DELTAS),
     "swap_delta_sliced": (deltas(SLICES), _DELTAS),
-    "rolling_latest": (
-        rolling,
-        f"""WITH {TICKS_SQL} SELECT event_id, user_id, event_type, cents,
-            last_value(CASE WHEN event_type = 'purchase' THEN cents END IGNORE NULLS) OVER (
-                PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS rate
-        FROM ticks""",
-    ),
+    "rolling_latest": (rolling(None), _ROLLING),
+    "rolling_latest_sliced": (rolling(SLICES), _ROLLING),
     "two_role_join": (
         two_roles,
         """SELECT b.n_name AS buyer, s.n_name AS seller, count(*) AS n
