@@ -28,7 +28,7 @@ def asof_quote(
     """
     flag = F.coalesce(is_quote, F.lit(False))
     held = F.when(flag, F.struct(quote.alias("quote"), F.col(order).alias("at")))
-    found = carry_last(df, by, [order], held, "__held", slices)
+    found = carry_last(df, by, [order], held, "__held", slices, sparse=True)
     usable = ~flag
     if expiry is not None:
         usable &= F.col(order) - F.col("__held.at") <= expiry
@@ -64,5 +64,5 @@ def rolling_latest(
 ) -> DataFrame:
     """``value`` of the latest row that counts, up to and including each row, without expiry."""
     held = F.when(F.coalesce(counts, F.lit(False)), F.struct(value.alias("value")))
-    found = carry_last(df.withColumn("__own", held), by, [order], F.col("__own"), "__held", slices)
+    found = carry_last(df.withColumn("__own", held), by, [order], F.col("__own"), "__held", slices, sparse=True)
     return found.withColumn(alias, F.coalesce("__own", "__held")["value"]).drop("__own", "__held")

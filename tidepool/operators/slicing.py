@@ -106,13 +106,16 @@ def carry_last(
     value: Column,
     alias: str,
     slices: int | None = None,
+    sparse: bool = False,
 ) -> DataFrame:
     """Add the last non-NULL ``value`` strictly before each row, per key and order.
 
     ``order`` must be unique within a key. With one slice this is a plain window.
     Otherwise the last value of every (key, slice) is found by a partial aggregate,
     carried forward over the slices of a key, and fed into its next slice as one
-    extra leading row, so rows are shuffled once and no join is needed.
+    extra leading row, so rows are shuffled once and no join is needed. ``sparse`` says
+    that few rows have a value: only those are then sorted for the partial aggregate,
+    and the (key, slice) pairs come from a hash aggregate.
     """
     by, order = list(by), list(order)
     tagged = df.withColumn("__value", value)
@@ -123,13 +126,19 @@ def carry_last(
 
     sliced = with_slices(tagged, order[0], cuts)
     key = F.struct(*order) if len(order) > 1 else F.col(order[0])
-    last_seen = sliced.groupBy(*by, SLICE).agg(
-        F.max_by("__value", F.when(F.col("__value").isNotNull(), key)).alias("__value")
-    )
-    over_slices = Window.partitionBy(*by).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    last = F.max_by("__value", F.when(F.col("__value").isNotNull(), key)).alias("__value")
+    here = F.lit(True).alias("__here")
+    if sparse:
+        values = sliced.where(F.col("__value").isNotNull()).groupBy(*by, SLICE).agg(last)
+        pairs = sliced.groupBy(*by, SLICE).agg(here)
+        known = pairs.unionByName(values, allowMissingColumns=True)
+    else:
+        known = sliced.groupBy(*by, SLICE).agg(last, here)
+    earlier = Window.partitionBy(*by).orderBy(SLICE).rangeBetween(Window.unboundedPreceding, -1)
     carried = (
-        last_seen.withColumn("__value", F.last("__value", ignorenulls=True).over(over_slices))
-        .where(F.col("__value").isNotNull())
+        known.withColumn("__value", F.last("__value", ignorenulls=True).over(earlier))
+        .where(F.col("__here") & F.col("__value").isNotNull())
+        .drop("__here")
         .withColumn("__row", F.lit(0))
     )
     within = Window.partitionBy(*by, SLICE).orderBy("__row", *order).rowsBetween(Window.unboundedPreceding, -1)
