@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import decontamination, storage, token_files, wordpieces
+from tidepool.llm import decontamination, language, neighbours, storage, token_files, wordpieces
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -22,6 +22,23 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated_pairs(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def _remainder(doc_id: str, of: int):
+    return F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(of))
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text, learned from the documents outside the held-out fold."""
+    docs = _read(spark, sf_dir, "documents")
+    model = language.fit(docs.where(_remainder("doc_id", 4) != 2))
+    return language.identify(docs, model).select("doc_id", F.coalesce(_remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth id."""
+    vectors = _read(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
+
+
 def _crc32(batches):
     for batch in batches:
         ids = batch.column("ids")
@@ -66,7 +83,23 @@ WHERE b.side = 'b'
 GROUP BY d.id, b.id HAVING 100 * count(*) >= 80 * any_value(n)
 """
 
+OP10_SQL = """
+WITH v AS (
+    SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM (
+        SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+            sqrt(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: (q.e[i] - c.e[i]) * (q.e[i] - c.e[i])))) AS score
+        FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0))
+WHERE rank <= 10
+"""
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_decontamination": (op1_decontamination, OP1_SQL),
+    "op7_language": (op7_language, None),
     "op8_token_files": (op8_token_files, None),
+    "op10_neighbours": (op10_neighbours, OP10_SQL),
 }
