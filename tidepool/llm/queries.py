@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import decontamination, language, neighbours, storage, token_files, wordpieces
+from tidepool.llm import decontamination, language, neighbours, quality, storage, token_files, wordpieces
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -26,6 +26,28 @@ def _remainder(doc_id: str, of: int):
     return F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(of))
 
 
+ACCEPTED_SCORE = 0.3
+
+
+def quality_model(docs: DataFrame, labels: DataFrame) -> quality.Model:
+    """Learned from the labels outside the held-out fold."""
+    return quality.fit(docs, labels.where(_remainder("doc_id", 5) != 0))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every text."""
+    docs = _read(spark, sf_dir, "documents")
+    scores = quality.scored(docs, quality_model(docs, _read(spark, sf_dir, "labels")))
+    return scores.select(
+        "doc_id",
+        F.coalesce(_remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= ACCEPTED_SCORE).cast("int").alias("predicted"),
+        "n_passages",
+        "top_passage",
+    )
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every text, learned from the documents outside the held-out fold."""
     docs = _read(spark, sf_dir, "documents")
@@ -99,6 +121,7 @@ WHERE rank <= 10
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_decontamination": (op1_decontamination, OP1_SQL),
+    "op6_quality": (op6_quality, None),
     "op7_language": (op7_language, None),
     "op8_token_files": (op8_token_files, None),
     "op10_neighbours": (op10_neighbours, OP10_SQL),
