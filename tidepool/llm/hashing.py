@@ -19,6 +19,7 @@ _GEN = np.random.default_rng(20240607)
 _BYTE = _GEN.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BYTE_LOWER = _BYTE.copy()
 _BYTE_LOWER[65:91] = _BYTE[97:123]
+_BYTE_OTHER = _GEN.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15 | 4 | 1
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _LENGTH = np.uint64(0xD6E8FEB86659FD93)
@@ -105,12 +106,12 @@ def words_of(texts: Texts) -> Words:
     return Words(starts, ends, np.searchsorted(starts, texts.offsets))
 
 
-def word_hashes(texts: Texts, words: Words, lower: bool) -> np.ndarray:
-    """64-bit hash of each word; ``lower`` reads A-Z as a-z."""
+def word_hashes(texts: Texts, words: Words, lower: bool = False, other: bool = False) -> np.ndarray:
+    """64-bit hash of each word; ``lower`` reads A-Z as a-z, ``other`` is a second, independent hash."""
     if not len(words.starts):
         return np.zeros(0, dtype=np.uint64)
     power, inverse = _powers(len(texts.data))
-    values = (_BYTE_LOWER if lower else _BYTE)[texts.data]
+    values = (_BYTE_LOWER if lower else _BYTE_OTHER if other else _BYTE)[texts.data]
     values[SPACE[texts.data]] = 0
     values *= power[: len(values)]
     sums = np.add.reduceat(values, words.starts)

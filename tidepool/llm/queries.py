@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import decontamination, language, neighbours, quality, storage, token_files, wordpieces
+from tidepool.llm import decontamination, language, neighbours, quality, repeats, storage, token_files, wordpieces
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -55,6 +55,12 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, model).select("doc_id", F.coalesce(_remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of windows that start elsewhere, too."""
+    kept = repeats.without_repeats(_read(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten nearest vectors of every hundredth id."""
     vectors = _read(spark, sf_dir, "embeddings")
@@ -124,5 +130,6 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op6_quality": (op6_quality, None),
     "op7_language": (op7_language, None),
     "op8_token_files": (op8_token_files, None),
+    "op9_repeats": (op9_repeats, None),
     "op10_neighbours": (op10_neighbours, OP10_SQL),
 }

@@ -54,7 +54,7 @@ def encoded(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "tex
     schema = f"doc_id {docs.schema[doc_id].dataType.simpleString()}, n_tokens bigint, ids array<int>"
 
     def encode(batches):
-        encoder = wordpieces.WordEncoder(path)
+        encoder = wordpieces.worker_encoder(path)
         for batch in batches:
             for texts in hashing.text_slices(batch.column(1)):
                 ids, bounds = encoder.ids(texts, hashing.words_of(texts))

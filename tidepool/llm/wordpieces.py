@@ -6,16 +6,19 @@ ids of a text are those of its words one after another. Each distinct word of a
 
 from __future__ import annotations
 
+import os
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 
+from tidepool.llm import hashing
 from tidepool.llm.hashing import Texts, Words
 
 DEFAULT_TOKENIZER = "word_bpe_49k.json"
 #: Words that a worker remembers between slices.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 2_000_000
 
 
 def tokenizer_path(name: str = DEFAULT_TOKENIZER) -> str:
@@ -28,6 +31,7 @@ def tokenizer_path(name: str = DEFAULT_TOKENIZER) -> str:
 def tokenizer(path: str):
     from tokenizers import Tokenizer
 
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
     t = Tokenizer.from_file(path)
     t.no_truncation()
     t.no_padding()
@@ -56,33 +60,67 @@ def word_array(texts: Texts, words: Words) -> pa.Array:
     return pa.StringArray.from_buffers(len(lengths), pa.py_buffer(offsets), pa.py_buffer(texts.data[inside]))
 
 
-def gathered(values: np.ndarray, bounds: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def packed(texts: Texts, words: Words, which: np.ndarray) -> tuple[Texts, Words]:
+    """Some words of a slice, one after another with a blank between, as a slice of one row."""
+    sizes = words.ends[which] - words.starts[which]
+    ends = np.cumsum(sizes + 1)
+    starts = ends - sizes - 1
+    at = np.repeat(words.starts[which] - starts, sizes + 1) + np.arange(ends[-1] if len(ends) else 0)
+    data = texts.data[np.minimum(at, max(len(texts.data) - 1, 0))]
+    data[ends - 1] = 32
+    return Texts(0, data, np.array([0, len(data)])), Words(starts, ends - 1, np.array([0, len(which)]))
+
+
+def gathered(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Lists ``which`` of a flat list array one after another, and the length of each."""
-    lengths = bounds[which + 1] - bounds[which]
-    ends = np.cumsum(lengths)
-    at = np.repeat(bounds[which] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
-    return values[at], lengths
+    n = lengths[which]
+    ends = np.cumsum(n)
+    at = np.repeat(starts[which] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
+    return values[at], n
+
+
+def flat_lists(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Values of lists one after another, and their lengths."""
+    n = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
+    return np.fromiter(chain.from_iterable(lists), dtype=np.int32, count=int(n.sum())), n
 
 
 class WordEncoder:
-    """Encodes slices, remembering the words it met up to a bound."""
+    """Encodes slices; a worker keeps the ids of words it met, by two 64-bit hashes, up to a bound."""
 
     def __init__(self, path: str, most: int = CACHE_WORDS):
-        self.path, self.most, self.known = path, most, {}
+        self.path, self.most = path, most
+        self._forget()
+
+    def _forget(self) -> None:
+        self.hashes = self.others = np.zeros(0, dtype=np.uint64)
+        self.starts = self.lengths = np.zeros(0, dtype=np.int64)
+        self.values = np.zeros(0, dtype=np.int32)
 
     def ids(self, texts: Texts, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows one after another, and the bounds of each row."""
-        coded = word_array(texts, words).dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        new = [w for w in distinct if w not in self.known]
-        fresh = dict(zip(new, encode_words(self.path, new), strict=True)) if new else {}
-        lists = [fresh[w] if w in fresh else self.known[w] for w in distinct]
-        if len(self.known) + len(fresh) > self.most:
-            self.known = {}
-        if len(fresh) <= self.most:
-            self.known |= fresh
-        bounds = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
-        flat = np.fromiter((i for x in lists for i in x), dtype=np.int32, count=bounds[-1])
-        out, lengths = gathered(flat, bounds, coded.indices.to_numpy(zero_copy_only=False))
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        return out, ends[words.bounds]
+        distinct, index, inverse = np.unique(hashing.word_hashes(texts, words), return_index=True, return_inverse=True)
+        one_row, own = packed(texts, words, index)
+        others = hashing.word_hashes(one_row, own, other=True)
+        if len(self.hashes) + len(distinct) > self.most:
+            self._forget()
+        at = np.searchsorted(self.hashes, distinct)
+        near = np.minimum(at, max(len(self.hashes) - 1, 0))
+        known = (self.hashes[near] == distinct) & (self.others[near] == others) if len(self.hashes) else np.zeros(len(distinct), dtype=bool)
+        starts, lengths = np.zeros(len(distinct), dtype=np.int64), np.zeros(len(distinct), dtype=np.int64)
+        starts[known], lengths[known] = self.starts[near[known]], self.lengths[near[known]]
+        new = np.flatnonzero(~known)
+        if len(new):
+            fresh, n = flat_lists(encode_words(self.path, word_array(one_row, Words(own.starts[new], own.ends[new], own.bounds)).to_pylist()))
+            starts[new], lengths[new] = len(self.values) + np.cumsum(n) - n, n
+            self.values = np.concatenate([self.values, fresh])
+            self.hashes, self.others = np.insert(self.hashes, at[new], distinct[new]), np.insert(self.others, at[new], others[new])
+            self.starts, self.lengths = np.insert(self.starts, at[new], starts[new]), np.insert(self.lengths, at[new], lengths[new])
+        out, n = gathered(self.values, starts, lengths, inverse)
+        return out, np.concatenate([[0], np.cumsum(n)])[words.bounds]
+
+
+@lru_cache(maxsize=2)
+def worker_encoder(path: str) -> WordEncoder:
+    """The encoder that tasks of one worker share."""
+    return WordEncoder(path)
