@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import decontamination, language, neighbours, quality, repeats, storage, token_files, wordpieces
+from tidepool.llm import bpe, decontamination, language, neighbours, quality, repeats, storage, token_files, wordpieces
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -26,6 +26,19 @@ def _remainder(doc_id: str, of: int):
     return F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(of))
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text and the text they decode to, digested."""
+    path = wordpieces.tokenizer_path()
+    texts = bpe.decoded(bpe.encoded(_read(spark, sf_dir, "documents"), path), path)
+    digest = F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256)
+    return texts.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        digest.alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 ACCEPTED_SCORE = 0.3
 
 
@@ -127,6 +140,7 @@ WHERE rank <= 10
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_decontamination": (op1_decontamination, OP1_SQL),
+    "op4_bpe": (op4_bpe, None),
     "op6_quality": (op6_quality, None),
     "op7_language": (op7_language, None),
     "op8_token_files": (op8_token_files, None),
