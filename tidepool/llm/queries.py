@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import bpe, decontamination, language, neighbours, quality, repeats, storage, token_files, wordpieces
+from tidepool.llm import bpe, decontamination, language, lines, neighbours, quality, repeats, storage, token_files, wordpieces
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -26,6 +26,12 @@ def _remainder(doc_id: str, of: int):
     return F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(of))
 
 
+def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines of recurring templates."""
+    kept = lines.without_recurring_lines(_read(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_dropped_lines", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text and the text they decode to, digested."""
     path = wordpieces.tokenizer_path()
@@ -124,6 +130,37 @@ WHERE b.side = 'b'
 GROUP BY d.id, b.id HAVING 100 * count(*) >= 80 * any_value(n)
 """
 
+OP2_SQL = r"""
+WITH lines AS (
+    SELECT doc_id, generate_subscripts(l, 1) AS line, unnest(l) AS body FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)
+),
+parsed AS (
+    SELECT *, concat_ws(' ', len(t), array_to_string(t[1:3], ' ')) AS leaf FROM (
+        SELECT doc_id, line, list_transform(regexp_extract_all(body, '[^\x20\x09-\x0D]+'),
+            lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS t
+        FROM lines)
+    WHERE len(t) > 0
+),
+places AS (SELECT doc_id, line, leaf, generate_subscripts(t, 1) AS place, unnest(t) AS token FROM parsed),
+constants AS (
+    SELECT leaf, place, token FROM places WHERE place > 3 AND token <> '<*>' GROUP BY ALL HAVING count(DISTINCT doc_id) >= 5
+),
+general AS (
+    SELECT p.doc_id, p.line, count(*) AS n,
+        count(*) FILTER (WHERE p.place <= 3 AND p.token <> '<*>' OR c.token IS NOT NULL) AS constant,
+        string_agg(p.token, ' ' ORDER BY p.place) AS whole,
+        string_agg(CASE WHEN p.place <= 3 OR c.token IS NOT NULL THEN p.token ELSE '<*>' END, ' ' ORDER BY p.place) AS masked
+    FROM places p LEFT JOIN constants c ON c.leaf = p.leaf AND c.place = p.place AND c.token = p.token
+    GROUP BY p.doc_id, p.line
+),
+templates AS (SELECT doc_id, line, CASE WHEN constant * 100 >= n * 60 THEN masked ELSE whole END AS template FROM general),
+recurring AS (SELECT template, min((doc_id, line)) AS at FROM templates GROUP BY template HAVING count(DISTINCT doc_id) >= 5),
+dropped AS (SELECT t.doc_id, t.line FROM templates t JOIN recurring r ON r.template = t.template WHERE (t.doc_id, t.line) <> r.at)
+SELECT l.doc_id, count(d.line) AS n_dropped_lines,
+    sha256(coalesce(string_agg(CASE WHEN d.line IS NULL THEN l.body END, chr(10) ORDER BY l.line), '')) AS kept_sha256
+FROM lines l LEFT JOIN dropped d ON d.doc_id = l.doc_id AND d.line = l.line GROUP BY l.doc_id
+"""
+
 OP10_SQL = """
 WITH v AS (
     SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
@@ -140,6 +177,7 @@ WHERE rank <= 10
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_decontamination": (op1_decontamination, OP1_SQL),
+    "op2_lines": (op2_lines, OP2_SQL),
     "op4_bpe": (op4_bpe, None),
     "op6_quality": (op6_quality, None),
     "op7_language": (op7_language, None),
