@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import bpe, decontamination, language, lines, neighbours, quality, repeats, storage, token_files, wordpieces
+from tidepool.llm import bpe, decontamination, language, lines, neighbours, quality, repeats, similarity, storage, token_files, wordpieces
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -32,6 +32,11 @@ def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_dropped_lines", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def op3_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of four-word shingles are similar to 85 percent."""
+    return similarity.similar_documents(_read(spark, sf_dir, "documents"), k=4, percent=85)
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text and the text they decode to, digested."""
     path = wordpieces.tokenizer_path()
@@ -178,6 +183,7 @@ WHERE rank <= 10
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_decontamination": (op1_decontamination, OP1_SQL),
     "op2_lines": (op2_lines, OP2_SQL),
+    "op3_similarity": (op3_similarity, None),
     "op4_bpe": (op4_bpe, None),
     "op6_quality": (op6_quality, None),
     "op7_language": (op7_language, None),
