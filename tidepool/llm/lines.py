@@ -9,9 +9,9 @@ in ``min_docs`` or more documents recurs, and every line of it after its first o
 id and place, is dropped.
 
 Only leaves that hold ``min_docs`` documents can hold a recurring template, so the first pass sends a
-few numbers per line, and the text of lines is looked at in frequent leaves only. Counts of documents
-per leaf, place and template are grouped by Spark, which combines them in each task before it shuffles;
-no leaf is gathered in one task.
+few numbers per line, and the text of lines is looked at in frequent leaves only. Templates are made
+once per distinct sequence of tokens. Documents per leaf, field and template are counted by Spark from
+distinct pairs, dealt out by both, so that no leaf is gathered in one task.
 
 Cases: blank lines are kept and are no template; a NULL text stays NULL; a document keeps its row even
 if no line is left (text empty); rows that share an id are one document for counts, and each is cut on
@@ -34,6 +34,8 @@ from tidepool.llm.hashing import Texts
 DEPTH = 3
 MIN_DOCS = 5
 CONSTANT_PERCENT = 60
+#: Frequent leaves, 8 bytes each, up to which they are broadcast; more are joined by shuffle.
+BROADCAST_LEAVES = 1 << 20
 WILDCARD = "<*>"
 _DIGIT = np.zeros(256, dtype=np.int64)
 _DIGIT[48:58] = 1
@@ -81,12 +83,30 @@ def _documents(df: DataFrame, *keys: str) -> DataFrame:
     return df.select(*keys, "doc_id").distinct().groupBy(*keys).agg(F.count("*").alias("docs"))
 
 
-def recurring_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: int = DEPTH, min_docs: int = MIN_DOCS, constant_percent: int = CONSTANT_PERCENT) -> DataFrame:
-    """(doc_id, row_hash, line, template, docs, first): the lines of recurring templates; ``first`` marks the one to keep."""
-    of_id = docs.schema[doc_id].dataType.simpleString()
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.hash(doc_id, text).alias("row_hash"), F.col(text).cast("string").alias("text"))
-    lines = rows.mapInArrow(lambda batches: _leaves(batches, depth), f"doc_id {of_id}, row_hash int, line int, leaf bigint")
-    frequent = _documents(lines, "leaf").where(F.col("docs") >= min_docs).select("leaf")
+def _lines_by_broadcast(rows: DataFrame, frequent: DataFrame, depth: int) -> DataFrame:
+    """(doc_id, row_hash, line, body) of lines in frequent leaves, found where they lie."""
+    leaves = np.sort(frequent.toArrow().column("leaf").to_numpy().view(np.uint64))
+    held = rows.sparkSession.sparkContext.broadcast(leaves)
+
+    def pick(batches):
+        for batch in batches:
+            for texts in hashing.text_slices(batch.column(2)):
+                row, number, leaf = line_leaves(texts, depth)
+                keep = np.isin(leaf, held.value)
+                where, bodies, split = row[keep], [], (-1, [])
+                for r, i in zip(where.tolist(), number[keep].tolist(), strict=True):
+                    if split[0] != r:
+                        split = (r, texts.text(r).split("\n"))
+                    bodies.append(split[1][i])
+                at = pa.array(where + texts.first)
+                columns = [batch.column(0).take(at), batch.column(1).take(at), pa.array(number[keep].astype(np.int32)), pa.array(bodies, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row_hash", "line", "body"])
+
+    return rows.mapInArrow(pick, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, row_hash int, line int, body string")
+
+
+def _lines_by_join(rows: DataFrame, lines: DataFrame, frequent: DataFrame) -> DataFrame:
+    """The same by shuffle joins, for any number of frequent leaves."""
     wanted = (
         lines.join(frequent, "leaf", "left_semi")
         .groupBy("doc_id", "row_hash")
@@ -95,24 +115,44 @@ def recurring_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     )
     found = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("row_hash") == F.col("of_row")))
     texts = found.withColumn("lines", F.split("text", "\n")).select("doc_id", "row_hash", "lines", F.explode("wanted").alias("line"))
-    tokens = texts.select("doc_id", "row_hash", "line", tokens_of(F.element_at("lines", F.col("line") + 1)).alias("tokens"))
-    # tokens hold no blanks, so the text names the leaf
-    leaf = F.concat_ws(" ", F.size("tokens").cast("string"), F.slice("tokens", 1, depth))
-    parsed = storage.written(tokens.withColumn("leaf", leaf), "frequent-lines")
-    places = parsed.select("doc_id", "row_hash", "line", "leaf", F.posexplode("tokens").alias("place", "token")).where(F.col("place") >= depth)
-    constants = _documents(places.where(F.col("token") != WILDCARD), "leaf", "place", "token").where(F.col("docs") >= min_docs).drop("docs")
-    kept = (
-        places.join(constants, ["leaf", "place", "token"])
-        .groupBy("doc_id", "row_hash", "line")
-        .agg(F.collect_set("place").alias("kept"))
-        .withColumnsRenamed({"doc_id": "of_doc", "row_hash": "of_row", "line": "of_line"})
+    return texts.select("doc_id", "row_hash", "line", F.element_at("lines", F.col("line") + 1).alias("body"))
+
+
+def recurring_lines(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: int = DEPTH, min_docs: int = MIN_DOCS,
+    constant_percent: int = CONSTANT_PERCENT, broadcast_leaves: int = BROADCAST_LEAVES,
+) -> DataFrame:
+    """(doc_id, row_hash, line, template, docs, first): the lines of recurring templates; ``first`` marks the one to keep."""
+    of_id = docs.schema[doc_id].dataType.simpleString()
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.hash(doc_id, text).alias("row_hash"), F.col(text).cast("string").alias("text"))
+    lines = rows.mapInArrow(lambda batches: _leaves(batches, depth), f"doc_id {of_id}, row_hash int, line int, leaf bigint")
+    frequent = storage.written(_documents(lines, "leaf").where(F.col("docs") >= min_docs).select("leaf"), "frequent-leaves")
+    found = _lines_by_broadcast(rows, frequent, depth) if frequent.count() <= broadcast_leaves else _lines_by_join(rows, lines, frequent)
+    tokens = tokens_of(F.col("body"))
+    parsed = found.select("doc_id", "row_hash", "line", F.concat_ws(" ", tokens).alias("whole")).withColumn("sequence", F.xxhash64("whole"))
+    parsed = storage.written(parsed, "frequent-lines")
+
+    # a template is made per distinct sequence of tokens, whichever lines have it
+    sequences = storage.written(
+        parsed.groupBy("sequence").agg(F.min("whole").alias("whole")).join(_documents(parsed, "sequence"), "sequence").withColumn("tokens", F.split("whole", " ")),
+        "sequences",
+    )
+    leaf = F.concat_ws(" ", F.size("tokens").cast("string"), F.slice("tokens", 1, depth))  # tokens hold no blanks
+    places = (
+        sequences.select("sequence", "docs", leaf.alias("leaf"), F.posexplode("tokens").alias("place", "token"))
+        .where((F.col("place") >= depth) & (F.col("token") != WILDCARD))
+        .select("sequence", "docs", "place", F.xxhash64("leaf", "place", "token").alias("field"))
     )
-    same_line = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("row_hash") == F.col("of_row")) & (F.col("line") == F.col("of_line"))
-    both = parsed.join(kept, same_line, "left").withColumn("kept", F.coalesce("kept", F.array().cast("array<int>")))
+    # a sequence in enough documents settles its fields; only those of rarer ones are counted by document
+    settled = places.where(F.col("docs") >= min_docs).select("field")
+    rare = places.where(F.col("docs") < min_docs).join(parsed.select("sequence", "doc_id").distinct(), "sequence")
+    constants = settled.unionByName(_documents(rare, "field").where(F.col("docs") >= min_docs).select("field")).distinct()
+    kept = places.join(constants, "field").groupBy("sequence").agg(F.collect_set("place").alias("kept"))
+    both = sequences.join(kept, "sequence", "left").withColumn("kept", F.coalesce("kept", F.array().cast("array<int>")))
     general = F.transform("tokens", lambda t, i: F.when((i < depth) | F.array_contains("kept", i), t).otherwise(WILDCARD))
     constant = F.size("kept") + F.size(F.filter(F.slice("tokens", 1, depth), lambda t: t != WILDCARD))
     template = F.when(constant * 100 >= F.size("tokens") * constant_percent, general).otherwise(F.col("tokens"))
-    templates = both.select("doc_id", "row_hash", "line", F.concat_ws(" ", template).alias("template"))
+    templates = parsed.select("doc_id", "row_hash", "line", "sequence").join(both.select("sequence", F.concat_ws(" ", template).alias("template")), "sequence").drop("sequence")
     order = F.struct(F.col("doc_id").isNotNull(), "doc_id", "row_hash", "line")
     counted = (
         templates.groupBy("template", "doc_id")
