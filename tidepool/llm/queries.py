@@ -7,10 +7,10 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import bpe, decontamination, language, lines, neighbours, quality, repeats, similarity, storage, token_files, wordpieces
+from tidepool.llm import bpe, decontamination, language, lines, neighbours, quality, repeats, similarity, storage, token_files, url_lists, wordpieces
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -50,6 +50,43 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _number(text: Column) -> Column:
+    """0 to 65535 from a text, the same in SQL."""
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 4), 16, 10).cast("int")
+
+
+def captures_of(pages: DataFrame) -> DataFrame:
+    """Pages with the second of 2024 at which each counts as fetched."""
+    return pages.select("page_id", "url", (F.lit(1704067200) + F.pmod(F.col("page_id") * 7919, F.lit(31536000))).alias("fetched_at"))
+
+
+def entries_of(pages: DataFrame) -> DataFrame:
+    """Dated list entries on the pages' own hosts and path prefixes."""
+    host = url_lists.host_of(F.col("url"))
+    hosts = pages.select(F.lit("host").alias("kind"), host.alias("value")).where(F.col("value") != "").distinct()
+    domains = hosts.select("kind", F.regexp_replace("value", r"^[^.]*\.", "").alias("value")).distinct()
+    prefixes = pages.select(F.lit("prefix").alias("kind"), F.explode(url_lists.rules_of(F.col("url"))).alias("r")).where(F.col("r.kind") == "prefix").select("kind", "r.value").distinct()
+    rules = hosts.unionByName(domains).unionByName(prefixes).distinct().withColumn("x", _number(F.concat("kind", "value")))
+    start, day = F.lit(1704067200), 86400
+    entry = lambda name, effect, at, action: F.struct(F.lit(name).alias("list"), F.lit(effect).alias("effect"), (start + at * day).alias("at"), F.lit(action).alias("action"))
+    x = F.col("x")
+    entries = F.array(
+        F.when(x % 3 == 0, entry("abuse", "block", x % 200, "add")),
+        F.when(x % 6 == 0, entry("abuse", "block", x % 200 + 60, "remove")),
+        F.when(x % 12 == 0, entry("abuse", "block", x % 200 + 90, "add")),
+        F.when(x % 5 == 0, entry("partners", "allow", x % 300, "add")),
+        F.when(x % 7 == 0, entry("adult", "block", x % 100, "add")),
+        F.when(x % 14 == 0, entry("adult", "block", x % 100, "remove")),
+    )
+    return rules.select("kind", "value", F.explode(F.filter(entries, lambda e: e.isNotNull())).alias("e")).select("e.*", "kind", "value")
+
+
+def op5_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page against the list entries active when it was fetched."""
+    pages = _read(spark, sf_dir, "pages").select("page_id", "url")
+    return url_lists.evaluated(captures_of(pages), entries_of(pages)).withColumn("lists", F.array_join("lists", ","))
+
+
 ACCEPTED_SCORE = 0.3
 
 
@@ -166,6 +203,48 @@ SELECT l.doc_id, count(d.line) AS n_dropped_lines,
 FROM lines l LEFT JOIN dropped d ON d.doc_id = l.doc_id AND d.line = l.line GROUP BY l.doc_id
 """
 
+OP5_SQL = r"""
+WITH p AS (
+    SELECT page_id, url, 1704067200 + (page_id * 7919) % 31536000 AS fetched_at,
+        regexp_replace(regexp_extract(lower(url), '^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^:/?#@]+)', 1), '\.$', '') AS host,
+        list_filter(string_split(regexp_extract(url, '^[^:/?#]*://[^/?#]*(/[^?#]*)', 1), '/'), lambda x: x <> '') AS parts
+    FROM pages
+),
+asked AS (
+    SELECT DISTINCT page_id, 'host' AS kind, array_to_string(string_split(host, '.')[i:], '.') AS value
+    FROM p, unnest(range(1, len(string_split(host, '.')) + 1)) AS t(i) WHERE host <> ''
+    UNION
+    SELECT DISTINCT page_id, 'prefix', host || '/' || array_to_string(parts[1:i], '/')
+    FROM p, unnest(range(1, len(parts) + 1)) AS t(i) WHERE host <> ''
+),
+rules AS (
+    SELECT *, CAST('0x' || substr(md5(kind || value), 1, 4) AS INTEGER) AS x FROM (
+        SELECT DISTINCT 'host' AS kind, host AS value FROM p WHERE host <> ''
+        UNION SELECT DISTINCT 'host', regexp_replace(host, '^[^.]*\.', '') FROM p WHERE host <> ''
+        UNION SELECT DISTINCT kind, value FROM asked WHERE kind = 'prefix')
+),
+entries AS (
+    SELECT 'abuse' AS list, 'block' AS effect, kind, value, x % 200 AS day, 'add' AS action FROM rules WHERE x % 3 = 0
+    UNION ALL SELECT 'abuse', 'block', kind, value, x % 200 + 60, 'remove' FROM rules WHERE x % 6 = 0
+    UNION ALL SELECT 'abuse', 'block', kind, value, x % 200 + 90, 'add' FROM rules WHERE x % 12 = 0
+    UNION ALL SELECT 'partners', 'allow', kind, value, x % 300, 'add' FROM rules WHERE x % 5 = 0
+    UNION ALL SELECT 'adult', 'block', kind, value, x % 100, 'add' FROM rules WHERE x % 7 = 0
+    UNION ALL SELECT 'adult', 'block', kind, value, x % 100, 'remove' FROM rules WHERE x % 14 = 0
+),
+latest AS (
+    -- the last entry of each rule up to the fetch time
+    SELECT a.page_id, e.list, e.effect, e.value, arg_max(e.action, (e.day, e.action)) AS action
+    FROM asked a JOIN p USING (page_id) JOIN entries e ON e.kind = a.kind AND e.value = a.value AND 1704067200 + e.day * 86400 <= p.fetched_at
+    GROUP BY a.page_id, e.list, e.effect, e.kind, e.value
+),
+verdict AS (
+    SELECT page_id, max((length(value), effect = 'allow', value)) AS best, string_agg(DISTINCT list, ',' ORDER BY list) AS lists
+    FROM latest WHERE action = 'add' GROUP BY page_id
+)
+SELECT page_id, url, fetched_at, coalesce(NOT best[2], false) AS blocked, best[3] AS rule, coalesce(lists, '') AS lists
+FROM p LEFT JOIN verdict USING (page_id)
+"""
+
 OP10_SQL = """
 WITH v AS (
     SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
@@ -185,6 +264,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op2_lines": (op2_lines, OP2_SQL),
     "op3_similarity": (op3_similarity, None),
     "op4_bpe": (op4_bpe, None),
+    "op5_url_lists": (op5_url_lists, OP5_SQL),
     "op6_quality": (op6_quality, None),
     "op7_language": (op7_language, None),
     "op8_token_files": (op8_token_files, None),
