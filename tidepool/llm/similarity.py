@@ -13,11 +13,13 @@ all M of them if M is at most ``KEYS``, else the first ``KEYS`` (each is equal i
 probability 0.38 or more, so a pair shares none with probability below 1e-9). Documents with very
 few shingles also go to the trees of empty groups, where full ones may not suffice.
 
-Equal sets are one node from the start. Each tree first asks for its least node only: its box query
-gives the pairs to verify. Where all nodes of a tree are then in one component, no other pair can
-change the result; all other trees are joined with themselves, passing over boxes and pairs within a
-component. Trees with many points are cut into blocks, and pairs of blocks are dealt out. Verification
-streams the texts of a node's partners past its set, at most about ``PARTNERS`` per unit of work.
+Equal sets are one node from the start. Each tree first asks for its least node only. Where all nodes
+of a tree are then in one component, no other pair can change the result; all other trees are joined
+with themselves, passing over boxes and pairs within a component. As long as that finds links, each
+point asks only for its best partner by bound, so that a group of copies grows together in a few rounds
+of few pairs; then all pairs that are left are verified. Trees with many points are cut into blocks,
+and pairs of blocks are dealt out. Verification streams the texts of a node's partners past its set, at
+most about ``PARTNERS`` per unit of work.
 
 Cases: a NULL or blank text has no shingles, is linked with nothing and is a component of its own; with
 fewer than k words the whole text is the one shingle; repeated rows and rows that share an id are
@@ -42,7 +44,7 @@ from tidepool.llm.hashing import Texts, Windows
 
 SHINGLE_WORDS = 5
 PERCENT = 80
-GROUPS = 16
+GROUPS = 256
 KEYS = 48
 #: Points of a tree block, of a leaf, and partners per unit of verification.
 BLOCK, LEAF, PARTNERS = 2048, 16, 64
@@ -104,6 +106,15 @@ def tree_keys(sets: Windows, percent: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(keys)
 
 
+def _point_column(counts: np.ndarray) -> pa.Array:
+    offsets = np.arange(len(counts) + 1, dtype=np.int32) * GROUPS * 4
+    return pa.BinaryArray.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(counts))])
+
+
+def _point_array(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype="<i4").reshape(-1, GROUPS)
+
+
 def _points(batches, k: int, percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for texts in hashing.text_slices(batch.column(1)):
@@ -111,26 +122,28 @@ def _points(batches, k: int, percent: int) -> Iterator[pa.RecordBatch]:
             n, nodes = np.diff(sets.bounds), set_nodes(sets)
             row = np.repeat(np.arange(texts.rows), n)
             group = (sets.hashes >> np.uint64(64 - int(math.log2(GROUPS)))).astype(np.int64)
-            counts = np.bincount(row * GROUPS + group, minlength=texts.rows * GROUPS).astype(np.int32)
+            counts = np.bincount(row * GROUPS + group, minlength=texts.rows * GROUPS).astype("<i4")
             of, keys = tree_keys(sets, percent)
             order = np.argsort(of, kind="stable")
             ends = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=texts.rows))])
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys[order].view(np.int64)))
-            points = pa.ListArray.from_arrays(pa.array(np.arange(texts.rows + 1) * GROUPS, pa.int32()), pa.array(counts))
+            points = _point_column(counts.reshape(-1, GROUPS))
             columns = [batch.column(0).slice(texts.first, texts.rows), pa.array(nodes.view(np.int64), mask=n == 0), pa.array(n), points, lists]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "node", "n", "counts", "keys"])
 
 
-def _enough(shared: Column, a: Column, b: Column, percent: int) -> Column:
-    return shared * (100 + percent) >= (a + b) * percent
-
-
 def _bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) that the summed minima of their counts leave."""
     of_a = points.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("counts").alias("c_a"))
     of_b = points.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("counts").alias("c_b"))
-    most = F.aggregate(F.zip_with("c_a", "c_b", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    return pairs.join(of_a, "a").join(of_b, "b").where(_enough(most, F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
+
+    def check(batches):
+        for batch in batches:
+            n = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            most = np.minimum(_point_array(batch.column(4)), _point_array(batch.column(5))).sum(axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(most * (100 + percent) >= n * percent))
+
+    return pairs.join(of_a, "a").join(of_b, "b").select("a", "b", "n_a", "n_b", "c_a", "c_b").mapInArrow(check, "a bigint, b bigint")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -181,43 +194,54 @@ def packed_order(counts: np.ndarray, sizes: np.ndarray, labels: np.ndarray) -> n
     return np.concatenate(out) if out else order
 
 
-def tree_join(counts: np.ndarray, sizes: np.ndarray, labels: np.ndarray, sides: np.ndarray, percent: int) -> np.ndarray:
+def tree_join(counts: np.ndarray, sizes: np.ndarray, labels: np.ndarray, sides: np.ndarray, percent: int, best_only: bool = False) -> np.ndarray:
     """Index pairs of points with different labels that the bounds leave: boxes first, then points.
 
     ``sides`` is 0 for points to be joined with all and with each other, or 1 and 2 for points to be
-    joined across.
+    joined across. ``best_only`` leaves to each point the pair with the highest bound for its size.
     """
     order = packed_order(counts, sizes, labels)
-    counts, sizes, labels, sides = counts[order].astype(np.int64), sizes[order].astype(np.int64), labels[order], sides[order]
+    counts, sizes, labels, sides = counts[order], sizes[order].astype(np.int64), labels[order], sides[order]
     corner, least, most, label = _boxes(counts, sizes, labels)
-    found = []
+    found: list[np.ndarray] = []
+    best, partner = np.zeros(len(sizes)), np.full(len(sizes), -1)
     for i in range(len(least)):
         overlap = np.minimum(corner[i], corner[i:]).sum(axis=1)
         near = overlap * (100 + percent) >= (least[i] + least[i:]) * percent
         near &= (most[i:] * 100 >= least[i] * percent) & (most[i] * 100 >= least[i:] * percent)
         near &= (label[i] < 0) | (label[i:] < 0) | (label[i] != label[i:])
         mine = np.arange(i * LEAF, min((i + 1) * LEAF, len(sizes)))
-        for j in (np.flatnonzero(near) + i).tolist():
-            other = np.arange(j * LEAF, min((j + 1) * LEAF, len(sizes)))
-            bound = np.minimum(counts[mine][:, None], counts[other][None]).sum(axis=2)
-            ok = bound * (100 + percent) >= (sizes[mine][:, None] + sizes[other][None]) * percent
-            ok &= labels[mine][:, None] != labels[other][None]
+        others = np.flatnonzero(np.repeat(near, LEAF)[: len(sizes) - i * LEAF]) + i * LEAF
+        for a in range(0, len(others), 512):
+            other = others[a : a + 512]
+            bound = np.minimum(counts[mine][:, None], counts[other][None]).sum(axis=2, dtype=np.int64)
+            total = sizes[mine][:, None] + sizes[other][None]
+            ok = (bound * (100 + percent) >= total * percent) & (labels[mine][:, None] != labels[other][None])
             ok &= (sides[mine][:, None] != sides[other][None]) | (sides[mine][:, None] == 0)
-            if i == j:
-                ok &= mine[:, None] < other[None]
-            x, y = np.nonzero(ok)
-            found.append(np.stack([order[mine[x]], order[other[y]]], axis=1))
-    return np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
-
-
-def _join_trees(batches, percent: int) -> Iterator[pa.RecordBatch]:
+            ok &= mine[:, None] < other[None]
+            if not best_only:
+                x, y = np.nonzero(ok)
+                found.append(np.stack([mine[x], other[y]], axis=1))
+            elif ok.any():
+                share = np.where(ok, bound / total, 0)
+                for own, theirs, along in ((mine, other, 1), (other, mine, 0)):
+                    top = share.max(axis=along)
+                    better = top > best[own]
+                    best[own[better]], partner[own[better]] = top[better], theirs[share.argmax(axis=along)[better]]
+    if best_only:
+        own = np.flatnonzero(partner >= 0)
+        found = [np.unique(np.sort(np.stack([own, partner[own]], axis=1), axis=1), axis=0)]
+    return order[np.concatenate(found)] if found else np.zeros((0, 2), dtype=np.int64)
+
+
+def _join_trees(batches, percent: int, best_only: bool) -> Iterator[pa.RecordBatch]:
     """Rows sorted by tree and pair of blocks; one such unit is held at a time."""
 
     def joined(table: pa.Table) -> pa.RecordBatch:
         nodes, first, second, own = (table.column(c).to_numpy() for c in ("node", "first", "second", "block"))
-        counts = table.column("counts").combine_chunks().flatten().to_numpy().reshape(-1, GROUPS)
+        counts = _point_array(table.column("counts").combine_chunks())
         sides = np.where(first == second, 0, np.where(own == first, 1, 2))
-        pairs = tree_join(counts, table.column("n").to_numpy(), table.column("root").to_numpy(), sides, percent)
+        pairs = tree_join(counts, table.column("n").to_numpy(), table.column("root").to_numpy(), sides, percent, best_only)
         return pa.RecordBatch.from_arrays([pa.array(nodes[pairs].min(axis=1)), pa.array(nodes[pairs].max(axis=1))], names=["a", "b"])
 
     held: list[pa.RecordBatch] = []
@@ -237,7 +261,7 @@ def _join_trees(batches, percent: int) -> Iterator[pa.RecordBatch]:
         yield joined(pa.Table.from_batches(held))
 
 
-def _across(members: DataFrame, points: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+def _across(members: DataFrame, points: DataFrame, roots: DataFrame, percent: int, best_only: bool) -> DataFrame:
     """Pairs (a, b) of different components that share a tree and that the bounds leave."""
     rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = (
@@ -254,14 +278,14 @@ def _across(members: DataFrame, points: DataFrame, roots: DataFrame, percent: in
     )
     rows = rows.join(points, "node").select("key", "first", "second", "block", "node", "root", "n", "counts")
     units = rows.repartition("key", "first", "second").sortWithinPartitions("key", "first", "second")
-    return units.mapInArrow(lambda batches: _join_trees(batches, percent), "a bigint, b bigint").distinct()
+    return units.mapInArrow(lambda batches: _join_trees(batches, percent, best_only), "a bigint, b bigint").distinct()
 
 
 def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) per row; component_id is the least id reachable by links."""
     of_id = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    schema = f"doc_id {of_id}, node bigint, n bigint, counts array<int>, keys array<bigint>"
+    schema = f"doc_id {of_id}, node bigint, n bigint, counts binary, keys array<bigint>"
     every = storage.written(rows.mapInArrow(lambda batches: _points(batches, k, percent), schema), "points")
     dealt = every.select("node", F.explode("keys").alias("key"))
     shared = dealt.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where(F.col("lead") != F.col("last"))
@@ -276,9 +300,17 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     asked = members.where(F.col("node") != F.col("lead")).select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
     links = storage.written(_verified(_bounded(asked, points, percent), texts, k, percent), "links")
     roots = components(links, "a", "b")
-    rest = storage.written(_across(members.select("key", "node"), points, roots, percent), "pairs")
-    links = links.unionByName(_verified(rest, texts, k, percent))
-    roots = components(links, "a", "b")
+    best_only = True
+    while True:
+        asked = storage.written(_across(members.select("key", "node"), points, roots, percent, best_only), "pairs")
+        more = storage.written(_verified(asked, texts, k, percent), "more-links")
+        grows = bool(more.head(1))
+        if grows:
+            links = links.unionByName(more)
+            roots = components(links, "a", "b")
+        if not best_only:
+            break
+        best_only = grows
     rooted = every.select("doc_id", "n", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("least"))
     return rooted.join(least, "root", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
