@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 _GEN = np.random.default_rng(20240607)
 _BYTE = _GEN.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BYTE_LOWER = _BYTE.copy()
