@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidepool import functions as U
+from tidepool.functions import aggregates
 
 I = 1461446703485210103287273052203988822378723970342
 
@@ -178,3 +179,54 @@ def test_column_sum_refuses_what_it_cannot_hold(spark):
     with pytest.raises(Exception, match="ubi_aggregate"):
         df.agg(U.ubi_sum("value")).collect()
     assert U.ubi_aggregate(df, [], {"v": ("sum", "value")}).first().v.startswith("1" + "0" * 199)
+
+
+def test_shared_columns_keep_their_own_function(spark):
+    df = spark.createDataFrame([("x", "2", "1"), ("x", "4", "1"), ("x", "28", "1")], ["k", "a", "b"]).withColumn("b", F.lit("2"))
+    a, b = F.col("a"), F.col("b")
+    row = U.ubi_aggregate(df, ["k"], {"p": ("sum", U.ubim(a, b)), "q": ("sum", U.ubid(a, b)), "r": ("sum", "a"), "s": ("avg", "a")}).first()
+    assert (row.p, row.q, row.r) == ("68e0b0/1e0b0", "17e0b0/1e0b0", "34e0b0/1e0b0") or float(Fraction(row.q.replace("e0b0", ""))) == 17
+
+
+@pytest.mark.parametrize("n", [3, 64, 65, 300])
+def test_sum_over_denominators_has_one_form(spark, n):
+    texts = [f"1/{2 * i + 3}" for i in range(n)]
+    got = {U.ubi_aggregate(values(spark, texts).repartition(parts), [], {"v": ("sum", "value")}).first().v for parts in (1, 3, 7)}
+    assert len(got) == 1
+    text = got.pop()
+    assert text.endswith("/1e0b0")
+    digits, scale = text.split("b")[0].split("e")
+    exact = sum(Fraction(1, 2 * i + 3) for i in range(n))
+    assert abs(Fraction(int(digits), 10 ** int(scale)) - exact) < Fraction(1, 10**190)
+
+
+@pytest.mark.parametrize("n", [3, 90])
+def test_zero_denominators_decide_at_any_count(spark, n):
+    texts = ["1/0", "2/0"] + [f"1/{2 * i + 3}" for i in range(n)]
+    for parts in (1, 4):
+        assert U.ubi_aggregate(values(spark, texts).repartition(parts), [], {"v": ("sum", "value")}).first().v == "3e0b0/0e0b0"
+
+
+def test_extremes_over_zero_agree(spark):
+    df = values(spark, ["1/0", "2", "-3/0", "0", "4/2"])
+    row = U.ubi_aggregate(df, [], {"lo": ("min", "value"), "hi": ("max", "value")}).first()
+    native = df.agg(U.ubi_min("value").alias("lo"), U.ubi_max("value").alias("hi")).first()
+    assert (row.lo, row.hi) == (native.lo, native.hi) == ("-3e0b0/0e0b0", "1e0b0/0e0b0")
+
+
+def test_tiny_values_are_never_lost(spark):
+    df = values(spark, ["1e300", "2e300"])
+    assert U.ubi_aggregate(df, [], {"v": ("sum", "value")}).first().v == "3e300b0/1e0b0"
+    for texts in (["1e300"], ["1e0b900"], ["1e300/3"]):
+        with pytest.raises(Exception, match="below the range"):
+            values(spark, texts).agg(U.ubi_sum("value")).first()
+
+
+def test_results_come_key_by_key(spark, monkeypatch):
+    monkeypatch.setattr(aggregates, "RESULT_KEYS", 3)
+    df = spark.range(100).select((F.col("id") % 40).alias("k"), F.when(F.col("id") % 40 > 0, F.col("id") % 7).alias("j"), F.lit("5").alias("v"))
+    got = {(r.k, r.j): r.t for r in U.ubi_aggregate(df, ["k", "j"], {"t": ("sum", "v")}).collect()}
+    want = {}
+    for r in df.collect():
+        want[r.k, r.j] = want.get((r.k, r.j), 0) + 5
+    assert got == {k: f"{v}e0b0/1e0b0" for k, v in want.items()}

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from decimal import Decimal
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,36 +29,53 @@ from tidepool.functions.scalars import DEFAULT, SCALAR_NAMES, as_column, bound,
 
 LIMB_DIGITS = 18
 LIMBS = 12  # 216 digits, past the 200 digits a part can hold
-MAX_ENCODINGS = 64  # denominators kept apart per key
 WHOLE = (1, 0, 0)  # denominator of a whole number
 MAX_KEYS = 50_000  # keys held by a map-side fold before its partials are emitted
 
+RESULT_KEYS = 10_000  # finished keys in one result batch
 PARTIAL_TYPE = T.StructType(
     [
         T.StructField("count", T.LongType()),
         T.StructField("sums", T.ArrayType(T.StringType())),
         T.StructField("sizes", T.ArrayType(T.LongType())),
+        T.StructField("mixed", T.StringType()),
+        T.StructField("mixed_size", T.LongType()),
         T.StructField("low", T.StringType()),
         T.StructField("high", T.StringType()),
     ]
 )
+ARROW_PARTIAL = pa.struct(
+    [
+        ("count", pa.int64()),
+        ("sums", pa.list_(pa.string())),
+        ("sizes", pa.list_(pa.int64())),
+        ("mixed", pa.string()),
+        ("mixed_size", pa.int64()),
+        ("low", pa.string()),
+        ("high", pa.string()),
+    ]
+)
 
 
 class FractionFold:
     """Running count, exact sum and extremes of one column for one key.
 
     Values of equal encoding (scale, bits and denominator) are added as plain
-    integers, so their sum neither rounds nor depends on the order of the rows. Where
-    a key has more denominators than are worth keeping apart, further ones are added
-    as decimals carrying more digits than any result shows.
+    integers, so their sum neither rounds nor depends on the order of the rows. Terminating
+    denominators (2**i * 5**j), and one other, are kept that way. From the second other
+    denominator on, all values with one are added as decimals carrying more digits
+    than any result shows. Zero denominators are kept apart and decide the result if
+    there are any. So the form of a sum follows from the set of its denominators, not
+    from how many rows there are, their order, or who folded them.
     """
 
-    __slots__ = ("math", "extremes", "count", "sums", "divided", "rest", "rest_size", "low", "high")
+    __slots__ = ("math", "extremes", "count", "sums", "divisor", "rest", "rest_size", "zero", "low", "high")
 
     def __init__(self, math: Arithmetic, extremes: bool):
         self.math, self.extremes = math, extremes
-        self.count, self.sums, self.divided = 0, {}, 0
+        self.count, self.sums, self.divisor = 0, {}, None
         self.rest, self.rest_size = None, 0
+        self.zero = None
         self.low = self.high = None
 
     def add(self, f) -> None:
@@ -68,6 +86,9 @@ class FractionFold:
 
     def merge(self, partial: Mapping) -> None:
         self.count += partial["count"]
+        if partial["mixed"] is not None:
+            self._spill()
+            self._mix(Decimal(partial["mixed"]), partial["mixed_size"])
         for text, size in zip(partial["sums"], partial["sizes"]):
             num, den = text.split("/")
             n, s, b = num.replace("b", "e").split("e")
@@ -79,19 +100,36 @@ class FractionFold:
 
     def _put(self, f, size: int) -> None:
         encoding = f[1:]
+        if encoding[2] == 0:
+            zero = self.math.part_sum(self.zero[0], f[:3]) if self.zero else f[:3]
+            self.zero = (zero, (self.zero[1] if self.zero else 0) + size)
+            return
+        if not _terminates(encoding[2]):
+            if self.rest is None and self.divisor not in (None, encoding[2:]):
+                self._spill()
+            if self.rest is not None:
+                self._mix(self.math.wide_value(f), size)
+                return
+            self.divisor = encoding[2:]
         entry = self.sums.get(encoding)
-        if entry is not None:
+        if entry is None:
+            self.sums[encoding] = [f[0], size]
+        else:
             entry[0] += f[0]
             entry[1] += size
-            return
-        if encoding[2:] != WHOLE:
-            if self.divided >= MAX_ENCODINGS:
-                value = self.math.wide_value(f)
-                self.rest = value if self.rest is None else self.math.wide.add(self.rest, value)
-                self.rest_size += size
-                return
-            self.divided += 1
-        self.sums[encoding] = [f[0], size]
+
+    def _spill(self) -> None:
+        """Move what has a denominator to the decimals."""
+        if self.rest is None:
+            self.rest = Decimal(0)
+        for encoding in sorted(e for e in self.sums if not _terminates(e[2])):
+            n, size = self.sums.pop(encoding)
+            self._mix(self.math.wide_value((n,) + encoding), size)
+        self.divisor = None
+
+    def _mix(self, value: Decimal, size: int) -> None:
+        self.rest = self.math.wide.add(self.rest, value)
+        self.rest_size += size
 
     def _extend(self, f) -> None:
         if self.low is None or self._before(f, self.low):
@@ -108,15 +146,13 @@ class FractionFold:
         return left < right or (left == right and self.math.text(x) < self.math.text(y))
 
     def total(self):
-        """One fraction for all encodings.
-
-        The fraction sum is kept where it holds the exact value to 50 digits; sums over
-        many denominators, which lose bits when simplified step by step, are given as
-        decimals instead.
-        """
+        """One fraction for all encodings; over several denominators, a decimal."""
+        if self.zero is not None:
+            return self.zero[0] + (0, 0, 0)
         if self.rest is None:
             folded = self._folded()
-            if self.divided < 2 or self._holds(folded):
+            # adding over several denominators must not have cost digits
+            if len({e[2:] for e in self.sums} - {WHOLE}) < 2 or self._holds(folded):
                 return folded
         return self.math.from_decimal(self._wide_total()[0])
 
@@ -144,8 +180,6 @@ class FractionFold:
         return total, magnitude
 
     def _holds(self, folded) -> bool:
-        if folded[3] == 0 or any(encoding[2] == 0 for encoding in self.sums):
-            return True  # a zero denominator stays visible
         total, magnitude = self._wide_total()
         wide = self.math.wide
         error = abs(wide.subtract(self.math.wide_value(folded), total))
@@ -153,12 +187,14 @@ class FractionFold:
 
     def partial(self) -> dict:
         sums = [((v[0],) + k, v[1]) for k, v in self.sums.items()]
-        if self.rest is not None:
-            sums.append((_exact_decimal(self.rest), self.rest_size))
+        if self.zero is not None:
+            sums.append((self.zero[0] + (0, 0, 0), self.zero[1]))
         return {
             "count": self.count,
             "sums": [self.math.text(f) for f, _ in sums],
             "sizes": [size for _, size in sums],
+            "mixed": None if self.rest is None else str(self.rest),
+            "mixed_size": self.rest_size,
             "low": self.math.text(self.low) or None,
             "high": self.math.text(self.high) or None,
         }
@@ -168,14 +204,20 @@ class FractionFold:
         return None if total is None else self.math.divide(total, (self.count, 0, 0, 1, 0, 0))
 
 
-def _exact_decimal(value: Decimal):
-    sign, digits, exponent = value.as_tuple()
-    n = int("".join(map(str, digits)))
-    return (-n if sign else n, -exponent, 0) + WHOLE
+@lru_cache(maxsize=4096)
+def _terminates(n: int) -> bool:
+    """Whether 1 / n is a finite decimal."""
+    n = abs(n) >> ((n & -n).bit_length() - 1)
+    while n % 5 == 0:
+        n //= 5
+    return n == 1
 
 
 def _ratio(f):
+    """Value as integers p / q with q >= 0; over zero, the sign over zero, and 0/0 as zero."""
     n, s, b, dn, ds, db = f
+    if dn == 0:
+        return ((n > 0) - (n < 0), 0) if n else (0, 1)
     p, q = n << max(db - b, 0), dn << max(b - db, 0)
     p, q = p * 10 ** max(ds - s, 0), q * 10 ** max(s - ds, 0)
     return (-p, -q) if q < 0 else (p, q)
@@ -211,45 +253,25 @@ def _fold_rows(columns: Sequence[str], keys: int, extremes: Sequence[bool], conf
 def _partial_batch(table, schema, keys) -> pa.RecordBatch:
     names = [schema.field(i).name for i in range(len(schema))]
     arrays = [pa.array([k[i] for k in table], type=schema.field(i).type) for i in range(keys)]
-    arrow = pa.struct(
-        [
-            ("count", pa.int64()),
-            ("sums", pa.list_(pa.string())),
-            ("sizes", pa.list_(pa.int64())),
-            ("low", pa.string()),
-            ("high", pa.string()),
-        ]
-    )
     for i in range(len(schema) - keys):
-        arrays.append(pa.array([folds[i].partial() for folds in table.values()], type=arrow))
+        arrays.append(pa.array([folds[i].partial() for folds in table.values()], type=ARROW_PARTIAL))
     return pa.RecordBatch.from_arrays(arrays, names=names)
 
 
+def _same_key(a: tuple, b: tuple) -> bool:
+    return all(x is y or x == y or (x != x and y != y) for x, y in zip(a, b))
+
+
 def _fold_partials(outputs: Sequence[tuple[str, str, int]], columns: int, keys: int, conf: NumericConf):
-    """Reduce side: all partials of a key sit in one partition and are merged as they stream by."""
+    """Reduce side: the partials of a partition come sorted by key; one key is held at a time."""
 
     def fold(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         math = Arithmetic(conf)
-        schema, table = None, {}
-        for batch in batches:
-            schema = batch.schema
-            key_columns = [batch.column(i).to_pylist() for i in range(keys)]
-            partials = [batch.column(keys + i).to_pylist() for i in range(columns)]
-            for i, key in enumerate(zip(*key_columns) if keys else [()] * batch.num_rows):
-                folds = table.get(key)
-                if folds is None:
-                    folds = table[key] = [FractionFold(math, True) for _ in range(columns)]
-                for fold_, column in zip(folds, partials):
-                    fold_.merge(column[i])
-        if not keys and not table:
-            table[()] = [FractionFold(math, True) for _ in range(columns)]
-        if not table:
-            return
-        arrays = [pa.array([k[i] for k in table], type=schema.field(i).type) for i in range(keys)]
-        names = [schema.field(i).name for i in range(keys)]
-        for name, kind, position in outputs:
+        schema, current, folds, done = None, None, None, []
+
+        def finish() -> None:
             texts = []
-            for folds in table.values():
+            for _, kind, position in outputs:
                 f = folds[position]
                 if kind == "sum":
                     texts.append(math.text(f.total()))
@@ -258,13 +280,42 @@ def _fold_partials(outputs: Sequence[tuple[str, str, int]], columns: int, keys:
                 else:
                     best = f.low if kind == "min" else f.high
                     texts.append(None if best is None else math.text(best))
-            arrays.append(pa.array(texts, type=pa.string()))
-            names.append(name)
-        yield pa.RecordBatch.from_arrays(arrays, names=names)
+            done.append(current + tuple(texts))
+
+        def result() -> pa.RecordBatch:
+            arrays = [pa.array([row[i] for row in done], type=schema.field(i).type) for i in range(keys)]
+            arrays += [pa.array([row[keys + i] for row in done], type=pa.string()) for i in range(len(outputs))]
+            names = [schema.field(i).name for i in range(keys)] + [name for name, _, _ in outputs]
+            done.clear()
+            return pa.RecordBatch.from_arrays(arrays, names=names)
+
+        if not keys:
+            current, folds = (), [FractionFold(math, True) for _ in range(columns)]
+        for batch in batches:
+            schema = batch.schema
+            key_columns = [batch.column(i).to_pylist() for i in range(keys)]
+            partials = [batch.column(keys + i).to_pylist() for i in range(columns)]
+            for i, key in enumerate(zip(*key_columns) if keys else [()] * batch.num_rows):
+                if current is None or not _same_key(key, current):
+                    if current is not None:
+                        finish()
+                        if len(done) >= RESULT_KEYS:
+                            yield result()
+                    current, folds = key, [FractionFold(math, True) for _ in range(columns)]
+                for fold_, column in zip(folds, partials):
+                    fold_.merge(column[i])
+        if current is not None:
+            finish()
+        if done:
+            yield result()
 
     return fold
 
 
+def _by_key(partials: DataFrame, by: Sequence[str]) -> DataFrame:
+    return partials.repartition(*by).sortWithinPartitions(*by) if by else partials.repartition(1)
+
+
 def ubi_aggregate(
     df: DataFrame,
     by: Sequence[str],
@@ -273,18 +324,20 @@ def ubi_aggregate(
 ) -> DataFrame:
     """Exact ``sum``, ``avg``, ``min`` and ``max`` of fraction columns per key.
 
-    ``aggregates`` maps an output name to ``(kind, column)``. Each distinct column
-    is read and folded once however many outputs use it. Sums and averages of
+    ``aggregates`` maps an output name to ``(kind, column)``. A column given by the
+    same name or object is read and folded once however many outputs use it. Sums and averages of
     nothing are ``""``; extremes of nothing are NULL.
     """
     by = list(by)
-    inputs: dict[str, tuple[int, Column]] = {}
+    inputs: dict[object, tuple[int, Column]] = {}
     outputs, extremes = [], []
     for name, (kind, column) in aggregates.items():
         if kind not in ("sum", "avg", "min", "max"):
             raise ValueError(f"unknown aggregate {kind!r}")
         c = as_column(column)
-        position = inputs.setdefault(str(c), (len(inputs), c))[0]
+        # two columns may print alike, so only names and the same object are shared
+        same = column if isinstance(column, str) else id(column)
+        position = inputs.setdefault(same, (len(inputs), c))[0]
         if position == len(extremes):
             extremes.append(False)
         extremes[position] |= kind in ("min", "max")
@@ -295,7 +348,7 @@ def ubi_aggregate(
     keys = rows.schema.fields[: len(by)]
     partial_schema = T.StructType(keys + [T.StructField(n, PARTIAL_TYPE) for n in columns])
     partials = rows.mapInArrow(_fold_rows(columns, len(by), extremes, conf), partial_schema)
-    merged = partials.repartition(*by) if by else partials.repartition(1)
+    merged = _by_key(partials, by)
     result_schema = T.StructType(keys + [T.StructField(n, T.StringType()) for n in aggregates])
     return merged.mapInArrow(_fold_partials(outputs, len(columns), len(by), conf), result_schema)
 
@@ -331,13 +384,13 @@ def ubi_sum_limbs(df: DataFrame, by: Sequence[str], column: str | Column, alias:
         end = F.length(d) - F.lit(i * LIMB_DIGITS)
         start = F.greatest(end - LIMB_DIGITS, F.lit(0))
         limb = F.when(end > 0, d.substr(start + 1, end - start).cast("bigint") * F.col("__sign"))
-        limbs.append(F.sum(limb.cast("decimal(18,0)")).alias(f"__l{i}"))
+        limbs.append(F.sum(limb.cast("decimal(28,0)")).alias(f"__l{i}"))
     encodings = ["__s", "__b", "__dn", "__ds", "__db"]
     sums = prepared.groupBy(*by, *encodings).agg(*limbs, F.count(F.lit(1)).alias("__size"))
     joined = F.concat_ws(",", *(F.coalesce(F.col(f"__l{i}"), F.lit(0)).cast("string") for i in range(LIMBS)))
     rest = F.format_string("e%db%d/%se%db%d", *encodings)
     classes = sums.select(*by, _class_partial(conf)(joined, rest, F.col("__size")).alias("__v"))
-    merged = classes.repartition(*by) if by else classes.repartition(1)
+    merged = _by_key(classes, by)
     schema = T.StructType(classes.schema.fields[: len(by)] + [T.StructField(alias, T.StringType())])
     return merged.mapInArrow(_fold_partials([(alias, "sum", 0)], 1, len(by), conf), schema)
 
@@ -350,17 +403,8 @@ def _class_partial(conf: NumericConf):
         out = []
         for text, tail, count in zip(limbs.to_pylist(), rest.to_pylist(), size.to_pylist()):
             n = sum(int(limb) * 10 ** (LIMB_DIGITS * i) for i, limb in enumerate(text.split(",")))
-            out.append({"count": count, "sums": [f"{n}{tail}"], "sizes": [count], "low": None, "high": None})
-        arrow = pa.struct(
-            [
-                ("count", pa.int64()),
-                ("sums", pa.list_(pa.string())),
-                ("sizes", pa.list_(pa.int64())),
-                ("low", pa.string()),
-                ("high", pa.string()),
-            ]
-        )
-        return pa.array(out, type=arrow)
+            out.append({"count": count, "sums": [f"{n}{tail}"], "sizes": [count], "mixed": None, "mixed_size": 0, "low": None, "high": None})
+        return pa.array(out, type=ARROW_PARTIAL)
 
     return build
 
@@ -413,6 +457,8 @@ def _spread(conf: NumericConf):
             n <<= -bits
         up = POINT_DIGITS - shift
         first = 0
+        if n and (abs(n) * 10 ** max(up, 0) < abs(dn) * 10 ** max(-up, 0) or (dn == 1 and up < 0 and n % 10**-up)):
+            raise OverflowError(f"{math.text(f)} has digits below the range of ubi_sum; use ubi_aggregate")
         if dn != 1 or up < 0:
             num, den = n * 10 ** max(up, 0), dn * 10 ** max(-up, 0)
             m = (2 * num + den) // (2 * den)
@@ -481,7 +527,7 @@ def _gather(kind: str, conf: NumericConf):
 
 def _summed(kind: str, x, conf: NumericConf) -> Column:
     parts = _bound_spread(conf)(as_column(x))
-    sums = [F.coalesce(F.sum(parts[n].cast("decimal(18,0)")), F.lit(0)).cast("string") for n in _SPREAD_FIELDS]
+    sums = [F.coalesce(F.sum(parts[n].cast("decimal(28,0)")), F.lit(0)).cast("string") for n in _SPREAD_FIELDS]
     size = F.count(parts["den"])
     return _gather(kind, conf)(
         F.concat_ws(",", *sums), size, F.max(parts["s"]), F.max(parts["b"]), F.min(parts["den"]), F.max(parts["den"])
@@ -501,8 +547,9 @@ def ubi_sum(x, conf: NumericConf = DEFAULT) -> Column:
     """Exact sum with native partial aggregation.
 
     Exact for whole numbers and for one common denominator; sums over several
-    denominators carry 216 decimal places. Values of 10**216 and more fail and need
-    ``ubi_aggregate``, which has no such range.
+    denominators carry 216 decimal places. Values of 10**216 and more, below 10**-216,
+    or whole with digits below that, fail and need ``ubi_aggregate``, which has no such
+    range.
     """
     return _summed("sum", x, conf)
 
@@ -512,14 +559,20 @@ def ubi_avg(x, conf: NumericConf = DEFAULT) -> Column:
     return _summed("avg", x, conf)
 
 
+def _ordered(x, conf: NumericConf) -> Column:
+    """Order key, then text, so that ties do not depend on the order of rows; NULL without a value."""
+    key = ubi_order_key(x, conf)
+    return F.when(key.isNotNull(), F.struct(key.alias("key"), ubi_canonical(x, conf).alias("text")))
+
+
 def ubi_min(x, conf: NumericConf = DEFAULT) -> Column:
     """Smallest value, with native partial aggregation."""
-    return F.min_by(ubi_canonical(x, conf), ubi_order_key(x, conf))
+    return F.min(_ordered(x, conf))["text"]
 
 
 def ubi_max(x, conf: NumericConf = DEFAULT) -> Column:
     """Largest value, with native partial aggregation."""
-    return F.max_by(ubi_canonical(x, conf), ubi_order_key(x, conf))
+    return F.max(_ordered(x, conf))["text"]
 
 
 def register_functions(spark: SparkSession, conf: NumericConf = DEFAULT) -> None:

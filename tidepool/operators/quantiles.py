@@ -37,11 +37,13 @@ def exact_percentiles(
     if slices == 1 or (slices is None and small_plan(df)):
         return df.groupBy(*by).agg(*(F.percentile(c, F.lit(q)).alias(o) for o, (c, q) in outputs.items()))
 
-    sources: dict[str, tuple[str, Column]] = {}
+    sources: dict[object, tuple[str, Column]] = {}
     wanted = []
     for name, (column, share) in outputs.items():
         c = F.col(column) if isinstance(column, str) else column
-        source = sources.setdefault(str(c), (f"c{len(sources)}", c))[0]
+        # two columns may print alike, so only names and the same object are shared
+        same = column if isinstance(column, str) else id(column)
+        source = sources.setdefault(same, (f"c{len(sources)}", c))[0]
         wanted.append((name, source, share))
 
     entries = F.array(
