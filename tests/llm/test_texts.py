@@ -109,11 +109,12 @@ def test_pieces_sent_stay_few(spark):
 # tokens
 
 
-@pytest.mark.parametrize("head_bytes", [96 << 20, 3000])
-def test_bpe_against_the_library(spark, head_bytes):
+@pytest.mark.parametrize("rare", ["local", "join"])
+@pytest.mark.parametrize("head_bytes", [64 << 20, 3000])
+def test_bpe_against_the_library(spark, head_bytes, rare):
     docs = _frame(spark, data.awkward())
     head = bpe.head_of(docs, PATH, head_bytes=head_bytes)
-    got = _by_id(bpe.decoded(bpe.encoded(docs, PATH, head=head), PATH))
+    got = _by_id(bpe.decoded(bpe.encoded(docs, PATH, head=head, rare=rare), PATH))
     library = wordpieces.tokenizer(PATH)
     for i, text in enumerate(data.awkward()):
         ids = _library_ids(text)
@@ -123,10 +124,11 @@ def test_bpe_against_the_library(spark, head_bytes):
 
 def test_bpe_of_odd_ids_and_numbers(spark):
     docs = spark.createDataFrame([(None, "Some words"), (4, "Some words"), (4, "Some words"), (4, "others here"), (5, None)], "doc_id bigint, text string")
-    got = sorted(((r.doc_id or 0, list(r.ids)) for r in bpe.encoded(docs, PATH).collect()))
     want = [(0, "Some words"), (4, "Some words"), (4, "Some words"), (4, "others here"), (5, None)]
-    assert got == sorted((i, _library_ids(t)) for i, t in want)
-    assert bpe.encoded(docs.limit(0), PATH).count() == 0
+    for rare in ("local", "join"):
+        got = sorted((r.doc_id or 0, list(r.ids)) for r in bpe.encoded(docs, PATH, rare=rare).collect())
+        assert got == sorted((i, _library_ids(t)) for i, t in want)
+        assert bpe.encoded(docs.limit(0), PATH, rare=rare).count() == 0
     odd = spark.createDataFrame([(1, [320, -5, 10**8, 49407]), (2, None), (3, [])], "k int, ids array<int>")
     assert [r.decoded for r in bpe.decoded(odd, PATH).orderBy("k").collect()] == ["a</w> <|endoftext|>", "", ""]
 

@@ -100,8 +100,18 @@ class WordEncoder:
     def ids(self, texts: Texts, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows one after another, and the bounds of each row."""
         distinct, index, inverse = np.unique(hashing.word_hashes(texts, words), return_index=True, return_inverse=True)
-        one_row, own = packed(texts, words, index)
-        others = hashing.word_hashes(one_row, own, other=True)
+        starts, lengths = self._find(distinct, *packed(texts, words, index))
+        out, n = gathered(self.values, starts, lengths, inverse)
+        return out, np.concatenate([[0], np.cumsum(n)])[words.bounds]
+
+    def each(self, texts: Texts, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words, which are distinct and in order of their hash, one after another, and how many each has."""
+        starts, lengths = self._find(hashing.word_hashes(texts, words), texts, words)
+        return gathered(self.values, starts, lengths, np.arange(len(starts)))
+
+    def _find(self, distinct: np.ndarray, texts: Texts, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """Place and number of ids of distinct words; new ones are encoded."""
+        others = hashing.word_hashes(texts, words, other=True)
         if len(self.hashes) + len(distinct) > self.most:
             self._forget()
         at = np.searchsorted(self.hashes, distinct)
@@ -111,13 +121,12 @@ class WordEncoder:
         starts[known], lengths[known] = self.starts[near[known]], self.lengths[near[known]]
         new = np.flatnonzero(~known)
         if len(new):
-            fresh, n = flat_lists(encode_words(self.path, word_array(one_row, Words(own.starts[new], own.ends[new], own.bounds)).to_pylist()))
+            fresh, n = flat_lists(encode_words(self.path, word_array(texts, Words(words.starts[new], words.ends[new], words.bounds)).to_pylist()))
             starts[new], lengths[new] = len(self.values) + np.cumsum(n) - n, n
             self.values = np.concatenate([self.values, fresh])
             self.hashes, self.others = np.insert(self.hashes, at[new], distinct[new]), np.insert(self.others, at[new], others[new])
             self.starts, self.lengths = np.insert(self.starts, at[new], starts[new]), np.insert(self.lengths, at[new], lengths[new])
-        out, n = gathered(self.values, starts, lengths, inverse)
-        return out, np.concatenate([[0], np.cumsum(n)])[words.bounds]
+        return starts, lengths
 
 
 @lru_cache(maxsize=2)
