@@ -18,7 +18,7 @@ from tidepool.llm.hashing import Texts, Words
 
 DEFAULT_TOKENIZER = "word_bpe_49k.json"
 #: Words that a worker remembers between slices.
-CACHE_WORDS = 2_000_000
+CACHE_WORDS = 1_000_000
 
 
 def tokenizer_path(name: str = DEFAULT_TOKENIZER) -> str:
@@ -94,7 +94,7 @@ class WordEncoder:
 
     def _forget(self) -> None:
         self.hashes = self.others = np.zeros(0, dtype=np.uint64)
-        self.starts = self.lengths = np.zeros(0, dtype=np.int64)
+        self.starts = self.lengths = np.zeros(0, dtype=np.int32)
         self.values = np.zeros(0, dtype=np.int32)
 
     def ids(self, texts: Texts, words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -130,6 +130,6 @@ class WordEncoder:
 
 
 @lru_cache(maxsize=2)
-def worker_encoder(path: str) -> WordEncoder:
+def worker_encoder(path: str, most: int = CACHE_WORDS) -> WordEncoder:
     """The encoder that tasks of one worker share."""
-    return WordEncoder(path)
+    return WordEncoder(path, most)
