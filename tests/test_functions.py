@@ -1,5 +1,6 @@
 """Fraction functions through columns and SQL."""
 
+import random
 from fractions import Fraction
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidepool import functions as U
 from tidepool.functions import aggregates
+from tidepool.functions.scalars import bound
 
 I = 1461446703485210103287273052203988822378723970342
 
@@ -230,3 +232,15 @@ def test_results_come_key_by_key(spark, monkeypatch):
     for r in df.collect():
         want[r.k, r.j] = want.get((r.k, r.j), 0) + 5
     assert got == {k: f"{v}e0b0/1e0b0" for k, v in want.items()}
+
+
+def test_small_operands_print_alike(spark):
+    rng = random.Random(12)
+    forms = ["0", "-0", "007", "1", "-1", "9" * 18, "-" + "9" * 18, "9" * 19, "5e0", "12e3", "-7e18", "3e999", "1e2b5", "2/3", "1.5", "", None, "4e-2", "8e15", "0e4", "1e1000"]
+    pairs = [(rng.choice(forms), rng.choice(forms)) for _ in range(300)] + [(x, y) for x in forms for y in forms]
+    df = spark.createDataFrame(pairs, "x string, y string")
+    names = ("ubim", "ubid", "ubia", "ubis")
+    got = df.select("x", "y", *(getattr(U, n)("x", "y").alias(n) for n in names), *(bound(n)(F.col("x"), F.col("y")).alias("py_" + n) for n in names)).collect()
+    for r in got:
+        for n in names:
+            assert r[n] == r["py_" + n], (n, r.x, r.y)

@@ -93,19 +93,36 @@ def test_two_roles(spark):
     assert rows[1].token0.decimals == 2 and rows[1].token1 is None
 
 
-def test_plan_size_decides(spark, sf_dir, monkeypatch):
+def test_measured_rows_decide(spark, sf_dir, monkeypatch):
     from tidepool.operators import slicing
 
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    size = slicing.plan_bytes(events)
-    assert size and size < slicing.SMALL_BYTES
-    assert slicing.cut_points(events, "event_id") == []
-    assert slicing.plan_bytes(spark.createDataFrame([(1,)], "a int")) is None
-    monkeypatch.setattr(slicing, "SMALL_BYTES", 1)
-    monkeypatch.setattr(slicing, "SLICE_ROWS", 300)
+    assert len(slicing.cut_points(events, "event_id")) == slicing.MIN_SLICES - 1
+    exploded = events.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(50))))
+    assert slicing.measured_bytes(exploded.select("event_id")) > 40 * slicing.measured_bytes(events.select("event_id"))
+    monkeypatch.setattr(slicing, "SLICE_ROWS", 100)
     cuts = slicing.cut_points(events, "event_id")
     rows = events.count()
-    assert len(cuts) == -(-rows // 300) - 1
+    assert len(cuts) == -(-rows // 100) - 1
     counts = slicing.with_slices(events, "event_id", cuts).groupBy(slicing.SLICE).count().collect()
-    assert max(r["count"] for r in counts) <= 2 * 300
+    assert max(r["count"] for r in counts) <= 2 * 100
     assert sum(r["count"] for r in counts) == rows
+
+
+def test_no_plan_puts_all_rows_into_one_task(spark, sf_dir):
+    from tidepool.operators.asof import asof_quote, previous_row, rolling_latest
+
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "user_id", "event_type", "value")
+    quote = F.col("event_type") == "purchase"
+    frames = [
+        asof_quote(events, [], "event_id", quote, F.col("value"), "q", 50),
+        asof_quote(events, ["user_id"], "event_id", quote, F.col("value"), "q", None),
+        previous_row(events, [], "event_id", F.struct("value"), "p", 50),
+        rolling_latest(events, [], "event_id", quote, F.col("value"), "r"),
+    ]
+    for df in frames:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        # only what is left of a slice, one row each, may meet in one task
+        specs = [w.split("windowspecdefinition(")[1] for w in plan.split("\n") if "windowspecdefinition(" in w]
+        by_event = [w for w in specs if "event_id#" in w]
+        assert by_event and all("__slice#" in w for w in by_event)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.operators.slicing import plan_bytes
+from tidepool.operators.slicing import measured_bytes
 
 BROADCAST_BYTES = 64 << 20
 SALTS = 32
@@ -23,14 +23,13 @@ def dimension_join(
 ) -> DataFrame:
     """Left join of ``fact`` to ``dimension`` on equally named columns.
 
-    A dimension whose estimated size is within ``broadcast_bytes`` is broadcast.
+    A dimension whose measured size is within ``broadcast_bytes`` is broadcast.
     A larger one is joined on key and salt: fact rows are spread over ``salts``
     by a hash of the ``spread`` columns (stable when a task is run again) and each
     dimension row is present once per salt, so one hot key spans many tasks.
     """
     on = list(on)
-    size = plan_bytes(dimension)
-    if size is not None and size <= broadcast_bytes:
+    if broadcast_bytes >= 0 and measured_bytes(dimension) <= broadcast_bytes:
         return fact.join(F.broadcast(dimension), on, "left")
     salted = fact.withColumn("__salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
     copies = dimension.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidepool.operators.slicing import SLICE, cut_points, small_plan, with_slices
+from tidepool.operators.slicing import SLICE, cut_points, with_slices
 
 QUARTILE_SHARES = {1: 0.25, 2: 0.5, 3: 0.75}
 
@@ -29,12 +29,12 @@ def exact_percentiles(
 ) -> DataFrame:
     """One row per key with each output ``name -> (column, share)``.
 
-    Small inputs use the built-in aggregate, whose state grows with the distinct
-    values of a key. Large ones count values per slice of the value range, find the
-    slice holding each wanted rank from the slice counts, and rank only inside it.
+    Values are counted per slice of the value range, the slice holding each wanted rank
+    is found from the slice counts, and ranks are taken only inside it. ``slices`` of 1 uses
+    the built-in aggregate, whose state grows with the distinct values of a key.
     """
     by = list(by)
-    if slices == 1 or (slices is None and small_plan(df)):
+    if slices == 1:
         return df.groupBy(*by).agg(*(F.percentile(c, F.lit(q)).alias(o) for o, (c, q) in outputs.items()))
 
     sources: dict[object, tuple[str, Column]] = {}

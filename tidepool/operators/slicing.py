@@ -19,16 +19,14 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 SLICE = "__slice"
-SMALL_BYTES = 64 << 20  # below this estimate, one ordered group per key is fine
 SLICE_ROWS = 2_000_000
-ROW_BYTES = 16  # least size of a row in a plan estimate
+MIN_SLICES = 8  # small inputs are sliced like large ones
 GRID = 512  # quantiles taken before the row count is known
-MAX_SLICES = 65_536
 UNKNOWN_BYTES = 1 << 60  # sources without statistics report about 2**63
 
 
 def plan_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate (an upper bound for filtered scans); no job is run.
+    """The optimizer's size estimate, which may be off either way; no job is run.
 
     ``None`` where the session gives no plan access or a source reports no size.
     """
@@ -57,22 +55,19 @@ def position(df: DataFrame, order: str | Column) -> Column:
     return c.cast("double")
 
 
-def small_plan(df: DataFrame, limit: int | None = None) -> bool:
-    """Whether the plan is known to stay within one ordered group."""
-    size = plan_bytes(df)
-    return size is not None and size <= (SMALL_BYTES if limit is None else limit)
+def measured_bytes(df: DataFrame) -> int:
+    """Size of the rows as text, by a pass over them."""
+    return df.agg(F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))).first()[0] or 0
 
 
 def cut_points(
     df: DataFrame, order: str | Column, slices: int | None = None, slice_rows: int | None = None
 ) -> list[float]:
-    """Borders between slices; none where one slice is enough.
+    """Borders between slices.
 
-    With ``slices`` open, a plan of unknown or large size is measured by one pass
-    over the order column giving its row count and quantiles together.
+    With ``slices`` open, one pass over the order column gives its row count and
+    quantiles together, and there are as many slices as rows ask for, ``MIN_SLICES`` at least.
     """
-    if slices is None and small_plan(df, slice_rows and slice_rows * ROW_BYTES):
-        return []
     grid = slices or GRID
     shares = [i / grid for i in range(1, grid)]
     if not shares:
@@ -82,9 +77,9 @@ def cut_points(
     ).first()
     cuts = measured.cuts or []
     if slices is None:
-        wanted = math.ceil(measured.rows / (slice_rows or SLICE_ROWS))
+        wanted = max(MIN_SLICES, math.ceil(measured.rows / (slice_rows or SLICE_ROWS)))
         if wanted > GRID:
-            return cut_points(df, order, min(MAX_SLICES, wanted))
+            return cut_points(df, order, wanted)
         cuts = [cuts[GRID * i // wanted - 1] for i in range(1, wanted)] if cuts else []
     return sorted(set(cuts))
 
@@ -110,7 +105,7 @@ def carry_last(
 ) -> DataFrame:
     """Add the last non-NULL ``value`` strictly before each row, per key and order.
 
-    ``order`` must be unique within a key. With one slice this is a plain window.
+    ``order`` must be unique within a key. With ``slices`` of 1 this is a plain window.
     Otherwise the last value of every (key, slice) is found by a partial aggregate,
     carried forward over the slices of a key, and fed into its next slice as one
     extra leading row, so rows are shuffled once and no join is needed. ``sparse`` says
@@ -120,7 +115,7 @@ def carry_last(
     by, order = list(by), list(order)
     tagged = df.withColumn("__value", value)
     cuts = cut_points(df, order[0], slices)
-    if not cuts:
+    if slices == 1:
         window = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
         return tagged.withColumn(alias, F.last("__value", ignorenulls=True).over(window)).drop("__value")
 

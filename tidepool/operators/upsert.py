@@ -9,9 +9,14 @@ from pyspark.sql import functions as F
 
 
 def latest_per_key(batch: DataFrame, keys: Sequence[str], sequence: str | None = None) -> DataFrame:
-    """One row per key: the one with the highest ``sequence``, kept by a partial aggregate."""
+    """One row per key: the one with the highest ``sequence``, kept by a partial aggregate.
+
+    Without ``sequence`` a second row of a key is an error: which one is newer can't be told.
+    """
     if sequence is None:
-        return batch.dropDuplicates(list(keys))
+        row = F.struct(*batch.columns)
+        single = F.when(F.count("*") > 1, F.raise_error(F.lit("several rows of one key in a batch; give a sequence"))).otherwise(F.first(row))
+        return batch.groupBy(*(F.col(k).alias(f"__k_{k}") for k in keys)).agg(single.alias("__row")).select("__row.*")
     row = F.max_by(F.struct(*batch.columns), F.col(sequence)).alias("__row")
     return batch.groupBy(*(F.col(k).alias(f"__k_{k}") for k in keys)).agg(row).select("__row.*")
 

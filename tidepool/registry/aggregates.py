@@ -102,7 +102,61 @@ _QUARTILE_SQL = f"""WITH {TICKS_SQL} SELECT event_type,
     round(quantile_cont(CAST(abs(k - 50) AS DOUBLE), 0.5), 6) + 0.0 AS med_k
 FROM ticks GROUP BY event_type"""
 
+
+
+def product_and_quotient(spark, sf_dir):
+    """Two functions of the same two columns."""
+    price, quantity = F.col("price"), F.col("quantity")
+    sums = {"product": ("sum", U.ubim(price, quantity)), "quotient": ("sum", U.ubid(price, quantity))}
+    df = U.ubi_aggregate(lines(spark, sf_dir, spread=True), FLAGS, sums)
+    return df.select(*FLAGS, "product", rounded(U.ubi_to_double("quotient"), 4).alias("quotient"))
+
+
+def many_denominators(spark, sf_dir):
+    """A sum over more denominators than rows of most keys, the same text whatever the partitions."""
+    df = lines(spark, sf_dir).withColumn("part", text(F.col("l_partkey") * 2 + 3))
+    forms = [
+        U.ubi_aggregate(df.repartition(parts), FLAGS, {f"t{parts}": ("sum", U.ubid("price", "part"))}) for parts in (3, 7)
+    ]
+    both = forms[0].join(forms[1], FLAGS)
+    return both.select(*FLAGS, rounded(U.ubi_to_double("t3"), 4).alias("total"), (F.col("t3") == F.col("t7")).alias("same"))
+
+
+def tiny_and_huge(spark, sf_dir):
+    """Sums of values below 10**-290 and of values past 10**150."""
+    df = lines(spark, sf_dir, spread=True).select(
+        "l_linestatus",
+        F.concat(text(F.col("cents")), F.lit("e300")).alias("tiny"),
+        F.concat(text(F.col("cents")), F.lit("0" * 150)).alias("huge"),
+    )
+    return U.ubi_aggregate(df, ["l_linestatus"], {"tiny": ("sum", "tiny"), "huge": ("sum", "huge")})
+
+
+def line_sums(spark, sf_dir):
+    """One key per order line."""
+    return U.ubi_aggregate(lines(spark, sf_dir, spread=True), ["l_orderkey", "l_linenumber"], {"total": ("sum", "price")})
+
+
 QUERIES = {
+    "ubi_product_and_quotient_sums": (
+        product_and_quotient,
+        f"""WITH {LINES_SQL} SELECT l_returnflag, l_linestatus, concat(sum(CAST(cents AS HUGEINT) * qty), 'e2b0/1e0b0') AS product,
+            round(sum(cents / 100.0::DOUBLE / qty), 4) + 0.0 AS quotient FROM lines GROUP BY ALL""",
+    ),
+    "ubi_sum_many_denominators": (
+        many_denominators,
+        f"""WITH {LINES_SQL} SELECT l_returnflag, l_linestatus, round(sum(cents / 100.0::DOUBLE / (l_partkey * 2 + 3)), 4) + 0.0 AS total,
+            true AS same FROM lines GROUP BY ALL""",
+    ),
+    "ubi_sum_tiny_and_huge": (
+        tiny_and_huge,
+        f"""WITH {LINES_SQL} SELECT l_linestatus, concat(sum(cents), 'e300b0/1e0b0') AS tiny,
+            concat(sum(cents), repeat('0', 150), 'e0b0/1e0b0') AS huge FROM lines GROUP BY ALL""",
+    ),
+    "ubi_sum_by_line": (
+        line_sums,
+        f"""WITH {LINES_SQL} SELECT l_orderkey, l_linenumber, concat(sum(cents), 'e2b0/1e0b0') AS total FROM lines GROUP BY ALL""",
+    ),
     "exact_revenue": (
         revenue,
         f"""WITH {LINES_SQL} SELECT l_returnflag, l_linestatus,

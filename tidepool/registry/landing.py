@@ -169,7 +169,7 @@ def token_metadata(spark, sf_dir):
 
 
 def next_epoch(spark, sf_dir):
-    markers = read(spark, sf_dir, "orders").where("o_orderkey >= 100").select(
+    markers = read(spark, sf_dir, "orders").select(
         F.floor(F.col("o_orderkey") / 100).cast("int").alias("epoch"),
         (F.floor(F.col("o_orderkey") / 100) * 30_000 + F.when(F.col("o_orderkey") < 2000, 60_000).otherwise(59_999)).alias("last_block"),
     )
@@ -378,7 +378,7 @@ QUERIES = {
     "next_epoch": (
         next_epoch,
         """WITH m AS (SELECT o_orderkey // 100 AS e, max(CASE WHEN o_orderkey < 2000 THEN 60000 ELSE 59999 END) AS ahead
-            FROM orders WHERE o_orderkey >= 100 GROUP BY ALL)
+            FROM orders GROUP BY ALL)
         SELECT CAST(min(c.e) AS INTEGER) AS epoch FROM (SELECT 1 AS e UNION SELECT e + 1 FROM m WHERE ahead >= 60000) c
         WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.e = c.e AND ahead >= 60000)""",
     ),

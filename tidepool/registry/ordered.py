@@ -91,7 +91,7 @@ def two_roles(spark, sf_dir):
 def two_keys(spark, sf_dir):
     """Left join on two keys: lines with the totals of their order and supplier."""
     line = lines(spark, sf_dir)
-    totals = line.where(F.col("qty") > 10).groupBy("l_orderkey", "l_suppkey").agg(F.sum("cents").alias("total"))
+    totals = line.groupBy("l_orderkey", "l_suppkey").agg(F.sum("cents").alias("total"))
     joined = line.join(totals, ["l_orderkey", "l_suppkey"], "left")
     return joined.groupBy("l_returnflag").agg(
         F.count(F.lit(1)).alias("n"), F.count("total").alias("matched"), F.sum("total").alias("total")
@@ -227,7 +227,7 @@ QUERIES = {
     "two_key_join": (
         two_keys,
         f"""WITH {LINES_SQL}, totals AS (SELECT l_orderkey, l_suppkey, CAST(sum(cents) AS BIGINT) AS total
-            FROM lines WHERE qty > 10 GROUP BY ALL)
+            FROM lines GROUP BY ALL)
         SELECT l_returnflag, count(*) AS n, count(total) AS matched, CAST(sum(total) AS BIGINT) AS total
         FROM lines LEFT JOIN totals USING (l_orderkey, l_suppkey) GROUP BY ALL""",
     ),

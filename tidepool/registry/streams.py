@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from tidepool.operators import valuation
 from tidepool.operators.pricing import swap_price, with_deltas
 from tidepool.operators.projections import log_id
+from tidepool.plans.rated_swaps import price_swaps
 from tidepool.registry.market import _QUOTES
 from tidepool.registry.ordered import _ASOF_KEYED, _DELTAS, DELTA_EXPIRY, KEYED_EXPIRY
 from tidepool.registry.tables import MARKET, cents, raw_swaps, read, rounded, scratch_folder, text
-from tidepool.streaming import buffer, sink, stateful
+from tidepool.streaming import buffer, microbatch, sink, stateful
 
 
 def _use_state_store(spark):
@@ -99,6 +100,26 @@ def stream_exchange_rates(spark, sf_dir):
     )
 
 
+def stream_rated_batches(spark, sf_dir):
+    """Quotes of the rated table after three micro-batches, each a part of the market's swaps."""
+    folder = scratch_folder(spark, "rated-batches")
+    price_swaps(raw_swaps(spark, sf_dir), MARKET).write.parquet(f"{folder}/priced")
+    priced = spark.read.parquet(f"{folder}/priced")
+    last = priced.agg(F.max("blockNumber")).first()[0]
+    borders = [0, last // 3, last // 2, last + 1]
+    for low, high in zip(borders[:-1], borders[1:]):
+        part = priced.where((F.col("blockNumber") >= low) & (F.col("blockNumber") < high))
+        part.write.mode("append").parquet(f"{folder}/arrived")
+        arrived = spark.readStream.schema(priced.schema).parquet(f"{folder}/arrived")
+        sink.drain(microbatch.rated_batches(arrived, f"{folder}/rated", f"{folder}/state", f"{folder}/checkpoint", MARKET))
+    bases = ("base0", "base1", "usdBase")
+    return spark.read.parquet(f"{folder}/rated").select(
+        "blockNumber",
+        *(F.col(f"{b}.poolAddress").alias(f"{b}_pool") for b in bases),
+        *(F.col(f"{b}.logId").cast("bigint").alias(f"{b}_at") for b in bases),
+    )
+
+
 def stream_upsert(spark, sf_dir):
     """Orders streamed into a table partitioned by status, twice over, keyed by order."""
     folder = scratch_folder(spark, "upsert")
@@ -114,6 +135,7 @@ QUERIES = {
     "stream_asof": (stream_asof, _ASOF_KEYED),
     "stream_deltas": (stream_deltas, _DELTAS),
     "stream_exchange_rates": (stream_exchange_rates, _QUOTES),
+    "stream_rated_batches": (stream_rated_batches, _QUOTES),
     "stream_upsert": (
         stream_upsert,
         "SELECT o_orderstatus AS date, o_orderkey AS logId, o_custkey * 2 AS v FROM orders",

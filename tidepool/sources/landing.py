@@ -78,12 +78,11 @@ def epoch_of(block: str | Column) -> Column:
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str]) -> None:
     """Overwrite just the partitions present in ``df``.
 
-    Rows are spread over files by partition and a hash of the row, so one large
-    partition is written by many tasks.
+    Rows are rebalanced by partition: adaptive execution splits a large one over tasks
+    and joins small ones, by their measured size.
     """
-    spread = F.pmod(F.xxhash64(*(c for c, t in df.dtypes if not t.startswith("map"))), F.lit(64))
     (
-        df.repartition(*by, spread)
+        df.hint("rebalance", *by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -84,18 +83,16 @@ def rated_batches(
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        kept = None
-        if batch_id:
-            try:
-                kept = spark.read.schema(schema).parquet(f"{state}/{batch_id - 1}")
-            except AnalysisException:
-                kept = None
+        # a missing state folder of an earlier batch is an error, not "no state"
+        kept = spark.read.schema(schema).parquet(f"{state}/{batch_id - 1}") if batch_id else None
+        batch = batch.persist()  # read by the check, the rating and the carried rows
         if kept is not None and not late_swaps(batch, kept).isEmpty():
             raise AssertionError("swaps found at or before the last known swap of their pool")
         rated = rate_batch(batch, kept, market, slices, conf)
-        upsert_path(as_published(value_swaps(rated, market, conf=conf), RATED_SWAPS), target)
+        upsert_path(as_published(value_swaps(rated, market, conf=conf), RATED_SWAPS), target, batch_id=batch_id)
         known = batch if kept is None else batch.unionByName(kept)
         carried_rows(known, market).write.mode("overwrite").parquet(f"{state}/{batch_id}")
+        batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     return with_trigger(writer, live).start()

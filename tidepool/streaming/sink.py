@@ -12,10 +12,13 @@ from pyspark.sql.streaming import StreamingQuery
 from tidepool.operators.upsert import latest_per_key, merge_upsert
 
 
-def _existing(spark: SparkSession, path: str, schema) -> DataFrame | None:
+def existing(spark: SparkSession, path: str, schema) -> DataFrame | None:
+    """The table at ``path``, or None where nothing was written yet; any other error is raised."""
     try:
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException:  # first write creates the table
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
@@ -25,29 +28,32 @@ def upsert_path(
     keys: Sequence[str] = ("date", "logId"),
     partition: str = "date",
     sequence: str | None = None,
+    batch_id: int | str = "batch",
 ) -> None:
     """Merge a batch into a partitioned Parquet table: update matches, insert the rest.
 
     Only partitions present in the batch are read and rewritten. The batch and the
-    merged partitions are written beside the table first, so an interrupted merge can
-    be run again.
+    merged partitions are written beside the table first, in a folder of this batch, so
+    an interrupted merge can be run again. Without ``sequence`` a key may occur only
+    once in a batch, else the merge fails.
     """
     spark = batch.sparkSession
-    batch.write.mode("overwrite").parquet(f"{path}/_staging/batch")
-    staged = spark.read.parquet(f"{path}/_staging/batch")
+    staging = f"{path}/_staging/{batch_id}"
+    batch.write.mode("overwrite").parquet(f"{staging}/batch")
+    staged = spark.read.parquet(f"{staging}/batch")
     touched = [r[0] for r in staged.select(partition).distinct().collect()]
     if not touched:
         return
-    target = _existing(spark, path, staged.schema)
+    target = existing(spark, path, staged.schema)
     if target is None:
         merged = latest_per_key(staged, keys, sequence)
     else:
         merged = merge_upsert(target.where(F.col(partition).isin(*touched)), staged, keys, sequence)
-    merged.write.mode("overwrite").parquet(f"{path}/_staging/merged")
+    merged.write.mode("overwrite").parquet(f"{staging}/merged")
     (
         spark.read.schema(merged.schema)
-        .parquet(f"{path}/_staging/merged")
-        .repartition(partition, F.pmod(F.xxhash64(*keys), F.lit(64)))
+        .parquet(f"{staging}/merged")
+        .hint("rebalance", partition)  # files by the measured size of each partition
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
@@ -61,6 +67,7 @@ def upsert_stream(
     checkpoint: str,
     keys: Sequence[str] = ("date", "logId"),
     live: bool = False,
+    sequence: str | None = None,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Start a stream whose micro-batches are merged into ``path``.
@@ -69,7 +76,7 @@ def upsert_stream(
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        upsert_path(prepare(batch) if prepare else batch, path, keys)
+        upsert_path(prepare(batch) if prepare else batch, path, keys, sequence=sequence, batch_id=batch_id)
 
     writer = df.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return with_trigger(writer, live).start()
