@@ -14,6 +14,7 @@ from tidepool.llm import bpe, decontamination, lines, quality, queries, similari
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the classifier rejects; texts without words score the share of good labels."""
+    storage.bounded_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality.accepted(docs, queries.quality_model(docs, labels), queries.ACCEPTED_SCORE)
 
@@ -42,6 +43,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, with a digest of what they decode to."""
+    storage.bounded_batches(spark)
     path = wordpieces.tokenizer_path()
     tokens = bpe.decoded(bpe.encoded(docs, path), path)
     decoded = F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")

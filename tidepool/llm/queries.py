@@ -14,6 +14,7 @@ from tidepool.llm import bpe, decontamination, language, lines, neighbours, qual
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    storage.bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

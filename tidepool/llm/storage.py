@@ -24,3 +24,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Bytes of texts or ids that one Arrow batch holds; a worker holds a few batches at a time.
+BATCH_BYTES = "8m"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Cuts Arrow batches by bytes, as ten thousand long texts in one would fill a worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
