@@ -15,9 +15,9 @@ few shingles also go to the trees of empty groups, where full ones may not suffi
 
 Equal sets are one node from the start. Each tree first asks for its least node only. Where all nodes
 of a tree are then in one component, no other pair can change the result; all other trees are joined
-with themselves, passing over boxes and pairs within a component. As long as that finds links, each
-point asks only for its best partner by bound, so that a group of copies grows together in a few rounds
-of few pairs; then all pairs that are left are verified. Trees with many points are cut into blocks,
+with themselves, passing over boxes and pairs within a component. First, in every fourth tree, each
+point asks only for its best partner by bound, as long as that finds links, so that a group of copies
+grows together in a few rounds of few pairs; then all pairs that are left in all trees are verified. Trees with many points are cut into blocks,
 and pairs of blocks are dealt out. Verification streams the texts of a node's partners past its set, at
 most about ``PARTNERS`` per unit of work.
 
@@ -302,7 +302,10 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     roots = components(links, "a", "b")
     best_only = True
     while True:
-        asked = storage.written(_across(members.select("key", "node"), points, roots, percent, best_only), "pairs")
+        trees = members.select("key", "node")
+        if best_only:  # a pair shares many trees; the last round looks into all
+            trees = trees.where(F.pmod("key", F.lit(4)) == 0)
+        asked = storage.written(_across(trees, points, roots, percent, best_only), "pairs")
         more = storage.written(_verified(asked, texts, k, percent), "more-links")
         grows = bool(more.head(1))
         if grows:
