@@ -121,8 +121,9 @@ def train(bags: list[np.ndarray], labels: np.ndarray, base: float, epochs: int =
     if not len(bags) or labels.min() == labels.max():
         return Model(base)
     everything = np.concatenate(bags)
-    mean, spread = everything.mean(axis=0), everything.std(axis=0) + 1e-6
-    bags = [((b - mean) / spread).astype(np.float64) for b in bags]
+    mean, spread = everything.mean(axis=0), everything.std(axis=0) + np.float32(1e-6)
+    del everything
+    bags = [(b - mean) / spread for b in bags]
     # both classes weigh the same; the shift at the end restores the share that labels have
     weight = np.where(labels == 1, 0.5 / labels.mean(), 0.5 / (1 - labels.mean()))
     rng = np.random.default_rng(11)
@@ -134,7 +135,7 @@ def train(bags: list[np.ndarray], labels: np.ndarray, base: float, epochs: int =
         for a in range(0, len(order), BATCH):
             batch = order[a : a + BATCH]
             bounds = np.concatenate([[0], np.cumsum([len(bags[i]) for i in batch])])
-            grad = _gradient(w, np.concatenate([bags[i] for i in batch]), bounds, labels[batch], weight[batch])
+            grad = _gradient(w, np.concatenate([bags[i] for i in batch]).astype(np.float64), bounds, labels[batch], weight[batch])
             step += 1
             for k, d in grad.items():
                 d = d + DECAY * w[k]
@@ -193,7 +194,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     found = rows.mapInArrow(features, schema).groupBy("id").agg(F.min("y").alias("y"), F.min("x").alias("x")).orderBy("id").collect()
     found = [r for r in found if len(r["x"])]
     bags = [np.frombuffer(bytes(r["x"]), dtype=np.float32).reshape(-1, N_FEATURES) for r in found]
-    return train(bags, np.array([r["y"] for r in found], dtype=np.float64), base)
+    labels = np.array([r["y"] for r in found], dtype=np.float64)
+    del found
+    return train(bags, labels, base)
 
 
 def scored(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

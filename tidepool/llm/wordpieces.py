@@ -38,10 +38,12 @@ def tokenizer(path: str):
     return t
 
 
+@lru_cache(maxsize=2)
 def pieces(path: str) -> list[str]:
-    """Piece of each id; the size is fixed by the vocabulary."""
-    t = tokenizer(path)
-    vocabulary = t.get_vocab(with_added_tokens=True)
+    """Piece of each id; the size is fixed by the vocabulary. The driver keeps these, not the tokenizer."""
+    from tokenizers import Tokenizer
+
+    vocabulary = Tokenizer.from_file(path).get_vocab(with_added_tokens=True)
     out = [""] * (max(vocabulary.values()) + 1)
     for piece, i in vocabulary.items():
         out[i] = piece
