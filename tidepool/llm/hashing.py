@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 _GEN = np.random.default_rng(20240607)
 _BYTE = _GEN.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BYTE_LOWER = _BYTE.copy()
@@ -46,7 +46,7 @@ def _powers_upto(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers_upto(max(SLICE_BYTES + 1, 1 << (size + 1).bit_length()))
+    return _powers_upto(SLICE_BYTES + 2 if size <= SLICE_BYTES + 1 else 1 << size.bit_length())
 
 
 class Texts(NamedTuple):
