@@ -122,6 +122,21 @@ def test_bpe_against_the_library(spark, head_bytes, rare):
         assert got[i].decoded == library.decode(ids, skip_special_tokens=False)
 
 
+@pytest.mark.parametrize("rare", ["local", "join"])
+def test_bpe_of_a_word_with_many_ids(spark, rare):
+    digits = "".join(random.Random(3).choice("0123456789") for _ in range(70_000))
+    texts = [data.prose(i, 200) for i in range(20)] + [f"before {digits} after", digits]
+    assert len(_library_ids(digits)) == 70_000
+    docs = _frame(spark, texts)
+    head = bpe.head_of(docs, PATH)
+    assert head.lengths.max() == 70_000 and head.lengths.sum(dtype=np.int64) == len(head.ids)
+    got = _by_id(bpe.decoded(bpe.encoded(docs, PATH, head=head, rare=rare), PATH))
+    library = wordpieces.tokenizer(PATH)
+    for i, text in enumerate(texts):
+        assert list(got[i].ids) == _library_ids(text)
+        assert got[i].decoded == library.decode(_library_ids(text), skip_special_tokens=False)
+
+
 def test_bpe_of_odd_ids_and_numbers(spark):
     docs = spark.createDataFrame([(None, "Some words"), (4, "Some words"), (4, "Some words"), (4, "others here"), (5, None)], "doc_id bigint, text string")
     want = [(0, "Some words"), (4, "Some words"), (4, "Some words"), (4, "others here"), (5, None)]
