@@ -106,6 +106,35 @@ def test_pieces_sent_stay_few(spark):
     assert _by_id(repeats.without_repeats(docs))[150].n_removed == 80
 
 
+def _frequent_line():
+    """A line between differing words, a passage of many documents, one word over and over, and exact copies."""
+    line, passage = data.prose(40, 20), data.prose(41, 50)
+    texts = [f"{data.prose(2000 + i, 40)} {line} {data.prose(3000 + i, 40)}" for i in range(150)]
+    texts += [f"{data.prose(4000 + i, 5)} {passage} {data.prose(5000 + i, 5)}" for i in range(50)]
+    return texts + ["na " * 400, "na " * 50] + texts[:3] + data.awkward()
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_repeats_of_crowded_anchors(spark, partitions):
+    texts = _frequent_line()
+    docs = _frame(spark, texts).repartition(partitions)
+    want = brute.without_repeats(texts, 35)
+    for most in (0, 60, repeats.ANCHOR_WINDOWS):
+        got = _by_id(repeats.without_repeats(docs, most=most))
+        assert [(got[i].n_words, got[i].n_removed, got[i].text) for i in range(len(texts))] == want
+
+
+def test_no_key_gathers_a_crowded_anchor(spark):
+    docs = _frame(spark, _frequent_line()).repartition(7)
+
+    def largest(most):
+        sent = repeats.dealt_pieces(docs, most=most).where("windows IS NOT NULL")
+        return sent.groupBy("key").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0]
+
+    assert largest(1 << 40) > 1000  # all windows of an anchor by its one key
+    assert largest(60) <= 60
+
+
 # tokens
 
 

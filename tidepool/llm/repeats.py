@@ -8,9 +8,16 @@ against that index: a factor starts at a window that occurs elsewhere and runs o
 runs on, too. A window that crosses the end of a factor is looked up like any other and starts a
 factor of its own if it occurs elsewhere, so the factors cover exactly the words of repeated windows.
 
-A piece that repeats within a task is sent twice at most; further copies are known to be repeats
+A piece that repeats within a task is sent twice, as a rule; further copies are known to be repeats
 where they lie. So a passage found in a third of all documents reaches its block a few times per task.
 
+A frequent line in differing surroundings gives many different pieces with one anchor. So a first pass
+counts the windows that each bucket of anchors would receive. Pieces of buckets beyond ``ANCHOR_WINDOWS``
+are dealt window by window, by anchor and window hash, and each window is sent twice per task, as a rule.
+Equal windows still meet, and no task holds more than ``ANCHOR_WINDOWS`` windows of different content for
+one key. Which buckets these are is a matter of balance only. At 30 GB a bucket of ordinary anchors has
+about 5000 windows; from some 400 GB on nearly all windows are dealt one by one, at more shuffle.
+
 Cases: a NULL or blank text has no words; a text shorter than a window keeps all; repeated rows, and
 rows that share an id, are documents of their own and repeat each other where their words do; NULL ids
 are kept; other columns are ignored, whatever their names. Windows are compared by a 64-bit anchor
@@ -32,8 +39,10 @@ from tidepool.llm.hashing import Texts, Words
 WINDOW_WORDS = 35
 ANCHOR_WORDS = 6
 _KEPT_BYTES = 6  # of a window's hash
-#: Repeating pieces that a task remembers, and window rows that a block works on at a time.
-_KNOWN, _BLOCK_WINDOWS = 200_000, 1 << 20
+#: Pieces, and windows, that a task remembers, and window rows that a block works on at a time.
+_KNOWN, _BLOCK_WINDOWS = 1 << 18, 1 << 20
+#: Buckets of anchors that are counted, and windows up to which a bucket is dealt by anchor.
+_BUCKETS, ANCHOR_WINDOWS = 1 << 20, 1 << 16
 
 
 def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -77,35 +86,80 @@ class Pieces:
         return hashing.mixed(hashing.window_hashes(self.windows, bounds, int(self.count.max(initial=1)), short=True).hashes ^ self.key)
 
 
-def _send(batches, window: int, anchor: int) -> Iterator[pa.RecordBatch]:
-    known: set[int] = set()
+class Sent:
+    """What a task sent once or twice, in a table of fixed size; copies of what fell out are sent again."""
+
+    def __init__(self):
+        self.hashes, self.times = np.zeros(_KNOWN, dtype=np.uint64), np.zeros(_KNOWN, dtype=np.int64)
+
+    def new(self, hashes: np.ndarray) -> np.ndarray:
+        """Which of these are to be sent; all others are repeats of two that were."""
+        distinct, inverse, n = np.unique(hashes, return_inverse=True, return_counts=True)
+        rank = np.empty(len(hashes), dtype=np.int64)
+        rank[np.argsort(inverse, kind="stable")] = np.arange(len(hashes)) - np.repeat(np.cumsum(n) - n, n)
+        slot = (distinct % np.uint64(_KNOWN)).astype(np.int64)
+        before = np.where(self.hashes[slot] == distinct, self.times[slot], 0)
+        self.hashes[slot] = distinct
+        self.times[slot] = np.where(self.hashes[slot] == distinct, np.minimum(before + n, 2), 0)
+        return rank < (2 - before)[inverse]
+
+
+def _buckets(keys: np.ndarray) -> np.ndarray:
+    return (hashing.mixed(keys) % np.uint64(_BUCKETS)).astype(np.int64)
+
+
+def _count(batches, window: int, anchor: int) -> Iterator[pa.RecordBatch]:
+    """Windows that a task would send to each bucket of anchors."""
+    sent, counts = Sent(), np.zeros(_BUCKETS, dtype=np.int64)
+    for batch in batches:
+        for texts in hashing.text_slices(batch.column(0)):
+            p = Pieces(texts, window, anchor)
+            if len(p.key):
+                new = sent.new(p.content())
+                np.add.at(counts, _buckets(p.key[new]), p.count[new])
+    used = np.flatnonzero(counts)
+    for first in range(0, len(used), 1 << 16):
+        some = used[first : first + (1 << 16)]
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(counts[some])], names=["bucket", "n"])
+
+
+def _dealt(batch: pa.RecordBatch, texts: Texts, key: np.ndarray, row: np.ndarray, start: np.ndarray, count: np.ndarray, sent: np.ndarray, windows: np.ndarray) -> pa.RecordBatch:
+    """Runs of windows to deal by key; ``windows`` are those of the sent runs, others are known repeats."""
+    raw = np.ascontiguousarray(np.ascontiguousarray(windows).view(np.uint8).reshape(-1, 8)[:, :_KEPT_BYTES])
+    offsets = np.concatenate([[0], np.cumsum(np.where(sent, count * _KEPT_BYTES, 0))]).astype(np.int32)
+    of_windows = pa.BinaryArray.from_buffers(pa.binary(), len(sent), [pa.array(sent).buffers()[1], pa.py_buffer(offsets), pa.py_buffer(raw)])
+    at = pa.array(row + texts.first)
+    # known repeats only pass through a block, any block
+    key = np.where(sent, key, key + np.arange(len(key), dtype=np.uint64)).view(np.int64)
+    columns = [pa.array(key), batch.column(0).take(at), batch.column(1).take(at), pa.array(start.astype(np.int32))]
+    return pa.RecordBatch.from_arrays([*columns, pa.array(count.astype(np.int32)), of_windows], names=["key", "doc_id", "row_hash", "start", "n", "windows"])
+
+
+def _send(batches, window: int, anchor: int, crowded: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    pieces, singles = Sent(), Sent()
     for batch in batches:
         for texts in hashing.text_slices(batch.column(2)):
             p = Pieces(texts, window, anchor)
             if not len(p.key):
                 continue
             content = p.content()
-            distinct, inverse, n = np.unique(content, return_inverse=True, return_counts=True)
-            rank = np.empty(len(content), dtype=np.int64)
-            order = np.argsort(inverse, kind="stable")
-            rank[order] = np.arange(len(content)) - np.repeat(np.cumsum(n) - n, n)
-            often = distinct[n > 1]
-            seen = np.isin(content, np.fromiter(known, dtype=np.uint64, count=len(known))) if known else np.zeros(len(content), dtype=bool)
-            if len(known) + len(often) <= _KNOWN:
-                known.update(often.tolist())
-            sent = (rank < 2) & ~seen
-            raw = np.ascontiguousarray(p.windows).view(np.uint8).reshape(-1, 8)[:, :_KEPT_BYTES]
-            if not sent.all():
-                raw = raw[np.repeat(sent, p.count)]
-            sizes = np.where(sent, p.count * _KEPT_BYTES, 0)
-            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            validity = pa.array(sent).buffers()[1]
-            windows = pa.BinaryArray.from_buffers(pa.binary(), len(sent), [validity, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(raw))])
-            at = pa.array(p.row + texts.first)
-            # known repeats only pass through a block, any block
-            key = np.where(sent, p.key, content + np.arange(len(content), dtype=np.uint64)).view(np.int64)
-            columns = [pa.array(key), batch.column(0).take(at), batch.column(1).take(at), pa.array(p.start.astype(np.int32))]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(p.count.astype(np.int32)), windows], names=["key", "doc_id", "row_hash", "start", "n", "windows"])
+            sent = pieces.new(content)
+            split = sent & np.isin(_buckets(p.key), crowded) if crowded is not None and len(crowded) else np.zeros(len(sent), dtype=bool)
+            whole = ~split
+            key = np.where(sent, p.key, content)
+            yield _dealt(batch, texts, key[whole], p.row[whole], p.start[whole], p.count[whole], sent[whole], p.windows[np.repeat(sent & whole, p.count)])
+            if not split.any():
+                continue
+            at = np.flatnonzero(np.repeat(split, p.count))
+            piece = np.repeat(np.arange(len(p.key)), p.count)[at]
+            key = hashing.mixed(p.windows[at] ^ hashing.mixed(p.key[piece]))
+            sent = singles.new(key)
+            # a sent window goes alone, known ones in runs
+            first = np.ones(len(at), dtype=bool)
+            first[1:] = sent[1:] | sent[:-1] | (piece[1:] != piece[:-1])
+            runs = np.flatnonzero(first)
+            start = p.start[piece[runs]] + at[runs] - p.first[piece[runs]]
+            yield _dealt(batch, texts, key[runs], p.row[piece[runs]], start, np.diff(np.append(runs, len(at))), sent[runs], p.windows[at[sent]])
 
 
 def block_factors(keys: np.ndarray, counts: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -170,14 +224,22 @@ def _parse(batches, window: int) -> Iterator[pa.RecordBatch]:
         yield parsed(pa.Table.from_batches(held))
 
 
-def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW_WORDS, anchor: int = ANCHOR_WORDS) -> DataFrame:
-    """(doc_id, row_hash, start, n): words [start, start + n) of a document are a factor found elsewhere; factors may overlap."""
-    of_id = docs.schema[doc_id].dataType.simpleString()
+def dealt_pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW_WORDS, anchor: int = ANCHOR_WORDS, most: int = ANCHOR_WINDOWS) -> DataFrame:
+    """(key, doc_id, row_hash, start, n, windows): runs of windows by the key at which equal ones meet; known repeats have no windows."""
+    of_id, anchor = docs.schema[doc_id].dataType.simpleString(), min(anchor, window)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.hash(doc_id, text).alias("row_hash"), F.col(text).cast("string").alias("text"))
-    pieces = rows.mapInArrow(
-        lambda batches: _send(batches, window, min(anchor, window)), f"key bigint, doc_id {of_id}, row_hash int, start int, n int, windows binary"
+    counts = rows.select("text").mapInArrow(lambda batches: _count(batches, window, anchor), "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
+    crowded = np.array([r.bucket for r in counts.where(F.col("n") > most).collect()], dtype=np.int64)
+    held = docs.sparkSession.sparkContext.broadcast(crowded)
+    return rows.mapInArrow(
+        lambda batches: _send(batches, window, anchor, held.value), f"key bigint, doc_id {of_id}, row_hash int, start int, n int, windows binary"
     )
-    blocks = pieces.repartition("key").sortWithinPartitions("key")
+
+
+def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW_WORDS, anchor: int = ANCHOR_WORDS, most: int = ANCHOR_WINDOWS) -> DataFrame:
+    """(doc_id, row_hash, start, n): words [start, start + n) of a document are a factor found elsewhere; factors may overlap."""
+    of_id = docs.schema[doc_id].dataType.simpleString()
+    blocks = dealt_pieces(docs, doc_id, text, window, anchor, most).repartition("key").sortWithinPartitions("key")
     return blocks.mapInArrow(lambda batches: _parse(batches, window), f"doc_id {of_id}, row_hash int, start int, n int")
 
 
@@ -216,10 +278,10 @@ def _remove(batches) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([rows, pa.array(words.counts), pa.array(words.counts - kept), _joined(texts, words, keep)], names=["doc_id", "n_words", "n_removed", "text"])
 
 
-def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW_WORDS, anchor: int = ANCHOR_WORDS) -> DataFrame:
+def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW_WORDS, anchor: int = ANCHOR_WORDS, most: int = ANCHOR_WINDOWS) -> DataFrame:
     """(doc_id, n_words, n_removed, text) per row: the words outside repeated windows, joined by one space."""
     of_id = docs.schema[doc_id].dataType.simpleString()
-    spans = repeated_spans(docs, doc_id, text, window, anchor)
+    spans = repeated_spans(docs, doc_id, text, window, anchor, most)
     # row_hash and id make the join key; a factor sits in one document, so a list is no longer than its text
     lists = spans.groupBy("doc_id", "row_hash").agg(F.collect_set(F.struct("start", "n")).alias("spans")).withColumnsRenamed({"doc_id": "of_doc", "row_hash": "of_row"})
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.hash(doc_id, text).alias("row_hash"), F.col(text).cast("string").alias("text"))
