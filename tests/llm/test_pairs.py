@@ -75,6 +75,17 @@ def test_similar_documents_odd_ids(spark):
     assert similarity.similar_documents(docs.limit(0)).count() == 0
 
 
+def test_a_row_without_id_links_named_ones(spark):
+    base = data.prose(1, 60).split(" ")
+    left, middle, right = base[:52], base[:56], base[:60]
+    left[0], right[-1] = "left", "right"
+    texts = [" ".join(w) for w in (left, right, middle)]
+    assert brute.similar(texts[:2], 5, 88) == [0, 1] and brute.similar(texts, 5, 88) == [0, 0, 0]
+    rows = [(7, texts[0]), (4, texts[1]), (None, texts[2]), (None, texts[2].replace(" ", "  ")), (None, None), (None, data.prose(2, 60))]
+    got = similarity.similar_documents(spark.createDataFrame(rows, "doc_id bigint, text string"), percent=88).collect()
+    assert sorted((r.doc_id or 0, r.component_id or 0) for r in got) == [(0, 0), (0, 0), (0, 4), (0, 4), (4, 4), (7, 4)]
+
+
 def test_a_tree_cut_into_blocks_gives_all_pairs(spark, monkeypatch):
     monkeypatch.setattr(similarity, "BLOCK", 4)
     texts = [f"{i} " + data.prose(11, 12) for i in range(12)] + [data.prose(11, 12) + f" {i}" for i in range(8)]

@@ -295,7 +295,10 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     sizes = every.select("node", "n", "counts").join(candidates, "node", "left_semi").dropDuplicates(["node"])
     points = storage.written(sizes, "tree-points")
     speakers = every.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(candidates, "node", "left_semi")
-    texts = storage.written(rows.join(speakers, "doc_id").transform(lambda df: _of_their_node(df, k)), "candidate-texts")
+    named = rows.join(speakers, "doc_id").transform(lambda df: _of_their_node(df, k))
+    # sets that only rows without an id have are found by their texts; an id would not tell these rows apart
+    nameless = _with_node(rows.where(F.col("doc_id").isNull()), k).join(speakers.where(F.col("doc_id").isNull()).select("node"), "node", "left_semi")
+    texts = storage.written(named.unionByName(nameless.dropDuplicates(["node"])), "candidate-texts")
 
     asked = members.where(F.col("node") != F.col("lead")).select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
     links = storage.written(_verified(_bounded(asked, points, percent), texts, k, percent), "links")
@@ -332,3 +335,15 @@ def _of_their_node(rows: DataFrame, k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(0)], names=["node", "text"]).filter(pa.array(keep))
 
     return rows.select("text", "node").mapInArrow(match, "node bigint, text string")
+
+
+def _with_node(rows: DataFrame, k: int) -> DataFrame:
+    """(node, text) of all rows."""
+
+    def nodes(batches):
+        for batch in batches:
+            for texts in hashing.text_slices(batch.column(0)):
+                node = set_nodes(shingle_sets(texts, k)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(node), batch.column(0).slice(texts.first, texts.rows)], names=["node", "text"])
+
+    return rows.select("text").mapInArrow(nodes, "node bigint, text string")
