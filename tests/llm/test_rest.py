@@ -2,6 +2,7 @@
 
 import glob
 import os
+from fractions import Fraction
 
 import duckdb
 import numpy as np
@@ -72,13 +73,13 @@ def _brute_nearest(rows, k):
     return sorted(out)
 
 
-@pytest.mark.parametrize("part_bytes", [1 << 20, 4000])
-def test_neighbours_are_exact(spark, part_bytes):
+@pytest.mark.parametrize("block_bytes", [1 << 20, 9000])
+def test_neighbours_are_exact(spark, block_bytes):
     rng = np.random.default_rng(3)
     rows = [(i, rng.normal(size=8).round(2).tolist()) for i in range(300)] + [(300 + i, (np.ones(8) * s).tolist()) for i, s in enumerate((1e-3, 1e5, -1e5, 1, 1, 1))]
     rows += [(400, None), (401, [0.0] * 8), (402, [float("nan")] + [1.0] * 7), (403, [float("inf")] * 8), (404, [1.0, None] + [1.0] * 6), (405, [1.0, 2.0]), (406, [1.0, 5.0])]
     docs = spark.createDataFrame([(i, v, "l", 1) for i, v in rows], "vec_id bigint, embedding array<double>, id string, dim int")
-    got = sorted(tuple(r) for r in neighbours.nearest(docs, docs, k=5, part_bytes=part_bytes).collect())
+    got = sorted(tuple(r) for r in neighbours.nearest(docs, docs, k=5, block_bytes=block_bytes).collect())
     want = _brute_nearest(rows, 5)
     assert [g[:3] for g in got] == [w[:3] for w in want]
     assert np.allclose([g[3] for g in got], [w[3] for w in want], rtol=1e-12)
@@ -87,11 +88,26 @@ def test_neighbours_are_exact(spark, part_bytes):
 def test_neighbours_of_few_repeated_and_none(spark):
     docs = spark.createDataFrame([(1, [1.0]), (2, [3.0]), (2, [3.0]), (None, [2.0])], "vec_id bigint, embedding array<float>")
     got = sorted(tuple(r) for r in neighbours.nearest(docs, docs, k=10).collect())
-    assert got == [(1, 1, 2, 2.0), (2, 1, 1, 2.0)]
+    assert got == [(1, 1, 2, 2.0), (1, 2, 2, 2.0), (2, 1, 1, 2.0)]  # every row is a candidate
     assert neighbours.nearest(docs.limit(0), docs).count() == 0
     assert neighbours.nearest(docs, docs.limit(0)).count() == 0
 
 
+def test_neighbours_of_any_finite_size(spark):
+    rows = [(0, [1e155, 1.0]), (1, [1e155 + 1e148, 1.0]), (2, [1e155, 5.0]), (3, [-1e155, 1.0]), (4, [1e-170, 0.0]), (5, [3e-170, 0.0]), (6, [1e308, -1e308]), (7, [-1e308, 1e308])]
+    docs = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    exact = {i: [Fraction(x) for x in v] for i, v in rows}
+    for got in (neighbours.nearest(docs, docs, k=7).collect(), neighbours.nearest(docs, docs.where("vec_id < 3"), k=2).collect()):
+        for q in {r.query_id for r in got}:
+            near = sorted((sum((a - b) ** 2 for a, b in zip(exact[q], exact[i], strict=True)), i) for i in exact if i != q)
+            own = sorted((r.rank, r.vec_id, r.score) for r in got if r.query_id == q)
+            for rank, i, score in own:
+                want = near[rank - 1][0]
+                assert near[rank - 1][1] == i or score in {s for _, j, s in own if j != i} or score == float("inf")
+                if want < Fraction(1e300) ** 2:
+                    assert abs(Fraction(score) ** 2 - want) <= want * Fraction(1, 10**12)
+
+
 def test_code_bounds_hold():
     rng = np.random.default_rng(5)
     a, b = (neighbours.Codes(rng.normal(size=(40, 24)) * s) for s in (1.0, 30.0))

@@ -6,6 +6,7 @@ size between rows, so a task holds a few megabytes of scratch arrays whatever it
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -15,11 +16,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 19
-_GEN = np.random.default_rng(20240607)
-_BYTE = _GEN.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BYTE_LOWER = _BYTE.copy()
-_BYTE_LOWER[65:91] = _BYTE[97:123]
-_BYTE_OTHER = _GEN.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Starting values of two independent hashes.
+_SEEDS = (np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344))
+#: Words beyond this many bytes are hashed by the library, one by one.
+_LONG_WORD = 64
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15 | 4 | 1
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _LENGTH = np.uint64(0xD6E8FEB86659FD93)
@@ -46,7 +49,9 @@ def _powers_upto(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers_upto(SLICE_BYTES + 2 if size <= SLICE_BYTES + 1 else 1 << size.bit_length())
+    """Powers for ``size`` words; tables beyond those of a usual slice are not kept."""
+    most = SLICE_BYTES // 2 + 2
+    return _powers_upto(most) if size <= most else _powers_upto.__wrapped__(size)
 
 
 class Texts(NamedTuple):
@@ -106,16 +111,48 @@ def words_of(texts: Texts) -> Words:
     return Words(starts, ends, np.searchsorted(starts, texts.offsets))
 
 
-def word_hashes(texts: Texts, words: Words, lower: bool = False, other: bool = False) -> np.ndarray:
-    """64-bit hash of each word; ``lower`` reads A-Z as a-z, ``other`` is a second, independent hash."""
-    if not len(words.starts):
-        return np.zeros(0, dtype=np.uint64)
-    power, inverse = _powers(len(texts.data))
-    values = (_BYTE_LOWER if lower else _BYTE_OTHER if other else _BYTE)[texts.data]
-    values[SPACE[texts.data]] = 0
-    values *= power[: len(values)]
-    sums = np.add.reduceat(values, words.starts)
-    return mixed(sums * inverse[words.starts] + (words.ends - words.starts).astype(np.uint64) * _LENGTH)
+def _chunks(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place of ``data`` on, as numbers; behind the end stand zeros."""
+    padded = np.zeros(len(data) + 8, dtype=np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray(len(data) + 1, dtype="<u8", buffer=padded, strides=(1,))
+
+
+def word_hash_pair(texts: Texts, words: Words, lower: bool = False, both: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of each word; ``lower`` reads A-Z as a-z. Without ``both`` the second is empty.
+
+    Eight bytes at a time are mixed into the hash, so no arithmetic pattern of letters cancels out.
+    """
+    data = LOWER[texts.data] if lower else texts.data
+    sizes = words.ends - words.starts
+    seeds = _SEEDS if both else _SEEDS[:1]
+    hashes = [sizes.astype(np.uint64) * _LENGTH + seed for seed in seeds]
+    if len(sizes):
+        chunks = _chunks(data)
+        at, left, which = words.starts, sizes, None
+        for _ in range(_LONG_WORD // 8):
+            chunk = chunks[at] & _MASKS[np.minimum(left, 8)]
+            for h in hashes:
+                if which is None:
+                    h[:] = mixed(h ^ chunk)
+                else:
+                    h[which] = mixed(h[which] ^ chunk)
+            more = np.flatnonzero(left > 8)
+            if not len(more):
+                break
+            which = more if which is None else which[more]
+            at, left = at[more] + 8, left[more] - 8
+        for i in np.flatnonzero(sizes > _LONG_WORD):
+            raw = data[words.starts[i] : words.ends[i]].tobytes()
+            digest = np.frombuffer(hashlib.blake2b(raw, digest_size=16).digest(), dtype="<u8")
+            for h, part in zip(hashes, digest, strict=False):
+                h[i] = part
+    return hashes[0], hashes[1] if both else np.zeros(0, dtype=np.uint64)
+
+
+def word_hashes(texts: Texts, words: Words, lower: bool = False) -> np.ndarray:
+    """64-bit hash of each word; ``lower`` reads A-Z as a-z."""
+    return word_hash_pair(texts, words, lower, both=False)[0]
 
 
 class Windows(NamedTuple):

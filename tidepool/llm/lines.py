@@ -102,7 +102,7 @@ def _lines_by_broadcast(rows: DataFrame, frequent: DataFrame, depth: int) -> Dat
                 columns = [batch.column(0).take(at), batch.column(1).take(at), pa.array(number[keep].astype(np.int32)), pa.array(bodies, pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row_hash", "line", "body"])
 
-    return rows.mapInArrow(pick, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, row_hash int, line int, body string")
+    return rows.mapInArrow(pick, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, row_hash binary, line int, body string")
 
 
 def _lines_by_join(rows: DataFrame, lines: DataFrame, frequent: DataFrame) -> DataFrame:
@@ -124,8 +124,8 @@ def recurring_lines(
 ) -> DataFrame:
     """(doc_id, row_hash, line, template, docs, first): the lines of recurring templates; ``first`` marks the one to keep."""
     of_id = docs.schema[doc_id].dataType.simpleString()
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.hash(doc_id, text).alias("row_hash"), F.col(text).cast("string").alias("text"))
-    lines = rows.mapInArrow(lambda batches: _leaves(batches, depth), f"doc_id {of_id}, row_hash int, line int, leaf bigint")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), storage.row_hash(doc_id, text).alias("row_hash"), F.col(text).cast("string").alias("text"))
+    lines = rows.mapInArrow(lambda batches: _leaves(batches, depth), f"doc_id {of_id}, row_hash binary, line int, leaf bigint")
     frequent = storage.written(_documents(lines, "leaf").where(F.col("docs") >= min_docs).select("leaf"), "frequent-leaves")
     found = _lines_by_broadcast(rows, frequent, depth) if frequent.count() <= broadcast_leaves else _lines_by_join(rows, lines, frequent)
     tokens = tokens_of(F.col("body"))
@@ -182,12 +182,15 @@ def without_recurring_lines(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: int = DEPTH, min_docs: int = MIN_DOCS,
     constant_percent: int = CONSTANT_PERCENT, count: str = "n_dropped_lines",
 ) -> DataFrame:
-    """``docs`` with recurring lines dropped from the text, and how many were."""
+    """``docs`` with recurring lines dropped from the text, and how many were; a column of that name gives way to the count."""
     lines = recurring_lines(docs, doc_id, text, depth, min_docs, constant_percent).where(~F.col("first"))
     # names that no column of docs has
     of_doc, of_row, gone = "__dropped_of", "__dropped_row", "__dropped_lines"
     dropped = lines.groupBy(F.col("doc_id").alias(of_doc), F.col("row_hash").alias(of_row)).agg(F.collect_set("line").alias(gone))
-    joined = docs.join(dropped, F.col(doc_id).eqNullSafe(F.col(of_doc)) & (F.hash(doc_id, text) == F.col(of_row)), "left").drop(of_doc, of_row)
+    if count in (doc_id, text):
+        raise ValueError(f"{count!r} can't name the count")
+    docs = docs.drop(count)
+    joined = docs.join(dropped, F.col(doc_id).eqNullSafe(F.col(of_doc)) & (storage.row_hash(doc_id, text) == F.col(of_row)), "left").drop(of_doc, of_row)
     schema = T.StructType([*docs.schema.fields, T.StructField(count, T.LongType())])
     column = docs.columns.index(text)
     return joined.mapInArrow(lambda batches: _cut(batches, column, schema.names), schema)

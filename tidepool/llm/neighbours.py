@@ -1,38 +1,48 @@
 """Nearest neighbours by a block matrix join: int8 product tiles with error bounds, then floats.
 
-Candidates are dealt into parts of bounded bytes, queries go to every part in order, and a task
+Queries are broadcast in blocks of bounded bytes, and candidates are scanned where they lie: a task
 multiplies tiles of both as int8 codes. With v = s*q + r for each vector, the distance of two vectors
 differs from that of their codes by at most |r1| + |r2|. A pair whose lower bound exceeds the k-th
 smallest upper bound of its query can't be among its k nearest; all others are recomputed in double
-precision from the original vectors and kept in one heap per query. The best of all parts are merged
-per query, where Spark limits each task's share before the shuffle. The result is exact.
+precision from the original vectors and kept in one heap per query, which lasts for the whole task.
+The best of all tasks are merged per query, where Spark limits each task's share before the shuffle.
+The result is exact. Only queries and results are sent anywhere.
 
 Cases: vectors that are NULL, zero, or hold NULL or non-finite components take no part; only vectors
-of one length are compared; rows that share an id and a length count once; a query is never its own
-neighbour; ties go to the smaller id; fewer candidates than k give them all; other columns are ignored.
+of one length are compared; every row but those with the query's own id is a candidate, repeated rows
+each on its own; a repeated query is asked once; finite components may have any size (bounds are taken
+of vectors scaled by a power of two, and a distance whose squares overflow or vanish is scaled, too);
+ties go to the smaller id; fewer candidates than k give them all; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import heapq
-import math
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Bytes of candidates, in double precision, that a task holds at a time.
-PART_BYTES = 32 << 20
+from tidepool.llm import blocks, storage
+
 QUERY_TILE, CANDIDATE_TILE = 256, 4096
+#: Vectors are scaled below this power of two, so that squares stay finite.
+_TOP_EXPONENT = 400
+
+
+def shift_of(*vectors: np.ndarray) -> int:
+    """Power of two to divide by before coding; 0 for vectors of ordinary size."""
+    most = max(float(np.abs(v).max(initial=0.0)) for v in vectors)
+    return max(0, int(np.frexp(most)[1]) - _TOP_EXPONENT)
 
 
 class Codes:
-    """int8 codes of vectors with scales, code norms and residual norms."""
+    """int8 codes of vectors over 2^shift, with scales, code norms and residual norms."""
 
-    def __init__(self, vectors: np.ndarray):
+    def __init__(self, vectors: np.ndarray, shift: int = 0):
         self.vectors = vectors
+        vectors = np.ldexp(vectors, -shift) if shift else vectors
         self.scale = np.maximum(np.abs(vectors).max(axis=1), np.finfo(np.float64).tiny) / 127
         self.q = np.rint(vectors / self.scale[:, None]).astype(np.int8)
         code = self.q.astype(np.float64) * self.scale[:, None]
@@ -46,8 +56,7 @@ class Codes:
         return (self.q[of].astype(kind) @ other.q[tile].astype(kind).T).astype(np.float64)
 
 
-def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Euclidean distances of paired rows; components are added in order."""
+def _plain_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     total = np.zeros(len(a))
     for j in range(a.shape[1]):
         d = a[:, j] - b[:, j]
@@ -55,107 +64,106 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(total)
 
 
-def tile_neighbours(query_ids: np.ndarray, queries: Codes, ids: np.ndarray, candidates: Codes, k: int) -> list[list[tuple[float, int]]]:
-    """The k nearest candidates of each query, exact."""
-    out: list[list[tuple[float, int]]] = []
-    for first in range(0, len(query_ids), QUERY_TILE):
-        rows = slice(first, first + QUERY_TILE)
-        own = query_ids[rows]
-        best = np.full((len(own), k), np.inf)
-        heaps: list[list[tuple[float, int]]] = [[] for _ in own]
-        for start in range(0, len(ids), CANDIDATE_TILE):
-            tile = slice(start, start + CANDIDATE_TILE)
-            dots = queries.products(rows, candidates, tile)
-            scales = queries.scale[rows][:, None] * candidates.scale[tile][None, :]
-            near2 = queries.norm2[rows][:, None] + candidates.norm2[tile][None, :] - 2 * scales * dots
-            near = np.sqrt(np.maximum(near2, 0))
-            # rounding of the expression above, for coordinates of any size
-            size = np.sqrt(queries.norm2[rows])[:, None] + np.sqrt(candidates.norm2[tile])[None, :]
-            slack = queries.rest[rows][:, None] + candidates.rest[tile][None, :] + 1e-6 * size
-            same = own[:, None] == ids[tile][None, :]
-            upper = np.where(same, np.inf, near + slack)
-            best = np.partition(np.concatenate([best, upper], axis=1), k - 1, axis=1)[:, :k]
-            r, c = np.nonzero((near - slack <= best.max(axis=1)[:, None]) & ~same)
-            exact = distances(queries.vectors[rows][r], candidates.vectors[tile][c])
-            for row, dist, i in zip(r.tolist(), exact.tolist(), ids[tile][c].tolist(), strict=True):
-                item = (-dist, -i)
-                if len(heaps[row]) < k:
-                    heapq.heappush(heaps[row], item)
-                elif item > heaps[row][0]:
-                    heapq.heapreplace(heaps[row], item)
-        out += [sorted((-d, -i) for d, i in h) for h in heaps]
+def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Euclidean distances of paired rows; components are added in order. Where squares leave the range of doubles, rows are scaled."""
+    with np.errstate(over="ignore", under="ignore"):
+        out = _plain_distances(a, b)
+        for i in np.flatnonzero(~np.isfinite(out) | (out < 1e-140)):
+            low, high = np.ldexp(a[i], -2), np.ldexp(b[i], -2)  # a difference of finite numbers may overflow
+            exponent = int(np.frexp(np.abs(low - high).max(initial=0.0))[1])
+            scaled = np.ldexp(low, -exponent) - np.ldexp(high, -exponent) if exponent > 0 else np.ldexp(low - high, -exponent)
+            out[i] = np.ldexp(np.sqrt(np.sum(scaled * scaled)), exponent + 2)
     return out
 
 
-def usable(vector: str):
-    """Condition on rows whose vector takes part."""
-    v = F.col(vector)
-    sound = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return F.coalesce(v.isNotNull() & sound & F.exists(v, lambda x: x != 0), F.lit(False))
-
-
-def _groups(batches) -> Iterator[tuple[tuple[int, int, int], np.ndarray, np.ndarray]]:
-    """Runs of one length, part and role, cut at batch borders; an id repeated in a run comes once."""
-    last = None
-    for batch in batches:
-        keys = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)], axis=1)
-        ids = batch.column(3).to_numpy(zero_copy_only=False)
-        flat, n = batch.column(4).flatten().to_numpy(zero_copy_only=False), batch.num_rows
-        ends = np.cumsum(keys[:, 0])
-        borders = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), n] if n else [0]
-        for a, b in zip(borders[:-1], borders[1:], strict=True):
-            key, part = tuple(int(x) for x in keys[a]), ids[a:b]
-            vectors = flat[ends[a] - key[0] : ends[b - 1]].reshape(b - a, key[0])
-            new = np.ones(b - a, dtype=bool)
-            new[1:] = part[1:] != part[:-1]
-            new[0] = last != (key, int(part[0]))
-            last = (key, int(part[-1]))
-            if new.any():
-                yield key, part[new], vectors[new]
-
-
-def nearest(candidates: DataFrame, queries: DataFrame, k: int = 10, vec_id: str = "vec_id", vector: str = "embedding", part_bytes: int = PART_BYTES) -> DataFrame:
+class Nearest:
+    """The k nearest candidates met so far of each query of one length, as heaps of (-distance, -id)."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
+        self.ids, self.vectors, self.k = ids, vectors, k
+        self.heaps: list[list[tuple[float, int]]] = [[] for _ in ids]
+        self.codes: dict[int, Codes] = {}
+
+    def meet(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        shift = shift_of(self.vectors, vectors)
+        if shift not in self.codes:
+            self.codes = {shift: Codes(self.vectors, shift)}
+        candidates, queries = Codes(vectors, shift), self.codes[shift]
+        for first in range(0, len(self.ids), QUERY_TILE):
+            rows = slice(first, first + QUERY_TILE)
+            own = self.ids[rows]
+            best = np.full((len(own), self.k), np.inf)
+            for i, heap in enumerate(self.heaps[rows]):
+                best[i, : len(heap)] = np.ldexp([-d for d, _ in heap], -shift)
+            for start in range(0, len(ids), CANDIDATE_TILE):
+                tile = slice(start, start + CANDIDATE_TILE)
+                r, c, best = self._near(rows, queries, tile, candidates, own[:, None] == ids[tile][None, :], best)
+                exact = distances(self.vectors[rows][r], vectors[tile][c])
+                for row, dist, i in zip(r.tolist(), exact.tolist(), ids[tile][c].tolist(), strict=True):
+                    heap, item = self.heaps[first + row], (-dist, -i)
+                    if len(heap) < self.k:
+                        heapq.heappush(heap, item)
+                    elif item > heap[0]:
+                        heapq.heapreplace(heap, item)
+
+    def _near(self, rows: slice, queries: Codes, tile: slice, candidates: Codes, same: np.ndarray, best: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pairs that bounds leave, and the k smallest upper bounds of each query."""
+        scales = queries.scale[rows][:, None] * candidates.scale[tile][None, :]
+        near2 = queries.norm2[rows][:, None] + candidates.norm2[tile][None, :] - 2 * scales * queries.products(rows, candidates, tile)
+        near = np.sqrt(np.maximum(near2, 0))
+        # rounding of the expression above, for coordinates of any size
+        size = np.sqrt(queries.norm2[rows])[:, None] + np.sqrt(candidates.norm2[tile])[None, :]
+        slack = queries.rest[rows][:, None] + candidates.rest[tile][None, :] + 1e-6 * size + 1e-140
+        upper = np.where(same, np.inf, near + slack)
+        best = np.partition(np.concatenate([best, upper], axis=1), self.k - 1, axis=1)[:, : self.k]
+        r, c = np.nonzero((near - slack <= best.max(axis=1)[:, None] * (1 + 1e-9)) & ~same)
+        return r, c, best
+
+    def found(self) -> pa.RecordBatch | None:
+        rows = [(at, int(q), -i, -d) for at, (q, heap) in enumerate(zip(self.ids, self.heaps, strict=True)) for d, i in heap]
+        if not rows:
+            return None
+        at, q, i, d = zip(*rows, strict=True)
+        columns = [pa.array(at, pa.int64()), pa.array(q, pa.int64()), pa.array(i, pa.int64()), pa.array(d, pa.float64())]
+        return pa.RecordBatch.from_arrays(columns, names=["query", "query_id", "vec_id", "score"])
+
+
+def _scan(held, k: int):
+    def scan(batches):
+        block = held.value
+        ids, asked = block.column("id").to_numpy(), {}
+        number = np.arange(len(ids))
+        for size, rows, vectors in blocks.vectors_by_length(block.column("v")):
+            asked[size] = (number[rows], Nearest(ids[rows], vectors, k))
+        for batch in batches:
+            known = batch.column(0).to_numpy(zero_copy_only=False)
+            for size, rows, vectors in blocks.vectors_by_length(batch.column(1)):
+                if size in asked:
+                    asked[size][1].meet(known[rows], vectors)
+        for numbers, nearest_of in asked.values():
+            found = nearest_of.found()
+            if found is not None:
+                at = numbers[found.column(0).to_numpy()]
+                yield pa.RecordBatch.from_arrays([pa.array(at), *found.columns[1:]], names=found.schema.names)
+
+    return scan
+
+
+def nearest(candidates: DataFrame, queries: DataFrame, k: int = 10, vec_id: str = "vec_id", vector: str = "embedding", block_bytes: int = blocks.BLOCK_BYTES) -> DataFrame:
     """(query_id, rank, vec_id, score) of the ``k`` nearest candidates of every query."""
 
     def prepared(df: DataFrame) -> DataFrame:
         v = F.col(vector).cast("array<double>")
-        rows = df.where(F.col(vec_id).isNotNull()).select(F.col(vec_id).cast("bigint").alias("id"), v.alias("v"))
-        return rows.where(usable("v")).withColumn("dim", F.size("v").cast("bigint"))
+        return df.where(F.col(vec_id).isNotNull()).select(F.col(vec_id).cast("bigint").alias("id"), v.alias("v")).where(blocks.usable("v"))
 
     known = prepared(candidates)
-    total = known.agg(F.sum("dim").alias("n")).first()["n"] or 0
-    parts = max(1, math.ceil(total * 8 / part_bytes))
-    dealt = known.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("bigint")).withColumn("role", F.lit(0).cast("bigint"))
-    asked = (
-        prepared(queries)
-        .withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint"))))
-        .withColumn("role", F.lit(1).cast("bigint"))
-    )
-    columns = ["dim", "part", "role", "id", "v"]
-    both = dealt.select(columns).unionByName(asked.select(columns))
-    placed = both.repartition(parts, "dim", "part").sortWithinPartitions(*columns)
-
-    def run(batches):
-        at, ids, vectors, codes = None, [], [], None
-        for (dim, part, role), own, values in _groups(batches):
-            if at != (dim, part):
-                at, ids, vectors, codes = (dim, part), [], [], None
-            if role == 0:
-                ids.append(own)
-                vectors.append(values)
-                continue
-            if not ids:
-                continue
-            if codes is None:
-                known_ids, codes = np.concatenate(ids), Codes(np.concatenate(vectors))
-                vectors = []
-            found = tile_neighbours(own, Codes(values), known_ids, codes, k)
-            rows = [(int(q), i, d) for q, near in zip(own, found, strict=True) for d, i in near]
-            if rows:
-                q, i, d = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(i, pa.int64()), pa.array(d, pa.float64())], names=["query_id", "vec_id", "score"])
-
-    found = placed.mapInArrow(run, "query_id bigint, vec_id bigint, score double")
-    by_query = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    spark = known.sparkSession
+    by_query = Window.partitionBy("query").orderBy("score", "vec_id")
+    parts = []
+    for block in blocks.query_blocks(prepared(queries).distinct(), "v", block_bytes):
+        held = spark.sparkContext.broadcast(block)
+        found = known.mapInArrow(_scan(held, k), "query bigint, query_id bigint, vec_id bigint, score double")
+        ranked = found.withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= k)
+        parts.append(storage.written(ranked.select("query_id", "rank", "vec_id", "score"), "nearest"))
+        held.destroy()
+    return storage.joined_tables(spark, parts, "query_id bigint, rank int, vec_id bigint, score double")

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.llm import hashing
+from tidepool.llm import hashing, storage
 from tidepool.llm.hashing import Texts, Words
 
 WINDOW_WORDS = 35
@@ -227,12 +227,12 @@ def _parse(batches, window: int) -> Iterator[pa.RecordBatch]:
 def dealt_pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW_WORDS, anchor: int = ANCHOR_WORDS, most: int = ANCHOR_WINDOWS) -> DataFrame:
     """(key, doc_id, row_hash, start, n, windows): runs of windows by the key at which equal ones meet; known repeats have no windows."""
     of_id, anchor = docs.schema[doc_id].dataType.simpleString(), min(anchor, window)
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.hash(doc_id, text).alias("row_hash"), F.col(text).cast("string").alias("text"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), storage.row_hash(doc_id, text).alias("row_hash"), F.col(text).cast("string").alias("text"))
     counts = rows.select("text").mapInArrow(lambda batches: _count(batches, window, anchor), "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
     crowded = np.array([r.bucket for r in counts.where(F.col("n") > most).collect()], dtype=np.int64)
     held = docs.sparkSession.sparkContext.broadcast(crowded)
     return rows.mapInArrow(
-        lambda batches: _send(batches, window, anchor, held.value), f"key bigint, doc_id {of_id}, row_hash int, start int, n int, windows binary"
+        lambda batches: _send(batches, window, anchor, held.value), f"key bigint, doc_id {of_id}, row_hash binary, start int, n int, windows binary"
     )
 
 
@@ -240,7 +240,7 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """(doc_id, row_hash, start, n): words [start, start + n) of a document are a factor found elsewhere; factors may overlap."""
     of_id = docs.schema[doc_id].dataType.simpleString()
     blocks = dealt_pieces(docs, doc_id, text, window, anchor, most).repartition("key").sortWithinPartitions("key")
-    return blocks.mapInArrow(lambda batches: _parse(batches, window), f"doc_id {of_id}, row_hash int, start int, n int")
+    return blocks.mapInArrow(lambda batches: _parse(batches, window), f"doc_id {of_id}, row_hash binary, start int, n int")
 
 
 def _joined(texts: Texts, words: Words, keep: np.ndarray) -> pa.Array:
@@ -284,6 +284,6 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     spans = repeated_spans(docs, doc_id, text, window, anchor, most)
     # row_hash and id make the join key; a factor sits in one document, so a list is no longer than its text
     lists = spans.groupBy("doc_id", "row_hash").agg(F.collect_set(F.struct("start", "n")).alias("spans")).withColumnsRenamed({"doc_id": "of_doc", "row_hash": "of_row"})
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.hash(doc_id, text).alias("row_hash"), F.col(text).cast("string").alias("text"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), storage.row_hash(doc_id, text).alias("row_hash"), F.col(text).cast("string").alias("text"))
     joined = rows.join(lists, F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("row_hash") == F.col("of_row")), "left")
     return joined.select("doc_id", "text", "spans").mapInArrow(_remove, f"doc_id {of_id}, n_words bigint, n_removed bigint, text string")

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -33,3 +34,23 @@ BATCH_BYTES = "8m"
 def bounded_batches(spark: SparkSession) -> None:
     """Cuts Arrow batches by bytes, as ten thousand long texts in one would fill a worker."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def row_hash(*columns: str) -> Column:
+    """128 bits that tell rows apart by ``columns``, NULLs told from empty texts."""
+    parts = [F.coalesce(F.concat(F.octet_length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")), F.lit("-")) for c in columns]
+    return F.unhex(F.md5(F.concat(*parts).cast("binary")))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def joined_tables(spark: SparkSession, parts: list[DataFrame], schema: str) -> DataFrame:
+    """Written tables of one schema as one; their files are read in a single scan."""
+    files = [f for part in parts for f in part.inputFiles()]
+    return spark.read.schema(schema).parquet(*files) if files else spark.createDataFrame([], schema)

@@ -6,13 +6,15 @@ evaluated against the entries that were active when it was fetched: its host, th
 its path prefixes are looked up, each as of the fetch time. A capture is blocked if the longest active
 rule that matches it is on a block list; where an allow list has a rule of that length, allow wins.
 
-Equal captures are evaluated once. Lookup is a join on the rule's text; a hot host is split by the
-skew handling of Spark's join, and no group of captures or entries is gathered.
+Equal captures are evaluated once. Lookup is a join on the rule's text. Nearly every URL asks for its
+top-level domain, so rules are counted first; one that more captures ask for than a ten-thousandth of
+all is split into salts by capture, and its few intervals go to each. No group is gathered.
 
 Cases: a NULL or unparsable URL, or a NULL fetch time, matches nothing; entries with a NULL field, or
 with another action, kind or effect than those below, are ignored; of entries of one rule at one time
 a removal wins; a repeated add or removal changes nothing; an entry is active from its own time on;
-repeated captures are evaluated alike, and other columns are kept, whatever their names.
+repeated captures are evaluated alike, and other columns are kept, whatever their names, but for
+columns named like a result, which give way to it.
 """
 
 from __future__ import annotations
@@ -20,6 +22,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidepool.llm import storage
+
+#: Rules that may count as hot, and captures that always fit one salt.
+HOT_RULES, HOT_ROWS = 10_000, 1024
+RESULTS = ("blocked", "rule", "lists")
 ADD, REMOVE = "add", "remove"
 HOST, PREFIX = "host", "prefix"
 BLOCK, ALLOW = "block", "allow"
@@ -56,19 +63,37 @@ def listed_intervals(entries: DataFrame) -> DataFrame:
     return spans.select(*rule, F.col("at").alias("since"), "until")
 
 
+def _salted(asked: DataFrame, spans: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the lookup with a salt; only rules that many captures ask for have more than one."""
+    counts = storage.written(asked.groupBy("kind", "value").agg(F.count("*").alias("n")), "asked-rules")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    most = max(HOT_ROWS, total // HOT_RULES)
+    # fewer than HOT_RULES rules, whatever the size
+    hot = F.broadcast(counts.where(F.col("n") > most).select("kind", "value", F.ceil(F.col("n") / most).cast("int").alias("salts")))
+    salts = F.coalesce("salts", F.lit(1))
+    dealt = asked.join(hot, ["kind", "value"], "left").withColumn("salt", F.pmod(F.xxhash64("url", "at"), salts).cast("int")).drop("salts")
+    copies = spans.join(hot, ["kind", "value"], "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts")
+    return dealt, copies
+
+
 def evaluated(captures: DataFrame, entries: DataFrame, url: str = "url", at: str = "fetched_at") -> DataFrame:
     """``captures`` with blocked, rule (the longest active one) and lists (all that have an active match)."""
+    if {url, at} & set(RESULTS):
+        raise ValueError(f"{url!r} and {at!r} can't be columns of the result")
+    captures = captures.drop(*RESULTS)
     fetched = captures.select(F.col(url).alias("url"), F.col(at).alias("at")).where(F.col("url").isNotNull() & F.col("at").isNotNull()).distinct()
     asked = fetched.select("url", "at", F.explode(rules_of(F.col("url"))).alias("rule")).select("url", "at", "rule.kind", "rule.value")
-    spans = listed_intervals(entries)
+    asked, spans = _salted(asked, listed_intervals(entries))
     active = (F.col("since") <= F.col("at")) & (F.col("until").isNull() | (F.col("at") < F.col("until")))
-    matches = asked.join(spans, ["kind", "value"]).where(active)
+    matches = asked.join(spans, ["kind", "value", "salt"]).where(active)
     best = F.struct(F.length("value").alias("length"), (F.col("effect") == ALLOW).alias("allow"), F.col("value").alias("rule"))
-    verdict = matches.groupBy(F.col("url").alias("__url"), F.col("at").alias("__at")).agg(F.max(best).alias("__best"), F.sort_array(F.collect_set("list")).alias("__lists"))
-    joined = captures.join(verdict, (F.col(url) == F.col("__url")) & (F.col(at) == F.col("__at")), "left")
+    names = [storage.free_name(captures, n) for n in ("verdict_url", "verdict_at", "verdict_best", "verdict_lists")]
+    of_url, of_at, top, found = names
+    verdict = matches.groupBy(F.col("url").alias(of_url), F.col("at").alias(of_at)).agg(F.max(best).alias(top), F.sort_array(F.collect_set("list")).alias(found))
+    joined = captures.join(verdict, (F.col(url) == F.col(of_url)) & (F.col(at) == F.col(of_at)), "left")
     return joined.select(
         *captures.columns,
-        F.coalesce(~F.col("__best.allow"), F.lit(False)).alias("blocked"),
-        F.col("__best.rule").alias("rule"),
-        F.coalesce("__lists", F.array().cast("array<string>")).alias("lists"),
+        F.coalesce(~F.col(f"{top}.allow"), F.lit(False)).alias("blocked"),
+        F.col(f"{top}.rule").alias("rule"),
+        F.coalesce(found, F.array().cast("array<string>")).alias("lists"),
     )

@@ -1,7 +1,10 @@
 """Token ids of words, by the tokenizers library.
 
 The vocabulary drops white space before it merges, and no rule of it looks across white space, so the
-ids of a text are those of its words one after another. Each distinct word of a slice is encoded once.
+ids of a text are those of its words one after another. Its rules also split a word into runs of
+letters, single digits and runs of other characters, fold case, and never merge across such parts. So
+words of plain characters (ASCII and Latin letters, without apostrophe and angle bracket) are cut into
+these parts here; all other words stay whole. Each distinct part is encoded once per worker.
 """
 
 from __future__ import annotations
@@ -9,6 +12,7 @@ from __future__ import annotations
 import os
 from functools import lru_cache
 from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +22,7 @@ from tidepool.llm.hashing import Texts, Words
 
 DEFAULT_TOKENIZER = "word_bpe_49k.json"
 #: Words that a worker remembers between slices.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 500_000
 
 
 def tokenizer_path(name: str = DEFAULT_TOKENIZER) -> str:
@@ -50,6 +54,75 @@ def pieces(path: str) -> list[str]:
     return out
 
 
+#: Kinds of bytes in plain words: letters, digits, others; 0 makes a word one that stays whole.
+_KIND = np.zeros(256, dtype=np.int8)
+_KIND[33:127] = 3
+_KIND[48:58] = 2
+_KIND[65:91] = _KIND[97:123] = _KIND[0xC3] = 1
+_KIND[0x80:0xC0] = 1  # second byte of a Latin letter, checked against its first
+_KIND[[ord("'"), ord("<")]] = 0
+#: Parts encoded as one text, and the mark of the last piece of each.
+_JOINED, _LAST = 256, "</w>"
+
+
+class Parts(NamedTuple):
+    """Parts of the words of a slice that are encoded on their own; ``plain`` ones hold characters of one kind."""
+
+    texts: Texts
+    words: Words
+    plain: np.ndarray
+
+
+def parts_of(texts: Texts, words: Words | None = None) -> Parts:
+    words = hashing.words_of(texts) if words is None else words
+    data = texts.data
+    if not len(words.starts):
+        return Parts(texts, words, np.zeros(0, dtype=bool))
+    kind = _KIND[data]
+    lead, follow = data == 0xC3, (data >= 0x80) & (data < 0xC0)
+    bad = kind == 0
+    after = np.zeros(len(data), dtype=bool)
+    after[1:] = lead[:-1]
+    bad |= follow & (~after | (data == 0x97) | (data == 0xB7))
+    inside = np.zeros(len(data) + 1, dtype=np.int64)
+    np.cumsum(bad, out=inside[1:])
+    plain = inside[words.ends] == inside[words.starts]
+    edge = np.zeros(len(data) + 1, dtype=bool)
+    edge[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+    sizes = words.ends - words.starts
+    of_plain = np.repeat(plain, sizes)
+    at = np.repeat(words.starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(of_plain))
+    cut = edge[at] & of_plain
+    cut[np.cumsum(sizes) - sizes] = True
+    first = np.flatnonzero(cut)
+    starts = at[first]
+    number = np.repeat(np.arange(len(sizes)), sizes)[first]
+    ends = words.ends[number]
+    same = number[1:] == number[:-1]
+    ends[:-1][same] = starts[1:][same]
+    bounds = np.searchsorted(number, words.bounds)
+    folded = data.copy()
+    own = at[of_plain]
+    folded[own] = hashing.LOWER[data[own]]
+    return Parts(Texts(texts.first, folded, texts.offsets), Words(starts, ends, bounds), plain[number])
+
+
+@lru_cache(maxsize=2)
+def last_pieces(path: str) -> np.ndarray:
+    """Which ids end a part."""
+    return np.array([p.endswith(_LAST) for p in pieces(path)])
+
+
+def encode_plain(path: str, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of plain parts one after another, and how many each has; many at once, cut at pieces that end a part."""
+    joined = [" ".join(parts[i : i + _JOINED]) for i in range(0, len(parts), _JOINED)]
+    ids, _ = flat_lists(encode_words(path, joined))
+    ends = np.flatnonzero(last_pieces(path)[ids]) + 1
+    if len(ends) != len(parts) or (len(ends) and ends[-1] != len(ids)):  # a vocabulary without such marks
+        return flat_lists(encode_words(path, parts))
+    return ids, np.diff(ends, prepend=0)
+
+
 def encode_words(path: str, words: list[str]) -> list[list[int]]:
     return [e.ids for e in tokenizer(path).encode_batch_fast(words, add_special_tokens=False)]
 
@@ -87,48 +160,102 @@ def flat_lists(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter(chain.from_iterable(lists), dtype=np.int32, count=int(n.sum())), n
 
 
+def _grown(values: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
+    """``values``, of which ``used`` are in use, with ``more`` behind them; room doubles."""
+    if used + len(more) > len(values):
+        larger = np.empty(max(2 * len(values), used + len(more)), dtype=values.dtype)
+        larger[:used] = values[:used]
+        values = larger
+    values[used : used + len(more)] = more
+    return values
+
+
 class WordEncoder:
-    """Encodes slices; a worker keeps the ids of words it met, by two 64-bit hashes, up to a bound."""
+    """Encodes slices; a worker keeps the ids of words it met, up to a bound, in a table with open addresses.
 
-    def __init__(self, path: str, most: int = CACHE_WORDS):
-        self.path, self.most = path, most
+    A word is known by two independent 64-bit hashes, both of which are compared.
+    """
+
+    def __init__(self, path: str, most: int = CACHE_WORDS, known: tuple[np.ndarray, ...] | None = None):
+        """``known``: both hashes, ids one after another and numbers of ids of words that are never forgotten."""
+        self.path, self.most, self.known = path, most, known
         self._forget()
 
     def _forget(self) -> None:
+        self.slots = np.full(1 << max(10, (2 * self.most - 1).bit_length()), -1, dtype=np.int32)
         self.hashes = self.others = np.zeros(0, dtype=np.uint64)
-        self.starts = self.lengths = np.zeros(0, dtype=np.int32)
-        self.values = np.zeros(0, dtype=np.int32)
-
-    def ids(self, texts: Texts, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        self.starts = self.lengths = self.values = np.zeros(0, dtype=np.int32)
+        self.count = self.n_values = 0
+        if self.known is not None:
+            hashes, others, ids, lengths = self.known
+            self._learn(hashes, others, ids.astype(np.int32), lengths.astype(np.int32))
+        self.kept = self.count
+
+    def ids(self, texts: Texts, words: Words | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows one after another, and the bounds of each row."""
-        distinct, index, inverse = np.unique(hashing.word_hashes(texts, words), return_index=True, return_inverse=True)
-        starts, lengths = self._find(distinct, *packed(texts, words, index))
-        out, n = gathered(self.values, starts, lengths, inverse)
-        return out, np.concatenate([[0], np.cumsum(n)])[words.bounds]
-
-    def each(self, texts: Texts, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the words, which are distinct and in order of their hash, one after another, and how many each has."""
-        starts, lengths = self._find(hashing.word_hashes(texts, words), texts, words)
-        return gathered(self.values, starts, lengths, np.arange(len(starts)))
-
-    def _find(self, distinct: np.ndarray, texts: Texts, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """Place and number of ids of distinct words; new ones are encoded."""
-        others = hashing.word_hashes(texts, words, other=True)
-        if len(self.hashes) + len(distinct) > self.most:
-            self._forget()
-        at = np.searchsorted(self.hashes, distinct)
-        near = np.minimum(at, max(len(self.hashes) - 1, 0))
-        known = (self.hashes[near] == distinct) & (self.others[near] == others) if len(self.hashes) else np.zeros(len(distinct), dtype=bool)
-        starts, lengths = np.zeros(len(distinct), dtype=np.int64), np.zeros(len(distinct), dtype=np.int64)
-        starts[known], lengths[known] = self.starts[near[known]], self.lengths[near[known]]
-        new = np.flatnonzero(~known)
-        if len(new):
-            fresh, n = flat_lists(encode_words(self.path, word_array(texts, Words(words.starts[new], words.ends[new], words.bounds)).to_pylist()))
-            starts[new], lengths[new] = len(self.values) + np.cumsum(n) - n, n
-            self.values = np.concatenate([self.values, fresh])
-            self.hashes, self.others = np.insert(self.hashes, at[new], distinct[new]), np.insert(self.others, at[new], others[new])
-            self.starts, self.lengths = np.insert(self.starts, at[new], starts[new]), np.insert(self.lengths, at[new], lengths[new])
-        return starts, lengths
+        parts = parts_of(texts, words)
+        out, n = self.each(parts)
+        return out, np.concatenate([[0], np.cumsum(n)])[parts.words.bounds]
+
+    def each(self, parts: Parts) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the parts one after another, and how many each has."""
+        texts, words, plain = parts
+        hashes, others = hashing.word_hash_pair(texts, words)
+        at = self._find(hashes, others)
+        missing = np.flatnonzero(at < 0)
+        while len(missing):
+            _, first = np.unique(hashes[missing], return_index=True)
+            new = missing[first]
+            if self.count > self.kept and self.count + len(new) > self.most:
+                self._forget()
+                at = np.full(len(hashes), -1, dtype=np.int64)
+                missing = np.arange(len(hashes))
+                continue
+            for kind, encode in ((plain, encode_plain), (~plain, lambda path, names: flat_lists(encode_words(path, names)))):
+                own = new[kind[new]]
+                if len(own):
+                    names = word_array(texts, Words(words.starts[own], words.ends[own], words.bounds)).to_pylist()
+                    self._learn(hashes[own], others[own], *encode(self.path, names))
+            at[missing] = self._find(hashes[missing], others[missing])
+            missing = missing[at[missing] < 0]  # words that share one hash only
+        return gathered(self.values, self.starts, self.lengths, at)
+
+    def _slot(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes & np.uint64(len(self.slots) - 1)).astype(np.int64)
+
+    def _find(self, hashes: np.ndarray, others: np.ndarray) -> np.ndarray:
+        """Number of each known word, else -1."""
+        out = np.full(len(hashes), -1, dtype=np.int64)
+        slot, left = self._slot(hashes), np.arange(len(hashes))
+        while len(left):
+            here = self.slots[slot]
+            taken = here >= 0
+            slot, left, here = slot[taken], left[taken], here[taken]
+            same = (self.hashes[here] == hashes[left]) & (self.others[here] == others[left])
+            out[left[same]] = here[same]
+            slot, left = (slot[~same] + 1) % len(self.slots), left[~same]
+        return out
+
+    def _learn(self, hashes: np.ndarray, others: np.ndarray, fresh: np.ndarray, n: np.ndarray) -> None:
+        if self.count + len(hashes) > len(self.slots) // 2:  # a slice with more words than the bound
+            self.slots = np.full(4 * len(self.slots), -1, dtype=np.int32)
+            self._place(self.hashes[: self.count], 0)
+        self.starts = _grown(self.starts, self.count, self.n_values + np.cumsum(n, dtype=np.int64) - n)
+        self.lengths = _grown(self.lengths, self.count, n)
+        self.hashes = _grown(self.hashes, self.count, hashes)
+        self.others = _grown(self.others, self.count, others)
+        self.values = _grown(self.values, self.n_values, fresh)
+        self._place(hashes, self.count)
+        self.count += len(hashes)
+        self.n_values += len(fresh)
+
+    def _place(self, hashes: np.ndarray, first: int) -> None:
+        slot, left = self._slot(hashes), np.arange(first, first + len(hashes), dtype=np.int32)
+        while len(left):
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = left[free]
+            lost = self.slots[slot] != left
+            slot, left = (slot[lost] + 1) % len(self.slots), left[lost]
 
 
 @lru_cache(maxsize=2)
