@@ -21,7 +21,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops recurring lines after their first occurrence; a document that loses its last words goes, one that had none stays."""
-    count = "n_dropped_lines" if "n_dropped_lines" not in docs.columns else "n_dropped_lines_"
+    count = storage.free_name(docs, "n_dropped_lines")
     cut = lines.without_recurring_lines(docs, count=count)
     left = (F.col(count) == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")
     n_chars = F.when(F.col(count) > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))
