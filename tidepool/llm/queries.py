@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import bpe, decontamination, hard_negatives, language, lines, neighbours, quality, repeats, similarity, storage, token_files, url_lists, wordpieces
+from tidepool.llm import bpe, decontamination, hard_negatives, language, lines, neighbours, packing, quality, repeats, similarity, spelling, storage, token_files, url_lists, wordpieces
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -129,6 +129,12 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document in windows of 4096 tokens, its ids digested."""
+    pieces = packing.packed(_read(spark, sf_dir, "documents"), wordpieces.tokenizer_path())
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every hundredth id, for each of its positives."""
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -136,6 +142,20 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(vectors, vectors.where(F.col("vec_id") % 100 == 0))
 
 
+def misspelt(runs: DataFrame) -> DataFrame:
+    """``runs`` (doc_id, run) with one code point less in every 31st, by hash of both."""
+    h = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run")))
+    at = (h % F.char_length("run")).cast("int")
+    return runs.withColumn("run", F.when(h % 31 == 0, F.concat(F.col("run").substr(F.lit(1), at), F.col("run").substr(at + 2, F.char_length("run")))).otherwise(F.col("run")))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among all words of seven letters or more that occur twice."""
+    runs = misspelt(spelling.letter_runs(_read(spark, sf_dir, "documents"), 7))
+    words = runs.where(F.char_length("run") >= 7).groupBy(F.col("run").alias("word")).agg(F.count("*").alias("n")).where(F.col("n") >= 2)
+    return spelling.spelling_variants(words)
+
+
 def _crc32(batches):
     for batch in batches:
         ids = batch.column("ids")
@@ -301,5 +321,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_token_files": (op8_token_files, None),
     "op9_repeats": (op9_repeats, None),
     "op10_neighbours": (op10_neighbours, OP10_SQL),
+    "op11_packing": (op11_packing, None),
     "op12_hard_negatives": (op12_hard_negatives, OP12_SQL),
+    "op13_spelling": (op13_spelling, None),
 }
