@@ -14,6 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidepool.functions import limbs
 from tidepool.functions.numeric import Arithmetic, NumericConf
 
 DEFAULT = NumericConf()
@@ -33,18 +34,20 @@ def as_column(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _vectorized(row: Callable, arity: int, sql_type: str, arrow_type: pa.DataType):
-    """Arrow function applying ``row`` to each tuple without NULLs."""
+def _vectorized(row: Callable, arity: int, sql_type: str, arrow_type: pa.DataType, columns: Callable | None):
+    """Arrow function of whole columns, or applying ``row`` to each tuple without NULLs."""
     if arity == 1:
 
         @F.arrow_udf(sql_type)
         def apply(x: pa.Array) -> pa.Array:
-            return pa.array([None if v is None else row(v) for v in x.to_pylist()], type=arrow_type)
+            return columns(row, x) if columns else pa.array([None if v is None else row(v) for v in x.to_pylist()], type=arrow_type)
 
     else:
 
         @F.arrow_udf(sql_type)
         def apply(x: pa.Array, y: pa.Array) -> pa.Array:
+            if columns:
+                return columns(row, x, y)
             return pa.array(
                 [None if u is None or v is None else row(u, v) for u, v in zip(x.to_pylist(), y.to_pylist())],
                 type=arrow_type,
@@ -133,19 +136,23 @@ def _order_key(conf: NumericConf):
     return row
 
 
-# name -> (row function factory, arity, Spark type, Arrow type)
+def _of_columns(operation: str):
+    return lambda conf: lambda row, x, y: limbs.binary(operation, conf, x, y, row)
+
+
+# name -> (row function factory, factory of its form on whole columns, arity, Spark type, Arrow type)
 _SCALARS = {
-    "ubim": (lambda c: _binary("multiply", c), 2, "string", pa.string()),
-    "ubid": (lambda c: _binary("divide", c), 2, "string", pa.string()),
-    "ubia": (lambda c: _binary("add", c), 2, "string", pa.string()),
-    "ubis": (lambda c: _binary("subtract", c), 2, "string", pa.string()),
-    "ubi_resolve": (_resolve, 1, "string", pa.string()),
-    "try_ubi_resolve": (_try_resolve, 1, "string", pa.string()),
-    "ubi_resolve_fast": (_quick_resolve, 1, "string", pa.string()),
-    "ubi_to_double": (_to_double, 1, "double", pa.float64()),
-    "ubi_abs": (_absolute, 1, "string", pa.string()),
-    "ubi_canonical": (_canonical, 1, "string", pa.string()),
-    "ubi_order_key": (_order_key, 1, "string", pa.string()),
+    "ubim": (lambda c: _binary("multiply", c), _of_columns("multiply"), 2, "string", pa.string()),
+    "ubid": (lambda c: _binary("divide", c), _of_columns("divide"), 2, "string", pa.string()),
+    "ubia": (lambda c: _binary("add", c), _of_columns("add"), 2, "string", pa.string()),
+    "ubis": (lambda c: _binary("subtract", c), _of_columns("subtract"), 2, "string", pa.string()),
+    "ubi_resolve": (_resolve, None, 1, "string", pa.string()),
+    "try_ubi_resolve": (_try_resolve, None, 1, "string", pa.string()),
+    "ubi_resolve_fast": (_quick_resolve, None, 1, "string", pa.string()),
+    "ubi_to_double": (_to_double, lambda c: lambda row, x: limbs.to_doubles(c, x, row), 1, "double", pa.float64()),
+    "ubi_abs": (_absolute, lambda c: lambda row, x: limbs.unary(c, x, row, limbs.absolute), 1, "string", pa.string()),
+    "ubi_canonical": (_canonical, lambda c: lambda row, x: limbs.unary(c, x, row), 1, "string", pa.string()),
+    "ubi_order_key": (_order_key, None, 1, "string", pa.string()),
 }
 _BOUND: dict = {}
 
@@ -154,58 +161,14 @@ def bound(name: str, conf: NumericConf = DEFAULT):
     """The Arrow function ``name`` under a numeric context."""
     key = (name, conf)
     if key not in _BOUND:
-        make, arity, sql_type, arrow_type = _SCALARS[name]
-        _BOUND[key] = _vectorized(make(conf), arity, sql_type, arrow_type)
+        make, columns, arity, sql_type, arrow_type = _SCALARS[name]
+        whole = columns(conf) if columns and limbs.most_digits(conf) else None
+        _BOUND[key] = _vectorized(make(conf), arity, sql_type, arrow_type, whole)
     return _BOUND[key]
 
 
-# Whole numbers of few digits, with or without a scale: their results print like those of the
-# Arrow functions, as nothing of them is rounded or reduced.
-_SMALL = r"^(-?[0-9]{1,18})(?:e([0-9]{1,3}))?$"
-_LEAST_DIGITS = 40
-
-
-def _small(x: Column) -> tuple[Column, Column]:
-    """Number and scale of a small operand; the number is NULL for all other texts."""
-    return F.regexp_extract(x, _SMALL, 1).try_cast("decimal(18,0)"), F.coalesce(F.regexp_extract(x, _SMALL, 2).try_cast("int"), F.lit(0))
-
-
-def _printed(n: Column, s: Column, dn: Column | str = "1", ds: Column | str = "0") -> Column:
-    parts = (n, "e", s, "b0/", dn, "e", ds, "b0")
-    return F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
-
-
-def _small_product(x, y) -> Column:
-    return _printed(x[0] * y[0], x[1] + y[1])
-
-
-def _small_quotient(x, y) -> Column:
-    least = F.least(x[1], y[1])
-    return _printed(x[0], x[1] - least, y[0], y[1] - least)
-
-
-def _small_sum(sign: int):
-    def total(x, y) -> Column:
-        scale = F.greatest(x[1], y[1])
-        # a power of ten as a whole number, for up to 15 digits between the scales
-        up = lambda s: F.rpad(F.lit("1"), scale - s + 1, "0").cast("decimal(16,0)")
-        raised = [(n * up(s)).cast("decimal(37,0)") for n, s in (x, y)]
-        near = F.abs(x[1] - y[1]) <= 15
-        return F.when(near, _printed((raised[0] + raised[1] * F.lit(sign)).cast("decimal(38,0)"), scale))
-
-    return total
-
-
-_NATIVE = {"ubim": _small_product, "ubid": _small_quotient, "ubia": _small_sum(1), "ubis": _small_sum(-1)}
-
-
 def _binary_column(name: str, left, right, conf: NumericConf) -> Column:
-    """Small operands stay in the JVM; all others go to the Arrow function, chosen per row."""
-    x, y = as_column(left), as_column(right)
-    if conf.precision < _LEAST_DIGITS or conf.simplify < _LEAST_DIGITS:
-        return bound(name, conf)(x, y)
-    native = _NATIVE[name](_small(x), _small(y))
-    return F.coalesce(native, bound(name, conf)(F.when(native.isNull(), x), F.when(native.isNull(), y)))
+    return bound(name, conf)(as_column(left), as_column(right))
 
 
 def ubim(left, right, conf: NumericConf = DEFAULT) -> Column:
