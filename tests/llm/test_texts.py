@@ -158,7 +158,7 @@ def test_bpe_of_a_word_with_many_ids(spark, rare):
     assert len(_library_ids(digits)) == 70_000
     docs = _frame(spark, texts)
     head = bpe.head_of(docs, PATH)
-    assert head.lengths.max() == 70_000 and head.lengths.sum(dtype=np.int64) == len(head.ids)
+    assert head.lengths.max() == 70_000 and head.lengths.sum(dtype=np.int64) == len(head.values)
     got = _by_id(bpe.decoded(bpe.encoded(docs, PATH, head=head, rare=rare), PATH))
     library = wordpieces.tokenizer(PATH)
     for i, text in enumerate(texts):

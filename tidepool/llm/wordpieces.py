@@ -170,62 +170,39 @@ def _grown(values: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
     return values
 
 
-class WordEncoder:
-    """Encodes slices; a worker keeps the ids of words it met, up to a bound, in a table with open addresses.
+def small(values: np.ndarray) -> np.ndarray:
+    """In two bytes each if all fit, else in four."""
+    return values.astype(np.uint16 if values.max(initial=0) < 1 << 16 else np.int32)
 
-    A word is known by two independent 64-bit hashes, both of which are compared.
-    """
 
-    def __init__(self, path: str, most: int = CACHE_WORDS, known: tuple[np.ndarray, ...] | None = None):
-        """``known``: both hashes, ids one after another and numbers of ids of words that are never forgotten."""
-        self.path, self.most, self.known = path, most, known
-        self._forget()
+class WordTable:
+    """Ids of words in a table with open addresses; a word is known by two independent 64-bit hashes, both of which are compared."""
 
-    def _forget(self) -> None:
-        self.slots = np.full(1 << max(10, (2 * self.most - 1).bit_length()), -1, dtype=np.int32)
+    def __init__(self, room: int):
+        self.slots = np.full(1 << max(10, (2 * room - 1).bit_length()), -1, dtype=np.int32)
         self.hashes = self.others = np.zeros(0, dtype=np.uint64)
         self.starts = self.lengths = self.values = np.zeros(0, dtype=np.int32)
         self.count = self.n_values = 0
-        if self.known is not None:
-            hashes, others, ids, lengths = self.known
-            self._learn(hashes, others, ids.astype(np.int32), lengths.astype(np.int32))
-        self.kept = self.count
 
-    def ids(self, texts: Texts, words: Words | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all rows one after another, and the bounds of each row."""
-        parts = parts_of(texts, words)
-        out, n = self.each(parts)
-        return out, np.concatenate([[0], np.cumsum(n)])[parts.words.bounds]
+    def compact(self) -> WordTable:
+        """Without room for more words; to be broadcast."""
+        self.hashes, self.others = self.hashes[: self.count].copy(), self.others[: self.count].copy()
+        self.starts, self.lengths = self.starts[: self.count].copy(), small(self.lengths[: self.count])
+        self.values = small(self.values[: self.n_values])
+        return self
 
-    def each(self, parts: Parts) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the parts one after another, and how many each has."""
-        texts, words, plain = parts
-        hashes, others = hashing.word_hash_pair(texts, words)
-        at = self._find(hashes, others)
-        missing = np.flatnonzero(at < 0)
-        while len(missing):
-            _, first = np.unique(hashes[missing], return_index=True)
-            new = missing[first]
-            if self.count > self.kept and self.count + len(new) > self.most:
-                self._forget()
-                at = np.full(len(hashes), -1, dtype=np.int64)
-                missing = np.arange(len(hashes))
-                continue
-            for kind, encode in ((plain, encode_plain), (~plain, lambda path, names: flat_lists(encode_words(path, names)))):
-                own = new[kind[new]]
-                if len(own):
-                    names = word_array(texts, Words(words.starts[own], words.ends[own], words.bounds)).to_pylist()
-                    self._learn(hashes[own], others[own], *encode(self.path, names))
-            at[missing] = self._find(hashes[missing], others[missing])
-            missing = missing[at[missing] < 0]  # words that share one hash only
-        return gathered(self.values, self.starts, self.lengths, at)
+    def ids(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of known words one after another, and how many each has."""
+        return gathered(self.values, self.starts, self.lengths.astype(np.int64), at)
 
     def _slot(self, hashes: np.ndarray) -> np.ndarray:
         return (hashes & np.uint64(len(self.slots) - 1)).astype(np.int64)
 
-    def _find(self, hashes: np.ndarray, others: np.ndarray) -> np.ndarray:
+    def find(self, hashes: np.ndarray, others: np.ndarray) -> np.ndarray:
         """Number of each known word, else -1."""
         out = np.full(len(hashes), -1, dtype=np.int64)
+        if not self.count:
+            return out
         slot, left = self._slot(hashes), np.arange(len(hashes))
         while len(left):
             here = self.slots[slot]
@@ -236,9 +213,10 @@ class WordEncoder:
             slot, left = (slot[~same] + 1) % len(self.slots), left[~same]
         return out
 
-    def _learn(self, hashes: np.ndarray, others: np.ndarray, fresh: np.ndarray, n: np.ndarray) -> None:
-        if self.count + len(hashes) > len(self.slots) // 2:  # a slice with more words than the bound
-            self.slots = np.full(4 * len(self.slots), -1, dtype=np.int32)
+    def learn(self, hashes: np.ndarray, others: np.ndarray, fresh: np.ndarray, n: np.ndarray) -> None:
+        """Adds words that aren't known, none twice."""
+        if self.count + len(hashes) > len(self.slots) // 2:
+            self.slots = np.full(1 << (4 * (self.count + len(hashes)) - 1).bit_length(), -1, dtype=np.int32)
             self._place(self.hashes[: self.count], 0)
         self.starts = _grown(self.starts, self.count, self.n_values + np.cumsum(n, dtype=np.int64) - n)
         self.lengths = _grown(self.lengths, self.count, n)
@@ -258,6 +236,56 @@ class WordEncoder:
             slot, left = (slot[lost] + 1) % len(self.slots), left[lost]
 
 
+class WordEncoder:
+    """Encodes slices; a worker keeps the ids of words it met, up to a bound, besides those of a given table."""
+
+    def __init__(self, path: str, most: int = CACHE_WORDS, given: WordTable | None = None):
+        self.path, self.most, self.given, self.own = path, most, given, WordTable(most)
+
+    def ids(self, texts: Texts, words: Words | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows one after another, and the bounds of each row."""
+        parts = parts_of(texts, words)
+        out, n = self.each(parts)
+        return out, np.concatenate([[0], np.cumsum(n)])[parts.words.bounds]
+
+    def each(self, parts: Parts) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the parts one after another, and how many each has."""
+        hashes, others = hashing.word_hash_pair(parts.texts, parts.words)
+        at_given = self.given.find(hashes, others) if self.given is not None else np.full(len(hashes), -1, dtype=np.int64)
+        rare = np.flatnonzero(at_given < 0)
+        at = self._learnt(parts, hashes, others, rare)
+        ids, n = self.own.ids(at)
+        if len(rare) == len(hashes):
+            return ids, n
+        known = np.flatnonzero(at_given >= 0)
+        near, n_near = self.given.ids(at_given[known])
+        size, begin = np.zeros(len(hashes), dtype=np.int64), np.zeros(len(hashes), dtype=np.int64)
+        size[known], size[rare] = n_near, n
+        begin[known], begin[rare] = np.cumsum(n_near) - n_near, len(near) + np.cumsum(n) - n
+        return gathered(np.concatenate([near.astype(np.int32), ids]), begin, size, np.arange(len(hashes)))
+
+    def _learnt(self, parts: Parts, hashes: np.ndarray, others: np.ndarray, rare: np.ndarray) -> np.ndarray:
+        """Place of each rare part in the worker's own table; unknown ones are encoded."""
+        texts, words, plain = parts
+        at = self.own.find(hashes[rare], others[rare])
+        missing = np.flatnonzero(at < 0)
+        while len(missing):
+            _, first = np.unique(hashes[rare[missing]], return_index=True)
+            new = rare[missing[first]]
+            if self.own.count and self.own.count + len(new) > self.most:
+                self.own = WordTable(self.most)
+                at, missing = np.full(len(rare), -1, dtype=np.int64), np.arange(len(rare))
+                continue
+            for kind, encode in ((plain, encode_plain), (~plain, lambda path, names: flat_lists(encode_words(path, names)))):
+                some = new[kind[new]]
+                if len(some):
+                    names = word_array(texts, Words(words.starts[some], words.ends[some], words.bounds)).to_pylist()
+                    self.own.learn(hashes[some], others[some], *encode(self.path, names))
+            at[missing] = self.own.find(hashes[rare[missing]], others[rare[missing]])
+            missing = missing[at[missing] < 0]  # words that share one hash only
+        return at
+
+
 @lru_cache(maxsize=2)
 def worker_encoder(path: str, most: int = CACHE_WORDS) -> WordEncoder:
     """The encoder that tasks of one worker share."""
