@@ -141,6 +141,38 @@ def test_whole_batch_plan(spark, rated):
     assert usd.v is not None and usd.bis is not None
 
 
+def _below(plan, join):
+    """Lines of a plan's text below its first line with ``join``."""
+    lines = plan.split("\n")
+    at = next(i for i, x in enumerate(lines) if join in x)
+    depth = lambda x: len(x) - len(x.lstrip(" :+-*(0123456789)"))
+    end = next((i for i in range(at + 1, len(lines)) if depth(lines[i]) <= depth(lines[at])), len(lines))
+    return "\n".join(lines[at + 1 : end])
+
+
+def test_landed_tables_join_without_a_shuffle(spark, rated, tmp_path):
+    events, blocks, tokens, epoch = fixture_tables(spark)
+    tables = ("swaps_of_test", "transactions_of_test")
+    rated_swaps.land_swaps(events, blocks, tables, str(tmp_path), buckets=4)
+    pools = chain.pools(events, tokens)
+    joined = rated_swaps.landed_swaps(spark, tables, pools, epoch)
+    below = _below(joined._jdf.queryExecution().executedPlan().toString(), "SortMergeJoin [blockNumber")
+    assert "transactions_of_test" in below and "Exchange" not in below
+    assert "PartitionFilters" in below and "Bucketed: true" in below and "SelectedBucketsCount: 4 out of 4" in below
+    unlanded = rated_swaps.join_swaps(chain.swaps(events, epoch), chain.transactions(blocks, epoch), pools)
+    assert "Exchange" in _below(unlanded._jdf.queryExecution().executedPlan().toString(), "SortMergeJoin [blockNumber")
+
+    again = rated_swaps.rated_epoch(spark, tables, pools, epoch, slices=3).select(rated.columns)
+    key = "blockNumber"
+    assert sorted(again.collect(), key=lambda r: r[key]) == sorted(rated.collect(), key=lambda r: r[key])
+    # the warm-up reaches back over the epoch's border, and no further than quotes live
+    floor = chain.warm_up_floor(epoch)
+    blocks_read = sorted(r.blockNumber - epoch * EPOCH_LENGTH for r in joined.collect())
+    assert blocks_read == [-50, 1, 2, 3, 20_000] and floor == epoch * EPOCH_LENGTH - 10_000
+    for t in tables:
+        spark.sql(f"DROP TABLE {t}")
+
+
 def test_published_columns_and_days(spark, rated, tmp_path):
     table = str(tmp_path / "rswaps")
     published = catalog.as_published(rated, catalog.RATED_SWAPS)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.functions.numeric import NumericConf
@@ -31,10 +31,18 @@ def staged(df: DataFrame) -> DataFrame:
     return df.checkpoint() if spark.sparkContext.getCheckpointDir() else df
 
 
+def join_transactions(swaps: DataFrame, transactions: DataFrame) -> DataFrame:
+    """Swaps with their transaction, where it is known; sides landed in buckets of the two keys meet as they lie."""
+    return swaps.join(transactions.hint("merge"), list(chain.SWAP_KEYS), "left")
+
+
+def join_pools(swaps: DataFrame, pools: DataFrame) -> DataFrame:
+    return dimension_join(swaps, pools, ["address"], ["blockNumber", "transactionIndex", "logIndex"])
+
+
 def join_swaps(swaps: DataFrame, transactions: DataFrame, pools: DataFrame) -> DataFrame:
     """Swaps with their transaction and pool; both sides are optional."""
-    with_fees = swaps.join(transactions, ["blockNumber", "transactionHash"], "left")
-    return dimension_join(with_fees, pools, ["address"], ["blockNumber", "transactionIndex", "logIndex"])
+    return join_pools(join_transactions(swaps, transactions), pools)
 
 
 def price_swaps(swaps: DataFrame, market: Market = MARKET, conf: NumericConf = DEFAULT) -> DataFrame:
@@ -83,3 +91,30 @@ def rated_swaps(
         chain.pools(events, tokens),
     )
     return rate_swaps(price_swaps(joined, market, conf), market, epoch, slices, conf)
+
+
+def land_swaps(events: DataFrame, blocks: DataFrame, tables: tuple[str, str], folder: str, buckets: int = chain.BUCKETS) -> None:
+    """Lands swap events and flat transactions as the two ``tables``, in buckets of block and transaction."""
+    wanted = events.where((F.col("contract") == "Pool") & (F.col("event") == "Swap"))
+    chain.write_bucketed(wanted, tables[0], f"{folder}/swaps", buckets=buckets)
+    chain.write_bucketed(chain.flat_transactions(blocks), tables[1], f"{folder}/transactions", buckets=buckets)
+
+
+def landed_swaps(spark: SparkSession, tables: tuple[str, str], pools: DataFrame, epoch: int, market: Market = MARKET, conf: NumericConf = DEFAULT) -> DataFrame:
+    """Swaps of an epoch and its warm-up blocks with transaction and pool, from tables of ``land_swaps``."""
+    swaps, transactions = (spark.table(t) for t in tables)
+    joined = join_transactions(chain.swaps(swaps, epoch, market), chain.epoch_transactions(transactions, epoch, market))
+    return join_pools(chain.with_fees(joined, conf), pools)
+
+
+def rated_epoch(
+    spark: SparkSession,
+    tables: tuple[str, str],
+    pools: DataFrame,
+    epoch: int,
+    market: Market = MARKET,
+    slices: int | None = None,
+    conf: NumericConf = DEFAULT,
+) -> DataFrame:
+    """The swap job of one epoch over landed tables."""
+    return rate_swaps(price_swaps(landed_swaps(spark, tables, pools, epoch, market, conf), market, conf), market, epoch, slices, conf)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidepool.functions import ubi_to_double
 from tidepool.operators import pricing, valuation
 from tidepool.operators.projections import log_id
 from tidepool.plans import pool_day, rated_swaps
-from tidepool.registry.tables import BASE, MARKET, SWAPS_SQL, USD, raw_swaps, rounded, use_checkpoints
+from tidepool.registry.tables import BASE, MARKET, SWAPS_SQL, USD, chain_blocks, chain_events, chain_tokens, half_chain, raw_swaps, rounded, scratch_folder, use_checkpoints
+from tidepool.sources import chain
 
 EXPIRY = MARKET.block_expiry
 
@@ -119,6 +122,40 @@ def amount_entries(spark, sf_dir):
     return both.groupBy("address", "key").agg(F.count(F.lit(1)).alias("n"), F.count("value").alias("known"))
 
 
+def landed(spark, sf_dir):
+    """The chain of the given events landed in buckets: its tables, pools and market."""
+    market, name = half_chain(spark, sf_dir), uuid.uuid4().hex
+    events, tables = chain_events(spark, sf_dir, market), (f"swaps_{name}", f"transactions_{name}")
+    rated_swaps.land_swaps(events, chain_blocks(spark, sf_dir, market), tables, scratch_folder(spark, "landed"))
+    return tables, chain.pools(events, chain_tokens(spark)), market
+
+
+def swap_job(spark, sf_dir):
+    """Both epochs of the swap job, each with its warm-up blocks, as one frame."""
+    use_checkpoints(spark)
+    tables, pools, market = landed(spark, sf_dir)
+    epochs = [rated_swaps.rated_epoch(spark, tables, pools, e, market) for e in (0, 1)]
+    return epochs[0].unionByName(epochs[1])
+
+
+AMOUNT_KEYS = {"base": ("volume", "volumeBis", "fee"), "usd": ("volume", "volumeBis", "fee", "gasFees", "tip", "baseFeePerGas")}
+
+
+# Digits of the job's many amounts: the SQL has doubles, whose tenth digit a rounding may tip
+JOB_DIGITS = 8
+
+
+def job_amounts(spark, sf_dir):
+    """Every rated swap of the job with all amounts of both maps."""
+    rated = swap_job(spark, sf_dir)
+    texts = {f"{n}_{k}": F.col(f"{n}Amounts")[k] for n, keys in AMOUNT_KEYS.items() for k in keys}
+    texts |= {"gas_fees": F.col("gasFees"), "tip": F.col("tip"), "total_fees": F.col("totalFees"), "total_fees_usd": F.col("totalFeesUsd")}
+    return rated.select(
+        "blockNumber", "epoch", F.col("date").cast("string").alias("date"), "address", "pool", "transactionHash",
+        *(significant(ubi_to_double(c), JOB_DIGITS).alias(n) for n, c in texts.items()),
+    )
+
+
 # Digits compared: more than exact amounts have, fewer than moments of doubles agree on.
 DIGITS = 10
 MOMENTS = ("skewness1", "kurtosis1", "trend1")
@@ -287,6 +324,19 @@ _AMOUNTS = f"""WITH {_VALUED_CTE} SELECT block AS blockNumber, {_S('volume')} AS
     {_S('fee')} AS fee, {_S('total_fees')} AS total_fees, {_S('(total_fees / volume * 100)')} AS total_fee_pct,
     {_S('(volume * usd)')} AS usd_volume, {_S('(gas_fees * usd)')} AS usd_gas, {_S('(gas_fees * usd + fee * usd)')} AS usd_fees
 FROM based"""
+_EPOCHS = "middle AS (SELECT max(event_id) // 2 + 1 AS length FROM events)"
+_JOB_VALUES = {
+    "gas_fees": "gas_fees", "tip": "own_tip", "base_volume": "volume", "base_volumeBis": "volume_bis", "base_fee": "fee",
+    "usd_volume": "(volume * usd)", "usd_volumeBis": "(volume_bis * usd)", "usd_fee": "(fee * usd)", "usd_gasFees": "(gas_fees * usd)",
+    "usd_tip": "(own_tip * usd)", "usd_baseFeePerGas": "(own_fee * usd)", "total_fees": "total_fees", "total_fees_usd": "(gas_fees * usd + fee * usd)",
+}
+_JOB = f"""WITH {_VALUED_CTE}, {_EPOCHS}, e AS (
+    SELECT *, block // length AS epoch, CASE WHEN block // length >= 1 THEN tip END AS own_tip, CASE WHEN block // length >= 1 THEN base_fee END AS own_fee
+    FROM based, middle
+) SELECT block AS blockNumber, CAST(epoch AS INTEGER) AS epoch, strftime(ts, '%Y-%m-%d') AS date, address,
+    concat(upper(t0), '_', upper(t1), '_30') AS pool, concat('0x', lower(to_hex(block))) AS transactionHash,
+    {", ".join(f'{_S(x, JOB_DIGITS)} AS "{name}"' for name, x in _JOB_VALUES.items())}
+FROM e"""
 _ENTRIES = f"""WITH {_VALUED_CTE}, e AS (
     SELECT address,
         unnest(['base_volume', 'base_volumeBis', 'base_fee', 'volume', 'volumeBis', 'fee', 'gasFees', 'tip', 'baseFeePerGas']) AS key,
@@ -358,6 +408,7 @@ QUERIES = {
     "rated_amounts": (amounts, _AMOUNTS),
     "rated_amounts_composed": (amounts_composed, _AMOUNTS),
     "rated_amount_entries": (amount_entries, _ENTRIES),
+    "rated_swaps": (job_amounts, _JOB),
     "pool_statistics": (statistics(None), _STATS),
     "pool_statistics_sliced": (statistics(6), _STATS),
     "price_series": (price_series, _PRICE_SERIES),

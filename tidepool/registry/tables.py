@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -162,3 +164,48 @@ swaps AS (
         CAST(epoch(ts) AS BIGINT) AS unix, ts
     FROM ticks JOIN pools p ON p.address = event_type
 )"""
+
+
+# -- the same market as landed chain tables -----------------------------------------
+
+
+def half_chain(spark: SparkSession, sf_dir: str) -> Market:
+    """The market with two epochs: blocks (event ids) up to the middle, and those after it."""
+    last = read(spark, sf_dir, "events").agg(F.max("event_id")).first()[0] or 0
+    return replace(MARKET, epoch_length=last // 2 + 1)
+
+
+def chain_events(spark: SparkSession, sf_dir: str, market: Market) -> DataFrame:
+    """Swap events with JSON arguments, and a factory event per pool."""
+    raw = raw_swaps(spark, sf_dir).withColumns({"recipient": F.lit("r"), "sender": F.lit("s")})
+    args = F.to_json(F.struct("amount0", "amount1", "liquidity", "recipient", "sender", "sqrtPriceX96", "tick"))
+    log = ["contract", "event", "blockNumber", "address", "transactionHash", "transactionIndex", "logIndex", "args", "epoch"]
+    epoch = F.floor(F.col("blockNumber") / market.epoch_length).cast("int")
+    found = raw.withColumns({"args": args, "epoch": epoch, "transactionHash": _hash("blockNumber")}).select(log)
+    made = [(json.dumps({"token0": a, "token1": b, "fee": FEE, "tickSpacing": TICK_SPACING, "pool": p}),) for p, (a, b) in POOLS.items()]
+    factory = spark.createDataFrame(made, "args string").select(
+        F.lit("Factory").alias("contract"), F.lit("PoolCreated").alias("event"), F.lit(0).cast("bigint").alias("blockNumber"), F.lit("f").alias("address"),
+        F.lit("0x").alias("transactionHash"), F.lit(0).cast("bigint").alias("transactionIndex"), F.lit(0).cast("bigint").alias("logIndex"), "args", F.lit(0).alias("epoch"),
+    )
+    return found.unionByName(factory)
+
+
+def _hash(block: str) -> Column:
+    return F.concat(F.lit("0x"), F.lower(F.hex(block)))
+
+
+def chain_blocks(spark: SparkSession, sf_dir: str, market: Market) -> DataFrame:
+    """A block per event with its one transaction."""
+    k = F.col("k")
+    transaction = F.struct(_hash("event_id").alias("hash"), (k + 21000).alias("gas"), (k * 1_000_000_000 + 7).alias("gasPrice"))
+    return ticks(spark, sf_dir).select(
+        F.col("event_id").alias("number"),
+        epoch_seconds("ts").cast("bigint").alias("timestamp"),
+        (k * 900_000_000).alias("baseFeePerGas"),
+        F.array(transaction).alias("transactions"),
+        F.floor(F.col("event_id") / market.epoch_length).cast("int").alias("epoch"),
+    )
+
+
+def chain_tokens(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(a, a.upper(), d) for a, d in DECIMALS.items()], "address string, symbol string, decimals int")

@@ -33,6 +33,10 @@ POOL_ARGS = T.StructType(
     ]
 )
 WEI_DECIMALS = 18
+#: A swap belongs to the transaction of its block and hash.
+SWAP_KEYS = ("blockNumber", "transactionHash")
+#: Buckets of landed tables; a bucket of an epoch is what a join's task reads at most.
+BUCKETS = 16
 
 
 def read_epochs(spark: SparkSession, path: str, epochs: Sequence[int]) -> DataFrame:
@@ -81,25 +85,35 @@ def pools(events: DataFrame, token_table: DataFrame) -> DataFrame:
     )
 
 
-def transactions(blocks: DataFrame, epoch: int, market: Market = MARKET, conf: NumericConf = DEFAULT) -> DataFrame:
-    """Transactions of the epoch and its warm-up blocks with fees in the base coin."""
-    wanted = blocks.withColumnRenamed("number", "blockNumber").where(
-        F.col("epoch").isin(epoch - 1, epoch) & (F.col("blockNumber") >= warm_up_floor(epoch, market))
-    )
-    wei = F.lit(f"e{WEI_DECIMALS}")
-    charged = "baseFeePerGas" in blocks.columns and epoch >= market.first_base_fee_epoch
-    base_fee = F.concat(F.col("baseFeePerGas").cast("string"), wei) if charged else F.lit(None).cast("string")
-    flat = wanted.select(
-        "blockNumber", "timestamp", base_fee.alias("baseFeePerGas"), F.explode("transactions").alias("t")
+def flat_transactions(blocks: DataFrame) -> DataFrame:
+    """One row per transaction with its block's number, time and base fee; the fee is NULL where the chain had none."""
+    fee = F.col("baseFeePerGas") if "baseFeePerGas" in blocks.columns else F.lit(None)
+    return blocks.select(
+        F.col("number").alias("blockNumber"), "timestamp", fee.cast("string").alias("baseFeePerGas"), F.explode("transactions").alias("t"), "epoch"
     ).select(
         "blockNumber",
-        "timestamp",
         F.col("t.hash").alias("transactionHash"),
+        "timestamp",
         F.col("t.gas").alias("gas"),
-        F.concat(F.col("t.gasPrice").cast("string"), wei).alias("gasPrice"),
+        F.col("t.gasPrice").cast("string").alias("gasPrice"),
         "baseFeePerGas",
+        "epoch",
+    )
+
+
+def epoch_transactions(flat: DataFrame, epoch: int, market: Market = MARKET) -> DataFrame:
+    """Flat transactions of the epoch and its warm-up blocks, prices in the base coin."""
+    wanted = flat.where(F.col("epoch").isin(epoch - 1, epoch) & (F.col("blockNumber") >= warm_up_floor(epoch, market)))
+    wei = F.lit(f"e{WEI_DECIMALS}")
+    base_fee = F.concat("baseFeePerGas", wei) if epoch >= market.first_base_fee_epoch else F.lit(None).cast("string")
+    return wanted.select(
+        "blockNumber", "timestamp", "transactionHash", "gas", F.concat("gasPrice", wei).alias("gasPrice"), base_fee.alias("baseFeePerGas")
     )
-    return flat.withColumns(
+
+
+def with_fees(transactions: DataFrame, conf: NumericConf = DEFAULT) -> DataFrame:
+    """Gas fees and tip; a Python step, which forgets buckets, so joins on them come before it."""
+    return transactions.withColumns(
         {
             "gasFees": ubim(F.col("gas").cast("string"), "gasPrice", conf),
             "tip": ubis("gasPrice", "baseFeePerGas", conf),
@@ -107,6 +121,21 @@ def transactions(blocks: DataFrame, epoch: int, market: Market = MARKET, conf: N
     )
 
 
+def transactions(blocks: DataFrame, epoch: int, market: Market = MARKET, conf: NumericConf = DEFAULT) -> DataFrame:
+    """Transactions of the epoch and its warm-up blocks with fees in the base coin."""
+    return with_fees(epoch_transactions(flat_transactions(blocks), epoch, market), conf)
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str] = SWAP_KEYS, buckets: int = BUCKETS) -> None:
+    """Land ``df`` as the table ``table`` by epoch, in sorted buckets of its join keys.
+
+    Tables landed with the same keys and number of buckets are joined on the keys without a shuffle,
+    whatever epochs are read. A task writes one bucket, so an epoch has at most a file per bucket.
+    """
+    placed = df.repartition(buckets, *keys)
+    placed.write.mode("overwrite").option("path", path).partitionBy("epoch").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+
+
 def swaps(events: DataFrame, epoch: int, market: Market = MARKET) -> DataFrame:
     """Swap events of the epoch and its warm-up blocks with typed arguments."""
     wanted = events.where(
