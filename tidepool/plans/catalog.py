@@ -47,7 +47,7 @@ DAY_SWAPS = f"""
     token0 {_TOKEN}, token1 {_TOKEN}, fee BIGINT, isBasePool BOOLEAN,
     priceDelta0 DOUBLE, priceDelta1 DOUBLE, priceDeltaPct0 DOUBLE, priceDeltaPct1 DOUBLE,
     priceRange0 DOUBLE, priceRange1 DOUBLE, volatility0 DOUBLE, volatility1 DOUBLE, volatility DOUBLE,
-    priceImpactPctFor1kUsd DOUBLE, part INT"""
+    priceImpactPctFor1kUsd DOUBLE"""
 
 
 def as_published(df: DataFrame, columns: str) -> DataFrame:

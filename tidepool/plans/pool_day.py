@@ -13,11 +13,21 @@ from tidepool.functions.numeric import NumericConf
 from tidepool.functions.scalars import DEFAULT, ubi_sign, ubi_to_double, ubid, ubim, ubis
 from tidepool.operators.projections import PAIR, resolve_columns
 from tidepool.operators.quantiles import exact_percentiles
-from tidepool.operators.series import PART_ROWS, series_parts
 from tidepool.plans.catalog import DAY_SWAPS, as_published
+from tidepool.plans.rated_swaps import staged
 
 GWEI = 1e9
 POOL_KEYS = ("address", "pool")
+DAY_KEYS = ("date", *POOL_KEYS)
+#: Blocks of one row of a series.
+SERIES_BLOCKS = 1000
+# Fields of a point behind its order key, as published.
+SERIES = {
+    "priceSeries": (
+        "price0", "price1", "priceDeltaPct0", "priceDeltaPct1", "netAmount0", "netAmount1", "volume0", "volume1", "baseVolume", "baseVolumeBis",
+    ),
+    "costSeries": ("volumeUsd", "gas", "gasXTipUsd", "gasXBaseFeeUsd", "LPFeeUsd", "tipGwei", "baseFeeGwei", "totalFeePct"),
+}
 
 RESOLVED = (
     *(f"{name}{i}" for name in ("firstPrice", "lastPrice", "minPrice", "maxPrice", "liquidityWeightedPrice") for i in PAIR),
@@ -46,17 +56,30 @@ def distribution(column: Column, suffix: str) -> list[Column]:
     ]
 
 
-def _prepare(swaps: DataFrame, conf: NumericConf) -> DataFrame:
-    """Doubles needed by the native aggregates, all from one Python pass."""
-    doubles = {
-        "resolvedTip": ubi_to_double("tip", conf),
-        "__price0": ubi_to_double("price0", conf),
-        "__price1": ubi_to_double("price1", conf),
-        "__volumeBase": ubi_to_double(F.col("baseAmounts")["volume"], conf),
-        "__volumeUsd": ubi_to_double(F.col("usdAmounts")["volume"], conf),
-        "__feesUsd": ubi_to_double("totalFeesUsd", conf),
-    }
-    return swaps.withColumns(doubles)
+def _doubles(columns: dict[str, Column], conf: NumericConf) -> dict[str, Column]:
+    return {name: ubi_to_double(column, conf) for name, column in columns.items()}
+
+
+def _prepare(swaps: DataFrame, by: Sequence[str], conf: NumericConf) -> DataFrame:
+    """What the aggregates read, with the doubles and weights that need Python, staged so that Python runs once."""
+    doubles = _doubles(
+        {
+            "resolvedTip": F.col("tip"),
+            "__price0": F.col("price0"),
+            "__price1": F.col("price1"),
+            "__volumeBase": F.col("baseAmounts")["volume"],
+            "__volumeUsd": F.col("usdAmounts")["volume"],
+            "__feesUsd": F.col("totalFeesUsd"),
+        },
+        conf,
+    )
+    weights = {"__Base": F.col("baseAmounts")["volume"], "__Usd": F.col("usdAmounts")["volume"]}
+    for i in PAIR:
+        depth = F.col(f"tickDepth{i}").cast("string")
+        weights |= {f"__depth{i}": depth, f"__weighted{i}": ubim(depth, f"price{i}", conf)}
+    sides = [f"{name}{i}" for name in ("price", "priceDeltaPct", "tickDepth", "volume", "netAmount", "token") for i in PAIR]
+    single = ["logId", "timestamp", "tickDelta", "gas", "totalFeePct", "totalFeesUsd", "liquidity", "fee", "isBasePool"]
+    return staged(swaps.withColumns(doubles | weights).select(*by, *sides, *single, *doubles, *weights))
 
 
 def native_statistics(prepared: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -96,14 +119,10 @@ def percentile_statistics(prepared: DataFrame, by: Sequence[str], slices: int |
     return exact_percentiles(prepared, by, outputs, slices)
 
 
-def fraction_statistics(swaps: DataFrame, by: Sequence[str], conf: NumericConf = DEFAULT) -> DataFrame:
+def fraction_statistics(prepared: DataFrame, by: Sequence[str], conf: NumericConf = DEFAULT) -> DataFrame:
     """Exact sums, averages and extremes, folded together in one pass."""
     aggregates: dict[str, tuple[str, Column | str]] = {"__liquidity": ("sum", "liquidity")}
-    weighted = {}
     for i in PAIR:
-        depth = F.col(f"tickDepth{i}").cast("string")
-        weighted[f"__depth{i}"] = depth
-        weighted[f"__weighted{i}"] = ubim(depth, f"price{i}", conf)
         aggregates |= {
             f"minPrice{i}": ("min", f"price{i}"),
             f"maxPrice{i}": ("max", f"price{i}"),
@@ -112,11 +131,10 @@ def fraction_statistics(swaps: DataFrame, by: Sequence[str], conf: NumericConf =
             f"volume{i}": ("sum", f"volume{i}"),
             f"netAmount{i}": ("sum", f"netAmount{i}"),
         }
-    for name, source in (("Base", "baseAmounts"), ("Usd", "usdAmounts")):
-        weighted[f"__{name}"] = F.col(source)["volume"]
+    for name in ("Base", "Usd"):
         aggregates |= {f"volume{name}": ("sum", f"__{name}"), f"avgVolume{name}": ("avg", f"__{name}")}
     aggregates["avgTotalFeesUsd"] = ("avg", "totalFeesUsd")
-    sums = ubi_aggregate(swaps.withColumns(weighted), by, aggregates, conf)
+    sums = ubi_aggregate(prepared, by, aggregates, conf)
     return sums.withColumns(
         {
             f"liquidityWeightedPrice{i}": liquidity_weighted_price(
@@ -163,16 +181,16 @@ def pool_statistics(
 ) -> DataFrame:
     """One row per pool, everything but the series, as doubles.
 
-    Three aggregates of different kinds are taken over the same swaps (native,
+    Three aggregates of different kinds are taken over the same staged columns (native,
     percentiles, exact fractions); each is bounded under a hot pool and the finished
     rows are joined by pool.
     """
     by = list(by)
-    prepared = _prepare(swaps, conf)
+    prepared = _prepare(swaps, by, conf)
     parts = [
         native_statistics(prepared, by),
         percentile_statistics(prepared, by, slices),
-        fraction_statistics(swaps, by, conf),
+        fraction_statistics(prepared, by, conf),
     ]
     joined = reduce(lambda a, b: _join_keys(a, b, by), parts)
     return resolve_columns(higher_level(joined, conf), RESOLVED, conf)
@@ -188,18 +206,12 @@ def _join_keys(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFram
 # -- series ------------------------------------------------------------------------
 
 
-def _doubles(columns: dict[str, Column], conf: NumericConf) -> dict[str, Column]:
-    return {name: ubi_to_double(column, conf) for name, column in columns.items()}
+def pool_series(swaps: DataFrame, by: Sequence[str] = POOL_KEYS, conf: NumericConf = DEFAULT, blocks: int = SERIES_BLOCKS) -> DataFrame:
+    """``priceSeries`` and ``costSeries`` of every pool in order, a row per pool and range of ``blocks`` blocks.
 
-
-def pool_series(
-    swaps: DataFrame,
-    by: Sequence[str] = POOL_KEYS,
-    slices: int | None = None,
-    conf: NumericConf = DEFAULT,
-    part_rows: int = PART_ROWS,
-) -> DataFrame:
-    """``priceSeries`` and ``costSeries`` of every pool in ordered, bounded parts."""
+    The grain depends on the block alone, so a row holds the swaps of one pool in that many blocks, however
+    many swaps there are in all, and a busy pool is spread over its ranges.
+    """
     base, usd, gas = F.col("baseAmounts"), F.col("usdAmounts"), F.col("gas").cast("string")
     doubles = _doubles(
         {
@@ -215,57 +227,43 @@ def pool_series(
         },
         conf,
     )
-    d = lambda n: F.col(f"__{n}").alias(n)
-    price = F.struct(
-        "logId",
-        d("price0"),
-        d("price1"),
-        "priceDeltaPct0",
-        "priceDeltaPct1",
-        d("netAmount0"),
-        d("netAmount1"),
-        d("volume0"),
-        d("volume1"),
-        d("baseVolume"),
-        d("baseVolumeBis"),
-    )
-    cost = F.struct(
-        "logId",
-        d("volumeUsd"),
-        "gas",
-        d("gasXTipUsd"),
-        d("gasXBaseFeeUsd"),
-        d("LPFeeUsd"),
-        (F.col("__tip") * GWEI).alias("tipGwei"),
-        (F.col("__baseFee") * GWEI).alias("baseFeeGwei"),
-        "totalFeePct",
-    )
-    return series_parts(swaps.withColumns(doubles), by, "logId", {"priceSeries": price, "costSeries": cost}, slices, part_rows)
+    own = {n: F.col(f"__{n}") for n in ("price0", "price1", "netAmount0", "netAmount1", "volume0", "volume1", "baseVolume", "baseVolumeBis", "volumeUsd", "gasXTipUsd", "gasXBaseFeeUsd", "LPFeeUsd")}
+    own |= {"tipGwei": F.col("__tip") * GWEI, "baseFeeGwei": F.col("__baseFee") * GWEI}
+    point = lambda names: F.struct("logId", *(own.get(n, F.col(n)).alias(n) for n in names))
+    in_range = F.floor(F.col("logId") / blocks).cast("bigint").alias("blockRange")
+    arrays = [F.sort_array(F.collect_list(point(names))).alias(series) for series, names in SERIES.items()]
+    return swaps.withColumns(doubles).groupBy(*by, in_range).agg(*arrays)
 
 
-def day_swaps(
-    rated: DataFrame,
-    date: str | None = None,
-    slices: int | None = None,
-    conf: NumericConf = DEFAULT,
-    part_rows: int = PART_ROWS,
-) -> DataFrame:
-    """Published daily rows: statistics with their series, one row per pool.
+def whole_series(series: DataFrame, by: Sequence[str] = POOL_KEYS) -> DataFrame:
+    """The series of each pool in one row, its ranges one after the other."""
+    ranges = F.array_sort(F.collect_list(F.struct("blockRange", *SERIES)))
+    joined = series.groupBy(*by).agg(ranges.alias("__ranges"))
+    return joined.select(*by, *(F.flatten(F.col("__ranges")[name]).alias(name) for name in SERIES))
 
-    A pool with more swaps than one array should hold has further rows that only
-    continue its series (``part`` 1, 2, ...), so the series stays whole.
-    """
+
+def changed_days(changes: DataFrame, since: int) -> DataFrame:
+    """Dates with a change (date, changed_at) after ``since``."""
+    return changes.where(F.col("changed_at") > since).select(F.col("date").cast("date").alias("date")).distinct()
+
+
+def swaps_of_days(rated: DataFrame, days: DataFrame) -> DataFrame:
+    """Rated swaps of some dates. A table partitioned by date is pruned to them when the plan runs."""
+    return rated.join(F.broadcast(days), "date", "left_semi")
+
+
+def day_swaps(rated: DataFrame, date: str | None = None, slices: int | None = None, conf: NumericConf = DEFAULT, blocks: int = SERIES_BLOCKS) -> DataFrame:
+    """Published daily rows: statistics with their series, one row per date and pool."""
     swaps = rated if date is None else rated.where(F.col("date") == F.lit(date).cast("date"))
-    stats = pool_statistics(swaps, slices=slices, conf=conf)
-    joined = _join_keys(stats, pool_series(swaps, slices=slices, conf=conf, part_rows=part_rows), POOL_KEYS)
-    first = {c: F.when(F.col("part") == 0, F.col(c)) for c in stats.columns if c not in POOL_KEYS}
-    return joined.withColumns(first)
+    stats = pool_statistics(swaps, DAY_KEYS, slices, conf)
+    return _join_keys(stats, whole_series(pool_series(swaps, DAY_KEYS, conf, blocks), DAY_KEYS), DAY_KEYS)
 
 
-def write_day(rows: DataFrame, path: str, date: str) -> None:
-    """Replace the partition of one day."""
+def write_days(rows: DataFrame, path: str) -> None:
+    """Replaces the partitions of the dates among ``rows``, and no others."""
     (
-        as_published(rows.withColumn("date", F.lit(date)), DAY_SWAPS)
+        as_published(rows, DAY_SWAPS)
+        .repartition("date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("date")

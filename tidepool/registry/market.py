@@ -10,7 +10,7 @@ from tidepool.functions import ubi_to_double
 from tidepool.operators import pricing, valuation
 from tidepool.operators.projections import log_id
 from tidepool.plans import pool_day, rated_swaps
-from tidepool.registry.tables import BASE, MARKET, SWAPS_SQL, USD, chain_blocks, chain_events, chain_tokens, half_chain, raw_swaps, rounded, scratch_folder, use_checkpoints
+from tidepool.registry.tables import BASE, MARKET, FEE, SWAPS_SQL, USD, chain_blocks, chain_events, chain_tokens, half_chain, raw_swaps, rounded, scratch_folder, use_checkpoints
 from tidepool.sources import chain
 
 EXPIRY = MARKET.block_expiry
@@ -141,8 +141,9 @@ def swap_job(spark, sf_dir):
 AMOUNT_KEYS = {"base": ("volume", "volumeBis", "fee"), "usd": ("volume", "volumeBis", "fee", "gasFees", "tip", "baseFeePerGas")}
 
 
-# Digits of the job's many amounts: the SQL has doubles, whose tenth digit a rounding may tip
-JOB_DIGITS = 8
+# Digits of the job's many amounts: the SQL has doubles, whose tenth digit a rounding may tip. Short
+# decimals lie right between two of eight digits, so both sides are nudged past that place.
+JOB_DIGITS, NUDGE = 8, 1 + 1e-12
 
 
 def job_amounts(spark, sf_dir):
@@ -152,7 +153,7 @@ def job_amounts(spark, sf_dir):
     texts |= {"gas_fees": F.col("gasFees"), "tip": F.col("tip"), "total_fees": F.col("totalFees"), "total_fees_usd": F.col("totalFeesUsd")}
     return rated.select(
         "blockNumber", "epoch", F.col("date").cast("string").alias("date"), "address", "pool", "transactionHash",
-        *(significant(ubi_to_double(c), JOB_DIGITS).alias(n) for n, c in texts.items()),
+        *(significant(ubi_to_double(c) * NUDGE, JOB_DIGITS).alias(n) for n, c in texts.items()),
     )
 
 
@@ -224,27 +225,50 @@ def statistics(slices):
     return query
 
 
-def price_series(spark, sf_dir):
-    series = pool_day.pool_series(_stored(_rated(spark, sf_dir)), slices=5, part_rows=500)
-    return series.select("address", F.inline("priceSeries")).select(
-        "address",
-        F.col("logId").cast("bigint").alias("block"),
-        significant(F.col("price1")).alias("price1"),
-        significant(F.col("volume0")).alias("volume0"),
-        significant(F.col("baseVolume")).alias("base_volume"),
-    )
+def series(name):
+    def query(spark, sf_dir):
+        """Every point of every series with all its fields."""
+        points = pool_day.pool_series(_stored(_rated(spark, sf_dir)), blocks=300).select("address", F.inline(name))
+        return points.select("address", F.col("logId").cast("bigint").alias("block"), *(significant(F.col(c) * NUDGE, JOB_DIGITS).alias(c) for c in pool_day.SERIES[name]))
 
+    return query
 
-def cost_series(spark, sf_dir):
-    series = pool_day.pool_series(_stored(_rated(spark, sf_dir)), slices=5, part_rows=500)
-    return series.select("address", F.inline("costSeries")).select(
-        "address",
-        F.col("logId").cast("bigint").alias("block"),
-        "gas",
-        significant(F.col("tipGwei")).alias("tip_gwei"),
-        significant(F.col("baseFeeGwei")).alias("base_fee_gwei"),
-        significant(F.col("gasXTipUsd")).alias("gas_tip_usd"),
-    )
+
+def published_days(spark, sf_dir):
+    """All days published from rated swaps that lie by date, as read back from the published table."""
+    folder = scratch_folder(spark, "days")
+    _stored(_rated(spark, sf_dir)).write.partitionBy("date").parquet(f"{folder}/rated")
+    rated = spark.read.parquet(f"{folder}/rated")
+    changes = rated.groupBy("date").agg(F.max("timestamp").alias("changed_at"))
+    # the changes since the start of time: every day
+    days = pool_day.changed_days(changes, 0)
+    use_checkpoints(spark)
+    pool_day.write_days(pool_day.day_swaps(pool_day.swaps_of_days(rated, days)), f"{folder}/days")
+    return spark.read.parquet(f"{folder}/days")
+
+
+DAY_MOMENTS = tuple(f"{n}{i}" for n in ("skewness", "kurtosis", "trend") for i in (0, 1))
+DAY_COLUMNS = (
+    *(f"{n}{i}" for n in ("firstPrice", "lastPrice", "minPrice", "maxPrice", "liquidityWeightedPrice", "ttAbsPriceDeltaPct", "volume", "netAmount",
+        "avgTickDepth", "priceDelta", "priceDeltaPct", "priceRange", "volatility") for i in (0, 1)),
+    "volumeBase", "volumeUsd", "avgVolumeBase", "avgVolumeUsd", "medVolumeBase", "medVolumeUsd", "avgTicks", "medTicks", "avgGas", "medGas",
+    "tipQ1", "tipQ2", "tipQ3", "avgTotalFeePct", "medTotalFeePct", "avgTotalFeesUsd", "medTotalFeesUsd", "volatility", "priceImpactPctFor1kUsd",
+)
+
+
+def days(spark, sf_dir):
+    """Every published row with all its columns; series by their length and ends."""
+    rows = published_days(spark, sf_dir)
+    ends = {f"{s}_{n}": F.element_at(F.col(s), at)["logId"].cast("bigint") for s in pool_day.SERIES for n, at in (("from", 1), ("to", -1))}
+    return rows.select(
+        F.col("date").cast("string").alias("date"), "address", "pool", "swapCount", "fee", "isBasePool",
+        *(F.col(f"token{i}.{f}").cast("string").alias(f"{f}{i}") for i in (0, 1) for f in ("symbol", "decimals", "address")),
+        F.col("firstPriceLogId").cast("bigint").alias("first_block"), F.col("lastPriceLogId").cast("bigint").alias("last_block"),
+        *(significant(F.col(c) * NUDGE, JOB_DIGITS).alias(c) for c in DAY_COLUMNS),
+        *(rounded(F.col(c), 6).alias(c) for c in DAY_MOMENTS),
+        *(F.size(s).alias(f"{s}_points") for s in pool_day.SERIES),
+        *(c.alias(n) for n, c in ends.items()),
+    )
 
 
 _PRICES = f"""WITH {SWAPS_SQL} SELECT block AS blockNumber, round(root * root, 6) + 0.0 AS price1,
@@ -320,6 +344,12 @@ based AS (
         ELSE b1.pos IS NULL OR b0.pos >= b1.pos END, false) AS lead0 FROM sides)
 )"""
 _S = _significant_sql
+
+
+def _nudged(x):
+    return _significant_sql(f"({x} * {NUDGE!r})", JOB_DIGITS)
+
+
 _AMOUNTS = f"""WITH {_VALUED_CTE} SELECT block AS blockNumber, {_S('volume')} AS volume, {_S('volume_bis')} AS volume_bis,
     {_S('fee')} AS fee, {_S('total_fees')} AS total_fees, {_S('(total_fees / volume * 100)')} AS total_fee_pct,
     {_S('(volume * usd)')} AS usd_volume, {_S('(gas_fees * usd)')} AS usd_gas, {_S('(gas_fees * usd + fee * usd)')} AS usd_fees
@@ -335,7 +365,7 @@ _JOB = f"""WITH {_VALUED_CTE}, {_EPOCHS}, e AS (
     FROM based, middle
 ) SELECT block AS blockNumber, CAST(epoch AS INTEGER) AS epoch, strftime(ts, '%Y-%m-%d') AS date, address,
     concat(upper(t0), '_', upper(t1), '_30') AS pool, concat('0x', lower(to_hex(block))) AS transactionHash,
-    {", ".join(f'{_S(x, JOB_DIGITS)} AS "{name}"' for name, x in _JOB_VALUES.items())}
+    {", ".join(f'{_nudged(x)} AS "{name}"' for name, x in _JOB_VALUES.items())}
 FROM e"""
 _ENTRIES = f"""WITH {_VALUED_CTE}, e AS (
     SELECT address,
@@ -344,44 +374,67 @@ _ENTRIES = f"""WITH {_VALUED_CTE}, e AS (
     FROM based
 ) SELECT address, key, count(*) AS n, count(value) AS known FROM e GROUP BY ALL"""
 
-_STATS = f"""WITH {_VALUED_CTE},
+# deltas of a pool's own order, depths, fees and points of both series
+_MOVED_CTE = f"""{_VALUED_CTE},
 moved AS (
     SELECT *, CASE WHEN pos - lag(pos) OVER w <= {EXPIRY} THEN (price1 / lag(price1) OVER w - 1) * 100 END AS pct1,
         CASE WHEN pos - lag(pos) OVER w <= {EXPIRY} THEN (price0 / lag(price0) OVER w - 1) * 100 END AS pct0,
         CASE WHEN pos - lag(pos) OVER w <= {EXPIRY} THEN tick - lag(tick) OVER w END AS dt,
-        liquidity * (pow(1.0001::DOUBLE, (floor(tick / 60.0) * 60 + 60) / 2) - pow(1.0001::DOUBLE, floor(tick / 60.0) * 60 / 2)) / pow(10.0::DOUBLE, d1) AS depth1,
-        total_fees / volume * 100 AS fee_pct, volume * usd AS vu, gas_fees * usd + fee * usd AS fu
-    FROM based WINDOW w AS (PARTITION BY address ORDER BY pos)
-),
+        liquidity * (hi - lo) / pow(10.0::DOUBLE, d1) AS depth1, liquidity * (hi - lo) / (lo * hi) / pow(10.0::DOUBLE, d0) AS depth0,
+        total_fees / volume * 100 AS fee_pct, volume * usd AS vu, gas_fees * usd + fee * usd AS fu, strftime(ts, '%Y-%m-%d') AS day,
+        unix - 1704067200 AS since  -- a trend is the same from any start, and so keeps its digits
+    FROM (SELECT *, pow(1.0001::DOUBLE, floor(tick / 60.0) * 60 / 2) AS lo, pow(1.0001::DOUBLE, (floor(tick / 60.0) * 60 + 60) / 2) AS hi FROM based)
+    WINDOW w AS (PARTITION BY address ORDER BY pos)
+)"""
+
+
+def _stats_cte(keys: str) -> str:
+    """Statistics of both sides by ``keys``, in the steps g (aggregates), c (central moments) and h."""
+    both = lambda form: ", ".join(form.replace("#", i) for i in "01")
+    return f"""{_MOVED_CTE},
 g AS (
-    SELECT address, count(*) AS swapCount, min_by(price1, pos) AS firstPrice1, max_by(price1, pos) AS lastPrice1,
-        min_by(price0, pos) AS firstPrice0, min(price0) AS minPrice0, max(price0) AS maxPrice0,
-        min(price1) AS minPrice1, max(price1) AS maxPrice1, sum(depth1 * price1) / sum(depth1) AS liquidityWeightedPrice1,
-        sum(abs(net0)) AS volume0, sum(net1) AS netAmount1, sum(volume) AS volumeBase, sum(vu) AS volumeUsd,
-        avg(volume) AS avgVolumeBase, avg(vu) AS avgVolumeUsd, quantile_cont(volume, 0.5) AS medVolumeBase,
-        quantile_cont(vu, 0.5) AS medVolumeUsd, avg(abs(dt)) AS avgTicks, quantile_cont(abs(dt)::DOUBLE, 0.5) AS medTicks,
-        avg(depth1) AS avgTickDepth1, avg(gas) AS avgGas, quantile_cont(gas::DOUBLE, 0.5) AS medGas,
+    SELECT {keys}, count(*) AS swapCount, any_value(t0) AS t0, any_value(t1) AS t1, any_value(d0) AS d0, any_value(d1) AS d1, any_value(is_base) AS is_base,
+        min(block) AS first_block, max(block) AS last_block,
+        {both("min_by(price#, pos) AS firstPrice#, max_by(price#, pos) AS lastPrice#, min(price#) AS minPrice#, max(price#) AS maxPrice#")},
+        {both("sum(depth# * price#) / sum(depth#) AS liquidityWeightedPrice#, sum(abs(net#)) AS volume#, sum(net#) AS netAmount#, avg(depth#) AS avgTickDepth#")},
+        {both("sum(abs(pct#)) AS ttAbsPriceDeltaPct#, avg(pct#) AS mu#, covar_pop(price#, since) / (stddev_samp(price#) * stddev_samp(since)) AS trend#")},
+        sum(volume) AS volumeBase, sum(vu) AS volumeUsd, avg(volume) AS avgVolumeBase, avg(vu) AS avgVolumeUsd,
+        quantile_cont(volume, 0.5) AS medVolumeBase, quantile_cont(vu, 0.5) AS medVolumeUsd, avg(abs(dt)) AS avgTicks,
+        quantile_cont(abs(dt)::DOUBLE, 0.5) AS medTicks, avg(gas) AS avgGas, quantile_cont(gas::DOUBLE, 0.5) AS medGas,
         quantile_cont(tip, 0.25) AS tipQ1, quantile_cont(tip, 0.5) AS tipQ2, quantile_cont(tip, 0.75) AS tipQ3,
-        avg(fu) AS avgTotalFeesUsd, quantile_cont(fu, 0.5) AS medTotalFeesUsd, avg(fee_pct) AS avgTotalFeePct,
-        quantile_cont(fee_pct, 0.5) AS medTotalFeePct, sum(abs(pct1)) AS ttAbsPriceDeltaPct1, sum(abs(pct0)) AS tt0,
-        avg(pct1) AS mu, covar_pop(price1, unix) / (stddev_samp(price1) * stddev_samp(unix)) AS trend1
-    FROM moved GROUP BY address
+        avg(fu) AS avgTotalFeesUsd, quantile_cont(fu, 0.5) AS medTotalFeesUsd, avg(fee_pct) AS avgTotalFeePct, quantile_cont(fee_pct, 0.5) AS medTotalFeePct
+    FROM moved GROUP BY {keys}
 ),
-c AS (SELECT address, avg(pow(pct1 - mu, 2)) AS m2, avg(pow(pct1 - mu, 3)) AS m3, avg(pow(pct1 - mu, 4)) AS m4
-    FROM moved JOIN g USING (address) GROUP BY address),
+c AS (SELECT {keys}, {both("avg(pow(pct# - mu#, 2)) AS m2#, avg(pow(pct# - mu#, 3)) AS m3#, avg(pow(pct# - mu#, 4)) AS m4#")}
+    FROM moved JOIN g USING ({keys}) GROUP BY {keys}),
 h AS (
-    SELECT *, m3 / pow(m2, 1.5) AS skewness1, m4 / (m2 * m2) - 3 AS kurtosis1, lastPrice1 - firstPrice1 AS priceDelta1,
-        (lastPrice1 - firstPrice1) / lastPrice1 * 100 AS priceDeltaPct1, maxPrice1 - minPrice1 AS priceRange1,
+    SELECT *, {both("m3# / pow(m2#, 1.5) AS skewness#, m4# / (m2# * m2#) - 3 AS kurtosis#, lastPrice# - firstPrice# AS priceDelta#")},
+        {both("(lastPrice# - firstPrice#) / lastPrice# * 100 AS priceDeltaPct#, maxPrice# - minPrice# AS priceRange#")},
+        {both("(maxPrice# - minPrice#) / firstPrice# * 100 AS volatility#")},
         ((maxPrice1 - minPrice1) / firstPrice1 + (maxPrice0 - minPrice0) / firstPrice0) * 50 AS volatility,
-        CASE WHEN round(volumeUsd) <> 0 THEN (tt0 + ttAbsPriceDeltaPct1) / 2 / round(volumeUsd) * 1000 END AS priceImpactPctFor1kUsd
-    FROM g JOIN c USING (address)
-)
+        CASE WHEN round(volumeUsd) <> 0 THEN (ttAbsPriceDeltaPct0 + ttAbsPriceDeltaPct1) / 2 / round(volumeUsd) * 1000 END AS priceImpactPctFor1kUsd
+    FROM g JOIN c USING ({keys})
+)"""
+
+
+_STATS = f"""WITH {_stats_cte('address')}
 SELECT address, swapCount, {", ".join(f"{_S(c)} AS {c}" for c in STAT_COLUMNS if c not in MOMENTS)},
     {", ".join(f"round({c}, 7) + 0.0 AS {c}" for c in MOMENTS)} FROM h"""
-_PRICE_SERIES = f"""WITH {_VALUED_CTE} SELECT address, block, {_S('price1')} AS price1, {_S('abs(net0)')} AS volume0,
-    {_S('volume')} AS base_volume FROM based"""
-_COST_SERIES = f"""WITH {_VALUED_CTE} SELECT address, block, gas, {_S('(tip * 1e9)')} AS tip_gwei,
-    {_S('(base_fee * 1e9)')} AS base_fee_gwei, {_S('(gas * tip * usd)')} AS gas_tip_usd FROM based"""
+_DAYS = f"""WITH {_stats_cte('day, address')}
+SELECT day AS date, address, concat('P_', address) AS pool, swapCount, {FEE} AS fee, is_base AS isBasePool,
+    {", ".join(f"upper(t{i}) AS symbol{i}, CAST(d{i} AS VARCHAR) AS decimals{i}, t{i} AS address{i}" for i in (0, 1))}, first_block, last_block,
+    {", ".join(f'{_nudged(c)} AS "{c}"' for c in DAY_COLUMNS)}, {", ".join(f"round({c}, 6) + 0.0 AS {c}" for c in DAY_MOMENTS)},
+    {", ".join(f'swapCount AS "{s}_points", first_block AS "{s}_from", last_block AS "{s}_to"' for s in pool_day.SERIES)} FROM h"""
+_POINT_VALUES = {
+    "price0": "price0", "price1": "price1", "priceDeltaPct0": "pct0", "priceDeltaPct1": "pct1", "netAmount0": "net0", "netAmount1": "net1",
+    "volume0": "abs(net0)", "volume1": "abs(net1)", "baseVolume": "volume", "baseVolumeBis": "volume_bis", "volumeUsd": "vu", "gas": "gas",
+    "gasXTipUsd": "(gas * tip * usd)", "gasXBaseFeeUsd": "(gas * base_fee * usd)", "LPFeeUsd": "(fee * usd)", "tipGwei": "(tip * 1e9)",
+    "baseFeeGwei": "(base_fee * 1e9)", "totalFeePct": "fee_pct",
+}
+_SERIES = {
+    name: f"""WITH {_MOVED_CTE} SELECT address, block, {", ".join(f'{_nudged(_POINT_VALUES[c])} AS "{c}"' for c in fields)} FROM moved"""
+    for name, fields in pool_day.SERIES.items()
+}
 
 QUERIES = {
     "swap_price": (prices(pricing.swap_price), _PRICES),
@@ -411,6 +464,7 @@ QUERIES = {
     "rated_swaps": (job_amounts, _JOB),
     "pool_statistics": (statistics(None), _STATS),
     "pool_statistics_sliced": (statistics(6), _STATS),
-    "price_series": (price_series, _PRICE_SERIES),
-    "cost_series": (cost_series, _COST_SERIES),
+    "price_series": (series("priceSeries"), _SERIES["priceSeries"]),
+    "cost_series": (series("costSeries"), _SERIES["costSeries"]),
+    "day_swaps": (days, _DAYS),
 }

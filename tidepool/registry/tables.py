@@ -161,7 +161,7 @@ swaps AS (
         cents * 1e25 / pow(2.0::DOUBLE, 96) AS root, cents * 1e6 AS liquidity, k * 10 - 500 AS tick,
         k + 21000 AS gas, (k * 1e9 + 7) / 1e18 AS gas_price, k * 9e8 / 1e18 AS base_fee,
         (k + 21000) * (k * 1e9 + 7) / 1e18 AS gas_fees, (k * 1e8 + 7) / 1e18 AS tip,
-        CAST(epoch(ts) AS BIGINT) AS unix, ts
+        CAST(floor(epoch(ts)) AS BIGINT) AS unix, ts
     FROM ticks JOIN pools p ON p.address = event_type
 )"""
 
