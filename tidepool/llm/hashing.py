@@ -6,6 +6,7 @@ size between rows, so a task holds a few megabytes of scratch arrays whatever it
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -69,6 +70,23 @@ class Texts(NamedTuple):
         return self.data[self.offsets[row] : self.offsets[row + 1]].tobytes().decode("utf-8", "replace")
 
 
+def _trimmer():
+    """The C library's call that returns free memory to the system, where there is one."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError, TypeError):
+        return lambda _: 0
+
+
+_trim = _trimmer()
+
+
+def give_back() -> None:
+    """Returns memory that isn't in use: a worker lives on for later stages, beside others of its executor."""
+    pa.default_memory_pool().release_unused()
+    _trim(0)
+
+
 def text_slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[Texts]:
     """A string column in slices of at most ``most`` bytes, or one row; NULL reads as the empty text."""
     column = pc.fill_null(column, "").cast(pa.large_string())
@@ -82,6 +100,7 @@ def text_slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[Texts]:
         end = min(max(end, row + 1), len(column))
         yield Texts(row, data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row])
         row = end
+    give_back()
 
 
 class Words(NamedTuple):

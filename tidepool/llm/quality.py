@@ -5,8 +5,7 @@ passage is described by counts of its bytes and words, encoded by a learned laye
 gated attention (tanh and sigmoid branches, softmax over the document); the weighted sum of encodings
 gives the score. Encoder, attention and output are trained together, by gradient descent in numpy on
 the driver, from a bounded sample: at most ``FIT_DOCS`` labelled documents, half of each class where
-there are enough, and at most ``FIT_PASSAGES`` evenly spread passages of each. Scores then cover all
-passages of all documents in one scan, with the model (a few kilobytes) broadcast.
+there are enough, with all their passages. Scores then cover all passages of all documents in one scan, with the model (a few kilobytes) broadcast.
 
 Cases: a NULL or blank text has no passage and scores the share of label 1; labels that are NULL, or
 name no document, are not learned; several labels of one document count as their mean, rounded; with
@@ -28,7 +27,6 @@ from tidepool.llm.hashing import Texts
 
 PASSAGE_WORDS = 64
 FIT_DOCS = 6000
-FIT_PASSAGES = 64
 ENCODED, ATTENTION = 32, 16
 EPOCHS, BATCH, RATE, DECAY = 30, 256, 5e-3, 1e-4
 _BIGRAM_BINS = 32
@@ -182,10 +180,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         for batch in batches:
             for texts in hashing.text_slices(batch.column(2)):
                 x, bounds = passages(texts)
-                out = []
-                for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-                    keep = np.unique(np.linspace(a, b - 1, FIT_PASSAGES).astype(np.int64)) if b - a > FIT_PASSAGES else np.arange(a, b)
-                    out.append(x[keep].tobytes())
+                out = [x[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
                 rows = [batch.column(i).slice(texts.first, texts.rows) for i in (0, 1)]
                 yield pa.RecordBatch.from_arrays([*rows, pa.array(out, pa.binary())], names=["id", "y", "x"])
 
