@@ -7,6 +7,7 @@ size between rows, so a task holds a few megabytes of scratch arrays whatever it
 from __future__ import annotations
 
 import ctypes
+import gc
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -70,21 +71,14 @@ class Texts(NamedTuple):
         return self.data[self.offsets[row] : self.offsets[row + 1]].tobytes().decode("utf-8", "replace")
 
 
-def _trimmer():
-    """The C library's call that returns free memory to the system, where there is one."""
-    try:
-        return ctypes.CDLL(None).malloc_trim
-    except (OSError, AttributeError, TypeError):
-        return lambda _: 0
-
-
-_trim = _trimmer()
-
-
 def give_back() -> None:
     """Returns memory that isn't in use: a worker lives on for later stages, beside others of its executor."""
+    gc.collect()
     pa.default_memory_pool().release_unused()
-    _trim(0)
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError, TypeError):
+        pass  # another C library
 
 
 def text_slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[Texts]:
