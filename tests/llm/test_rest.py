@@ -61,6 +61,22 @@ def test_url_lists_of_empty_and_repeated(spark):
     assert _evaluate(spark, [(long, 1), ("https://user@x.org./", 1)], entries) == [(True, "x.org", ["bad"])] * 2
 
 
+def test_url_lists_with_clashing_names_and_a_hot_rule(spark, monkeypatch):
+    monkeypatch.setattr(url_lists, "HOT_ROWS", 3)
+    entries = _entries(spark, [("bad", "block", "host", "org", 10, "add"), ("ok", "allow", "host", "x3.org", 0, "add"), ("bad", "block", "host", "org", 40, "remove")])
+    rows = [(i, f"http://x{i % 7}.org/{i}", i, "own", "own", "own", "own", 1, "k") for i in range(60)]
+    docs = spark.createDataFrame(rows, "id int, url string, fetched_at bigint, rule string, blocked string, lists string, verdict_url string, salt int, kind string")
+    got = url_lists.evaluated(docs, entries)
+    got.write.format("noop").mode("overwrite").save()
+    assert sorted(got.columns) == sorted(docs.columns)
+    for r in got.collect():
+        listed, allowed = 10 <= r.id < 40, r.id % 7 == 3
+        assert (r.blocked, r.rule, r.verdict_url) == (listed and not allowed, "x3.org" if allowed else "org" if listed else None, "own")
+        assert list(r.lists) == ["bad"] * listed + ["ok"] * allowed
+    with pytest.raises(ValueError):
+        url_lists.evaluated(docs, entries, at="rule")
+
+
 # neighbours
 
 

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm import brute, data
-from tidepool.llm import bpe, language, lines, quality, queries, repeats, storage, token_files, wordpieces
+from tidepool.llm import bpe, language, lines, quality, queries, repeats, similarity, storage, token_files, wordpieces
 
 PATH = wordpieces.tokenizer_path()
 
@@ -354,3 +354,54 @@ def test_language_score_is_the_posterior():
         plain = model.prior + model.matrix[buckets].astype(np.float64).sum(axis=0)
         plain = np.exp(plain - plain.max())
         assert np.allclose(posterior[i], plain / plain.sum())
+
+
+# words and rows that weak hashes mix up
+
+
+def _thue_morse(n):
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_words_whose_letters_cancel_out(spark):
+    one, two = _thue_morse(1024)
+    texts = [one, two, f"{one} x", f"{two} x"] + [" ".join([w, *data.prose(3, 40).split(" ")]) for w in (one, two)]
+    docs = _frame(spark, texts)
+    for rare in ("local", "join"):
+        for head_bytes in (64 << 20, 1):
+            head = bpe.head_of(docs, PATH, head_bytes=head_bytes)
+            got = _by_id(bpe.encoded(docs, PATH, head=head, rare=rare))
+            assert [list(got[i].ids) for i in range(len(texts))] == [_library_ids(t) for t in texts]
+    encoded = _by_id(token_files.encoded(docs, PATH))
+    assert [list(encoded[i].ids) for i in range(len(texts))] == [[*_library_ids(t), 1] for t in texts]
+    similar = _by_id(similarity.similar_documents(docs, k=4, percent=85))
+    assert [similar[i].component_id for i in range(len(texts))] == brute.similar(texts, 4, 85)
+    kept = _by_id(repeats.without_repeats(docs))
+    assert [(kept[i].n_words, kept[i].n_removed, kept[i].text) for i in range(len(texts))] == brute.without_repeats(texts, 35)
+
+
+def test_rows_without_id_are_told_apart(spark):
+    """Two rows whose 32-bit hashes agree; only one of them repeats another text."""
+    base, n = data.prose(17, 40), 200_000
+    made = spark.range(n).select(
+        F.explode(F.array(F.concat(F.lit(base + " "), F.col("id").cast("string")), F.concat(F.lit("solo "), F.col("id").cast("string")))).alias("text")
+    )
+    hashed = made.withColumn("h", F.hash(F.lit(None).cast("bigint"), "text"))
+    left, right = hashed.where("text NOT LIKE 'solo%'"), hashed.where("text LIKE 'solo%'").withColumnRenamed("text", "other")
+    pair = left.join(right, "h").first()
+    docs = spark.createDataFrame([(None, pair.text), (None, pair.other), (1, base)], "doc_id bigint, text string")
+    got = {r.text: (r.n_words, r.n_removed) for r in repeats.without_repeats(docs).collect()}
+    assert got[pair.other] == (2, 0)
+    assert sorted(n for _, n in got.values()) == [0, 40, 40]
+    for rare in ("local", "join"):
+        ids = sorted(list(r.ids) for r in bpe.encoded(docs, PATH, rare=rare).collect())
+        assert ids == sorted(map(_library_ids, (pair.text, pair.other, base)))
+
+
+def test_lines_of_tables_with_a_column_named_like_the_count(spark):
+    docs = _frame(spark, _logs()).withColumn("n_dropped_lines", F.lit("own"))
+    got = lines.without_recurring_lines(docs)
+    got.write.format("noop").mode("overwrite").save()
+    assert sorted(got.columns) == sorted(docs.columns) and got.schema["n_dropped_lines"].dataType.simpleString() == "bigint"
+    assert got.agg(F.sum("n_dropped_lines")).first()[0] > 40
