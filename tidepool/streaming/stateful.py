@@ -128,13 +128,22 @@ def opened(messages: DataFrame, schema: T.StructType, market: Market = MARKET) -
         F.coalesce("d.address", F.lit("")).alias("address"),
         F.coalesce("d.pairedToken0.address", F.lit("")).alias("paired0"),
         F.coalesce("d.pairedToken1.address", F.lit("")).alias("paired1"),
-        F.lit("all").alias("everything"),
+        F.floor(F.col("d.blockNumber") / market.block_expiry).cast("bigint").alias("usdRange"),
         F.to_json(F.struct("d.price0", "d.price1", "d.tick")).alias("offerSwap"),
         F.when(is_base, quote).alias("offerBase"),
         F.when(is_base & F.coalesce(trades_usd, F.lit(False)), quote).alias("offerUsd"),
     ).withWatermark(EVENT_TIME, f"{market.block_expiry} seconds")
 
 
+def _sent_ahead(stream: DataFrame) -> DataFrame:
+    """Each row in its own range, and USD quotes, without their swap, in the next one, too."""
+    own = F.struct(F.col("usdRange").alias("to"), F.lit(False).alias("ahead"))
+    following = F.struct((F.col("usdRange") + 1).alias("to"), F.lit(True).alias("ahead"))
+    places = F.when(F.col("offerUsd").isNotNull(), F.array(own, following)).otherwise(F.array(own))
+    sent = stream.withColumn("place", F.explode(places)).withColumn("ahead", F.col("place.ahead"))
+    return sent.withColumns({"usdRange": F.col("place.to"), "value": F.when(~F.col("ahead"), F.col("value"))}).drop("place")
+
+
 def rated_stream(
     messages: DataFrame,
     schema: T.StructType,
@@ -142,15 +151,20 @@ def rated_stream(
     late: str = "fail",
     conf: NumericConf = DEFAULT,
 ) -> DataFrame:
-    """Deltas, base quotes of both tokens and the USD quote for a stream of swaps."""
+    """Deltas, base quotes of both tokens and the USD quote for a stream of swaps.
+
+    The USD quote is one for all swaps, but none outlives ``block_expiry`` blocks. So it is carried per
+    range of that many blocks, and a quote is also sent ahead to the next range: no key has more swaps
+    than such a range, plus the quotes of the one before.
+    """
     stream = opened(messages, schema, market).observe("rows_in", F.count(F.lit(1)).alias("rows"))
     for key, offer, found in (
         ("address", "offerSwap", "foundSwap"),
         ("paired0", "offerBase", "found0"),
         ("paired1", "offerBase", "found1"),
-        ("everything", "offerUsd", "foundUsd"),
     ):
         stream = carry_stream(stream, key, offer, found, market.block_expiry, late=late)
+    stream = carry_stream(_sent_ahead(stream), "usdRange", "offerUsd", "foundUsd", market.block_expiry, late=late).where(~F.col("ahead"))
     stream = stream.observe("rows_out", F.count(F.lit(1)).alias("rows"))
 
     def quote(found: str, offer: str) -> Column:
