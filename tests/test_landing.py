@@ -2,6 +2,7 @@
 
 import datetime
 import json
+import random
 from decimal import Decimal
 
 import pytest
@@ -65,6 +66,20 @@ def test_words(spark):
     assert rows[1].d.a is None
 
 
+def test_words_are_decoded_without_python(spark):
+    rng = random.Random(6)
+    values = [0, 1, 10**18 - 1, 10**18, 2**32, 2**255 - 1, 2**255, 2**256 - 1, 2**256 - 10**18, 2**256 - 2**32] + [rng.randrange(2 ** rng.choice((8, 64, 128, 255, 256))) for _ in range(200)]
+    rows = [(i, "0x" + f"{v:064x}" * 2) for i, v in enumerate(values)] + [(1000, "0x"), (1001, "0xAb"), (1002, "ff" * 32 + "0F")]
+    decoded = spark.createDataFrame(rows, "id int, data string").select("id", landing.decode_words("data", {"a": "int", "b": "uint"}).alias("d"))
+    assert "Python" not in decoded._jdf.queryExecution().executedPlan().toString()
+    got = {r.id: (r.d.a, r.d.b) for r in decoded.collect()}
+    for i, v in enumerate(values):
+        assert got[i] == (str(v - (v >> 255 << 256)), str(v))
+    assert [got[i] for i in (1000, 1001, 1002)] == [(None, None), ("171", None), ("-1", "15")]
+    with pytest.raises(Exception, match="isn't hex"):
+        spark.createDataFrame([("0xzz",)], "data string").select(landing.decode_words("data", {"a": "int"})).collect()
+
+
 def test_pool_discovery_drops_unknown_addresses(spark):
     created = [(json.dumps({"pool": "0x1"}), 10, 0, "PoolCreated"), (json.dumps({}), 11, 0, "PoolCreated"), (json.dumps({"pool": "0x2"}), 12, 5, "PoolCreated"), (json.dumps({"pool": "0x3"}), 13, 0, "Other")]
     df = spark.createDataFrame(created, "args string, blockNumber long, epoch int, event string")

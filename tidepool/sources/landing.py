@@ -5,13 +5,12 @@ Jobs start from rows already fetched; network clients are not part of this packa
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidepool.operators.joins import dimension_join
 from tidepool.operators.market import EPOCH_LENGTH
@@ -26,24 +25,29 @@ FACTORIES = ("Factory",)
 # -- sources -------------------------------------------------------------------
 
 
+# The parts of a contract's entry that landing reads.
+CONTRACTS = """ARRAY<STRUCT<name: STRING, source: STRUCT<address: STRING, abi: STRING, startBlock: BIGINT>,
+    mapping: STRUCT<abis: ARRAY<STRUCT<name: STRING, file: STRING>>, eventHandlers: ARRAY<STRUCT<event: STRING>>>>>"""
+
+
+def _configured(spark: SparkSession, entries: Sequence[Mapping]) -> DataFrame:
+    """Entries of a configuration with the file of the ABI that each names, and its events."""
+    texts = spark.createDataFrame([(json.dumps(list(entries)),)], "text string")
+    rows = texts.select(F.inline(F.from_json("text", CONTRACTS)))
+    own = F.filter("mapping.abis", lambda abi: abi["name"] == F.col("source.abi"))
+    return rows.select("name", "source", F.element_at(own, -1)["file"].alias("abi"), F.col("mapping.eventHandlers.event").alias("events"))
+
+
 def contract_sources(spark: SparkSession, config: Mapping) -> DataFrame:
     """Contracts of a configuration with their ABI file, events and factory flag."""
-    schema = "address string, startBlock long, name string, abi string, events array<string>, is_factory boolean"
-    return spark.createDataFrame([_source(s) for s in config["dataSources"]], schema)
+    return _configured(spark, config["dataSources"]).select(
+        "source.address", "source.startBlock", F.col("source.abi").alias("name"), "abi", "events", F.col("source.abi").isin(*FACTORIES).alias("is_factory")
+    )
 
 
 def contract_templates(spark: SparkSession, config: Mapping) -> DataFrame:
     """ABI file and events per template name."""
-    rows = [(t["name"], *_source(t)[3:5]) for t in config["templates"]]
-    return spark.createDataFrame(rows, "name string, abi string, events array<string>")
-
-
-def _source(entry: Mapping) -> tuple:
-    source, mapping = entry["source"], entry["mapping"]
-    files = {abi["name"]: abi["file"] for abi in mapping["abis"]}
-    name = source["abi"]
-    events = [h["event"] for h in mapping["eventHandlers"]]
-    return source.get("address"), source.get("startBlock"), name, files[name], events, name in FACTORIES
+    return _configured(spark, config["templates"]).select("name", "abi", "events")
 
 
 def attach_templates(contracts: DataFrame, templates: DataFrame) -> DataFrame:
@@ -91,41 +95,61 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str]) -> None:
     )
 
 
-def _decode(names: Sequence[str], signed: Sequence[bool]):
-    arrow = pa.struct([(n, pa.string()) for n in names])
+# A word is read in parts of eight hex digits; decimal limbs hold 18 digits, so all products fit a decimal.
+_PART_HEX, _LIMB_DIGITS, _LIMBS = 8, 18, 5
+_LIMB_TYPE = "decimal(20,0)"
+
+
+def _whole(n: int) -> Column:
+    return F.lit(str(n)).cast(f"decimal({len(str(n))},0)")
 
-    @F.arrow_udf(T.StructType([T.StructField(n, T.StringType()) for n in names]))
-    def decode(data: pa.Array) -> pa.Array:
-        rows = []
-        for text in data.to_pylist():
-            if text is None:
-                rows.append(None)
-                continue
-            body = text[2:] if text.startswith("0x") else text
-            row = {}
-            for i, (name, is_signed) in enumerate(zip(names, signed)):
-                word = body[i * WORD : (i + 1) * WORD]
-                n = int(word, 16) if word else None
-                if n is not None and is_signed and n >> 255:
-                    n -= 1 << 256
-                row[name] = None if n is None else str(n)
-            rows.append(row)
-        return pa.array(rows, type=arrow)
 
-    return decode
+def _appended(limbs: Column, part: Column) -> Column:
+    """Limbs of ``2^32 * value + part``; the carry of a limb goes into the next."""
+    base, carry, out = _whole(10**_LIMB_DIGITS), part, []
+    for i in range(_LIMBS):
+        total = limbs[f"l{i}"] * _whole(1 << 4 * _PART_HEX) + carry
+        out.append((total % base).cast(_LIMB_TYPE).alias(f"l{i}"))
+        carry = F.call_function("div", total, base).cast(_LIMB_TYPE)
+    return F.struct(*out)
+
+
+def _digits(limbs: Column) -> Column:
+    padded = F.concat(*(F.lpad(limbs[f"l{i}"].cast("string"), _LIMB_DIGITS, "0") for i in reversed(range(_LIMBS))))
+    return F.regexp_replace(padded, "^0+(?=.)", "")
+
+
+def word_number(word: Column, signed: bool) -> Column:
+    """Decimal text of a word of up to 256 bits in hex, native: two's complement where ``signed``; NULL for an empty word."""
+    clean = F.when(word.rlike("^[0-9a-fA-F]+$"), F.lpad(F.lower(word), WORD, "0")).when(word != "", F.raise_error(F.lit("a data word isn't hex")).cast("string"))
+
+    def number(w: Column) -> Column:
+        negative = w >= "8" if signed else F.lit(False)
+        # a negative number's size is the complement and one
+        size = F.when(negative, F.translate(w, "0123456789abcdef", "fedcba9876543210")).otherwise(w)
+        last = WORD // _PART_HEX - 1
+
+        def part(k: Column) -> Column:
+            value = F.conv(size.substr(k * _PART_HEX + 1, F.lit(_PART_HEX)), 16, 10).cast(_LIMB_TYPE)
+            return (value + F.when(negative & (k == last), 1).otherwise(0)).cast(_LIMB_TYPE)
+
+        nothing = F.struct(*(F.lit(0).cast(_LIMB_TYPE).alias(f"l{i}") for i in range(_LIMBS)))
+        text = _digits(F.aggregate(F.transform(F.sequence(F.lit(0), F.lit(last)), part), nothing, _appended))
+        return F.when(w.isNotNull(), F.concat(F.when(negative, "-").otherwise(""), text))
+
+    return F.transform(F.array(clean), number)[0]  # the array names the word, so that it is cut out once
 
 
 def decode_words(data: str | Column, fields: Mapping[str, str]) -> Column:
     """Struct of 256-bit words of hex event data as decimal text.
 
-    ``fields`` maps a name to ``int`` (two's complement), ``uint`` or ``address``;
-    addresses are cut out natively by ``word_address``.
+    ``fields`` maps a name to ``int`` (two's complement), ``uint`` or ``address``. Nothing leaves the JVM.
     """
     data = F.col(data) if isinstance(data, str) else data
-    numbers = _decode(list(fields), [k == "int" for k in fields.values()])(data)
+    body = F.regexp_replace(data, "^0x", "")
     return F.struct(
         *(
-            (word_address(data, i) if kind == "address" else numbers[name]).alias(name)
+            (word_address(data, i) if kind == "address" else word_number(F.substring(body, i * WORD + 1, WORD), kind == "int")).alias(name)
             for i, (name, kind) in enumerate(fields.items())
         )
     )
