@@ -157,6 +157,41 @@ def test_streaming_upsert(spark, tmp_path):
     assert go([("d1", 2, "c"), ("d3", 9, "n")]) == [("d1", 1, "a"), ("d1", 2, "c"), ("d2", 1, "z"), ("d3", 9, "n")]
 
 
+def _files(path):
+    return {str(f.relative_to(path)): f.stat().st_mtime_ns for f in path.rglob("part-*.parquet") if "_staging" not in str(f)}
+
+
+def test_merge_rewrites_only_files_with_a_match(spark, tmp_path, monkeypatch):
+    table, schema = tmp_path / "table", "date string, logId int, v string"
+    rows = [(f"day {i % 3}", i, "old") for i in range(90)]
+    for part in (rows[:45], rows[45:]):  # two files a day
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").partitionBy("date").parquet(str(table))
+    before = _files(table)
+    assert len(before) == 6
+    batch = spark.createDataFrame([("day 0", 3, "new"), ("day 0", 500, "more"), ("day 1", 501, "more"), ("day 9", 1, "more")], schema)
+    sink.upsert_path(batch, str(table))
+    after = _files(table)
+    kept = {n for n in before if after.get(n) == before[n]}
+    assert len(kept) == 5  # the one with id 3 is gone
+    want = {(d, i): "new" if i == 3 else v for d, i, v in rows} | {("day 0", 500): "more", ("day 1", 501): "more", ("day 9", 1): "more"}
+    read = lambda: {(r.date, r.logId): r.v for r in spark.read.schema(schema).parquet(str(table)).collect()}
+    assert read() == want and not list((table / "_staging").iterdir())
+
+    # a merge that stops while files are moved is carried on by the next run of its batch
+    change = spark.createDataFrame([("day 2", 5, "newer"), ("day 2", 86, "newer")], schema)
+    monkeypatch.setattr(sink._Files, "forget", lambda self, uri: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        sink.upsert_path(change, str(table), batch_id=7)
+    monkeypatch.undo()
+    sink.upsert_path(change, str(table), batch_id=7)
+    sink.upsert_path(change, str(table), batch_id=7)  # once more changes nothing
+    assert read() == want | {("day 2", 5): "newer", ("day 2", 86): "newer"}
+    assert spark.read.parquet(str(table)).count() == len(want)
+    with pytest.raises(Exception, match="several rows of one key"):
+        sink.upsert_path(change.unionAll(change), str(table), batch_id=8)
+    assert read() == want | {("day 2", 5): "newer", ("day 2", 86): "newer"}
+
+
 def test_log_tail(spark, tmp_path):
     source = tmp_path / "containers"
     source.mkdir()

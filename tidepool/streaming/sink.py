@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -22,6 +23,72 @@ def existing(spark: SparkSession, path: str, schema) -> DataFrame | None:
         return None
 
 
+class _Files:
+    """Few calls on the file system of a table: a merge moves and deletes whole files."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.jvm = spark._jvm
+        self.fs = self._path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _path(self, name: str):
+        return self.jvm.org.apache.hadoop.fs.Path(name)
+
+    def of_uri(self, uri: str):
+        """Path of an encoded name, as scans report it."""
+        return self.jvm.org.apache.hadoop.fs.Path(self.jvm.java.net.URI(uri))
+
+    def exists(self, name: str) -> bool:
+        return self.fs.exists(self._path(name))
+
+    def delete(self, name: str) -> None:
+        self.fs.delete(self._path(name), True)
+
+    def forget(self, uri: str) -> None:
+        self.fs.delete(self.of_uri(uri), False)
+
+    def below(self, name: str) -> list[str]:
+        """Data files in the folders of ``name``, relative to it."""
+        top, found = self._path(name), []
+        root = self.fs.makeQualified(top).toUri().getPath()
+        files = self.fs.listFiles(top, True)
+        while files.hasNext():
+            at = files.next().getPath()
+            if not at.getName().startswith(("_", ".")):
+                found.append(at.toUri().getPath()[len(root) + 1 :])
+        return found
+
+    def move(self, source: str, target: str) -> None:
+        """Renames a file; a move that was made before is left as it is."""
+        if self.exists(source):
+            self.fs.mkdirs(self._path(target).getParent())
+            if not self.fs.rename(self._path(source), self._path(target)):
+                raise OSError(f"{source} can't be moved to {target}")
+
+    def write(self, name: str, text: str) -> None:
+        """A file that appears whole or not at all."""
+        out = self.fs.create(self._path(f"{name}.part"), True)
+        out.write(bytearray(text.encode()))
+        out.close()
+        self.move(f"{name}.part", name)
+
+    def read(self, name: str) -> str:
+        stream = self.fs.open(self._path(name))
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+
+def _apply(files: _Files, path: str, staging: str) -> None:
+    """Moves the written files of a merge into the table and deletes those they replace; may be run again."""
+    replaced = json.loads(files.read(f"{staging}/_replaced"))
+    for name in files.below(f"{staging}/files"):
+        files.move(f"{staging}/files/{name}", f"{path}/{name}")
+    for uri in replaced:
+        files.forget(uri)
+    files.delete(staging)
+
+
 def upsert_path(
     batch: DataFrame,
     path: str,
@@ -32,33 +99,34 @@ def upsert_path(
 ) -> None:
     """Merge a batch into a partitioned Parquet table: update matches, insert the rest.
 
-    Only partitions present in the batch are read and rewritten. The batch and the
-    merged partitions are written beside the table first, in a folder of this batch, so
-    an interrupted merge can be run again. Without ``sequence`` a key may occur only
-    once in a batch, else the merge fails.
+    Only partitions present in the batch are searched, and of them only files that hold a
+    matching row are rewritten, once; all others stay as they are. New files are written
+    beside the table. When all are there, the list of those they replace is written, files
+    are moved in and the replaced ones deleted. A merge that was interrupted before that list
+    starts anew when it is run again; one interrupted after it is carried on. Without
+    ``sequence`` a key may occur only once in a batch, else the merge fails.
     """
-    spark = batch.sparkSession
+    spark, files = batch.sparkSession, _Files(batch.sparkSession, path)
     staging = f"{path}/_staging/{batch_id}"
-    batch.write.mode("overwrite").parquet(f"{staging}/batch")
-    staged = spark.read.parquet(f"{staging}/batch")
-    touched = [r[0] for r in staged.select(partition).distinct().collect()]
-    if not touched:
-        return
-    target = existing(spark, path, staged.schema)
-    if target is None:
-        merged = latest_per_key(staged, keys, sequence)
-    else:
-        merged = merge_upsert(target.where(F.col(partition).isin(*touched)), staged, keys, sequence)
-    merged.write.mode("overwrite").parquet(f"{staging}/merged")
-    (
-        spark.read.schema(merged.schema)
-        .parquet(f"{staging}/merged")
-        .hint("rebalance", partition)  # files by the measured size of each partition
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
+    if files.exists(f"{staging}/_replaced"):
+        return _apply(files, path, staging)
+    files.delete(staging)
+    batch = batch.persist()  # read to find the files and to merge them
+    touched = [r[0] for r in batch.select(partition).distinct().collect()]
+    if touched:
+        merged, replaced = latest_per_key(batch, keys, sequence), []
+        target = existing(spark, path, batch.schema)
+        if target is not None:
+            searched = target.where(F.col(partition).isin(*touched))
+            matching = searched.withColumn("__file", F.col("_metadata.file_path")).join(batch.select(*keys), list(keys), "left_semi")
+            replaced = [r[0] for r in matching.select("__file").distinct().collect()]
+            rest = searched.where(F.col("_metadata.file_path").isin(*replaced)) if replaced else searched.limit(0)
+            merged = merge_upsert(rest, batch, keys, sequence)
+        # files by the measured size of each partition
+        merged.hint("rebalance", partition).write.partitionBy(partition).parquet(f"{staging}/files")
+        files.write(f"{staging}/_replaced", json.dumps(replaced))
+        _apply(files, path, staging)
+    batch.unpersist()
 
 
 def upsert_stream(
