@@ -287,6 +287,84 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
 WHERE rank <= 10
 """
 
+OP3_SQL = r"""
+WITH RECURSIVE t AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+sets AS (
+    SELECT DISTINCT doc_id, s FROM (
+        SELECT doc_id, unnest(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+            WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+        FROM t)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM sets a JOIN sets b ON b.s = a.s AND b.doc_id <> a.doc_id
+        JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))
+),
+reached(doc_id, least) AS (
+    SELECT doc_id, doc_id FROM t
+    UNION
+    SELECT l.b, r.least FROM reached r JOIN links l ON l.a = r.doc_id WHERE r.least < l.b
+)
+SELECT t.doc_id, coalesce(max(n), 0) AS n_shingles, min(least) AS component_id
+FROM t LEFT JOIN sizes USING (doc_id) JOIN reached USING (doc_id) GROUP BY t.doc_id
+"""
+
+OP9_SQL = r"""
+WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+    SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS body FROM t, unnest(range(1, len(w) - 33)) AS u(i)
+),
+repeated AS (SELECT body FROM windows GROUP BY body HAVING count(*) > 1),
+covered AS (SELECT DISTINCT doc_id, p FROM windows JOIN repeated USING (body), unnest(range(i, i + 35)) AS u(p)),
+places AS (SELECT doc_id, generate_subscripts(w, 1) AS p, unnest(w) AS word FROM t)
+SELECT t.doc_id, CAST(len(any_value(t.w)) AS BIGINT) AS n_words, count(c.p) AS n_removed,
+    sha256(coalesce(string_agg(CASE WHEN c.p IS NULL THEN x.word END, ' ' ORDER BY x.p), '')) AS kept_sha256
+FROM t LEFT JOIN places x ON x.doc_id = t.doc_id LEFT JOIN covered c ON c.doc_id = x.doc_id AND c.p = x.p
+GROUP BY t.doc_id
+"""
+
+# the checksum is computed byte by byte from its table of 256 codes
+OP13_SQL = r"""
+WITH codes AS (
+    SELECT list(c ORDER BY i) AS t FROM (
+        SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) AS c FROM range(256) AS r(i))
+),
+runs AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{00C0}-\x{00FF}]{7,}')) AS run FROM documents
+),
+counted AS (SELECT doc_id, run, count(*) AS n, hex(encode(concat(doc_id, ':', run))) AS x FROM runs GROUP BY ALL),
+hashed AS (
+    SELECT run, n, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, len(x), 2), lambda i: CAST('0x' || x[i:i + 1] AS BIGINT))),
+        lambda a, b: xor(t[xor(a, b) % 256 + 1], a >> 8))) AS h
+    FROM counted, codes
+),
+words AS (
+    SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+        SELECT n, CASE WHEN h % 31 = 0 THEN concat(run[1:h % length(run)], run[h % length(run) + 2:]) ELSE run END AS word FROM hashed)
+    WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+),
+cuts AS (SELECT word, n, i, concat(word[1:i - 1], word[i + 1:]) AS rest FROM words, unnest(range(1, length(word) + 1)) AS u(i)),
+near AS (
+    SELECT a.word AS word, b.word AS other, b.n FROM cuts a JOIN cuts b ON b.rest = a.rest AND b.i = a.i AND b.word <> a.word
+    UNION SELECT w.word, c.word, c.n FROM words w JOIN cuts c ON c.rest = w.word
+    UNION SELECT c.word, w.word, w.n FROM words w JOIN cuts c ON c.rest = w.word
+),
+best AS (SELECT word, count(*) AS n_near, min((-n, other)) AS top FROM near GROUP BY word),
+forms AS (
+    SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -top[1] >= 10 * n THEN top[2] END AS form, CASE WHEN -top[1] >= 10 * n THEN -top[1] END AS form_n
+    FROM words LEFT JOIN best USING (word)
+),
+chain AS (
+    WITH RECURSIVE steps(word, spot) AS (
+        SELECT word, word FROM forms UNION ALL SELECT s.word, f.form FROM steps s JOIN forms f ON f.word = s.spot WHERE f.form IS NOT NULL
+    ) SELECT s.word, s.spot AS root FROM steps s JOIN forms f ON f.word = s.spot WHERE f.form IS NULL
+)
+SELECT word, form, root, n, n_near, CAST(form_n AS BIGINT) AS form_n FROM forms JOIN chain USING (word)
+"""
+
 OP12_SQL = """
 WITH v AS (
     SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
@@ -313,15 +391,15 @@ WHERE rank <= 10
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_decontamination": (op1_decontamination, OP1_SQL),
     "op2_lines": (op2_lines, OP2_SQL),
-    "op3_similarity": (op3_similarity, None),
+    "op3_similarity": (op3_similarity, OP3_SQL),
     "op4_bpe": (op4_bpe, None),
     "op5_url_lists": (op5_url_lists, OP5_SQL),
     "op6_quality": (op6_quality, None),
     "op7_language": (op7_language, None),
     "op8_token_files": (op8_token_files, None),
-    "op9_repeats": (op9_repeats, None),
+    "op9_repeats": (op9_repeats, OP9_SQL),
     "op10_neighbours": (op10_neighbours, OP10_SQL),
     "op11_packing": (op11_packing, None),
     "op12_hard_negatives": (op12_hard_negatives, OP12_SQL),
-    "op13_spelling": (op13_spelling, None),
+    "op13_spelling": (op13_spelling, OP13_SQL),
 }
