@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import functions as F
 
 from tidepool.functions import ubi_canonical
+from tidepool.operators import projections
 from tidepool.plans import catalog
 from tidepool.registry.tables import LINES_SQL, MARKET, TICKS_SQL, cents, epoch_seconds, lines, raw_swaps, read, rounded, scratch_folder, text, ticks
 from tidepool.sources import chain, landing, logs
@@ -226,6 +228,47 @@ def phase_costs(spark, sf_dir):
     return logs.phase_costs(_profile(spark, sf_dir), "S").select(*(rounded(F.col(f"avg_t{i}"), 4).alias(f"avg_t{i}") for i in (1, 2, 3)))
 
 
+def log_table(spark, sf_dir):
+    """Logs as JSON files, some lines cut short, declared as a table; profiles of it are kept and read twice."""
+    folder, name = scratch_folder(spark, "log-table"), f"profiles_{uuid.uuid4().hex}"
+    lines = _log_lines(spark, sf_dir)
+    body = F.to_json(F.struct("log", "time", F.lit("stderr").alias("stream"), "kubernetes"))
+    cut = F.when(F.col("event_id") % 50 == 0, F.substring(body, 1, 30)).otherwise(body)
+    lines.select(cut.alias("value")).write.text(folder)
+    table = logs.declare_log_table(spark, folder, f"log_{uuid.uuid4().hex}")
+    sound = table.where(F.col("corrupt").isNull())
+    kept = logs.cache_lazily(logs.profile_records(sound, "run-pool-swaps-%", "op").select("exec", "op", "ns"), name)
+    total = F.sum("ns").alias("ns")
+    parts = [
+        kept.groupBy(F.lit("exec").alias("kind"), F.col("exec").alias("name")).agg(F.count("*").alias("n"), total),
+        kept.groupBy(F.lit("op").alias("kind"), F.col("op").alias("name")).agg(F.count("*").alias("n"), total),
+        table.where(F.col("corrupt").isNotNull() & F.col("stream").isNull()).groupBy(F.lit("corrupt").alias("kind"), F.substring("corrupt", 1, 6).alias("name")).agg(
+            F.count("*").alias("n"), F.lit(None).cast("bigint").alias("ns")
+        ),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def landed_templates(spark, sf_dir):
+    """Customers as discovered contracts, named by segment, with file and events of their template."""
+    templates = [
+        {"name": n, "source": {"abi": n}, "mapping": {"abis": [{"name": "Other", "file": "other.json"}, {"name": n, "file": f"{n.lower()}.json"}], "eventHandlers": [{"event": e} for e in events]}}
+        for n, events in (("AUTOMOBILE", ["Swap", "Mint"]), ("BUILDING", ["Swap"]), ("MACHINERY", []))
+    ]
+    found = read(spark, sf_dir, "customer").select(text(F.col("c_custkey")).alias("address"), F.col("c_mktsegment").alias("name"))
+    attached = landing.attach_templates(found, landing.contract_templates(spark, {"templates": templates}))
+    return attached.select("address", "name", "abi", F.array_join("events", ",").alias("events"))
+
+
+def null_extended(spark, sf_dir):
+    """Ticks in the shape of rated swaps, sides swapped by the names' twins; what they lack is a typed NULL."""
+    sides = ticks(spark, sf_dir).select(F.col("event_id").alias("blockNumber"), F.col("event_type").alias("address"), text(F.col("cents")).alias("amount0"), text(F.col("k")).alias("amount1"))
+    swapped = sides.select("blockNumber", "address", *(F.col(projections.twin(n)).alias(n) for n in ("amount0", "amount1")))
+    shaped = catalog.as_published(swapped, catalog.RATED_SWAPS)
+    odd = F.concat_ws(",", *(F.when(F.col(f.name).isNull(), f.name) for f in shaped.schema if f.name in ("date", "tick", "usdBase", "usdAmounts")))
+    return shaped.select("blockNumber", "address", "amount0", "amount1", F.unix_seconds("blockNumberTs").alias("seconds"), odd.alias("missing"), F.lit(len(shaped.columns)).alias("width"))
+
+
 def container_lines(spark, sf_dir):
     e = ticks(spark, sf_dir)
     stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
@@ -311,6 +354,24 @@ def _gauge_sql(sign):
 
 
 QUERIES = {
+    "log_table": (
+        log_table,
+        f"""WITH {_LOGS}, sound AS (SELECT * FROM logs WHERE event_id % 50 <> 0 AND NOT expired)
+        SELECT 'exec' AS kind, exec AS name, count(*) AS n, CAST(sum(cents) AS BIGINT) AS ns FROM sound GROUP BY exec
+        UNION ALL SELECT 'op', op, count(*), CAST(sum(cents) AS BIGINT) FROM sound GROUP BY op
+        UNION ALL SELECT 'corrupt', '{{"log"', count(*), NULL FROM logs WHERE event_id % 50 = 0 GROUP BY ALL""",
+    ),
+    "landed_templates": (
+        landed_templates,
+        """SELECT CAST(c_custkey AS VARCHAR) AS address, c_mktsegment AS name,
+            CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'MACHINERY') THEN concat(lower(c_mktsegment), '.json') END AS abi,
+            CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'Swap,Mint' WHEN 'BUILDING' THEN 'Swap' WHEN 'MACHINERY' THEN '' END AS events FROM customer""",
+    ),
+    "null_extended": (
+        null_extended,
+        f"""WITH {TICKS_SQL} SELECT event_id AS blockNumber, event_type AS address, CAST(k AS VARCHAR) AS amount0, CAST(cents AS VARCHAR) AS amount1,
+            event_id AS seconds, 'tick,usdBase,usdAmounts,date' AS missing, CAST(63 AS INTEGER) AS width FROM ticks""",
+    ),
     "pools": (
         pools,
         """SELECT CASE WHEN p_size <> 7 THEN CAST(p_partkey AS VARCHAR) END AS address,

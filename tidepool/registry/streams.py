@@ -11,7 +11,7 @@ from tidepool.plans.rated_swaps import price_swaps
 from tidepool.registry.market import _QUOTES
 from tidepool.registry.ordered import _ASOF_KEYED, _DELTAS, DELTA_EXPIRY, KEYED_EXPIRY
 from tidepool.registry.tables import MARKET, cents, raw_swaps, read, rounded, scratch_folder, text
-from tidepool.streaming import buffer, microbatch, sink, stateful
+from tidepool.streaming import buffer, logtail, microbatch, sink, stateful
 
 
 def _use_state_store(spark):
@@ -120,6 +120,25 @@ def stream_rated_batches(spark, sf_dir):
     )
 
 
+def stream_log_lines(spark, sf_dir):
+    """Container lines that arrive in two parts, tailed, joined with their pods' labels and rolled by date."""
+    folder, schema = scratch_folder(spark, "tail"), "time TIMESTAMP, stream STRING, log STRING, pod_name STRING, app STRING, date DATE"
+    e = read(spark, sf_dir, "events")
+    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    plain = F.concat(stamp, F.lit(" stderr F line "), text(F.col("event_id")))
+    as_json = F.to_json(F.struct(F.concat(F.lit("line "), text(F.col("event_id"))).alias("log"), F.lit("stdout").alias("stream"), stamp.alias("time")))
+    lines = e.select(F.when(F.col("event_id") % 2 == 0, plain).otherwise(as_json).alias("value"), "event_id", F.col("event_type").alias("pod"))
+    types = e.select(F.col("event_type").alias("pod_name")).distinct()
+    pods = types.where("pod_name <> 'error'").select("pod_name", F.upper("pod_name").alias("app"))
+    for part in (0, 1):
+        # a folder per pod stands for its log file's name
+        lines.where(F.col("event_id") % 3 == 0 if part == 0 else F.col("event_id") % 3 > 0).select("value", "pod").write.mode("append").partitionBy("pod").text(f"{folder}/lines")
+        stream = logtail.tail_logs(spark, f"{folder}/lines", pods, r"/pod=([^/]+)/")
+        sink.drain(logtail.roll_logs(stream, f"{folder}/rolled", f"{folder}/checkpoint"))
+    rolled = spark.read.schema(schema).json(f"{folder}/rolled")
+    return rolled.select(F.col("date").cast("string").alias("date"), F.unix_millis("time").alias("ms"), "stream", "log", "pod_name", "app")
+
+
 def stream_upsert(spark, sf_dir):
     """Orders streamed into a table partitioned by status, twice over, keyed by order."""
     folder = scratch_folder(spark, "upsert")
@@ -136,6 +155,11 @@ QUERIES = {
     "stream_deltas": (stream_deltas, _DELTAS),
     "stream_exchange_rates": (stream_exchange_rates, _QUOTES),
     "stream_rated_batches": (stream_rated_batches, _QUOTES),
+    "stream_log_lines": (
+        stream_log_lines,
+        """SELECT strftime(ts, '%Y-%m-%d') AS date, epoch_us(ts) // 1000 AS ms, CASE WHEN event_id % 2 = 0 THEN 'stderr' ELSE 'stdout' END AS stream,
+            concat('line ', event_id) AS log, event_type AS pod_name, CASE WHEN event_type <> 'error' THEN upper(event_type) END AS app FROM events""",
+    ),
     "stream_upsert": (
         stream_upsert,
         "SELECT o_orderstatus AS date, o_orderkey AS logId, o_custkey * 2 AS v FROM orders",

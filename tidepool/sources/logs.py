@@ -40,6 +40,15 @@ def log_table(spark: SparkSession, path: str, view: str = "log") -> DataFrame:
     return df
 
 
+def declare_log_table(spark: SparkSession, path: str, view: str = "log", corrupt: str = "corrupt") -> DataFrame:
+    """The log table declared in DDL over JSON files; lines that aren't JSON come back whole in ``corrupt``."""
+    spark.sql(
+        f"CREATE OR REPLACE TEMPORARY VIEW {view} ({LOG_SCHEMA}, {corrupt} STRING) USING json "
+        f"OPTIONS (path '{path}', mode 'PERMISSIVE', columnNameOfCorruptRecord '{corrupt}')"
+    )
+    return spark.table(view)
+
+
 def pods(logs: DataFrame, like: str) -> DataFrame:
     """Pods whose name matches, with their labels, number of lines and first time."""
     return (
@@ -85,6 +94,14 @@ def cache_as(df: DataFrame, name: str) -> DataFrame:
     return cached
 
 
+def cache_lazily(df: DataFrame, name: str) -> DataFrame:
+    """Keep a projection under a table name; it is computed when first read, and later plans read the copy."""
+    spark, source = df.sparkSession, f"{name}_source"
+    df.createOrReplaceTempView(source)
+    spark.sql(f"CACHE LAZY TABLE {name} AS SELECT * FROM {source}")
+    return spark.table(name)
+
+
 def operation_costs(profile: DataFrame) -> DataFrame:
     """Number, total and mean cost per operation, dearest first."""
     return (

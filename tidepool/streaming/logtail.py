@@ -13,9 +13,10 @@ from tidepool.streaming.sink import with_trigger
 FILE_FORM = r"([^/]+?)_([^_/]+)_([^/]+)-[^-/]+\.log"
 
 
-def tail_logs(spark: SparkSession, path: str, pods: DataFrame | None = None) -> DataFrame:
-    """Stream of parsed log lines; ``pods`` (pod_name, labels) adds labels by pod."""
-    lines = spark.readStream.text(path).withColumn("pod_name", F.regexp_extract(F.input_file_name(), FILE_FORM, 1))
+def tail_logs(spark: SparkSession, path: str, pods: DataFrame | None = None, form: str = FILE_FORM) -> DataFrame:
+    """Stream of parsed log lines; ``pods`` (pod_name, labels) adds labels by pod, ``form`` finds the pod in a file's name."""
+    files = spark.readStream.schema("value STRING").text(path)
+    lines = files.select("value", F.regexp_extract("_metadata.file_path", form, 1).alias("pod_name"))
     rows = parse_container_lines(lines, keep=("pod_name",))
     return rows if pods is None else rows.join(pods, "pod_name", "left")
 
