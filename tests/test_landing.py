@@ -199,9 +199,9 @@ def test_published_columns_and_days(spark, rated, tmp_path):
     assert set(names) - {"blockNumberTs"} <= set(rated.columns)
     date = rated.first().date
     day = pool_day.day_swaps(rated, str(date), slices=2)
-    assert {c.split(" ")[0] for c in _columns(catalog.DAY_SWAPS)} == set(day.columns)
-    pool_day.write_day(day, str(tmp_path / "agg"), str(date))
-    pool_day.write_day(day, str(tmp_path / "agg"), str(date))
+    assert {c.split(" ")[0] for c in _columns(catalog.DAY_SWAPS)} | {"date"} == set(day.columns)
+    pool_day.write_days(day, str(tmp_path / "agg"))
+    pool_day.write_days(day, str(tmp_path / "agg"))
 
     catalog.create_table(spark, "pools_db.day_swaps", catalog.DAY_SWAPS, str(tmp_path / "agg"))
     catalog.discover_partitions(spark, "pools_db.day_swaps")
@@ -210,8 +210,10 @@ def test_published_columns_and_days(spark, rated, tmp_path):
     assert sum(r.swapCount for r in rows.values()) == on_day
     teth = rows["0xteth"]
     assert len(teth.priceSeries) == teth.swapCount == len(teth.costSeries) == 2
-    split = pool_day.day_swaps(rated, str(date), slices=3, part_rows=1).where("address = '0xteth'").orderBy("part").collect()
-    assert [(r.part, r.swapCount, len(r.priceSeries)) for r in split] == [(0, 2, 1), (1, None, 1)]
+    ranges = pool_day.pool_series(rated.where("address = '0xteth'"), blocks=1).orderBy("blockRange")
+    assert [len(r.priceSeries) for r in ranges.collect()] == [1, 1]
+    merged = pool_day.whole_series(ranges).first()
+    assert merged.priceSeries == teth.priceSeries and merged.costSeries == teth.costSeries
     assert teth.token1.symbol == "WETH" and teth.maxPrice1 == pytest.approx(4 * teth.minPrice1)
 
     tomorrow = str(date + datetime.timedelta(days=2))
@@ -224,6 +226,32 @@ def test_published_columns_and_days(spark, rated, tmp_path):
     spark.sql("DROP DATABASE pools_db CASCADE")
 
 
+def test_changed_days_are_pruned_and_replaced_alone(spark, rated, tmp_path):
+    first = rated.first().date
+    days = [first + datetime.timedelta(days=i) for i in range(4)]
+    for day in days:
+        rated.withColumn("date", F.lit(day)).write.mode("append").partitionBy("date").parquet(str(tmp_path / "rated"))
+    table = spark.read.parquet(str(tmp_path / "rated"))
+    changes = spark.createDataFrame([(str(d), 10 * (i + 1)) for i, d in enumerate(days)], "date string, changed_at long")
+    changes.write.parquet(str(tmp_path / "changes"))
+    changes = spark.read.parquet(str(tmp_path / "changes"))
+    target = tmp_path / "days"
+    pool_day.write_days(pool_day.day_swaps(pool_day.swaps_of_days(table, pool_day.changed_days(changes, 0)), slices=2), str(target))
+    files = lambda: {str(f.relative_to(target)): f.stat().st_mtime_ns for f in target.rglob("part-*.parquet")}
+    before = files()
+    assert {f.split("/")[0] for f in before} == {f"date={d}" for d in days}
+
+    some = pool_day.swaps_of_days(table, pool_day.changed_days(changes, 25))
+    assert "dynamicpruning" in some._jdf.queryExecution().executedPlan().toString()
+    assert {r.date for r in some.select("date").distinct().collect()} == set(days[2:])
+    pool_day.write_days(pool_day.day_swaps(some, slices=2), str(target))
+    after = files()
+    old, new = (lambda found, of: {f: t for f, t in found.items() if f.split("/")[0] in {f"date={d}" for d in of}}), days[:2]
+    assert old(after, new) == old(before, new) and not set(old(after, days[2:])) & set(old(before, days[2:]))
+    rows = spark.read.parquet(str(target)).groupBy("date").agg(F.sum("swapCount").alias("n")).collect()
+    assert {r.n for r in rows} == {rated.count()} and len(rows) == 4
+
+
 def _columns(ddl):
     depth, start, out = 0, 0, []
     for i, c in enumerate(ddl):
