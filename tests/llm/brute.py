@@ -79,7 +79,8 @@ def cut_lines(docs, depth=3, min_docs=5, percent=60):
         fixed = [p < depth or (t[p] != "<*>" and len(fields[len(t), tuple(t[:depth]), p, t[p]]) >= min_docs) for p in range(len(t))]
         constant = sum(f and x != "<*>" for f, x in zip(fixed, t, strict=True))
         general = [x if f else "<*>" for f, x in zip(fixed, t, strict=True)]
-        templates[tuple(general if constant * 100 >= len(t) * percent else t)].append((d, i))
+        evident = any(fixed[depth:]) or all(x == "<*>" for x in t[depth:])
+        templates[tuple(general if constant * 100 >= len(t) * percent and evident else t)].append((d, i))
     gone = set()
     for at in templates.values():
         if len({d for d, _ in at}) >= min_docs:

@@ -135,6 +135,16 @@ def test_components_of_a_long_chain(spark):
     assert components.components(spark.createDataFrame([], "a bigint, b bigint"), "a", "b").count() == 0
 
 
+def test_leaks_of_a_low_percentage(spark):
+    items = [data.prose(70 + i, n) for i, n in enumerate((40, 90, 130))]
+    words = [t.split(" ") for t in items]
+    texts = [data.prose(80 + i, 500) + " " + " ".join(w[: len(w) // 4]) + " " + data.prose(90 + i, 500) for i, w in enumerate(words)]
+    got = decontamination.contaminated_pairs(_frame(spark, texts), _items(spark, items), percent=15).collect()
+    want = brute.leaks(list(enumerate(texts)), [(100 + i, t) for i, t in enumerate(items)], percent=15)
+    assert sorted((r.doc_id, r.item_id, r.n_shingles, r.n_shared) for r in got) == sorted(want) and len(want) >= 3
+    assert decontamination._minima(128, 15, 1e-6) > 256  # as many as the bound asks for
+
+
 def test_minima_cover_the_worst_passage():
     for width in (1, 2, 4, 8, 16, 32, 64, 128):
         assert 1 <= decontamination._minima(width, 80, 1e-6) <= 128

@@ -54,6 +54,15 @@ def test_lines_against_brute_force(spark, most, monkeypatch):
     assert set(docs.columns) < set(lines.without_recurring_lines(docs).columns)
 
 
+def test_leading_tokens_alone_make_no_template(spark):
+    own = [f"Was it here {w}" for w in data.vocabulary(3)[:7]]  # texts of their own behind three shared words
+    numbered = [f"See page number {n}" for n in range(7)]
+    found = lines.recurring_lines(_frame(spark, own + numbered)).collect()
+    assert {r.template for r in found} == {"See page number <*>"} and len(found) == 7
+    kept = _by_id(lines.without_recurring_lines(_frame(spark, own + numbered)))
+    assert [kept[i].text for i in range(8)] == [*own, numbered[0]] and all(kept[i].text == "" for i in range(8, 14))
+
+
 def test_templates_generalise_fields(spark):
     texts = [f"User {n} logged in from {w} at noon today sharp" for n, w in enumerate(data.vocabulary(3)[:7])]
     found = lines.recurring_lines(_frame(spark, texts)).collect()

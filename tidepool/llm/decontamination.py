@@ -22,6 +22,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -39,9 +40,6 @@ MISS = 1e-6
 #: Bytes of item text in one broadcast block.
 BLOCK_BYTES = 4 << 20
 _FILTER_BITS = 18
-_GEN = np.random.default_rng(7)
-_XOR = _GEN.integers(0, 2**63, 256, dtype=np.uint64)
-_ODD = _GEN.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -61,6 +59,13 @@ class Block(NamedTuple):
     classes: list[SizeClass]
 
 
+@lru_cache(maxsize=4)
+def _orders(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers that give ``n`` orders of shingle hashes; the first ones are the same for every ``n``."""
+    xor = np.random.default_rng(7).integers(0, 2**63, n, dtype=np.uint64)
+    return xor, np.random.default_rng(8).integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
 def _minima(width: int, percent: int, miss: float) -> int:
     """Minima needed for the worst passage of a size class: the smallest item, in the fullest window."""
     if width == 1:
@@ -68,7 +73,7 @@ def _minima(width: int, percent: int, miss: float) -> int:
     least = width // 2 + 1
     shared = -(-least * percent // 100)
     jaccard = shared / (2 * width + least - shared)
-    return min(len(_ODD), math.ceil(math.log(miss) / math.log(1 - jaccard)))
+    return math.ceil(math.log(miss) / math.log(1 - jaccard))
 
 
 def _shingles(texts: Texts, k: int) -> Windows:
@@ -94,9 +99,10 @@ def index_items(ids: pa.Array, texts: pa.Array, k: int, percent: int, miss: floa
     classes = []
     for width in np.unique(widths[sizes > 0]):
         members = np.flatnonzero((widths == width) & (sizes > 0))
-        signatures = []
-        for j in range(_minima(int(width), percent, miss)):
-            least = np.array([((shingles[i] ^ _XOR[j]) * _ODD[j]).min() for i in members], dtype=np.uint64)
+        signatures, n = [], _minima(int(width), percent, miss)
+        xor, odd = _orders(n)
+        for j in range(n):
+            least = np.array([((shingles[i] ^ xor[j]) * odd[j]).min() for i in members], dtype=np.uint64)
             order = np.argsort(least, kind="stable")
             seen = np.zeros(1 << _FILTER_BITS, dtype=bool)
             seen[least >> np.uint64(64 - _FILTER_BITS)] = True
@@ -122,8 +128,10 @@ def _candidates(windows: Windows, block: Block) -> np.ndarray:
     starts = {c.width: _block_starts(windows.bounds, c.width) for c in block.classes}
     finest = block.classes[0].width
     to_finest = {w: np.searchsorted(starts[finest][0], s) for w, (s, _) in starts.items()}
-    for j in range(max(len(c.signatures) for c in block.classes)):
-        small = (values ^ _XOR[j]) * _ODD[j]
+    most = max(len(c.signatures) for c in block.classes)
+    xor, odd = _orders(most)
+    for j in range(most):
+        small = (values ^ xor[j]) * odd[j]
         small = np.minimum.reduceat(small, starts[finest][0])
         for c in block.classes:
             if j >= len(c.signatures):

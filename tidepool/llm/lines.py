@@ -4,7 +4,8 @@ Every line is parsed to a fixed depth: first its token count, then its first ``D
 token with a digit reads as the wildcard. Lines that meet in a leaf are generalised: a later token
 stays a constant if it stands at its place in at least ``min_docs`` documents of the leaf, and is a
 variable field otherwise. If at least ``constant_percent`` of a line's tokens are constants, those and
-wildcards are its template; else the line, with digits generalised, is its own. A template that occurs
+wildcards are its template; else the line, with digits generalised, is its own. The leading tokens alone
+don't make words behind them a field: that takes a constant behind them, too. A template that occurs
 in ``min_docs`` or more documents recurs, and every line of it after its first occurrence, by document
 id and place, is dropped.
 
@@ -151,7 +152,9 @@ def recurring_lines(
     both = sequences.join(kept, "sequence", "left").withColumn("kept", F.coalesce("kept", F.array().cast("array<int>")))
     general = F.transform("tokens", lambda t, i: F.when((i < depth) | F.array_contains("kept", i), t).otherwise(WILDCARD))
     constant = F.size("kept") + F.size(F.filter(F.slice("tokens", 1, depth), lambda t: t != WILDCARD))
-    template = F.when(constant * 100 >= F.size("tokens") * constant_percent, general).otherwise(F.col("tokens"))
+    behind = F.exists(F.slice("tokens", depth + 1, F.size("tokens")), lambda t: t != WILDCARD)
+    evident = (F.size("kept") > 0) | ~behind
+    template = F.when((constant * 100 >= F.size("tokens") * constant_percent) & evident, general).otherwise(F.col("tokens"))
     templates = parsed.select("doc_id", "row_hash", "line", "sequence").join(both.select("sequence", F.concat_ws(" ", template).alias("template")), "sequence").drop("sequence")
     order = F.struct(F.col("doc_id").isNotNull(), "doc_id", "row_hash", "line")
     counted = (

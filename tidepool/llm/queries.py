@@ -218,12 +218,13 @@ constants AS (
 general AS (
     SELECT p.doc_id, p.line, count(*) AS n,
         count(*) FILTER (WHERE p.place <= 3 AND p.token <> '<*>' OR c.token IS NOT NULL) AS constant,
+        count(c.token) > 0 OR count(*) FILTER (WHERE p.place > 3 AND p.token <> '<*>') = 0 AS evident,
         string_agg(p.token, ' ' ORDER BY p.place) AS whole,
         string_agg(CASE WHEN p.place <= 3 OR c.token IS NOT NULL THEN p.token ELSE '<*>' END, ' ' ORDER BY p.place) AS masked
     FROM places p LEFT JOIN constants c ON c.leaf = p.leaf AND c.place = p.place AND c.token = p.token
     GROUP BY p.doc_id, p.line
 ),
-templates AS (SELECT doc_id, line, CASE WHEN constant * 100 >= n * 60 THEN masked ELSE whole END AS template FROM general),
+templates AS (SELECT doc_id, line, CASE WHEN constant * 100 >= n * 60 AND evident THEN masked ELSE whole END AS template FROM general),
 recurring AS (SELECT template, min((doc_id, line)) AS at FROM templates GROUP BY template HAVING count(DISTINCT doc_id) >= 5),
 dropped AS (SELECT t.doc_id, t.line FROM templates t JOIN recurring r ON r.template = t.template WHERE (t.doc_id, t.line) <> r.at)
 SELECT l.doc_id, count(d.line) AS n_dropped_lines,
