@@ -1,15 +1,18 @@
 """Operators on single documents: lines, repeats, tokens, files, quality, language."""
 
+import collections
 import hashlib
+import math
 import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tests.llm import brute, data
-from tidepool.llm import bpe, language, lines, quality, queries, repeats, similarity, storage, token_files, wordpieces
+from tidepool.llm import bpe, hashing, language, lines, quality, queries, repeats, similarity, storage, token_files, wordpieces
 
 PATH = wordpieces.tokenizer_path()
 
@@ -314,6 +317,57 @@ def test_quality_cases(spark):
     assert quality.scored(docs.union(docs), model).count() == 2 * docs.count()
 
 
+def _plain_features(words):
+    """Shares of kinds of bytes and statistics of the words of a passage."""
+    raw, whole = [w.encode() for w in words], " ".join(words).encode()  # blanks between the words count as bytes
+    size, n = len(whole), len(words)
+    punctuation = lambda b: 33 <= b < 127 and not chr(b).isalnum()
+    kinds = [lambda b: 65 <= b < 91, lambda b: 97 <= b < 123, lambda b: 48 <= b < 58, punctuation, lambda b: b >= 128, lambda b: b == 10]
+    shares = [sum(map(kind, whole)) / size for kind in kinds]
+    mean = sum(map(len, raw)) / n
+    low = [brute.words(w, lower=True)[0] for w in words]
+    return shares + [
+        math.log1p(n), mean, math.sqrt(max(0.0, sum(len(w) ** 2 for w in raw) / n - mean**2)),
+        sum(a == b for a, b in zip(low, low[1:])) / n, 1 - len(set(low)) / n, sum(punctuation(w[-1]) for w in raw) / n,
+    ]
+
+
+def test_quality_scores_against_plain_sums():
+    rng = np.random.default_rng(3)
+    shapes = {"encode": (quality.N_FEATURES, quality.ENCODED), "tanh": (quality.ENCODED, quality.ATTENTION), "gate": (quality.ENCODED, quality.ATTENTION),
+        "attend": (quality.ATTENTION,), "out": (quality.ENCODED,), "encode_bias": (quality.ENCODED,), "out_bias": ()}
+    weights = {k: rng.normal(size=shape) for k, shape in shapes.items()}
+    model = quality.Model(0.4, rng.normal(size=quality.N_FEATURES) * 0.1, rng.uniform(0.5, 2, quality.N_FEATURES), weights, 0.3)
+    texts = [data.prose(1, 200) + " Wow Wow. 12%", "", "one", data.prose(2, 64), "É é ab AB, ab!"]
+    part = next(iter(hashing.text_slices(pa.array(texts))))
+    score, n, top = quality.score_slice(model, part)
+    x, bounds = quality.passages(part)
+    for i, text in enumerate(texts):
+        words = brute.words(text)
+        cut = [words[a : a + 64] for a in range(0, len(words), 64)]
+        assert n[i] == len(cut)
+        if not cut:
+            assert score[i] == model.base and top[i] == -1
+            continue
+        own = x[bounds[i] : bounds[i + 1]].astype(np.float64)
+        for f, passage in zip(own, cut, strict=True):
+            assert np.allclose(f[:12], _plain_features(passage), atol=1e-5)
+            size = len(" ".join(passage).encode())
+            assert f[12:].sum() == pytest.approx((size - 1) / size, abs=1e-5)  # every pair of neighbours is in one bin
+        hidden, raw = [], []
+        for f in own:
+            f = (f - model.mean) / model.spread
+            h = [max(0.0, sum(f[a] * weights["encode"][a][b] for a in range(len(f))) + weights["encode_bias"][b]) for b in range(quality.ENCODED)]
+            gated = [math.tanh(np.dot(h, weights["tanh"][:, c])) / (1 + math.exp(-np.dot(h, weights["gate"][:, c]))) for c in range(quality.ATTENTION)]
+            hidden.append(h)
+            raw.append(np.dot(gated, weights["attend"]))
+        a = np.exp(np.array(raw) - max(raw))
+        a /= a.sum()
+        logit = np.dot((a[:, None] * np.array(hidden)).sum(axis=0), weights["out"]) + weights["out_bias"] + model.shift
+        assert score[i] == pytest.approx(1 / (1 + math.exp(-max(-40, min(40, logit)))), rel=1e-6)
+        assert top[i] == int(np.argmax(a))
+
+
 def test_learning_leaves_the_held_out_fold_alone(spark):
     docs = _frame(spark, [data.prose(i, 30) for i in range(30)])
     labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id bigint, quality int")
@@ -352,6 +406,32 @@ def test_language_cases(spark):
     assert bounded.languages == ["aa", "zz"] and language.identify(docs, bounded).where("doc_id < 20 AND lang_pred = 'aa'").count() == 20
 
 
+def _plain_buckets(text):
+    """Hashed n-grams of a text's letters in lower case, anything else a blank; only those with a letter."""
+    codes = [ord(c) if c.isalpha() else 32 for c in text.lower()]
+    factors, out = [int(f) for f in language._FACTORS], []
+    for n in language.ORDERS:
+        for i in range(len(codes) - n + 1):
+            if any(c != 32 for c in codes[i : i + n]):
+                h = (n + sum(c * f for c, f in zip(codes[i : i + n], factors))) % 2**64
+                out.append(int(hashing.mixed(np.array([h], dtype=np.uint64))[0]) >> 64 - language.BUCKET_BITS)
+    return out
+
+
+def test_language_model_against_plain_counts(spark):
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([("Das Öl, 12!", "de"), ("la mer é", "fr"), ("der Tag", "de"), ("", "fr"), (None, "fr"), ("x", None), ("ße", "de")])]
+    model = language.fit(spark.createDataFrame(rows, "doc_id int, text string, lang string"))
+    assert model.languages == ["de", "fr"]
+    assert np.allclose(np.exp(model.prior), [3 / 5, 2 / 5])
+    for i, name in enumerate(model.languages):
+        counts = collections.Counter(b for _, t, lang in rows if lang == name and t is not None for b in _plain_buckets(t))
+        total = sum(counts.values()) + language.SMOOTHING * (1 << language.BUCKET_BITS)
+        plain = np.full(1 << language.BUCKET_BITS, math.log(language.SMOOTHING / total))
+        for b, n in counts.items():
+            plain[b] = math.log((n + language.SMOOTHING) / total)
+        assert np.allclose(model.matrix[:, i], plain, atol=1e-5)
+
+
 def test_language_score_is_the_posterior():
     rng = np.random.default_rng(1)
     model = language.Model(["a", "b", "c"], np.log([0.2, 0.3, 0.5]), np.log(rng.dirichlet(np.ones(1 << language.BUCKET_BITS), 3).T).astype(np.float32))
