@@ -179,7 +179,7 @@ def test_merge_rewrites_only_files_with_a_match(spark, tmp_path, monkeypatch):
 
     # a merge that stops while files are moved is carried on by the next run of its batch
     change = spark.createDataFrame([("day 2", 5, "newer"), ("day 2", 86, "newer")], schema)
-    monkeypatch.setattr(sink._Files, "forget", lambda self, uri: (_ for _ in ()).throw(OSError("lost")))
+    monkeypatch.setattr(sink.TableFiles, "forget", lambda self, uri: (_ for _ in ()).throw(OSError("lost")))
     with pytest.raises(OSError):
         sink.upsert_path(change, str(table), batch_id=7)
     monkeypatch.undo()

@@ -20,7 +20,7 @@ from tidepool.operators import pricing, valuation
 from tidepool.operators.market import Market
 from tidepool.plans.catalog import RATED_SWAPS, as_published
 from tidepool.plans.rated_swaps import value_swaps
-from tidepool.streaming.sink import upsert_path, with_trigger
+from tidepool.streaming.sink import TableFiles, upsert_path, with_trigger
 
 MARKET = Market()
 KEPT = "__kept"
@@ -76,8 +76,8 @@ def rated_batches(
 ) -> StreamingQuery:
     """Rate and value a stream of priced swaps and merge it into ``target`` by date.
 
-    ``state`` holds one small table per batch, so a batch that is run again starts from
-    the same rows and gives the same result.
+    ``state`` holds a small table for each of the last two batches, so a batch that is run
+    again starts from the same rows and gives the same result.
     """
     schema = stream.schema
 
@@ -92,6 +92,7 @@ def rated_batches(
         upsert_path(as_published(value_swaps(rated, market, conf=conf), RATED_SWAPS), target, batch_id=batch_id)
         known = batch if kept is None else batch.unionByName(kept)
         carried_rows(known, market).write.mode("overwrite").parquet(f"{state}/{batch_id}")
+        TableFiles(spark, state).delete(f"{state}/{batch_id - 2}")
         batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)

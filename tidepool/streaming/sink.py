@@ -23,7 +23,7 @@ def existing(spark: SparkSession, path: str, schema) -> DataFrame | None:
         return None
 
 
-class _Files:
+class TableFiles:
     """Few calls on the file system of a table: a merge moves and deletes whole files."""
 
     def __init__(self, spark: SparkSession, path: str):
@@ -79,7 +79,7 @@ class _Files:
             stream.close()
 
 
-def _apply(files: _Files, path: str, staging: str) -> None:
+def _apply(files: TableFiles, path: str, staging: str) -> None:
     """Moves the written files of a merge into the table and deletes those they replace; may be run again."""
     replaced = json.loads(files.read(f"{staging}/_replaced"))
     for name in files.below(f"{staging}/files"):
@@ -106,7 +106,7 @@ def upsert_path(
     starts anew when it is run again; one interrupted after it is carried on. Without
     ``sequence`` a key may occur only once in a batch, else the merge fails.
     """
-    spark, files = batch.sparkSession, _Files(batch.sparkSession, path)
+    spark, files = batch.sparkSession, TableFiles(batch.sparkSession, path)
     staging = f"{path}/_staging/{batch_id}"
     if files.exists(f"{staging}/_replaced"):
         return _apply(files, path, staging)
