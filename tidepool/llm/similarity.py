@@ -2,8 +2,9 @@
 
 A document is the set of its distinct ``k``-word shingles. Shingles are hashed into ``GROUPS`` groups,
 and the counts by group are a point. The overlap of two sets is at most the sum of the smaller counts
-over the groups, and that of two boxes of points at most the sum of the smaller upper corners; pairs
-that this bound leaves are verified on the sets themselves.
+over the groups, and that of two boxes of points at most the sum of the smaller upper corners. A tree
+packs points into leaves and boxes into boxes, and is walked with itself from the top; pairs that this
+bound leaves are verified on the sets themselves.
 
 One tree over all points would compare nearly all documents of a size: a box over a few random points
 is about as large as the space. The forest is therefore split by content. A linked pair differs in few
@@ -32,6 +33,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -176,11 +178,54 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
     return rows.select("a", "role", "node", "text").mapInArrow(check, "a bigint, b bigint")
 
 
-def _boxes(counts: np.ndarray, sizes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Upper corner, least and greatest size, and the label (-1: several) of each run of LEAF points."""
-    starts = np.arange(0, len(sizes), LEAF)
-    low, high = np.minimum.reduceat(labels, starts), np.maximum.reduceat(labels, starts)
-    return np.maximum.reduceat(counts, starts, axis=0), np.minimum.reduceat(sizes, starts), np.maximum.reduceat(sizes, starts), np.where(low == high, low, -1)
+class Boxes(NamedTuple):
+    """Upper corner, least and greatest size, and the label (-1: several) of each box of a level."""
+
+    corner: np.ndarray
+    least: np.ndarray
+    most: np.ndarray
+    label: np.ndarray
+
+    def packed(self) -> Boxes:
+        """The level above: a box around each run of LEAF boxes."""
+        starts = np.arange(0, len(self.least), LEAF)
+        low, high = np.minimum.reduceat(self.label, starts), np.maximum.reduceat(self.label, starts)
+        label = np.where((low == high) & (low >= 0), low, -1)
+        return Boxes(np.maximum.reduceat(self.corner, starts, axis=0), np.minimum.reduceat(self.least, starts), np.maximum.reduceat(self.most, starts), label)
+
+    def near(self, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+        """Which pairs of boxes may hold a linked pair of points with different labels."""
+        near = (self.most[j] * 100 >= self.least[i] * percent) & (self.most[i] * 100 >= self.least[j] * percent)
+        near &= (self.label[i] < 0) | (self.label[j] < 0) | (self.label[i] != self.label[j])
+        for a in range(0, len(i), 4096):
+            at = np.flatnonzero(near[a : a + 4096]) + a
+            overlap = np.minimum(self.corner[i[at]], self.corner[j[at]]).sum(axis=1, dtype=np.int64)
+            near[at] = overlap * (100 + percent) >= (self.least[i[at]] + self.least[j[at]]) * percent
+        return near
+
+
+def tree_levels(counts: np.ndarray, sizes: np.ndarray, labels: np.ndarray) -> list[Boxes]:
+    """Levels of the tree, leaves first; the last has at most LEAF boxes."""
+    levels = [Boxes(counts, sizes, sizes, labels).packed()]
+    while len(levels[-1].least) > LEAF:
+        levels.append(levels[-1].packed())
+    return levels
+
+
+def near_leaves(levels: list[Boxes], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of leaves (the first not behind the second, in order) that the tree, walked with itself from the top, leaves."""
+    i, j = np.triu_indices(len(levels[-1].least))
+    for depth in range(len(levels) - 1, -1, -1):
+        near = levels[depth].near(i, j, percent)
+        i, j = i[near], j[near]
+        if depth:
+            within = np.arange(LEAF)
+            below = len(levels[depth - 1].least)
+            i, j = (np.repeat(i, LEAF * LEAF) * LEAF + np.tile(np.repeat(within, LEAF), len(i)), np.repeat(j, LEAF * LEAF) * LEAF + np.tile(within, LEAF * len(j)))
+            there = (i <= j) & (i < below) & (j < below)
+            i, j = i[there], j[there]
+    order = np.lexsort((j, i))
+    return i[order], j[order]
 
 
 def packed_order(counts: np.ndarray, sizes: np.ndarray, labels: np.ndarray) -> np.ndarray:
@@ -200,18 +245,19 @@ def tree_join(counts: np.ndarray, sizes: np.ndarray, labels: np.ndarray, sides:
     ``sides`` is 0 for points to be joined with all and with each other, or 1 and 2 for points to be
     joined across. ``best_only`` leaves to each point the pair with the highest bound for its size.
     """
+    if not len(sizes):
+        return np.zeros((0, 2), dtype=np.int64)
     order = packed_order(counts, sizes, labels)
     counts, sizes, labels, sides = counts[order], sizes[order].astype(np.int64), labels[order], sides[order]
-    corner, least, most, label = _boxes(counts, sizes, labels)
     found: list[np.ndarray] = []
     best, partner = np.zeros(len(sizes)), np.full(len(sizes), -1)
-    for i in range(len(least)):
-        overlap = np.minimum(corner[i], corner[i:]).sum(axis=1)
-        near = overlap * (100 + percent) >= (least[i] + least[i:]) * percent
-        near &= (most[i:] * 100 >= least[i] * percent) & (most[i] * 100 >= least[i:] * percent)
-        near &= (label[i] < 0) | (label[i:] < 0) | (label[i] != label[i:])
+    first, second = near_leaves(tree_levels(counts, sizes, labels), percent)
+    begins = np.flatnonzero(np.diff(first, prepend=-1))
+    for begin, end in zip(begins, np.append(begins[1:], len(first))[: len(begins)], strict=True):
+        i = int(first[begin])
         mine = np.arange(i * LEAF, min((i + 1) * LEAF, len(sizes)))
-        others = np.flatnonzero(np.repeat(near, LEAF)[: len(sizes) - i * LEAF]) + i * LEAF
+        others = (second[begin:end, None] * LEAF + np.arange(LEAF)[None]).ravel()
+        others = others[others < len(sizes)]
         for a in range(0, len(others), 512):
             other = others[a : a + 512]
             bound = np.minimum(counts[mine][:, None], counts[other][None]).sum(axis=2, dtype=np.int64)
