@@ -94,7 +94,8 @@ def text_slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[Texts]:
         end = min(max(end, row + 1), len(column))
         yield Texts(row, data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row])
         row = end
-    give_back()
+    if len(column) and offsets[-1] - offsets[0] > most:  # small batches leave little behind
+        give_back()
 
 
 class Words(NamedTuple):
