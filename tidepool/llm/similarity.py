@@ -251,7 +251,10 @@ def tree_join(counts: np.ndarray, sizes: np.ndarray, labels: np.ndarray, sides:
     counts, sizes, labels, sides = counts[order], sizes[order].astype(np.int64), labels[order], sides[order]
     found: list[np.ndarray] = []
     best, partner = np.zeros(len(sizes)), np.full(len(sizes), -1)
-    first, second = near_leaves(tree_levels(counts, sizes, labels), percent)
+    if len(sizes) <= LEAF:  # most trees are one leaf
+        first = second = np.zeros(1, dtype=np.int64)
+    else:
+        first, second = near_leaves(tree_levels(counts, sizes, labels), percent)
     begins = np.flatnonzero(np.diff(first, prepend=-1))
     for begin, end in zip(begins, np.append(begins[1:], len(first))[: len(begins)], strict=True):
         i = int(first[begin])
