@@ -85,6 +85,15 @@ def test_dimension_join_salted_equals_broadcast(spark):
     assert frame_difference(small, large.where("id > 0")).count() == 1
 
 
+def test_salted_copies_are_not_broadcast(spark):
+    fact = spark.range(300).selectExpr("id", "id % 7 AS k")
+    dim = spark.range(7).selectExpr("id AS k", "concat('n', id) AS name")
+    salted = dimension_join(fact, dim, ["k"], ["id"], broadcast_bytes=-1)
+    assert salted.count() == 300
+    salted.collect()
+    assert "BroadcastHashJoin" not in salted._jdf.queryExecution().executedPlan().toString()
+
+
 def test_two_roles(spark):
     fact = spark.createDataFrame([(1, "x", "y"), (2, "y", "z")], "id long, t0 string, t1 string")
     dim = spark.createDataFrame([("x", 1), ("y", 2)], "address string, decimals int")

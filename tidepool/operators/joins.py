@@ -26,14 +26,15 @@ def dimension_join(
     A dimension whose measured size is within ``broadcast_bytes`` is broadcast.
     A larger one is joined on key and salt: fact rows are spread over ``salts``
     by a hash of the ``spread`` columns (stable when a task is run again) and each
-    dimension row is present once per salt, so one hot key spans many tasks.
+    dimension row is present once per salt, so one hot key spans many tasks. The copies
+    are merged, as Spark's estimate leaves out their number and would broadcast them all.
     """
     on = list(on)
     if broadcast_bytes >= 0 and measured_bytes(dimension) <= broadcast_bytes:
         return fact.join(F.broadcast(dimension), on, "left")
     salted = fact.withColumn("__salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
     copies = dimension.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*on, "__salt"], "left").drop("__salt")
+    return salted.join(copies.hint("merge"), [*on, "__salt"], "left").drop("__salt")
 
 
 def two_role_join(
