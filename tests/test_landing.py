@@ -93,6 +93,12 @@ def test_next_epoch(spark, marks, expected):
     assert landing.next_epoch(markers, 5).first().epoch == expected
 
 
+def test_next_epoch_past_the_range_of_int_blocks(spark):
+    markers = spark.createDataFrame([(5, 210_000), (80_000, 2_400_060_000)], "epoch int, last_block long")
+    assert landing.next_epoch(markers, 5).first().epoch == 6
+    assert landing.next_epoch(markers, 80_000).first().epoch == 80_001
+
+
 def fixture_tables(spark):
     """Two epochs with three pools; epoch 433 follows the base-fee fork."""
     epoch = 433

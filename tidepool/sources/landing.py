@@ -235,10 +235,11 @@ def next_epoch(markers: DataFrame, epoch: int) -> DataFrame:
     marker is at least two epochs ahead. The run of skipped epochs ends at the first
     gap.
     """
+    ahead = EPOCH_LENGTH * (F.col("epoch").cast("bigint") + 2)  # blocks outgrow the type of epochs
     done = (
         markers.groupBy("epoch")
         .agg(F.max("last_block").alias("last_block"))
-        .where((F.col("epoch") >= epoch) & (F.col("last_block") >= EPOCH_LENGTH * (F.col("epoch") + 2)))
+        .where((F.col("epoch") >= epoch) & (F.col("last_block") >= ahead))
     )
     # the first epoch whose predecessor is done while it is not
     after = done.select((F.col("epoch") + 1).alias("epoch"))
