@@ -241,3 +241,21 @@ def test_micro_batches_equal_batch(spark, sf_dir, tmp_path):
     priced.where("blockNumber = 5").write.mode("append").parquet(source)
     with pytest.raises(Exception, match="at or before"):
         sink.drain(microbatch.rated_batches(spark.readStream.schema(priced.schema).parquet(source), target, state, cp, market), 300)
+
+
+def test_busy_key_is_cut_into_ranges(spark, tmp_path):
+    """No group of a stateful step holds more than a range of a key; borders carry quotes as before."""
+    import pandas as pd
+
+    n = 3 * stateful.RANGE_BLOCKS
+    df = spark.range(n).selectExpr("id AS block", "'k' AS k", "CAST(id AS STRING) AS value", "IF(id % 7 = 0, CAST(id AS STRING), NULL) AS offer").withColumns(
+        {"logId": F.col("block").cast(stateful.AT_TYPE), stateful.EVENT_TIME: stateful.event_time("block")}
+    )
+    df.write.parquet(str(tmp_path / "in"))
+    raw = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")).withWatermark(stateful.EVENT_TIME, "5 seconds")
+    stream = stateful.carry_in_ranges(raw, "k", "offer", "found", 5)
+    _, got = run(stream, spark, "ranges", tmp_path / "cp")
+    rows = got.select("block", "value", "found").toPandas().sort_values("block")
+    assert rows["block"].tolist() == list(range(n)) and rows["value"].tolist() == [str(i) for i in range(n)]
+    expected = [str((i - 1) // 7 * 7) if i and i - (i - 1) // 7 * 7 <= 5 else None for i in range(n)]
+    assert [None if pd.isna(f) else f for f in rows["found"]] == expected
