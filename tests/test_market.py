@@ -234,6 +234,18 @@ def test_series_parts_are_whole(spark, slices):
         assert whole == [(i, i * 2) for i in range(k, 100, 2)]
 
 
+def test_small_series_parts_need_no_more_slices(spark, monkeypatch):
+    """Parts of a few rows are counted off, not cut by as many quantiles."""
+    from tidepool.operators import series
+
+    seen, with_slices = [], series.with_slices
+    monkeypatch.setattr(series, "with_slices", lambda df, order, cuts: seen.append(len(cuts)) or with_slices(df, order, cuts))
+    df = spark.range(3000).selectExpr("id % 2 AS k", "id AS logId", "id * 2 AS v")
+    rows = series_parts(df, ["k"], "logId", {"s": F.struct("logId", "v")}, None, 15).collect()
+    assert seen and max(seen) <= 8
+    assert len(rows) == 200 and {len(r.s) for r in rows} == {15} and {r.part for r in rows} == set(range(100))
+
+
 def test_merge_upsert(spark):
     target = spark.createDataFrame([("d1", 1, "a"), ("d1", 2, "b")], "date string, logId int, v string")
     batch = spark.createDataFrame([("d1", 2, "c", 1), ("d1", 2, "e", 2), ("d2", 3, "d", 1)], "date string, logId int, v string, seq int")

@@ -27,21 +27,22 @@ def series_parts(
     ``series`` maps an output to a struct whose first field is ``order``. Keys of up
     to ``part_rows`` rows have one part. A larger key spans several rows whose arrays,
     put one after the other, are the whole series; no task holds more than one part.
+    Rows are numbered within slices of the order, whose number does not depend on
+    ``part_rows``; rows of equal order share a part.
     """
     by = list(by)
     arrays = [F.sort_array(F.collect_list(point)).alias(name) for name, point in series.items()]
-    cuts = cut_points(df, order, slices, part_rows)
+    cuts = cut_points(df, order, slices)
     if not cuts:
         return df.groupBy(*by).agg(*arrays).select(*by, F.lit(0).alias("part"), *series)
 
     sliced = with_slices(df, order, cuts)
     running = Window.partitionBy(*by).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     sizes = sliced.groupBy(*by, SLICE).agg(F.count(F.lit(1)).alias("__n"))
-    block = F.floor(F.coalesce(F.sum("__n").over(running), F.lit(0)) / part_rows)
-    numbered = sizes.withColumn("__block", block).withColumn(
-        "part", F.dense_rank().over(Window.partitionBy(*by).orderBy("__block")) - 1
-    )
-    places = numbered.select(*(F.col(k).alias(f"__{k}") for k in by), F.col(SLICE).alias("__in"), "part")
+    before = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(running), F.lit(0)))
+    places = before.select(*(F.col(k).alias(f"__{k}") for k in by), F.col(SLICE).alias("__in"), "__before")
     same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in by] + [F.col(SLICE) == F.col("__in")]
-    placed = sliced.join(places, reduce(lambda a, b: a & b, same))
-    return placed.groupBy(*by, "part").agg(*arrays).select(*by, "part", *series)
+    within = F.rank().over(Window.partitionBy(*by, SLICE).orderBy(order)) - 1
+    placed = sliced.withColumn("__at", within).join(places, reduce(lambda a, b: a & b, same))
+    part = F.floor((F.col("__before") + F.col("__at")) / part_rows).cast("int")
+    return placed.withColumn("part", part).groupBy(*by, "part").agg(*arrays).select(*by, "part", *series)
