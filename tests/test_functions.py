@@ -244,3 +244,16 @@ def test_small_operands_print_alike(spark):
     for r in got:
         for n in names:
             assert r[n] == r["py_" + n], (n, r.x, r.y)
+
+
+def test_plain_numbers_are_folded_natively(spark):
+    """Plain, odd, empty and missing texts of one column meet in one result; only the odd ones are folded row by row."""
+    texts = ["7", "-3e2", "12e0b0/1e0b0", "1e2b0/3", "0.5", "", None, "9" * 18, "9" * 30, "-0", "250e2", "1e-2"]
+    df = spark.createDataFrame([(i % 3, t) for i, t in enumerate(texts * 5)] + [(9, None), (8, ""), (7, "4e2"), (7, "5e2")], "k int, x string")
+    wanted = {"total": ("sum", "x"), "mean": ("avg", "x"), "low": ("min", "x"), "high": ("max", "x")}
+    named = U.ubi_aggregate(df, ["k"], wanted)
+    by_rows = U.ubi_aggregate(df, ["k"], {n: (kind, column) for column in [F.col("x")] for n, (kind, _) in wanted.items()})
+    assert "HashAggregate" in named._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(str, named.collect())) == sorted(map(str, by_rows.collect()))
+    few = {r.k: (r.total, r.low, r.high) for r in U.ubi_aggregate(df.where("k > 6"), ["k"], {n: wanted[n] for n in ("total", "low", "high")}).collect()}
+    assert few == {9: ("", None, None), 8: ("", None, None), 7: ("9e2b0/1e0b0", "4e2b0/1e0b0", "5e2b0/1e0b0")}
