@@ -93,6 +93,15 @@ def test_next_epoch(spark, marks, expected):
     assert landing.next_epoch(markers, 5).first().epoch == expected
 
 
+def test_words_around_the_short_form(spark):
+    edges = [0, 1, 2**60 - 1, 2**60, 2**60 + 1, 2**63, 2**64]
+    values = edges + [(-v) % 2**256 for v in edges]
+    rows = [(i, f"0x{v:064x}" + f"{v:064X}") for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "id int, data string")
+    decoded = df.select("id", landing.decode_words("data", {"a": "int", "b": "uint"}).alias("d")).collect()
+    assert {r.id: (r.d.a, r.d.b) for r in decoded} == {i: (str(v - (v >> 255 << 256)), str(v)) for i, v in enumerate(values)}
+
+
 def test_next_epoch_past_the_range_of_int_blocks(spark):
     markers = spark.createDataFrame([(5, 210_000), (80_000, 2_400_060_000)], "epoch int, last_block long")
     assert landing.next_epoch(markers, 5).first().epoch == 6

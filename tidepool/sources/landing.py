@@ -95,8 +95,8 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str]) -> None:
     )
 
 
-# A word is read in parts of eight hex digits; decimal limbs hold 18 digits, so all products fit a decimal.
-_PART_HEX, _LIMB_DIGITS, _LIMBS = 8, 18, 5
+# A word is read in parts of fifteen hex digits; decimal limbs hold 18 digits, so a product fits a decimal and its carry a long.
+_PART_HEX, _PARTS, _LIMB_DIGITS, _LIMBS = 15, 5, 18, 5
 _LIMB_TYPE = "decimal(20,0)"
 
 
@@ -105,10 +105,10 @@ def _whole(n: int) -> Column:
 
 
 def _appended(limbs: Column, part: Column) -> Column:
-    """Limbs of ``2^32 * value + part``; the carry of a limb goes into the next."""
+    """Limbs of ``2^60 * value + part``; the carry of a limb goes into the next."""
     base, carry, out = _whole(10**_LIMB_DIGITS), part, []
     for i in range(_LIMBS):
-        total = limbs[f"l{i}"] * _whole(1 << 4 * _PART_HEX) + carry
+        total = (limbs[f"l{i}"] * _whole(1 << 4 * _PART_HEX) + carry).cast("decimal(38,0)")
         out.append((total % base).cast(_LIMB_TYPE).alias(f"l{i}"))
         carry = F.call_function("div", total, base).cast(_LIMB_TYPE)
     return F.struct(*out)
@@ -127,7 +127,8 @@ def word_number(word: Column, signed: bool) -> Column:
         negative = w >= "8" if signed else F.lit(False)
         # a negative number's size is the complement and one
         size = F.when(negative, F.translate(w, "0123456789abcdef", "fedcba9876543210")).otherwise(w)
-        last = WORD // _PART_HEX - 1
+        size = F.lpad(size, _PARTS * _PART_HEX, "0")
+        last = _PARTS - 1
 
         def part(k: Column) -> Column:
             value = F.conv(size.substr(k * _PART_HEX + 1, F.lit(_PART_HEX)), 16, 10).cast(_LIMB_TYPE)
@@ -137,7 +138,14 @@ def word_number(word: Column, signed: bool) -> Column:
         text = _digits(F.aggregate(F.transform(F.sequence(F.lit(0), F.lit(last)), part), nothing, _appended))
         return F.when(w.isNotNull(), F.concat(F.when(negative, "-").otherwise(""), text))
 
-    return F.transform(F.array(clean), number)[0]  # the array names the word, so that it is cut out once
+    whole = F.transform(F.array(clean), number)[0]  # the array names the word, so that it is cut out once
+    # most numbers lie in the last part; what is left out before it is all sign
+    head, tail = WORD - _PART_HEX, rf"[0-9a-fA-F]{{{_PART_HEX}}}$"
+    last_part = F.conv(word.substr(head + 1, _PART_HEX), 16, 10).cast("bigint")
+    short = F.when(word.rlike(rf"^0{{{head}}}{tail}"), last_part.cast("string"))
+    if signed:
+        short = short.when(word.rlike(rf"^[fF]{{{head}}}{tail}"), (last_part - (1 << 4 * _PART_HEX)).cast("string"))
+    return short.otherwise(whole)
 
 
 def decode_words(data: str | Column, fields: Mapping[str, str]) -> Column:
