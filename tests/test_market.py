@@ -259,3 +259,14 @@ def test_market_is_a_setting(spark):
     rated = valuation.usd_exchange_rate(valuation.base_exchange_rate(prepared, small, 1), small, 1)
     assert [r.p for r in rated.orderBy("logId").selectExpr("usdBase.price p").collect()][3] == "2"
     assert [r.isBasePool for r in rated.orderBy("logId").collect()] == [True, False, True, True, True, True, True]
+
+
+def test_staged_rows_lie_in_columns(spark):
+    """What is staged is written as Parquet, and is read back with its rows and types."""
+    from tidepool.plans.rated_swaps import staged
+
+    df = spark.range(50).selectExpr("id", "map('a', CAST(id AS STRING)) AS m", "CAST(NULL AS DECIMAL(38,18)) AS d", "named_struct('x', id) AS s")
+    kept = staged(df)
+    assert kept.inputFiles() and all(f.endswith(".parquet") for f in kept.inputFiles())
+    assert kept.dtypes == df.dtypes and sorted(map(str, kept.collect())) == sorted(map(str, df.collect()))
+    assert staged(df.limit(0)).count() == 0
