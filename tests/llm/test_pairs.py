@@ -1,12 +1,15 @@
 """Decontamination and the similarity join."""
 
+import pickle
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from tests.llm import brute, data
-from tidepool.llm import components, decontamination, similarity
+from tidepool.llm import components, decontamination, similarity, storage
 
 
 def _frame(spark, texts, first=0):
@@ -149,3 +152,26 @@ def test_minima_cover_the_worst_passage():
     for width in (1, 2, 4, 8, 16, 32, 64, 128):
         assert 1 <= decontamination._minima(width, 80, 1e-6) <= 128
     assert pa.array([1]).type == pa.int64()
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    def left():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {str(files.apply(i).getName()) for i in range(files.size()) if str(files.apply(i).getName()).startswith("shuffle_")}
+
+    before = left()
+    got = storage.written(spark.range(1000).repartition(5).groupBy((F.col("id") % 10).alias("k")).count(), "counted")
+    deadline = time.time() + 20  # files go in the background
+    while left() - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not left() - before
+    assert got.count() == 10 and spark.conf.get(storage.CLEANUP) == "false"
+
+
+def test_filters_are_not_sent_with_a_block(spark):
+    texts = [" ".join(f"w{i * j}" for j in range(n)) for i, n in enumerate((3, 9, 40, 200), 1)]
+    block = decontamination.index_items(pa.array(range(4)), pa.array(texts), decontamination.SHINGLE_WORDS, decontamination.PERCENT, decontamination.MISS)
+    sent = pickle.dumps(block)
+    assert len(sent) < sum(s.seen.nbytes for c in block.classes for s in c.signatures) / 20
+    for mine, theirs in zip(block.classes, pickle.loads(sent).classes, strict=True):
+        assert all(np.array_equal(a, b) for s, t in zip(mine.signatures, theirs.signatures, strict=True) for a, b in zip(s, t, strict=True))

@@ -44,6 +44,23 @@ _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
+class Signature(NamedTuple):
+    """Minima of one order, sorted, their items, and a filter of their leading bits, which is built anew where the rest is sent."""
+
+    keys: np.ndarray
+    members: np.ndarray
+    seen: np.ndarray
+
+    def __reduce__(self):
+        return _signature, (self.keys, self.members)
+
+
+def _signature(keys: np.ndarray, members: np.ndarray) -> Signature:
+    seen = np.zeros(1 << _FILTER_BITS, dtype=bool)
+    seen[keys >> np.uint64(64 - _FILTER_BITS)] = True
+    return Signature(keys, members, seen)
+
+
 class SizeClass(NamedTuple):
     """Items of (width / 2, width] shingles; signatures[j] are their j-th minima, sorted, with the items."""
 
@@ -104,9 +121,7 @@ def index_items(ids: pa.Array, texts: pa.Array, k: int, percent: int, miss: floa
         for j in range(n):
             least = np.array([((shingles[i] ^ xor[j]) * odd[j]).min() for i in members], dtype=np.uint64)
             order = np.argsort(least, kind="stable")
-            seen = np.zeros(1 << _FILTER_BITS, dtype=bool)
-            seen[least >> np.uint64(64 - _FILTER_BITS)] = True
-            signatures.append((least[order], members[order], seen))
+            signatures.append(_signature(least[order], members[order]))
         classes.append(SizeClass(int(width), signatures))
     return Block(ids, shingles, words, -(-sizes * percent // 100), classes)
 

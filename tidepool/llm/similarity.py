@@ -361,8 +361,9 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
         more = storage.written(_verified(asked, texts, k, percent), "more-links")
         grows = bool(more.head(1))
         if grows:
-            links = links.unionByName(more)
-            roots = components(links, "a", "b")
+            # the components so far, as stars, and what the round adds
+            stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+            roots = components(stars.unionByName(more), "a", "b")
         if not best_only:
             break
         best_only = grows
