@@ -257,3 +257,20 @@ def test_plain_numbers_are_folded_natively(spark):
     assert sorted(map(str, named.collect())) == sorted(map(str, by_rows.collect()))
     few = {r.k: (r.total, r.low, r.high) for r in U.ubi_aggregate(df.where("k > 6"), ["k"], {n: wanted[n] for n in ("total", "low", "high")}).collect()}
     assert few == {9: ("", None, None), 8: ("", None, None), 7: ("9e2b0/1e0b0", "4e2b0/1e0b0", "5e2b0/1e0b0")}
+
+
+def test_column_sums_keep_a_hash_table(spark):
+    df = values(spark, ["1", "2e2", "3/7"])
+    plan = df.groupBy("value").agg(U.ubi_sum("value"), U.ubi_avg("value"))._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+@pytest.mark.parametrize("den", ["7e1b3", f"{10**18}e0b0", f"{-(10**40) - 9}e3b0", f"{3**200}e-2b1"])
+def test_column_sum_over_a_denominator_of_any_length(spark, den):
+    df = values(spark, [f"{n}e2b0/{den}" for n in (5, -11, 10**30)] + [None, ""])
+    for kind, form in (("sum", U.ubi_sum), ("avg", U.ubi_avg)):
+        assert df.agg(form("value").alias("v")).first().v == U.ubi_aggregate(df, [], {"v": (kind, "value")}).first().v
+    # denominators that agree in their lowest or highest limb only are told apart
+    other = values(spark, [f"1/{7 + 10**18}", "1/7", f"1/{7 + 2 * 10**18}"])
+    got = value(other.agg(U.ubi_sum("value").alias("v")).first().v)
+    assert abs(got - sum(Fraction(1, 7 + i * 10**18) for i in range(3))) < Fraction(1, 10**120)
