@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from tidepool import functions as U
+from tidepool.operators.balance import pieces
 from tidepool.operators.quantiles import exact_percentiles, quartile
 from tidepool.plans.pool_day import distribution, trend
 from tidepool.registry.tables import LINES_SQL, TICKS_SQL, epoch_seconds, lines, rounded, text, ticks
 
 FLAGS = ["l_returnflag", "l_linestatus"]
+LINE = ["l_orderkey", "l_linenumber"]
 
 
 def revenue(spark, sf_dir):
@@ -114,9 +118,10 @@ def product_and_quotient(spark, sf_dir):
 
 def many_denominators(spark, sf_dir):
     """A sum over more denominators than rows of most keys, the same text whatever the partitions."""
-    df = lines(spark, sf_dir).withColumn("part", text(F.col("l_partkey") * 2 + 3))
+    df = lines(spark, sf_dir).withColumn("part", text(F.col("l_partkey") * 2 + 3)).select(*LINE, *FLAGS, "price", "part")
+    size = math.ceil(pieces(df) / 3)  # parts of which a task gets one, whatever the table's size
     forms = [
-        U.ubi_aggregate(df.repartition(parts), FLAGS, {f"t{parts}": ("sum", U.ubid("price", "part"))}) for parts in (3, 7)
+        U.ubi_aggregate(df.repartition(parts * size, F.xxhash64(*LINE)), FLAGS, {f"t{parts}": ("sum", U.ubid("price", "part"))}) for parts in (3, 7)
     ]
     both = forms[0].join(forms[1], FLAGS)
     return both.select(*FLAGS, rounded(U.ubi_to_double("t3"), 4).alias("total"), (F.col("t3") == F.col("t7")).alias("same"))
