@@ -2,6 +2,7 @@
 
 import glob
 import os
+import re
 
 import duckdb
 import pytest
@@ -52,3 +53,19 @@ def test_against_sql(spark, sf_dir, duck, name):
     columns = [d[0] for d in cursor.description]
     assert sorted(df.columns) == sorted(columns)
     assert canonical(df.columns, df.collect()) == canonical(columns, cursor.fetchall())
+
+
+def test_parts_follow_the_size_of_the_table(spark, sf_dir, monkeypatch):
+    from tidepool.operators import balance
+    from tidepool.registry import aggregates
+
+    def most(query):
+        plan = query(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+        return max((int(n) for n in re.findall(r"RepartitionByExpression \[.*\], (\d+)", plan)), default=0)
+
+    assert most(aggregates.many_denominators) == 7
+    monkeypatch.setattr(balance, "TASK_BYTES", 2048)
+    few = [most(q) for q in (aggregates.many_denominators, aggregates.native_extremes)]
+    monkeypatch.setattr(balance, "TASK_BYTES", 1024)
+    many = [most(q) for q in (aggregates.many_denominators, aggregates.native_extremes)]
+    assert all(a > 7 and 1.8 * a < b for a, b in zip(few, many))

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from tidepool import functions as U
-from tidepool.operators.balance import pieces
+from tidepool.operators.balance import in_pieces, pieces
 from tidepool.operators.quantiles import exact_percentiles, quartile
 from tidepool.plans.pool_day import distribution, trend
 from tidepool.registry.tables import LINES_SQL, TICKS_SQL, epoch_seconds, lines, rounded, text, ticks
@@ -57,7 +57,9 @@ def extremes(spark, sf_dir):
 
 def native_extremes(spark, sf_dir):
     unit = U.ubid("price", "quantity")
-    return lines(spark, sf_dir, spread=True).groupBy("l_suppkey").agg(
+    # rows are sorted for extremes of texts; a task sorts one piece
+    df = in_pieces(lines(spark, sf_dir, spread=True).select(*LINE, "l_suppkey", "price", "quantity"), *LINE)
+    return df.groupBy("l_suppkey").agg(
         rounded(U.ubi_to_double(U.ubi_min(unit)), 6).alias("low"), rounded(U.ubi_to_double(U.ubi_max(unit)), 6).alias("high")
     )
 
