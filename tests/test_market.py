@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tidepool import functions as U
 from tidepool.operators import pricing, valuation
+from tidepool.operators.joins import frame_difference
 from tidepool.operators.market import BASE_TOKEN, USD_TOKEN, Market
 from tidepool.operators.projections import log_id, null_extended, pair_columns, resolve_columns, twin
 from tidepool.operators.series import series_parts
@@ -270,3 +271,27 @@ def test_staged_rows_lie_in_columns(spark):
     assert kept.inputFiles() and all(f.endswith(".parquet") for f in kept.inputFiles())
     assert kept.dtypes == df.dtypes and sorted(map(str, kept.collect())) == sorted(map(str, df.collect()))
     assert staged(df.limit(0)).count() == 0
+
+
+def wide_swaps(spark, n=600):
+    rows = [(i, ("eu", "pe", "eq", "pq")[i * 7 % 4], str(1 + i * 13 % 97)) for i in range(n)]
+    df = spark.createDataFrame(rows, "logId long, address string, price1 string")
+    base, usd = Market().base_token, Market().usd_token
+    sides = {"eu": (base, usd), "pe": ("p", base), "eq": (base, "q"), "pq": ("p", "q")}
+    token = lambda i: F.struct(F.create_map(*(F.lit(x) for p, s in sides.items() for x in (p, s[i])))[F.col("address")].alias("address"))
+    named = df.withColumns({"token0": token(0), "token1": token(1), "price0": F.lit("1"), "tick": F.col("logId")})
+    return valuation.exchange_rate_prep(named)
+
+
+@pytest.mark.parametrize("slices", [None, 5])
+def test_ordered_steps_share_one_shuffle(spark, tmp_path, slices):
+    """Dealt rows pass all ordered steps without another shuffle, and give what each step alone gives."""
+    from tidepool.operators import slicing
+    from tidepool.plans.rated_swaps import quoted_swaps
+
+    df = wide_swaps(spark)
+    dealt = valuation.dealt_for_rates(df, str(tmp_path / "dealt"), slices=slices, carries=[pricing.delta_carry()])
+    rated = slicing.gathered(quoted_swaps(dealt, slices=slices))
+    assert "Exchange" not in rated._jdf.queryExecution().executedPlan().toString()
+    alone = quoted_swaps(df, slices=3)
+    assert rated.count() == 600 and frame_difference(rated, alone).count() == 0
