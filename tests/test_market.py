@@ -295,3 +295,27 @@ def test_ordered_steps_share_one_shuffle(spark, tmp_path, slices):
     assert "Exchange" not in rated._jdf.queryExecution().executedPlan().toString()
     alone = quoted_swaps(df, slices=3)
     assert rated.count() == 600 and frame_difference(rated, alone).count() == 0
+
+
+def test_passing_tables_go(spark, tmp_path):
+    from tidepool.operators import staging
+
+    with staging.passing(spark):
+        inner = staging.staged(spark.range(5))
+        out = staging.finished(inner.selectExpr("id + 1 AS id"))
+    assert sorted(r.id for r in out.collect()) == [1, 2, 3, 4, 5]
+    with pytest.raises(Exception, match="(?i)not.?(found|exist)"):
+        inner.collect()
+
+
+def test_statistics_leave_only_their_rows(spark, tmp_path, monkeypatch):
+    """Tables that percentiles and statistics stage are gone when the finished rows are."""
+    from tidepool.operators import staging
+    from tidepool.operators.quantiles import exact_percentiles
+
+    monkeypatch.setattr(staging, "folder", lambda spark: str(tmp_path))
+    df = spark.range(100).selectExpr("id % 3 AS k", "id AS v")
+    with staging.passing(spark):
+        rows = staging.finished(exact_percentiles(df, ["k"], {"m": ("v", 0.5)}, 4))
+        assert len(list(tmp_path.iterdir())) == 2  # the counts, read three times, and the rows
+    assert len(list(tmp_path.iterdir())) == 1 and sorted(tuple(r) for r in rows.collect()) == [(0, 49.5), (1, 49.0), (2, 50.0)]
