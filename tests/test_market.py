@@ -4,11 +4,13 @@ import random
 from decimal import Decimal
 from fractions import Fraction
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool import functions as U
+from tidepool.functions import ubid, ubim
 from tidepool.operators import pricing, valuation
 from tidepool.operators.joins import frame_difference
 from tidepool.operators.market import BASE_TOKEN, USD_TOKEN, Market
@@ -297,6 +299,20 @@ def test_ordered_steps_share_one_shuffle(spark, tmp_path, slices):
     assert rated.count() == 600 and frame_difference(rated, alone).count() == 0
 
 
+def test_scaled_amounts_are_computed_in_columns(spark, monkeypatch):
+    """Mixed factors and divisors give the texts of the row functions, without them for plain numbers."""
+    rows = [("3e0b0/7e0b0", "5e1", True), ("3e0b0/7e0b0", "5e1", False), (None, "1", True), ("-2e4", "0", False), ("12", None, False), ("", "2", True), ("9", "4", None)] * 3
+    df = spark.createDataFrame(rows, "a string, r string, up boolean")
+    got = [r[0] for r in df.select(valuation.ubi_scale(F.col("a"), F.col("r"), F.col("up"))).collect()]
+    want = df.select(F.when(F.coalesce("up", F.lit(False)), ubim("a", "r")).otherwise(ubid("a", "r")).alias("v"))
+    assert got == [r.v for r in want.collect()]
+    seen = []
+    monkeypatch.setattr(valuation.limbs, "binary", lambda step, *a: seen.append((step, len(a[1]))) or pa.nulls(len(a[1]), pa.string()))
+    columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.string(), pa.bool_()))]
+    valuation._scale(valuation.DEFAULT).func(*columns)
+    assert seen == [("multiply", 9), ("divide", 12)]
+
+
 def test_passing_tables_go(spark, tmp_path):
     from tidepool.operators import staging
 
