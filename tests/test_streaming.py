@@ -259,3 +259,54 @@ def test_busy_key_is_cut_into_ranges(spark, tmp_path):
     assert rows["block"].tolist() == list(range(n)) and rows["value"].tolist() == [str(i) for i in range(n)]
     expected = [str((i - 1) // 7 * 7) if i and i - (i - 1) // 7 * 7 <= 5 else None for i in range(n)]
     assert [None if pd.isna(f) else f for f in rows["found"]] == expected
+
+
+def test_buffer_comes_in_order_in_several_batches(spark, tmp_path, monkeypatch):
+    """A large buffer is compressed, read in event order by several micro-batches, and gives the batch result."""
+    rows, schema = random_swaps(spark, 120)
+    whole = valuation.exchange_rate_prep(spark.createDataFrame(rows, schema))
+    monkeypatch.setattr(buffer, "BATCH_BYTES", 1)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        buffer.write_buffer(whole, str(tmp_path / "buf"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    files = sorted((tmp_path / "buf").glob("part-*"))
+    assert len(files) > 1 and all(f.name.endswith(".gz") for f in files)
+    stamps = [f.stat().st_mtime_ns for f in files]
+    assert stamps == sorted(set(stamps))
+    rated = stateful.rated_stream(buffer.read_buffer(spark, str(tmp_path / "buf")), whole.schema)
+    query, got = run(rated.select("logId", "lastPrice0", F.to_json("usdBase").alias("usd")), spark, "ordered_rates", tmp_path / "cp")
+    assert len([p for p in query.recentProgress if p["numInputRows"]]) == len(files)
+    batch = valuation.usd_exchange_rate(pricing.swap_delta(whole, 10_000, slices=5), slices=3)
+    want = {(int(r.logId), r.lastPrice0, r.usdBase and r.usdBase.price) for r in batch.collect()}
+    assert {(int(r.logId), r.lastPrice0, r.usd and json.loads(r.usd).get("price")) for r in got.collect()} == want
+
+
+def test_upsert_merges_some_partitions_at_a_time(spark, tmp_path, monkeypatch):
+    schema, table = "date string, logId int, v string", str(tmp_path / "table")
+    rows = [(f"day {i % 5}", i, "old") for i in range(50)]
+    sink.upsert_path(spark.createDataFrame(rows, schema), table)
+    monkeypatch.setattr(sink, "GROUP_BYTES", 1)
+    merge, calls = sink._merge, []
+    monkeypatch.setattr(sink, "_merge", lambda *a: calls.append(a[0].count()) or merge(*a))
+    sink.upsert_path(spark.createDataFrame([(d, i, "new") for d, i, _ in rows if i % 2], schema), table, batch_id=1)
+    assert calls == [5] * 5
+    assert sorted(tuple(r) for r in spark.read.parquet(table).select("logId", "v").collect()) == [(i, "new" if i % 2 else "old") for _, i, _ in rows]
+
+
+def test_carried_rows_compare_recent_swaps_only(spark):
+    from tidepool.streaming import microbatch
+
+    rows, schema = random_swaps(spark)
+    priced = valuation.exchange_rate_prep(spark.createDataFrame(rows, schema))
+    carried = microbatch.carried_rows(priced)
+    last = max(r[0] for r in rows)
+    newest = {}
+    for block, _, pool, *_ in rows:
+        if last - block <= 10_000:
+            newest[pool] = max(block, newest.get(pool, 0))
+    got = {int(r.blockNumber) for r in carried.collect()}
+    assert set(newest.values()) <= got and min(got) >= last - 10_000
+    assert carried.columns == priced.columns
